@@ -77,15 +77,34 @@ def build_target(
         main = present[table]
         if scope and databases != held[table]:
             main = main.filter(F.col(DATABASE).isin(*databases))
-        related = {name: df for name, df in present.items() if name != table and held.get(name)}
-        branches.append(_join_sources(mapping, table, main, related, scope, on_miss, join_keys, position))
+        # A table with no rows in these databases has nothing to look up.
+        related = {name: df for name, df in present.items() if name != table and held.get(name, frozenset()) & databases}
         served |= databases
+        if _reads_any(mapping, table, main, related):
+            branches.append(_join_sources(mapping, table, main, related, scope, on_miss, join_keys, position))
     if not branches:
         return None
-    out = union_all(branches)
+    out = _typed(union_all(branches), mapping)
     return stamp(out, etl_timestamp) if stamped else out
 
 
+def _typed(df: DataFrame, mapping: TargetMapping) -> DataFrame:
+    """Columns no branch had a source for, in their declared type."""
+    void = [f.name for f in df.schema if isinstance(f.dataType, T.NullType)]
+    return df.withColumns({name: missing(mapping, name) for name in void}) if void else df
+
+
+def _reads_any(mapping, table, main, related) -> bool:
+    """Whether any target column has a source here; if not, every row would be dropped as empty."""
+    for target in mapping.columns:
+        owner, source = mapping.field_of(target)
+        if callable(source) or (owner in (None, table) and source in main.columns):
+            return True
+        if owner in related and source in related[owner].columns:
+            return True
+    return False
+
+
 def _join_sources(mapping, table, main, related, scope, on_miss, join_keys, position) -> DataFrame:
     wanted: dict[str, dict[str, str]] = {}
     for target in mapping.columns:
@@ -111,7 +130,7 @@ def _join_sources(mapping, table, main, related, scope, on_miss, join_keys, posi
             value = F.col(f"_hit_{owner}").getField(target)
             columns.append(clean_mapped(mapping, target, value, dtype).alias(target))
         else:
-            columns.append(missing(mapping, target))
+            columns.append(F.lit(None).alias(target))
     mapped = joined.select(*[F.col(c) for c in scope], *columns)
     return sanitize(drop_empty_rows(mapped, list(mapping.columns)))
 
