@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starloom.functions.clean import boolean_value, epoch_ms_to_timestamp, is_json_name, is_time_name, EPOCH_MS_MAX
-from starloom.operators.lookup import last_per_key
+from starloom.operators.lookup import broadcast_checked, last_per_key, undecided
 from starloom.plans.spec import LOAD_TIME
+from starloom.session import cut
 
 REJECTS = "_rejects"
 
@@ -40,7 +41,7 @@ def _out_of_range(column: Column, given: T.DataType, wanted: T.DataType) -> Colu
 def load_with_rejects(
     df: DataFrame, schema: T.StructType, *, required: Sequence[str] = (), lengths: bool = False
 ) -> DataFrame:
-    """``df`` in the columns and types of ``schema`` plus ``_rejects``, the reasons a row cannot be loaded.
+    """``df`` in the columns and types of ``schema`` plus ``_rejects``, the reasons a row cannot be loaded, or NULL.
 
     Columns are matched by name in any letter case, others are ignored and absent ones
     read NULL. A value that does not convert, a NULL in a required column and, with
@@ -48,7 +49,7 @@ def load_with_rejects(
     """
     given = {field.name.lower(): field for field in df.schema}
     columns: list[Column] = []
-    reasons: list[Column] = []
+    faults: list[tuple[Column, str]] = []
     for field in schema:
         source = given.get(field.name.lower())
         if source is None:
@@ -58,23 +59,27 @@ def load_with_rejects(
             value = _convert(raw, source.dataType, field.dataType)
             if source.dataType != field.dataType:
                 failed = raw.isNotNull() & value.isNull() & ~_out_of_range(raw, source.dataType, field.dataType)
-                reasons.append(F.when(failed, F.lit(f"{field.name}: not {field.dataType.simpleString()}")))
+                faults.append((failed, f"{field.name}: not {field.dataType.simpleString()}"))
         if field.name in required:
-            reasons.append(F.when(value.isNull(), F.lit(f"{field.name}: NULL")))
+            faults.append((value.isNull(), f"{field.name}: NULL"))
         limit = field.metadata.get("max_length", 0)
         if lengths and limit:
-            reasons.append(F.when(F.length(value) > limit, F.lit(f"{field.name}: longer than {limit}")))
+            faults.append((F.coalesce(F.length(value) > limit, F.lit(False)), f"{field.name}: longer than {limit}"))
         columns.append(value.alias(field.name))
-    found = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
+    # The reasons are spelled out for faulty rows only; for the others it is one condition.
+    found = F.lit(None).cast("array<string>")
+    if faults:
+        reasons = F.array_compact(F.array(*[F.when(test, F.lit(text)) for test, text in faults]))
+        found = F.when(reduce(Column.__or__, [test for test, _ in faults]), reasons)
     return df.select(*columns, found.alias(REJECTS))
 
 
 def accepted(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.size(REJECTS) == 0).drop(REJECTS)
+    return checked.filter(F.col(REJECTS).isNull()).drop(REJECTS)
 
 
 def rejected(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.size(REJECTS) > 0)
+    return checked.filter(F.col(REJECTS).isNotNull())
 
 
 def apply_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
@@ -92,13 +97,16 @@ def upsert(existing: DataFrame, new: DataFrame, key: Sequence[str], order_by: Se
 
     A NULL in the key never collides, and without a key all rows are added. Only ``new``
     is reduced to one row per key; ``existing`` is read once and loses the replaced rows
-    by an anti-join, whose broadcast or shuffle Spark picks by the size of the keys.
+    by an anti-join with their keys, which are broadcast if they are small enough.
     """
     names = existing.columns
     if not key:
         return existing.unionByName(new.select(*[c for c in new.columns if c in names]), allowMissingColumns=True)
     last = last_per_key(new.filter(keyed(new, key)), key, order_by)
     replaced = last.select(*key)
+    if undecided(replaced):
+        last = cut(last)
+        replaced = broadcast_checked(last.select(*key))
     kept = existing.join(replaced, list(key), "left_anti")
     added = last.unionByName(new.filter(~keyed(new, key)))
     present = [c for c in added.columns if c in names]

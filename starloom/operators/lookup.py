@@ -5,6 +5,10 @@ where none matches. The main table keeps its cardinality. Related tables are bro
 one row per key before the join, with map-side combine, so a key that holds a third of a
 related table costs one row per task. The key comparison is null-safe; Spark plans it as
 an equi-join on derived keys, whose shuffle AQE may split where the main side is skewed.
+
+Whether the main table has to be shuffled depends on the size of the reduced side, which
+Spark only knows in advance for small inputs. For larger ones the reduced side is stored
+and measured first: it is broadcast if it fits, and otherwise joined by shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.session import cut
+from starloom.session import auto_broadcast_bytes, cut, estimated_bytes
 
 # A related side is broadcast by hint only below this measured size.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -66,6 +70,22 @@ def broadcast_checked(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if size <= limit else df
 
 
+def settle(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A join side ready to be planned well.
+
+    Where Spark's estimate lets it broadcast by itself, or broadcasts are switched off,
+    nothing is done. Else the side is computed once, stored, and broadcast if its
+    measured size allows.
+    """
+    return broadcast_checked(cut(df), limit) if undecided(df) else df
+
+
+def undecided(df: DataFrame) -> bool:
+    """Whether Spark may broadcast, but cannot tell yet if ``df`` is small enough."""
+    threshold = auto_broadcast_bytes(df.sparkSession)
+    return 0 <= threshold < estimated_bytes(df)
+
+
 def _tagged(lookups: Mapping[str, Lookup], scope: Sequence[str], key: str | None) -> DataFrame:
     """All lookups one below the other: scope, key and a (value, order) pair per lookup."""
     parts = []
@@ -104,20 +124,18 @@ def lookup_join(main: DataFrame, lookups: Mapping[str, Lookup], scope: Sequence[
             "_key",
             *[F.col(f"_value_{name}").alias(f"_match_{name}") for name in group],
         )
+        reduced = settle(reduced)
         condition = F.col(key).eqNullSafe(F.col("_key"))
         for c in scope:
             condition = condition & (F.col(c) == F.col(f"_scope_{c}"))
         out = out.join(reduced, condition, "left").drop("_key", *[f"_scope_{c}" for c in scope])
 
     matched = {name for group in keyed.values() for name in group}
-    falling = {
-        name: lookup for name, lookup in lookups.items() if lookup.on_miss == "first"
-    }
+    falling = {name: lookup for name, lookup in lookups.items() if lookup.on_miss == "first"}
     fallback: dict[str, Column] = {}
     if falling and scope:
-        # One row per scope value; stored, then measured, before it may be broadcast.
-        rows = cut(_tagged(falling, scope, None).groupBy(*scope).agg(*_firsts(falling)))
-        rows = broadcast_checked(rows)
+        # One row per scope value.
+        rows = settle(_tagged(falling, scope, None).groupBy(*scope).agg(*_firsts(falling)))
         out = out.join(rows, list(scope), "left")
         fallback = {name: F.col(f"_value_{name}") for name in falling}
     elif falling:

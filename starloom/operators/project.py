@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -59,20 +58,21 @@ def fan_out(table: str, df: DataFrame, mappings: MappingSet) -> dict[str, DataFr
     }
 
 
-def has_value(column: Column, dtype: T.DataType) -> Column:
-    """Neither NULL nor the empty text; 0 and false are values."""
+def has_value(name: str, dtype: T.DataType) -> str:
+    """The test, as SQL, for neither NULL nor the empty text; 0 and false are values."""
+    quoted = "`" + name.replace("`", "``") + "`"
     if isinstance(dtype, T.StringType):
-        return column.isNotNull() & (column != "")
+        return f"({quoted} IS NOT NULL AND {quoted} <> '')"
     if isinstance(dtype, T.BinaryType):
-        return column.isNotNull() & (F.octet_length(column) > 0)
-    return column.isNotNull()
+        return f"({quoted} IS NOT NULL AND octet_length({quoted}) > 0)"
+    return f"{quoted} IS NOT NULL"
 
 
 def drop_empty_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Without the rows in which none of the columns holds a value."""
     names = list(columns if columns is not None else df.columns)
-    tests = [has_value(F.col(name), df.schema[name].dataType) for name in names]
-    return df.filter(reduce(Column.__or__, tests)) if tests else df
+    types = {field.name: field.dataType for field in df.schema}
+    return df.filter(" OR ".join(has_value(name, types[name]) for name in names)) if names else df
 
 
 def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:

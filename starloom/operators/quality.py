@@ -26,14 +26,18 @@ def _counted(df: DataFrame, table: str, tests: Mapping[str, Column]) -> DataFram
 
 def null_id_issues(df: DataFrame, table: str, *, scope: str = "all", order_by: Sequence[str] = ()) -> DataFrame:
     """NULLs in the ``*_id`` columns of all rows, or of the first row only with ``scope="first"``."""
-    names = [name for name in df.columns if name.endswith("_id")]
-    if not names:
+    tests = _null_id_tests(df)
+    if not tests:
         return df.sparkSession.createDataFrame([], ISSUE_SCHEMA)
     if scope == "first":
-        value = F.struct(*names)
+        value = F.struct(*[name for name in df.columns if name.endswith("_id")])
         order = F.struct(*order_by)
         df = df.agg(F.min_by(value, order).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
-    return _counted(df, table, {f"NULL value in {name}": F.col(name).isNull() for name in names})
+    return _counted(df, table, tests)
+
+
+def _null_id_tests(df: DataFrame) -> dict[str, Column]:
+    return {f"NULL value in {name}": F.col(name).isNull() for name in df.columns if name.endswith("_id")}
 
 
 def missing_columns(df: DataFrame, table: str, must_have: Mapping[str, Sequence[str]] = MUST_HAVE) -> list[str]:
@@ -55,23 +59,32 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def constraint_issues(df: DataFrame, mapping: TargetMapping, *, lengths: bool = True) -> DataFrame:
     """Breaches of the declaration: NULL in key or required columns, texts too long, duplicate keys."""
-    key = [name for name in mapping.primary_key if name in df.columns]
+    return _issues(df, mapping.name, _constraint_tests(df, mapping, lengths), mapping.primary_key)
+
+
+def _constraint_tests(df: DataFrame, mapping: TargetMapping, lengths: bool) -> dict[str, Column]:
     tests: dict[str, Column] = {}
-    for name in dict.fromkeys((*key, *mapping.required)):
+    for name in dict.fromkeys((*mapping.primary_key, *mapping.required)):
         if name in df.columns:
             tests[f"NULL value in {name}"] = F.col(name).isNull()
     for field in mapping.schema if lengths else ():
         limit = field.metadata.get("max_length", 0)
         if limit and field.name in df.columns and isinstance(df.schema[field.name].dataType, T.StringType):
             tests[f"Text too long in {field.name}"] = F.length(field.name) > limit
-    parts = [_counted(df, mapping.name, tests)] if tests else []
+    return tests
+
+
+def _issues(df: DataFrame, table: str, tests: Mapping[str, Column], key: Sequence[str] = ()) -> DataFrame:
+    """One pass for all row tests and one aggregation by key."""
+    parts = [_counted(df, table, tests)] if tests else []
+    key = [name for name in key if name in df.columns]
     if key:
         total = duplicate_keys(df, key).agg(F.sum("rows").alias("rows"))
         text = f"Duplicate key ({', '.join(key)})"
         parts.append(
-            total.filter(F.col("rows") > 0).select(F.lit(mapping.name).alias("table"), F.lit(text).alias("issue"), "rows")
+            total.filter(F.col("rows") > 0).select(F.lit(table).alias("table"), F.lit(text).alias("issue"), "rows")
         )
-    return union_all(parts)
+    return union_all(parts) if parts else df.sparkSession.createDataFrame([], ISSUE_SCHEMA)
 
 
 def issue_report(
@@ -80,13 +93,15 @@ def issue_report(
     """All issues of all targets; a target without rows has none."""
     parts = []
     for name, df in targets.items():
-        parts.append(null_id_issues(df, name))
-        if missing_columns(df, name, must_have):
-            parts.append(missing_column_issues(df, name, must_have))
         mapping = mappings.get(name) if mappings else None
+        tests = _null_id_tests(df)
         if mapping:
-            parts.append(constraint_issues(df, mapping))
-    return union_all(parts).distinct() if parts else None
+            tests.update(_constraint_tests(df, mapping, lengths=True))
+        if tests:
+            parts.append(_issues(df, name, tests, mapping.primary_key if mapping else ()))
+        if missing_columns(df, name, must_have):
+            parts.append(missing_column_issues(df, name, must_have))
+    return union_all(parts) if parts else None
 
 
 def is_valid(issues: DataFrame | None) -> bool:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.functions.window import EFFECTIVE, IncrementalWindow, apply_window
 from starloom.operators.sets import DATABASE, union_all
+from starloom.session import estimated_bytes
 
 REPORT_SCHEMA = "table string, status string, parsed bigint, loaded bigint, rejected bigint, error string"
 PHASES = ("extraction", "transformation", "loading")
@@ -28,8 +29,7 @@ def table_counts(
 
 def estimated_rows(df: DataFrame, row_bytes: int, margin: float = 1.1) -> int:
     """A row estimate from the plan's statistics, without reading the data."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(int(str(size)) / row_bytes * margin)
+    return int(estimated_bytes(df) / row_bytes * margin)
 
 
 def extract_summary(counts: DataFrame) -> DataFrame:
@@ -57,17 +57,13 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def transform_stats(targets: Mapping[str, DataFrame]) -> DataFrame:
     """Records by table, with the number of filled tables and of all records beside each."""
-    counts = row_counts(targets)
-    totals = counts.agg(
-        F.count_if(F.col("records") > 0).alias("n"), F.sum("records").alias("r"),
-    )
-    # The totals are two numbers: scalar subqueries carry them to the rows.
-    return counts.select(
-        "table",
-        "records",
-        totals.select("n").scalar().alias("filled_tables"),
-        totals.select("r").scalar().alias("total_records"),
+    # One entry per target, so that each is counted once for its row and for the totals.
+    counts = row_counts(targets).agg(
+        F.collect_list(F.struct("table", "records")).alias("counts"),
+        F.count_if(F.col("records") > 0).alias("filled_tables"),
+        F.sum("records").alias("total_records"),
     )
+    return counts.select(F.inline("counts"), "filled_tables", "total_records")
 
 
 def profile_targets(targets: Mapping[str, DataFrame]) -> DataFrame:

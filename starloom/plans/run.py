@@ -20,6 +20,7 @@ from starloom.operators.state import (
     job_event,
     remaining_names,
 )
+from starloom.operators.sets import DATABASE
 from starloom.plans.build import build_all
 from starloom.plans.spec import MappingSet, TargetMapping
 from starloom.plans.targets import TARGETS
@@ -65,20 +66,25 @@ def load_table(
     order_by: Sequence[str] = (),
     rejects_path: str | None = None,
     check_required: bool = True,
+    per_database: bool = False,
 ) -> tuple[str, str, int, int, int, str | None]:
     """Load one target and report it; a target without rows is skipped and leaves no table behind.
 
     Rows and rejects are counted while they are written, so the target is computed once.
     An upsert, and a load that keeps its rejects, goes through a staged dataset, whose
     known size also lets Spark pick the join.
+
+    With ``per_database`` the table is partitioned by ``_database``, which becomes part of
+    the key, so equal keys of different databases stay apart.
     """
     mapping = mappings.get(table) if mappings else None
-    created = store.ensure_for(table, df, mapping)
+    parts = (DATABASE,) if per_database and DATABASE in df.columns else ()
+    created = store.ensure_for(table, df, mapping, parts)
     required = tuple(dict.fromkeys((*mapping.primary_key, *mapping.required))) if mapping and check_required else ()
     schema = _declared(store.read(table).schema, mapping)
     seen = Observation(f"{table}-{uuid4().hex}")
     checked = load_with_rejects(df, schema, required=required, lengths=mapping is not None).observe(
-        seen, F.count("*").alias("parsed"), F.count_if(F.size(REJECTS) > 0).alias("rejected")
+        seen, F.count("*").alias("parsed"), F.count_if(F.col(REJECTS).isNotNull()).alias("rejected")
     )
     staged = None
     if mode == "upsert" or rejects_path:
@@ -86,9 +92,9 @@ def load_table(
         checked.write.parquet(staged)
         checked = store.spark.read.parquet(staged)
     if mode == "upsert":
-        key = mapping.primary_key if mapping else ()
+        key = (*mapping.primary_key, *parts) if mapping else ()
         order = list(order_by) or [c for c in ("updated_at", *key) if c in schema.names]
-        store.upsert(table, accepted(checked), key, order, cluster_by=mapping.cluster_by if mapping else ())
+        store.upsert(table, accepted(checked), key, order)
     else:
         store.append(table, accepted(checked))
     counts = seen.get

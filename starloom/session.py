@@ -14,6 +14,10 @@ SETTINGS = {
     # A hot key is split even where that costs the next join one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Stored intermediate results go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Plans are built by many small calls; recording the Python call site of each is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -38,6 +42,16 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a result's size, from file sizes and the plan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def auto_broadcast_bytes(spark: SparkSession) -> int:
+    """The size up to which Spark broadcasts by itself; negative if it never does."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder, so that it survives lost executors."""
     shared_dir(df.sparkSession)

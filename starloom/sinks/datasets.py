@@ -21,8 +21,8 @@ def write_extract(
 ) -> DataFrame:
     """Each table partitioned by database, plus the metadata; the (database, table, records) written."""
     for name, df in tables.items():
-        # Rows of one database are spread over files by size, however large it is.
-        df.write.mode("overwrite").partitionBy(DATABASE).parquet(f"{root}/{name}")
+        # Small databases share a task and large ones are split, so files have a fair size.
+        df.hint("rebalance", F.col(DATABASE)).write.mode("overwrite").partitionBy(DATABASE).parquet(f"{root}/{name}")
     written = {name: spark.read.parquet(f"{root}/{name}").withColumn(DATABASE, F.col(DATABASE).cast("string"))
                for name, df in tables.items()}
     counts = table_counts(written) if written else None

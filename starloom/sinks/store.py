@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from starloom.operators.load import compare_schemas, conform, infer_target_schema, upsert
 from starloom.plans.spec import LOAD_TIME, TargetMapping
@@ -50,9 +51,9 @@ class Target:
 class StarStore:
     """Target tables in a catalog database, as Parquet below one root.
 
-    A rewrite goes to a new folder and then moves the table's location, so readers see
-    the old version or the new one. The folder before the current one is kept for
-    readers that are still at work; older ones are removed by ``drop_old_versions``.
+    A rewrite of a whole table goes to a new folder and then moves the table's location,
+    so readers see the old version or the new one. Earlier folders stay for readers that
+    are still at work, until ``drop_old_versions`` removes them.
     """
 
     def __init__(self, spark: SparkSession, database: str, root: str):
@@ -85,7 +86,13 @@ class StarStore:
 
     # Tables
 
-    def ensure_table(self, table: str, schema: T.StructType, defaults: Mapping[str, object] | None = None) -> bool:
+    def ensure_table(
+        self,
+        table: str,
+        schema: T.StructType,
+        defaults: Mapping[str, object] | None = None,
+        partition_by: Sequence[str] = (),
+    ) -> bool:
         """Create the table if it is not there; True if it was created."""
         if self.exists(table):
             return False
@@ -96,19 +103,31 @@ class StarStore:
             if item.name == LOAD_TIME:
                 default = " DEFAULT current_timestamp()"
             clauses.append(f"`{item.name}` {item.dataType.simpleString()}{default}")
+        parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)}) " if partition_by else ""
         self.spark.sql(
-            f"CREATE TABLE {self.name(table)} ({', '.join(clauses)}) USING parquet "
+            f"CREATE TABLE {self.name(table)} ({', '.join(clauses)}) USING parquet {parts}"
             f"LOCATION '{self._new_location(table)}'"
         )
         return True
 
+    def partition_columns(self, table: str) -> list[str]:
+        columns = self.spark.catalog.listColumns(f"{self.database}.{table.lower()}")
+        return [column.name for column in columns if column.isPartition]
+
     def ensure_target(self, mapping: TargetMapping) -> bool:
         return self.ensure_table(mapping.name, mapping.schema, mapping.defaults)
 
-    def ensure_for(self, table: str, df: DataFrame, mapping: TargetMapping | None = None) -> bool:
-        """Create the table from the declaration, or inferred, or widen it where needed; True if created."""
+    def ensure_for(
+        self, table: str, df: DataFrame, mapping: TargetMapping | None = None, partition_by: Sequence[str] = ()
+    ) -> bool:
+        """Create the table from the declaration, or inferred, or widen it where needed; True if created.
+
+        A partition column the declaration lacks is added to it.
+        """
         schema = mapping.schema if mapping else infer_target_schema(df)
-        created = self.ensure_table(table, schema, mapping.defaults if mapping else {})
+        extra = [T.StructField(c, df.schema[c].dataType) for c in partition_by if c not in schema.names]
+        schema = T.StructType([*schema, *extra])
+        created = self.ensure_table(table, schema, mapping.defaults if mapping else {}, partition_by)
         if not created:
             self.evolve(table, schema)
         return created
@@ -171,13 +190,47 @@ class StarStore:
     def upsert(
         self, table: str, df: DataFrame, key: Sequence[str], order_by: Sequence[str], *, cluster_by: Sequence[str] = ()
     ) -> None:
-        """Replace by key and add, as a new version of the table."""
+        """Replace by key and add.
+
+        The table becomes a new version. If it is partitioned by columns of the key, a row
+        stays in its partition, and only the partitions with changes are rewritten, in
+        place; running such an upsert again after a failure gives the same table.
+        """
         target = self.read(table)
+        parts = self.partition_columns(table)
+        if parts and set(parts) <= set(key):
+            self._upsert_partitions(table, target, df, key, order_by, parts)
+            return
         merged = self._by_name(upsert(target, df, key, order_by), target.schema)
         location = self._new_location(table)
+        if parts:
+            merged.write.partitionBy(*parts).parquet(location)
+            self._move(table, location)
+            self.spark.catalog.recoverPartitions(f"{self.database}.{table.lower()}")
+            return
         clustered(merged, cluster_by, tie=key).write.parquet(location)
         self._move(table, location)
 
+    def _upsert_partitions(self, table, target, df, key, order_by, parts) -> None:
+        # As many rows as partitions have changes.
+        touched = df.select(*parts).distinct().collect()
+        if not touched:
+            return
+        tests = [reduce(Column.__and__, [F.col(c).eqNullSafe(row[c]) for c in parts]) for row in touched]
+        merged = upsert(target.filter(reduce(Column.__or__, tests)), df, key, order_by)
+        merged = self._by_name(merged, target.schema).hint("rebalance", *[F.col(c) for c in parts])
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, "dynamic")
+        try:
+            merged.write.mode("overwrite").insertInto(f"{self.database}.{table.lower()}")
+        finally:
+            self.spark.conf.set(setting, before)
+
+    def recluster(self, table: str, columns: Sequence[str], *, tie: Sequence[str] = ()) -> None:
+        """Rewrite the table in the layout of ``clustered``, as a new version."""
+        self.overwrite(table, self.read(table), cluster_by=columns, tie=tie)
+
     def overwrite(self, table: str, df: DataFrame, *, cluster_by: Sequence[str] = (), tie: Sequence[str] = ()) -> None:
         target = self.read(table)
         location = self._new_location(table)

@@ -283,3 +283,52 @@ def test_run_from_stored_targets(spark, store):
     assert run_from(spark, targets, store).names("loaded") == ["dim_projects"]
     assert run_from(spark, {"project": source_tables(spark)["project"]}, store).names("loaded") == ["dim_projects"]
     assert store.read("dim_projects").count() == 20
+
+
+# Scale
+
+
+def test_upsert_rewrites_only_partitions_with_changes(spark, store, tmp_path):
+    rows = [("tenant_a", 1, "a", 1), ("tenant_b", 1, "b", 1), ("tenant_c", 1, "c", 1)]
+    frame = lambda *r: spark.createDataFrame(list(r), "_database string, item_id bigint, name string, updated_at int")
+    first = load_table(store, "dim_item", frame(*rows), ITEMS, mode="upsert", per_database=True, order_by=["item_id"])
+    assert first[1:5] == ("loaded", 3, 3, 0)
+    assert store.partition_columns("dim_item") == ["_database"]
+
+    def files():
+        return {r["f"].split("_database=")[1] for r in store.read("dim_item").select(F.input_file_name().alias("f")).collect()}
+
+    before = files()
+    load_table(store, "dim_item", frame(("tenant_b", 1, "B", 2), ("tenant_b", 2, "n", 2)), ITEMS, mode="upsert", per_database=True, order_by=["item_id"])
+    assert sorted((r["_database"], r["item_id"], r["name"]) for r in store.read("dim_item").collect()) == [
+        ("tenant_a", 1, "a"), ("tenant_b", 1, "B"), ("tenant_b", 2, "n"), ("tenant_c", 1, "c")]
+    kept = {f for f in before if not f.startswith("tenant_b")}
+    assert kept <= files() and len(kept) == 2
+
+
+def test_upsert_of_a_partitioned_table_by_another_key(spark, store):
+    store.ensure_table("t", T.StructType.fromDDL("k bigint, v string, p string"), partition_by=["p"])
+    frame = lambda *r: spark.createDataFrame(list(r), "k bigint, v string, p string, n int")
+    store.upsert("t", frame((1, "a", "x", 1), (2, "b", "x", 1)), ["k"], ["n"])
+    store.upsert("t", frame((1, "A", "y", 1)), ["k"], ["n"])
+    assert sorted((r["k"], r["v"], r["p"]) for r in store.read("t").collect()) == [(1, "A", "y"), (2, "b", "x")]
+    assert store.read("t").filter("p = 'y'").count() == 1
+
+
+def test_recluster_keeps_all_rows(spark, store):
+    load_table(store, "dim_item", items(spark, *[(str(i), f"n{i % 3}", None, None) for i in range(50)]), ITEMS)
+    store.recluster("dim_item", ITEM.cluster_by, tie=ITEM.key)
+    assert store.read("dim_item").count() == 50
+
+
+def test_upsert_measures_a_large_batch(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        old = spark.range(1000).select(F.col("id").alias("k"), F.lit(0).alias("v"))
+        new = spark.range(500, 1500).select((F.col("id") - F.col("id") % 2).alias("k"), F.lit(1).alias("v"), F.col("id").alias("n"))
+        got = upsert(old, new, ["k"], ["n"])
+        assert "BroadcastHashJoin" in plan_of(got)
+        assert got.count() == 1250 and got.filter("v = 1").count() == 500
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -112,3 +112,21 @@ def test_first_and_last_per_key(spark):
     df = spark.createDataFrame(rows, "k int, n int, v string")
     assert {tuple(r) for r in first_per_key(df, ["k"], ["n"]).collect()} == {(1, 1, "a"), (None, 1, "x")}
     assert {tuple(r) for r in last_per_key(df, ["k"], ["n"]).collect()} == {(1, 3, None), (None, 2, "y")}
+
+
+@pytest.mark.parametrize("limit, join", [(32 * 1024 * 1024, "BroadcastHashJoin"), (10, "SortMergeJoin")])
+def test_large_sides_are_measured(spark, monkeypatch, limit, join):
+    """Past Spark's own threshold the reduced side is stored; its real size picks the join."""
+    import starloom.operators.lookup as module
+
+    monkeypatch.setattr(module.settle, "__defaults__", (limit,))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        left = spark.range(1000).withColumnRenamed("id", "k")
+        right = spark.range(900).select((F.col("id") % 300).alias("k"), F.col("id").alias("_pos"), F.col("id").alias("v"))
+        df = lookup_join(left, {"r": Lookup(right, {"v": "v"}, ["_pos"], key="k", on_miss="null")})
+        assert join in plan_of(df)
+        assert df.count() == 1000 and df.filter("_hit_r.v = k").count() == 300
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
