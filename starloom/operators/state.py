@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from starloom.functions.window import EFFECTIVE, resolve_change_column
+from starloom.functions.window import EFFECTIVE, EXTENDED, IncrementalWindow, apply_window, resolve_change_column
 from starloom.operators.sets import union_all, without
 
 JOB_EVENTS = (
@@ -22,7 +22,18 @@ def job_event(job_id, at, kind, name, status, records=None, details=None) -> tup
 
 
 def append_events(spark: SparkSession, path: str, events: Iterable[tuple]) -> None:
-    spark.createDataFrame(list(events), JOB_EVENTS).coalesce(1).write.mode("append").parquet(path)
+    rows = spark.createDataFrame(list(events), JOB_EVENTS).coalesce(1)
+    rows.write.mode("append").partitionBy("job_id").parquet(path)
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(JOB_EVENTS).parquet(path)
+
+
+def forget_job(spark: SparkSession, path: str, job_id: str) -> bool:
+    """Remove the events of a finished job; True if there were any."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/job_id={job_id}")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def job_state(events: DataFrame) -> DataFrame:
@@ -54,6 +65,12 @@ def job_summary(events: DataFrame) -> DataFrame:
     return summary.withColumn("should_resume", (F.col("status") == "in_progress") & (F.col("loaded_tables") > 0))
 
 
+def replay_due(events: DataFrame) -> DataFrame:
+    """The failed jobs whose extraction was done: they start again from the stored extract."""
+    summary = job_summary(events)
+    return summary.filter("extraction = 'done' AND status = 'failed'").select("job_id", "transformation", "loading")
+
+
 def remaining_tables(names: DataFrame, loaded: DataFrame, skip: Sequence[str] = (), column: str = "table") -> DataFrame:
     """The tables neither loaded yet nor to be skipped, in any letter case; a loaded empty table counts."""
     left = without(names, loaded, column)
@@ -77,7 +94,7 @@ def change_moment(df: DataFrame, column: str):
     return F.col(column).cast("timestamp")
 
 
-def high_water_marks(tables: Mapping[str, DataFrame], order: Sequence[str] = EFFECTIVE) -> DataFrame:
+def high_water_marks(tables: Mapping[str, DataFrame], order: Sequence[str] = EFFECTIVE) -> DataFrame | None:
     """(table, value): the latest change per table; the aggregate runs on the raw column."""
     parts = []
     for name, df in tables.items():
@@ -86,7 +103,7 @@ def high_water_marks(tables: Mapping[str, DataFrame], order: Sequence[str] = EFF
             continue
         top = df.agg(F.max(column).alias(column))
         parts.append(top.select(F.lit(name).alias("table"), change_moment(top, column).alias("value")))
-    return union_all(parts)
+    return union_all(parts) if parts else None
 
 
 def commit_watermarks(marks: DataFrame, path: str, run_id: str, at: datetime) -> None:
@@ -97,6 +114,17 @@ def commit_watermarks(marks: DataFrame, path: str, run_id: str, at: datetime) ->
     rows.coalesce(1).write.mode("append").parquet(path)
 
 
+def changed_since(
+    tables: Mapping[str, DataFrame], history: DataFrame | None, order: Sequence[str] = EXTENDED
+) -> dict[str, DataFrame]:
+    """The rows of each table from its last mark on, the mark included; tables without a mark stay whole."""
+    marks = {r["table"]: r["value"] for r in current_watermarks(history).collect()} if history is not None else {}
+    return {
+        name: apply_window(df, IncrementalWindow(start=marks[name]), order=order) if name in marks else df
+        for name, df in tables.items()
+    }
+
+
 def current_watermarks(history: DataFrame) -> DataFrame:
     """The mark of each table as of its last commit."""
     last = F.max_by(F.struct("value", "run_id"), "committed_at").alias("last")

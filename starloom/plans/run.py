@@ -10,11 +10,12 @@ from uuid import uuid4
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from starloom.functions.window import EXTENDED, IncrementalWindow
+from starloom.functions.window import EXTENDED, IncrementalWindow, apply_window
 from starloom.operators.load import REJECTS, accepted, load_with_rejects, rejected
-from starloom.operators.report import load_report
+from starloom.operators.report import PHASES, load_report
 from starloom.operators.state import (
     append_events,
+    changed_since,
     commit_watermarks,
     high_water_marks,
     job_event,
@@ -164,36 +165,82 @@ def run(
     *,
     mappings: MappingSet = TARGETS,
     window: IncrementalWindow | None = None,
+    incremental: bool = False,
     strategy: str = "bulk",
     mode: str = "append",
     state_path: str | None = None,
     job_id: str | None = None,
     at: datetime | None = None,
+    load_options: Mapping[str, object] | None = None,
     **build_options,
 ) -> LoadResult:
-    """Source tables to loaded targets. The high-water marks are committed only after a successful load."""
+    """Source tables to loaded targets.
+
+    ``window`` limits all tables; ``incremental`` starts each one at its last mark. The
+    marks are committed only after a successful load, so rows that change meanwhile are
+    due again next time. Progress, marks and metrics are kept below ``state_path``.
+    """
     job = job_id or uuid4().hex
-    moment = at or datetime.now(timezone.utc).replace(tzinfo=None)
+    moment = at or _now()
+    history = f"{state_path}/watermarks"
 
     def note(*events: tuple) -> None:
         if state_path:
-            append_events(spark, f"{state_path}/job_events", [job_event(job, datetime.now(timezone.utc).replace(tzinfo=None), *e) for e in events])
-
-    note(("job", "run", "in_progress"), ("phase", "extraction", "done"))
-    targets = build_all(mappings, tables, etl_timestamp=at, **build_options)
-    note(("phase", "transformation", "done"))
-    result = load_all(store, targets, strategy, mappings, mode=mode)
-    note(
-        *[("table", row[0], row[1], row[3], row[5]) for row in result.rows],
-        ("phase", "loading", "done" if result.success else "failed"),
-        ("job", "run", "completed" if result.success else "failed"),
-    )
-    if state_path and result.success:
-        due = {name: df for name, df in tables.items() if name in mappings.required_tables()}
-        commit_watermarks(high_water_marks(due, EXTENDED), f"{state_path}/watermarks", job, moment)
+            append_events(spark, f"{state_path}/job_events", [job_event(job, _now(), *event) for event in events])
+
+    needed = {name: df for name, df in tables.items() if name in mappings.required_tables()}
+    phase = "extraction"
+    result = LoadResult(strategy)
+    note(("job", "run", "in_progress"))
+    try:
+        if incremental and state_path:
+            known = spark.read.parquet(history) if _exists(spark, history) else None
+            needed = changed_since(needed, known)
+        needed = {name: apply_window(df, window, order=EXTENDED) for name, df in needed.items()}
+        marks = high_water_marks(needed, EXTENDED)
+        note(("phase", phase, "done"))
+        phase = "transformation"
+        targets = build_all(mappings, needed, etl_timestamp=at, **build_options)
+        note(("phase", phase, "done"))
+        phase = "loading"
+        result = load_all(store, targets, strategy, mappings, mode=mode, **(load_options or {}))
+        note(*[("table", row[0], row[1], row[3], row[5]) for row in result.rows])
+        if state_path and result.success and marks is not None:
+            commit_watermarks(marks, history, job, moment)
+        note(
+            ("phase", phase, "done" if result.success else "failed"),
+            ("job", "run", "completed" if result.success else "failed"),
+        )
+    except Exception:
+        note(("phase", phase, "failed"), ("job", "run", "failed"))
+        raise
+    finally:
+        if state_path:
+            _append_metrics(spark, f"{state_path}/run_metrics", job, phase, result)
     return result
 
 
+def _now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def _append_metrics(spark: SparkSession, path: str, job: str, reached: str, result: LoadResult) -> None:
+    """One row per phase that was reached, in the form ``run_metrics`` reads."""
+    rows = []
+    for phase in PHASES[: PHASES.index(reached) + 1]:
+        ended = phase != reached or (phase == "loading" and bool(result.rows) and result.success)
+        records = {"transformation": sum(r[2] or 0 for r in result.rows), "loading": result.total_records}.get(phase, 0)
+        failed = len(result.names("failed")) if phase == "loading" else 0
+        rows.append((job, phase, ended, records, failed))
+    schema = "run_id string, phase string, success boolean, records bigint, failed_tables bigint"
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+
 def run_from(
     spark: SparkSession, frames: Mapping[str, DataFrame], store: StarStore, *, mappings: MappingSet = TARGETS, **options
 ) -> LoadResult:

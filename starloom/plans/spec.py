@@ -198,6 +198,23 @@ class MappingSet:
         """Every source table some target reads."""
         return {table for mapping in self for table in mapping.sources}
 
+    def source_schema(self, table: str, join_keys: Mapping[frozenset, str] | None = None) -> T.StructType:
+        """The columns the mappings and joins read from a source table, in the types of what they feed.
+
+        A BIT column is marked, because text and numbers count differently in it.
+        """
+        fields: dict[str, T.StructField] = {}
+        for mapping in self.fed_by(table):
+            for target in mapping.columns:
+                owner, name = mapping.field_of(target)
+                if owner == table and not callable(name):
+                    marks = {"bit": True} if target in mapping.bit_columns else {}
+                    fields.setdefault(name, T.StructField(name, column_type(mapping.name, target), True, marks))
+        for pair, key in (join_keys or {}).items():
+            if table in pair:
+                fields.setdefault(key, T.StructField(key, T.LongType()))
+        return T.StructType(list(fields.values()))
+
     def fed_by(self, table: str) -> list[TargetMapping]:
         """The targets that list a source table."""
         return [mapping for mapping in self if table in mapping.sources]

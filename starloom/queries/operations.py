@@ -17,7 +17,7 @@ from starloom.operators.report import (
     transform_stats,
 )
 from starloom.operators.sets import DATABASE
-from starloom.operators.state import current_watermarks, job_state, job_summary, remaining_tables
+from starloom.operators.state import current_watermarks, job_state, job_summary, remaining_tables, replay_due
 from starloom.plans.spec import MappingSet, TargetMapping
 from starloom.queries.registry import query, table
 
@@ -386,3 +386,22 @@ def run_outcome(spark, sf):
         F.expr("CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN 1 ELSE 0 END").alias("failed_tables"),
     )
     return run_metrics(events)
+
+
+@query(
+    "replay_due",
+    JOB_SQL
+    + """
+    , j AS (
+        SELECT job_id, max(status) FILTER (kind = 'job') AS status,
+               coalesce(max(status) FILTER (kind = 'phase' AND name = 'extraction'), 'pending') AS extraction,
+               coalesce(max(status) FILTER (kind = 'phase' AND name = 'transformation'), 'pending') AS transformation,
+               coalesce(max(status) FILTER (kind = 'phase' AND name = 'loading'), 'pending') AS loading
+        FROM (SELECT job_id, kind, name, CASE status WHEN 'completed' THEN 'failed' ELSE status END AS status FROM s)
+        GROUP BY job_id)
+    SELECT job_id, transformation, loading FROM j WHERE extraction = 'done' AND status = 'failed'
+    """,
+)
+def replay_due_query(spark, sf):
+    events = _job_events(spark, sf)
+    return replay_due(events.replace("completed", "failed", subset=["status"]))

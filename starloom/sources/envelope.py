@@ -7,14 +7,17 @@ one is not split. Data of any size belongs in the layout with one dataset per ta
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from starloom.functions.clean import boolean_value, epoch_ms_to_timestamp, to_bool
 from starloom.functions.window import TEXT_FORMAT, IncrementalWindow
 from starloom.operators.sets import DATABASE
 from starloom.plans.build import POSITION
+from starloom.plans.spec import MappingSet
+from starloom.plans.targets import JOIN_KEYS, TARGETS
 
 METADATA = "extraction_metadata"
 
@@ -69,15 +72,48 @@ def explode_transformed(documents: DataFrame, column: str = "value") -> DataFram
     )
 
 
+def _from_variant(field: T.StructField) -> Column:
+    """A document value in a column's type: times may be epoch milliseconds, flags 0/1, texts nested JSON."""
+    path = f"$['{field.name}']"
+    typed = F.try_variant_get("row", path, field.dataType.simpleString())
+    text = F.try_variant_get("row", path, "string")
+    if field.metadata.get("bit"):
+        number = F.try_variant_get("row", path, "double")
+        is_text = F.schema_of_variant(F.try_variant_get("row", path, "variant")) == "STRING"
+        return F.when(is_text, to_bool(text, T.StringType())).otherwise(number != 0)
+    if isinstance(field.dataType, T.BooleanType):
+        return boolean_value(text, T.StringType())
+    if isinstance(field.dataType, T.TimestampType):
+        kind = F.schema_of_variant(F.try_variant_get("row", path, "variant"))
+        number = F.when(~kind.isin("STRING", "VOID"), F.try_variant_get("row", path, "double"))
+        return F.coalesce(epoch_ms_to_timestamp(number, T.DoubleType()), F.when(number.isNull(), F.try_to_timestamp(text)))
+    if isinstance(field.dataType, T.StringType):
+        nested = F.try_variant_get("row", path, "variant")
+        is_nested = F.schema_of_variant(nested).rlike("^(OBJECT|ARRAY)<")
+        return F.when(is_nested, F.to_json(nested)).otherwise(text)
+    return typed
+
+
 def table_rows(exploded: DataFrame, table: str, schema: T.StructType) -> DataFrame:
     """One table's rows as columns; a value that does not fit its type reads NULL."""
     passing = [name for name in (DATABASE, POSITION) if name in exploded.columns]
-    fields: list[Column] = [
-        F.try_variant_get("row", f"$['{f.name}']", f.dataType.simpleString()).alias(f.name) for f in schema
-    ]
+    fields = [_from_variant(field).alias(field.name) for field in schema]
     return exploded.filter(F.col("table") == table).select(*passing, *fields)
 
 
+def document_tables(
+    exploded: DataFrame, mappings: MappingSet = TARGETS, join_keys: Mapping[frozenset, str] = JOIN_KEYS
+) -> dict[str, DataFrame]:
+    """Every source table of the mappings from exploded documents, ready to build targets from.
+
+    Documents are parsed again for each table, so more than a few belong in ``write_extract`` first.
+    """
+    return {
+        table: table_rows(exploded, table, mappings.source_schema(table, join_keys))
+        for table in sorted(mappings.required_tables())
+    }
+
+
 def read_extract(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return explode_extract(read_documents(spark, paths))
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starloom.plans.spec import column_type
 from starloom.plans.targets import JOIN_KEYS, TARGETS
 
 GROUP_DATABASES = {"identity": ["identity"], "master": ["master"], "tenant": ["tenant_a", "tenant_b"]}
@@ -12,15 +11,10 @@ GROUP_DATABASES = {"identity": ["identity"], "master": ["master"], "tenant": ["t
 
 def source_columns() -> dict[str, dict[str, str]]:
     """Source table -> column -> type, implied by the target columns it feeds and by the shared keys."""
-    tables: dict[str, dict[str, str]] = {t: {} for t in sorted(TARGETS.required_tables())}
-    for mapping in TARGETS:
-        for target in mapping.columns:
-            table, field = mapping.field_of(target)
-            tables[table].setdefault(field, column_type(mapping.name, target).simpleString())
-    for pair, key in JOIN_KEYS.items():
-        for table in pair:
-            tables[table].setdefault(key, "bigint")
-    return tables
+    return {
+        table: {f.name: f.dataType.simpleString() for f in TARGETS.source_schema(table, JOIN_KEYS)}
+        for table in sorted(TARGETS.required_tables())
+    }
 
 
 def source_tables(spark, rows: int = 5):

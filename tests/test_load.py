@@ -21,7 +21,9 @@ from starloom.plans.run import load_all, load_many, load_table, recover, run, ru
 from starloom.plans.spec import LOAD_TIME, MappingSet, TargetMapping
 from starloom.plans.targets import TARGETS
 from starloom.sinks.store import Target, clustered, write_clustered
-from starloom.operators.state import current_watermarks, job_summary
+from starloom.operators.report import run_metrics
+from starloom.operators.state import current_watermarks, forget_job, job_summary, read_events, replay_due
+from starloom.functions.window import IncrementalWindow
 
 ITEM = TargetMapping(
     name="dim_item",
@@ -272,10 +274,41 @@ def test_run_end_to_end(spark, store, tmp_path):
     result = run(spark, sources, store, state_path=state, job_id="job-1", at=datetime(2024, 6, 1))
     assert len(result.names("loaded")) == 25 and result.success
     assert result.total_records == sum(store.read(t).count() for t in store.tables())
-    summary = job_summary(spark.read.parquet(f"{state}/job_events")).first()
+    summary = job_summary(read_events(spark, f"{state}/job_events")).first()
     assert (summary["status"], summary["loaded_tables"], summary["should_resume"]) == ("completed", 25, False)
     marks = current_watermarks(spark.read.parquet(f"{state}/watermarks"))
     assert marks.filter("table = 'users'").first()["value"] == datetime(2023, 11, 14, 22, 13, 20, 2000)
+    outcome = run_metrics(spark.read.parquet(f"{state}/run_metrics")).first()
+    assert (outcome["outcome"], outcome["loading_records"]) == ("success", result.total_records)
+    assert forget_job(spark, f"{state}/job_events", "job-1") and not forget_job(spark, f"{state}/job_events", "job-1")
+
+
+def test_incremental_runs_take_what_changed(spark, store, tmp_path):
+    state = str(tmp_path / "state")
+    rows = lambda *r: {"project": spark.createDataFrame(list(r), "id bigint, name string, tenant_tsid bigint, updated_at_epoch bigint")}
+    go = lambda tables: run(spark, tables, store, state_path=state, incremental=True, mode="upsert", load_options={"order_by": ["name"]})
+    start = 1_700_000_000_000
+    assert go(rows((1, "a", 1, start), (2, "b", 1, start + 5))).total_records == 2
+    # The row at the mark is due again, the one before it is not; its change went unmarked.
+    assert go(rows((1, "A", 1, start), (2, "b", 1, start + 5), (3, "c", 1, start + 9))).total_records == 2
+    assert {r["project_id"]: r["name"] for r in store.read("dim_projects").collect()} == {1: "a", 2: "b", 3: "c"}
+    assert current_watermarks(spark.read.parquet(f"{state}/watermarks")).count() == 1
+
+
+def test_a_failed_load_keeps_the_mark_and_asks_for_replay(spark, store, tmp_path):
+    state = str(tmp_path / "state")
+    bad = spark.range(2).select("id", F.raise_error(F.lit("broken")).cast("string").alias("name"), F.lit(1).alias("tenant_tsid"), F.lit(1_700_000_000_000).alias("updated_at_epoch"))
+    result = run(spark, {"project": bad}, store, state_path=state, strategy="all_or_nothing", job_id="j")
+    assert not result.success
+    events = read_events(spark, f"{state}/job_events")
+    assert [r["job_id"] for r in replay_due(events).collect()] == ["j"]
+    assert not (tmp_path / "state" / "watermarks").exists()
+    assert run_metrics(spark.read.parquet(f"{state}/run_metrics")).first()["failed_phase"] == "loading"
+
+
+def test_window_limits_a_run(spark, store):
+    rows = spark.createDataFrame([(1, 1, 1704844800000), (2, 1, 1704844799999)], "id bigint, tenant_tsid bigint, updated_at_epoch bigint")
+    assert run(spark, {"project": rows}, store, window=IncrementalWindow.resolve("2024-01-10", "new")).total_records == 1
 
 
 def test_run_from_stored_targets(spark, store):

@@ -9,10 +9,10 @@ from conftest import plan_of
 from starloom.functions.window import IncrementalWindow
 from starloom.operators.report import table_counts
 from starloom.operators.sets import sample_limit
-from starloom.plans.build import build_target
+from starloom.plans.build import build_all, build_target
 from starloom.plans.targets import TARGETS
 from starloom.sinks.datasets import read_datasets, write_extract, write_transformed
-from starloom.sources.envelope import read_extract, read_single, read_transformed, table_rows
+from starloom.sources.envelope import document_tables, read_extract, read_single, read_transformed, table_rows
 from starloom.sources.scan import Source, has_changes, latest_dataset, latest_file, sampled, scan, scan_all, scan_layout
 
 USERS = T.StructType().add("id", T.LongType()).add("name", T.StringType()).add("tags", T.StringType())
@@ -63,6 +63,26 @@ def test_documents_to_target(spark, tmp_path):
     assert {(r["user_id"], r["user_account_id"]) for r in got} == {(1, 20), (2, 20)}
 
 
+def test_documents_to_all_their_targets(spark, tmp_path):
+    """Values as other tools write them: epoch milliseconds, 0/1, bytes as text, nested JSON."""
+    stored = {
+        "accounts": {"sample": [{"id": 1, "account_id": 1, "name": "n", "created_date": 1700000000123, "updated_date": "2024-01-02 03:04:05"},
+                                {"id": 2, "account_id": 2, "name": "m", "created_date": 1700000000}, {"id": 3, "account_id": 3, "name": "o"}]},
+        "authentication_modules": {"sample": [{"account_id": 1, "enabled": "b'\\x00'"}, {"account_id": 2, "enabled": 1}, {"account_id": 3, "enabled": 0}]},
+        "test_data": {"sample": [{"id": 5, "columns": {"a": [1, 2]}, "test_data_name": "t"}]},
+        "agents": {"sample": [{"id": 6, "tenant_tsid": 1, "is_active": 1}, {"id": 7, "tenant_tsid": 1, "is_active": "false"}]},
+    }
+    (tmp_path / "e.json").write_text(json.dumps({"db": stored}))
+    targets = build_all(TARGETS, document_tables(read_extract(spark, str(tmp_path / "e.json"))))
+    assert set(targets) == {"dim_accounts", "dim_test_data", "dim_agents"}
+    accounts = {r["account_id"]: r for r in targets["dim_accounts"].collect()}
+    assert [accounts[i]["auth_enabled"] for i in (1, 2, 3)] == [False, True, False]
+    assert accounts[1]["created_at"] == datetime(2023, 11, 14, 22, 13, 20, 123000)
+    assert accounts[1]["updated_at"] == datetime(2024, 1, 2, 3, 4, 5) and accounts[2]["created_at"] is None
+    assert targets["dim_test_data"].first()["data_json"] == '{"a":[1,2]}'
+    assert {r["agent_id"]: r["is_active"] for r in targets["dim_agents"].collect()} == {6: True, 7: False}
+
+
 def test_newest(spark, tmp_path):
     for i, name in enumerate(["b", "c", "a"]):
         spark.range(1).write.parquet(str(tmp_path / "sets" / name))
