@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from threading import Lock
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -13,6 +14,10 @@ from starloom.operators.load import compare_schemas, conform, infer_target_schem
 from starloom.plans.spec import LOAD_TIME, TargetMapping
 
 
+# The mode is a setting of the session, which parallel loads share.
+_OVERWRITE_MODE = Lock()
+
+
 def write_clustered(df: DataFrame, columns: Sequence[str], path: str, *, tie: Sequence[str] = (), mode="overwrite") -> None:
     """Parquet in range partitions of the cluster columns, sorted within, so that min/max prune files.
 
@@ -216,16 +221,23 @@ class StarStore:
         touched = df.select(*parts).distinct().collect()
         if not touched:
             return
-        tests = [reduce(Column.__and__, [F.col(c).eqNullSafe(row[c]) for c in parts]) for row in touched]
-        merged = upsert(target.filter(reduce(Column.__or__, tests)), df, key, order_by)
+        if len(parts) == 1:
+            values = [row[0] for row in touched]
+            test = F.col(parts[0]).isin([v for v in values if v is not None])
+            test = test | F.col(parts[0]).isNull() if None in values else test
+        else:
+            tests = [reduce(Column.__and__, [F.col(c).eqNullSafe(row[c]) for c in parts]) for row in touched]
+            test = reduce(Column.__or__, tests)
+        merged = upsert(target.filter(test), df, key, order_by)
         merged = self._by_name(merged, target.schema).hint("rebalance", *[F.col(c) for c in parts])
         setting = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(setting)
-        self.spark.conf.set(setting, "dynamic")
-        try:
-            merged.write.mode("overwrite").insertInto(f"{self.database}.{table.lower()}")
-        finally:
-            self.spark.conf.set(setting, before)
+        with _OVERWRITE_MODE:
+            before = self.spark.conf.get(setting)
+            self.spark.conf.set(setting, "dynamic")
+            try:
+                merged.write.mode("overwrite").insertInto(f"{self.database}.{table.lower()}")
+            finally:
+                self.spark.conf.set(setting, before)
 
     def recluster(self, table: str, columns: Sequence[str], *, tie: Sequence[str] = ()) -> None:
         """Rewrite the table in the layout of ``clustered``, as a new version."""

@@ -75,7 +75,6 @@ def explode_transformed(documents: DataFrame, column: str = "value") -> DataFram
 def _from_variant(field: T.StructField) -> Column:
     """A document value in a column's type: times may be epoch milliseconds, flags 0/1, texts nested JSON."""
     path = f"$['{field.name}']"
-    typed = F.try_variant_get("row", path, field.dataType.simpleString())
     text = F.try_variant_get("row", path, "string")
     if field.metadata.get("bit"):
         number = F.try_variant_get("row", path, "double")
@@ -87,11 +86,7 @@ def _from_variant(field: T.StructField) -> Column:
         kind = F.schema_of_variant(F.try_variant_get("row", path, "variant"))
         number = F.when(~kind.isin("STRING", "VOID"), F.try_variant_get("row", path, "double"))
         return F.coalesce(epoch_ms_to_timestamp(number, T.DoubleType()), F.when(number.isNull(), F.try_to_timestamp(text)))
-    if isinstance(field.dataType, T.StringType):
-        nested = F.try_variant_get("row", path, "variant")
-        is_nested = F.schema_of_variant(nested).rlike("^(OBJECT|ARRAY)<")
-        return F.when(is_nested, F.to_json(nested)).otherwise(text)
-    return typed
+    return F.try_variant_get("row", path, field.dataType.simpleString())
 
 
 def table_rows(exploded: DataFrame, table: str, schema: T.StructType) -> DataFrame:

@@ -115,6 +115,20 @@ def scan_layout(
     return with_position(df, order_by)
 
 
+def scan_layouts(
+    spark: SparkSession, root: str, tables: Iterable[str], window: IncrementalWindow | None = None, **options
+) -> tuple[dict[str, DataFrame], list[tuple[str, str]]]:
+    """Every table of a layout that is there, and (table, error) for those that cannot be opened."""
+    frames: dict[str, DataFrame] = {}
+    failures: list[tuple[str, str]] = []
+    for table in tables_to_extract(tables):
+        try:
+            frames[table] = scan_layout(spark, root, table, window, **options)
+        except PySparkException as error:
+            failures.append((table, type(error).__name__))
+    return frames, failures
+
+
 def latest_file(spark: SparkSession, pattern: str) -> str | None:
     """The most recently changed file that fits a pattern; contents are not read."""
     files = spark.read.format("binaryFile").load(pattern).select("path", "modificationTime")

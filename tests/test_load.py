@@ -249,6 +249,13 @@ def test_strategies(spark, store, strategy, statuses, success):
     assert result.report(spark).count() == len(statuses)
 
 
+def test_parallel_loads_report_in_order(spark, store):
+    targets = {f"t{i}": spark.range(i) for i in range(6)} | {"bad": failing(spark)}
+    result = load_all(store, targets, "continue_on_error", None, parallel=4)
+    assert [row[0] for row in result.rows] == list(targets)
+    assert [row[3] for row in result.rows] == [0, 1, 2, 3, 4, 5, 0] and result.names("failed") == ["bad"]
+
+
 def test_continue_on_error_needs_one_loaded_table(spark, store):
     assert not load_all(store, {"bad": failing(spark)}, "continue_on_error", ITEMS).success
     with pytest.raises(ValueError):

@@ -13,7 +13,7 @@ from starloom.plans.build import build_all, build_target
 from starloom.plans.targets import TARGETS
 from starloom.sinks.datasets import read_datasets, write_extract, write_transformed
 from starloom.sources.envelope import document_tables, read_extract, read_single, read_transformed, table_rows
-from starloom.sources.scan import Source, has_changes, latest_dataset, latest_file, sampled, scan, scan_all, scan_layout
+from starloom.sources.scan import Source, has_changes, latest_dataset, latest_file, sampled, scan, scan_all, scan_layout, scan_layouts
 
 USERS = T.StructType().add("id", T.LongType()).add("name", T.StringType()).add("tags", T.StringType())
 EXTRACT = {
@@ -122,6 +122,13 @@ def test_extract_layout(spark, tmp_path):
     assert plan_of(df.select("id")).split("ReadSchema: ")[1].startswith("struct<id:bigint,updated_at_epoch:bigint>")
 
 
+def test_layouts_that_are_there(spark, tmp_path):
+    write_extract(spark, frames(spark), str(tmp_path))
+    tables, missing = scan_layouts(spark, str(tmp_path), ["project", "agents", "users", "SPRING_SESSION"], exclude="staging")
+    assert set(tables) == {"project", "agents"} and [m[0] for m in missing] == ["users"]
+    assert tables["project"].count() == 90
+
+
 def test_scan_many_databases_and_a_missing_table(spark, tmp_path):
     for name in ("tenant_a", "tenant_b"):
         spark.range(5).withColumn("created_at", F.lit(datetime(2024, 1, 10))).write.parquet(str(tmp_path / name / "project"))
