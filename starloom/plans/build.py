@@ -147,11 +147,3 @@ def build_all(
     held = available if available is not None else table_availability(needed)
     built = {m.name: build_target(m, needed, available=held, **options) for m in mappings}
     return {name: df for name, df in built.items() if df is not None}
-
-
-def empty_target(spark, mapping: TargetMapping) -> DataFrame:
-    return spark.createDataFrame([], mapping.schema)
-
-
-def expected_type(mapping: TargetMapping, column: str) -> T.DataType:
-    return mapping.schema[column].dataType

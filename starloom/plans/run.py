@@ -13,8 +13,9 @@ from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from starloom.functions.clean import stamp
 from starloom.functions.window import EXTENDED, IncrementalWindow, apply_window
-from starloom.operators.load import REJECTS, accepted, load_with_rejects, rejected
+from starloom.operators.load import REJECTS, accepted, apply_defaults, load_with_rejects, rejected
 from starloom.operators.report import PHASES, load_report
 from starloom.operators.state import (
     append_events,
@@ -26,7 +27,7 @@ from starloom.operators.state import (
 )
 from starloom.operators.sets import DATABASE
 from starloom.plans.build import build_all
-from starloom.plans.spec import MappingSet, TargetMapping
+from starloom.plans.spec import LOAD_TIME, MappingSet, TargetMapping
 from starloom.plans.targets import TARGETS
 from starloom.sinks.store import StarStore
 
@@ -71,6 +72,7 @@ def load_table(
     rejects_path: str | None = None,
     check_required: bool = True,
     per_database: bool = False,
+    fill_defaults: bool = False,
 ) -> tuple[str, str, int, int, int, str | None]:
     """Load one target and report it; a target without rows is skipped and leaves no table behind.
 
@@ -79,9 +81,14 @@ def load_table(
     known size also lets Spark pick the join.
 
     With ``per_database`` the table is partitioned by ``_database``, which becomes part of
-    the key, so equal keys of different databases stay apart.
+    the key, so equal keys of different databases stay apart. ``fill_defaults`` gives columns
+    that ``df`` does not have their declared default instead of NULL.
     """
     mapping = mappings.get(table) if mappings else None
+    if mapping and fill_defaults:
+        df = apply_defaults(df, mapping.defaults)
+    if LOAD_TIME not in df.columns:
+        df = stamp(df)
     parts = (DATABASE,) if per_database and DATABASE in df.columns else ()
     created = store.ensure_for(table, df, mapping, parts)
     required = tuple(dict.fromkeys((*mapping.primary_key, *mapping.required))) if mapping and check_required else ()

@@ -62,6 +62,18 @@ def keep_name(name: str, include=None, exclude=None) -> bool:
     return (not wanted or any(word in text for word in wanted)) and not any(word in text for word in unwanted)
 
 
+CATALOG_QUERY = """
+SELECT table_schema AS `database`, table_name AS `table`, column_name AS `column`, ordinal_position AS `ordinal`
+FROM information_schema.columns
+"""
+
+
+def server_columns(spark: SparkSession, urls: Mapping[str, str], role: str) -> DataFrame:
+    """(database, table, column, ordinal) of all tables on the server of a role, for the functions here."""
+    options = jdbc_options(urls, role if role != "tenant" else None)
+    return spark.read.format("jdbc").options(**options).option("query", CATALOG_QUERY).load()
+
+
 def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
     return sorted(table.name for table in spark.catalog.listTables(database))
 
@@ -147,6 +159,7 @@ def jdbc_options(urls: Mapping[str, str], database: str | None = None) -> dict[s
         "driver": "com.mysql.cj.jdbc.Driver",
         "connectTimeout": "30000",
         "socketTimeout": "300000",
+        "fetchsize": "5000",
     }
     if parts.username:
         options["user"] = unquote(parts.username)

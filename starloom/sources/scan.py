@@ -34,21 +34,25 @@ class Source:
         """The whole table; a JDBC table is read in ranges of a numeric column if one is given."""
         reader = spark.read.format(self.format).options(**self.options)
         if self.format == "jdbc":
+            # Fetched in steps, and in ranges side by side if the options name a partition column.
             df = reader.option("dbtable", table).load()
-            return with_position(df, order_by)
+            return with_position(df, order_by, in_files=False)
         return with_position(reader.load(f"{self.path.rstrip('/')}/{table}"), order_by)
 
 
-def with_position(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+def with_position(df: DataFrame, order_by: Sequence[str] = (), *, in_files: bool = True) -> DataFrame:
     """``_pos``, the arrival order of a row: given columns, else ``id``, else the place in its file.
 
-    It is a struct, read only where a lookup needs it.
+    It is a struct, read only where a lookup needs it. A table that is not in files and has
+    no ``id`` gets none, so it cannot be looked up without an order.
     """
     if POSITION in df.columns:
         return df
     names = list(order_by) or (["id"] if "id" in df.columns else [])
     if names:
         return df.withColumn(POSITION, F.struct(*names))
+    if not in_files:
+        return df
     return df.select(
         "*", F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias(POSITION)
     )

@@ -221,6 +221,14 @@ def test_load_counts_rejects_and_skips_empty(spark, store, tmp_path):
     assert store.tables() == ["dim_item"]
 
 
+def test_load_time_and_defaults(spark, store):
+    df = spark.createDataFrame([("1", "a")], "item_id string, name string")
+    load_table(store, "dim_item", df, ITEMS)
+    load_table(store, "dim_item", df, ITEMS, fill_defaults=True)
+    rows = store.read("dim_item").collect()
+    assert sorted(r["is_new"] is None for r in rows) == [False, True] and all(r[LOAD_TIME] for r in rows)
+
+
 def test_load_by_upsert(spark, store):
     load_table(store, "dim_item", items(spark, GOOD), ITEMS, mode="upsert", order_by=["created_at"])
     row = load_table(store, "dim_item", items(spark, ("1", "A", "0", 1700000000999), ("2", "b", "0", None)), ITEMS, mode="upsert", order_by=["created_at"])
