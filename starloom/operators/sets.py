@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 DATABASE = "_database"
 
@@ -20,16 +20,25 @@ def union_databases(frames: Mapping[str, DataFrame]) -> DataFrame:
     return union_all(df.withColumn(DATABASE, F.lit(name)) for name, df in frames.items())
 
 
+def _values(other: DataFrame, value: Column) -> DataFrame:
+    """The distinct values of one side, NULL left out as it equals nothing.
+
+    The joins below compare null-safely: their keys then differ from the key of this
+    aggregation, so its result is shuffled for the join, and AQE can split a hot value.
+    """
+    return other.select(value.alias("_value")).dropna().distinct()
+
+
 def without(df: DataFrame, other: DataFrame, column: str, other_column: str | None = None) -> DataFrame:
     """The rows whose name is not in ``other``; letter case does not matter."""
-    names = other.select(F.lower(F.col(other_column or column)).alias("_name")).distinct()
-    return df.join(names, F.lower(F.col(column)) == F.col("_name"), "left_anti")
+    names = _values(other, F.lower(F.col(other_column or column)))
+    return df.join(names, F.lower(F.col(column)).eqNullSafe(F.col("_value")), "left_anti")
 
 
 def within(df: DataFrame, other: DataFrame, column: str, other_column: str | None = None) -> DataFrame:
     """The rows whose value is in ``other``."""
-    names = other.select(F.col(other_column or column).alias("_name")).distinct()
-    return df.join(names, F.col(column) == F.col("_name"), "left_semi")
+    values = _values(other, F.col(other_column or column))
+    return df.join(values, F.col(column).eqNullSafe(F.col("_value")), "left_semi")
 
 
 def page(df: DataFrame, order_by: Sequence[str], size: int, number: int = 0) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starloom.functions.clean import sanitize, stamp
 from starloom.operators.lookup import Lookup, lookup_join
-from starloom.operators.project import clean_mapped, drop_empty_rows, missing
+from starloom.operators.project import clean_mapped, drop_empty_rows, fan_out, missing
 from starloom.operators.sets import DATABASE, union_all
 from starloom.plans.spec import MappingSet, TargetMapping
 from starloom.plans.targets import JOIN_KEYS
@@ -135,6 +135,15 @@ def _join_sources(mapping, table, main, related, scope, on_miss, join_keys, posi
     return sanitize(drop_empty_rows(mapped, list(mapping.columns)))
 
 
+def fan_out_all(mappings: MappingSet, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every target from single tables, without joins: each table adds its rows to all targets it feeds."""
+    parts: dict[str, list[DataFrame]] = {}
+    for table, df in tables.items():
+        for name, rows in fan_out(table, df, mappings).items():
+            parts.setdefault(name, []).append(sanitize(rows))
+    return {name: union_all(frames) for name, frames in parts.items()}
+
+
 def build_all(
     mappings: MappingSet,
     tables: Mapping[str, DataFrame],

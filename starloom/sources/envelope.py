@@ -20,11 +20,26 @@ from starloom.plans.spec import MappingSet
 from starloom.plans.targets import JOIN_KEYS, TARGETS
 
 METADATA = "extraction_metadata"
+FILE = "_file"
 
 
 def read_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One row per file, plain or gzip, with its text in ``value``."""
-    return spark.read.text(paths, wholetext=True)
+    """One row per file, plain or gzip, with its text in ``value`` and its path in ``_file``."""
+    return spark.read.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias(FILE))
+
+
+def _parsed(documents: DataFrame, column: str) -> DataFrame:
+    passing = [FILE] if FILE in documents.columns else []
+    return documents.select(*passing, F.try_parse_json(column).alias("doc"))
+
+
+def _rows(tables: DataFrame) -> DataFrame:
+    """One row per entry of ``rows``; its position counts within its file, and files by name."""
+    place = F.col("r.pos")
+    if FILE in tables.columns:
+        place = F.struct(F.col(FILE).alias("file"), place.alias("pos"))
+    passing = [c for c in (DATABASE, "table") if c in tables.columns]
+    return _entries(tables, "rows", "r").select(*passing, place.alias(POSITION), F.col("r.value").alias("row"))
 
 
 def _entries(df: DataFrame, column: str | Column, name: str) -> DataFrame:
@@ -36,40 +51,35 @@ def _entries(df: DataFrame, column: str | Column, name: str) -> DataFrame:
 
 def explode_extract(documents: DataFrame, column: str = "value") -> DataFrame:
     """(_database, table, _pos, row) for each row of each database's tables; the metadata entry is skipped."""
-    parsed = documents.select(F.try_parse_json(column).alias("doc"))
-    databases = _entries(parsed, "doc", "d").filter(F.col("d.key") != METADATA).select("d")
-    tables = _entries(databases, "d.value", "t").select("d", "t")
-    tables = tables.select(
-        F.col("d.key").alias(DATABASE),
-        F.col("t.key").alias("table"),
-        F.try_variant_get("t.value", "$.sample", "variant").alias("rows"),
-    )
-    return _entries(tables, "rows", "r").select(
-        DATABASE, "table", F.col("r.pos").alias(POSITION), F.col("r.value").alias("row")
+    databases = _entries(_parsed(documents, column), "doc", "d").filter(F.col("d.key") != METADATA).drop("doc")
+    tables = _entries(databases, "d.value", "t").withColumns(
+        {
+            DATABASE: F.col("d.key"),
+            "table": F.col("t.key"),
+            "rows": F.try_variant_get("t.value", "$.sample", "variant"),
+        }
     )
+    return _rows(tables.drop("d", "t"))
 
 
 def explode_single(documents: DataFrame, column: str = "value") -> DataFrame:
     """(_database, table, _pos, row) for each row of documents that hold one table."""
-    parsed = documents.select(F.try_parse_json(column).alias("doc")).select(
-        F.try_variant_get("doc", "$.database", "string").alias(DATABASE),
-        F.try_variant_get("doc", "$.table", "string").alias("table"),
-        F.try_variant_get("doc", "$.data", "variant").alias("rows"),
-    )
-    return _entries(parsed, "rows", "r").select(
-        DATABASE, "table", F.col("r.pos").alias(POSITION), F.col("r.value").alias("row")
+    tables = _parsed(documents, column).withColumns(
+        {
+            DATABASE: F.try_variant_get("doc", "$.database", "string"),
+            "table": F.try_variant_get("doc", "$.table", "string"),
+            "rows": F.try_variant_get("doc", "$.data", "variant"),
+        }
     )
+    return _rows(tables.drop("doc"))
 
 
 def explode_transformed(documents: DataFrame, column: str = "value") -> DataFrame:
     """(table, _pos, row) for each row of transformed documents, with or without the ``tables`` wrapper."""
-    parsed = documents.select(F.try_parse_json(column).alias("doc")).select(
-        F.coalesce(F.try_variant_get("doc", "$.tables", "variant"), "doc").alias("doc")
-    )
-    tables = _entries(parsed, "doc", "t").select(F.col("t.key").alias("table"), F.col("t.value").alias("rows"))
-    return _entries(tables, "rows", "r").select(
-        "table", F.col("r.pos").alias(POSITION), F.col("r.value").alias("row")
-    )
+    parsed = _parsed(documents, column)
+    parsed = parsed.withColumn("doc", F.coalesce(F.try_variant_get("doc", "$.tables", "variant"), "doc"))
+    tables = _entries(parsed, "doc", "t").withColumns({"table": F.col("t.key"), "rows": F.col("t.value")})
+    return _rows(tables.drop("doc", "t"))
 
 
 def _from_variant(field: T.StructField) -> Column:

@@ -4,7 +4,10 @@ from pyspark.sql import functions as F
 from fixtures import GROUP_DATABASES, source_tables
 from starloom.operators.load import accepted, load_with_rejects
 from starloom.operators.project import drop_empty_rows, fan_out, project
-from starloom.plans.build import build_all, build_target, choose_main, main_order, table_availability
+from starloom.operators.report import estimated_rows
+from starloom.operators.sets import within, without
+from starloom.session import estimated_bytes
+from starloom.plans.build import build_all, build_target, choose_main, fan_out_all, main_order, table_availability
 from starloom.plans.targets import TARGETS
 
 
@@ -106,6 +109,26 @@ def test_fan_out(sources):
     assert only.filter("user_id IS NOT NULL").isEmpty() and only.count() == 5
 
 
+def test_single_tables_add_up_without_joins(spark, sources):
+    targets = fan_out_all(TARGETS, {t: sources[t] for t in ("users", "user_preferences", "organization_policy", "tenant_features")})
+    assert set(targets) == {"dim_users", "brg_tenant_features", "dim_features"}
+    # Rows of both tables, each with its own columns only; rows without values are kept here.
+    assert targets["dim_users"].count() == 10
+    assert targets["dim_users"].filter("user_id IS NULL AND is_2fa_enabled IS NOT NULL").count() == 5
+
+
+def test_names_in_sets(spark):
+    left = spark.createDataFrame([("A",), ("b",), (None,)], "table string")
+    right = spark.createDataFrame([("a",), (None,), ("a",)], "table string")
+    assert {r[0] for r in without(left, right, "table").collect()} == {"b", None}
+    assert within(left, right, "table").isEmpty() and within(right, right, "table").count() == 2
+
+
+def test_estimated_rows(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    assert estimated_rows(df, row_bytes=10) == int(estimated_bytes(df) / 10 * 1.1) > 0
+
+
 def test_empty_rows(spark):
     df = spark.createDataFrame([(None, ""), (None, None), (0, None), (None, " ")], "a int, b string")
     assert drop_empty_rows(df).count() == 2

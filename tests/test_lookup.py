@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
+from starloom.operators.sets import within
 from starloom.operators.lookup import Lookup, broadcast_checked, first_per_key, last_per_key, lookup_join
 
 
@@ -74,8 +75,9 @@ def test_no_cross_or_nested_loop_join(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_hot_null_key_is_split(spark):
-    """A third of the main rows share the NULL key: the join's shuffle is split there."""
+@pytest.fixture()
+def small_skew(spark):
+    """Thresholds so low that a hot key in little data counts as skew."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
@@ -83,22 +85,37 @@ def test_hot_null_key_is_split(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
     }
     before = {key: spark.conf.get(key) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        main = spark.range(0, 600_000, 1, 8).select(
-            F.when(F.col("id") % 3 != 0, F.col("id") % 50_000).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pad")
-        )
-        right = spark.range(40_000).select(F.col("id").alias("k"), F.col("id").alias("_pos"), F.col("id").alias("v"))
-        joined = lookup_join(main, {"r": Lookup(right, {"v": "v"}, ["_pos"], key="k", on_miss="null")})
-        totals = joined.agg(F.count("*").alias("n"), F.max("pad"), F.count("_hit_r.v").alias("hits"))
-        row = totals.collect()[0]
-        assert "SortMergeJoin(skew=true)" in plan_of(totals)
-        assert row["n"] == 600_000
-        assert row["hits"] == sum(1 for i in range(600_000) if i % 3 and i % 50_000 < 40_000)
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def hot_main(spark, hot):
+    """A third of the rows share one key."""
+    key = F.when(F.col("id") % 3 != 0, F.col("id") % 50_000).otherwise(F.lit(hot).cast("bigint"))
+    return spark.range(0, 600_000, 1, 8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+
+
+@pytest.mark.parametrize("hot", [None, 7])
+def test_hot_key_is_split(spark, small_skew, hot):
+    right = spark.range(40_000).select(F.col("id").alias("k"), F.col("id").alias("_pos"), F.col("id").alias("v"))
+    joined = lookup_join(hot_main(spark, hot), {"r": Lookup(right, {"v": "v"}, ["_pos"], key="k", on_miss="null")})
+    totals = joined.agg(F.count("*").alias("n"), F.max("pad"), F.count("_hit_r.v").alias("hits"))
+    row = totals.collect()[0]
+    assert "SortMergeJoin(skew=true)" in plan_of(totals)
+    assert row["n"] == 600_000
+    other = sum(1 for i in range(600_000) if i % 3 and i % 50_000 < 40_000)
+    assert row["hits"] == other + (0 if hot is None else 200_000)
+
+
+def test_hot_value_is_split_in_semi_joins(spark, small_skew):
+    right = spark.range(40_000).select(F.col("id").alias("k"))
+    totals = within(hot_main(spark, 7), right, "k").agg(F.count("*").alias("n"), F.max("pad"))
+    row = totals.collect()[0]
+    assert "SortMergeJoin(skew=true)" in plan_of(totals)
+    assert row["n"] == 200_000 + sum(1 for i in range(600_000) if i % 3 and i % 50_000 < 40_000)
 
 
 def test_broadcast_only_below_the_limit(spark):

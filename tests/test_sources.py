@@ -30,7 +30,8 @@ def test_multi_database_documents(spark, tmp_path):
     rows = read_extract(spark, str(tmp_path / "*.json"))
     users = table_rows(rows, "users", USERS)
     got = sorted((r["_database"], r["_pos"], r["id"], r["name"]) for r in users.collect())
-    assert [(g[0], g[1]) for g in got] == [("identity", 0), ("identity", 1), ("tenant_1", 0), ("tenant_2", 0)]
+    assert [(g[0], g[1]["file"].rsplit("/")[-1], g[1]["pos"]) for g in got] == [
+        ("identity", "one.json", 0), ("identity", "one.json", 1), ("tenant_1", "one.json", 0), ("tenant_2", "two.json", 0)]
     assert [g[2] for g in got] == [1, 7, 3, 9]
     assert table_rows(rows, "project", USERS).isEmpty()
 
