@@ -201,10 +201,10 @@ def json_variant(spark, sf):
 
 @query(
     "load_time",
-    "SELECT n_nationkey, TIMESTAMP '2024-06-01 12:00:00' AS etl_timestamp FROM nation",
+    "SELECT o_orderkey, TIMESTAMP '2024-06-01 12:00:00' AS etl_timestamp FROM orders",
 )
 def load_time(spark, sf):
-    return stamp(table(spark, sf, "nation").select("n_nationkey"), datetime(2024, 6, 1, 12))
+    return stamp(table(spark, sf, "orders").select("o_orderkey"), datetime(2024, 6, 1, 12))
 
 
 @query(

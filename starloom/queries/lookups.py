@@ -62,9 +62,9 @@ def lookup_null_safe(spark, sf):
 @query(
     "lookup_first_row_fallback",
     """
-    WITH o AS (SELECT o_orderkey, o_custkey, o_totalprice,
+    WITH o AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey END AS o_custkey,
                       CASE WHEN o_totalprice > 200000 THEN o_orderpriority END AS pr
-               FROM orders WHERE o_orderpriority = '1-URGENT'),
+               FROM orders),
          f AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1),
          a AS (SELECT * FROM o ORDER BY o_orderkey LIMIT 1)
     SELECT c_custkey AS o_custkey, c_name,
@@ -74,9 +74,13 @@ def lookup_null_safe(spark, sf):
     """,
 )
 def lookup_first_row_fallback(spark, sf):
-    """Customers without an urgent order get the first urgent order of all; a match with NULL fields stays."""
-    orders = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'")
-    orders = orders.withColumn("pr", F.when(F.col("o_totalprice") > 200000, F.col("o_orderpriority")))
+    """Customers without an urgent order get the first order of all; a match with NULL fields stays."""
+    orders = table(spark, sf, "orders").withColumns(
+        {
+            "pr": F.when(F.col("o_totalprice") > 200000, F.col("o_orderpriority")),
+            "o_custkey": F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_custkey")),
+        }
+    )
     lookup = Lookup(orders, {"first_order": "o_orderkey", "first_priority": "pr"}, ["o_orderkey"], key="o_custkey")
     return lookup_join(_customers(spark, sf), {"orders": lookup}).select("o_custkey", "c_name", "_hit_orders.*")
 
@@ -86,7 +90,8 @@ def lookup_first_row_fallback(spark, sf):
     """
     WITH c AS (SELECT CASE c_mktsegment WHEN 'BUILDING' THEN 'F' WHEN 'MACHINERY' THEN 'O' ELSE 'P' END AS _database,
                       c_custkey FROM customer),
-         o AS (SELECT * FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')),
+         o AS (SELECT * REPLACE (CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o_custkey END AS o_custkey)
+               FROM orders),
          f AS (SELECT * FROM o
                QUALIFY row_number() OVER (PARTITION BY o_orderstatus, o_custkey ORDER BY o_orderkey) = 1),
          a AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) = 1)
@@ -101,7 +106,8 @@ def lookup_within_database(spark, sf):
     """Matches and the first row of all are looked for within the row's own database."""
     database = F.expr("CASE c_mktsegment WHEN 'BUILDING' THEN 'F' WHEN 'MACHINERY' THEN 'O' ELSE 'P' END")
     customers = table(spark, sf, "customer").select(database.alias(DATABASE), F.col("c_custkey").alias("o_custkey"))
-    orders = table(spark, sf, "orders").filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    orders = table(spark, sf, "orders").withColumn("o_custkey", F.when(urgent, F.col("o_custkey")))
     orders = orders.withColumnRenamed("o_orderstatus", DATABASE)
     lookup = Lookup(orders, FIELDS, ["o_orderkey"], key="o_custkey")
     joined = lookup_join(customers, {"orders": lookup}, scope=(DATABASE,))

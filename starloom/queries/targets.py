@@ -30,34 +30,34 @@ ORDER_DB = "'tenant_' || lower(o_orderstatus) AS _database"
 FLAG = "CASE o_orderstatus WHEN 'F' THEN {no} WHEN 'O' THEN {yes} END"
 LINE_POS = "l_partkey * 10000000000 + l_suppkey * 10000 + l_linenumber * 100 + CAST(l_quantity AS BIGINT)"
 LINE_ID = "l_orderkey * 100 + l_linenumber"
-URGENT, HIGH, LOW = (f"WHERE o_orderpriority = '{p}'" for p in ("1-URGENT", "2-HIGH", "5-LOW"))
+# Keys that leave most related rows without one, so that some main rows find no match.
+URGENT, HIGH = (f"CASE WHEN o_orderpriority = '{p}' THEN o_custkey END" for p in ("1-URGENT", "2-HIGH"))
 
 # Source table -> its SELECT over the given tables.
 SOURCES = {
     "users": f"""SELECT c_custkey AS id, c_custkey AS user_id, c_nationkey AS organization_tsid, c_name AS first_name,
         c_mktsegment AS last_name, lower(c_name) AS email, CASE WHEN c_acctbal > 0 THEN 'active' ELSE '' END AS status,
         {_dates('c_custkey')} FROM customer""",
-    "user_preferences": f"""SELECT o_custkey AS user_id, o_orderkey AS _pos, {FLAG.format(no=0, yes=1)} AS is_2fa_enabled
-        FROM orders {URGENT}""",
-    "user_accounts": f"""SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS user_id, o_orderkey AS id,
+    "user_preferences": f"""SELECT {URGENT} AS user_id, o_orderkey AS _pos, {FLAG.format(no=0, yes=1)} AS is_2fa_enabled
+        FROM orders""",
+    "user_accounts": f"""SELECT {HIGH} AS user_id, o_orderkey AS id,
         o_orderkey AS _pos, o_custkey + 1000 AS account_id, {FLAG.format(no="'false'", yes="'True'")} AS account_owner,
-        o_orderstatus AS status FROM orders {HIGH}""",
+        o_orderstatus AS status FROM orders""",
     "organizations": f"""SELECT s_suppkey AS tsid, 'org-' || s_suppkey AS uuid, s_name AS name,
         s_nationkey AS created_by_id, {_dates('s_suppkey')} FROM supplier""",
     "accounts": f"""SELECT c_custkey AS id, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_custkey END AS account_id,
         c_name AS name, {_dates('c_custkey')} FROM customer""",
-    "authentication_modules": f"""SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS account_id,
-        o_orderkey AS _pos, o_orderpriority AS type, {FLAG.format(no=0, yes=2)} AS enabled FROM orders {URGENT}""",
-    "smtp_configuration": f"""SELECT o_custkey AS account_id, o_orderkey AS _pos, o_orderstatus AS type
-        FROM orders {HIGH}""",
+    "authentication_modules": f"""SELECT {URGENT} AS account_id, o_orderkey AS _pos, o_orderpriority AS type, {FLAG.format(no=0, yes=2)} AS enabled FROM orders""",
+    "smtp_configuration": f"""SELECT {HIGH} AS account_id, o_orderkey AS _pos, o_orderstatus AS type
+        FROM orders""",
     "tenants": f"""SELECT c_custkey AS id, c_custkey AS tenant_id, c_custkey * 10 AS tsid, c_name AS company,
         '555-' || c_custkey AS phone, lower(c_name) AS email, {_dates('c_custkey')} FROM customer""",
-    "subscriptions": f"""SELECT o_custkey AS tenant_id, o_orderkey AS _pos, o_orderpriority AS plan,
+    "subscriptions": f"""SELECT {URGENT} AS tenant_id, o_orderkey AS _pos, o_orderpriority AS plan,
         o_orderstatus AS status_enum, o_orderkey AS allowed_users, o_orderkey + 1 AS no_of_projects,
-        '12' AS total_parallel_runs, {_ms('o_orderkey')} AS next_renewal_at FROM orders {URGENT}""",
-    "billing_addresses": f"""SELECT o_custkey AS tenant_id, o_orderkey AS _pos, o_orderstatus AS country,
+        '12' AS total_parallel_runs, {_ms('o_orderkey')} AS next_renewal_at FROM orders""",
+    "billing_addresses": f"""SELECT {HIGH} AS tenant_id, o_orderkey AS _pos, o_orderstatus AS country,
         CASE WHEN o_totalprice > 100000 THEN o_orderpriority END AS state, 'city' || o_orderkey AS city,
-        o_orderkey AS zip_code FROM orders {HIGH}""",
+        o_orderkey AS zip_code FROM orders""",
     "tenant_features": f"""SELECT l_suppkey AS tenant_id, {LINE_ID} AS id, 'f' || l_linenumber AS name,
         CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 0 END AS is_add_on, {_dates('l_partkey')} FROM lineitem""",
     "data_generators": f"""SELECT p_partkey AS id, p_name AS name, p_brand AS display_name, p_type AS description,
@@ -80,18 +80,17 @@ SOURCES = {
     "test_case": f"""SELECT {ORDER_DB}, o_orderkey AS id, o_custkey AS application_id, o_orderkey * 10 AS tsid,
         'case ' || o_orderkey AS name, o_custkey AS tenant_tsid, o_orderstatus AS status_enum,
         CASE WHEN o_totalprice > 200000 THEN 1 ELSE 0 END AS is_manual, {_dates('o_orderkey')} FROM orders""",
-    "test_case_priorities": f"""SELECT {ORDER_DB}, o_orderkey AS _pos, 'p' || o_orderkey AS name FROM orders {LOW}""",
-    "application_version": f"""SELECT {ORDER_DB}, o_orderkey AS _pos, o_custkey AS application_id FROM orders {URGENT}""",
+    "test_case_priorities": f"""SELECT {ORDER_DB}, o_orderkey AS _pos, 'p' || o_orderkey AS name FROM orders""",
+    "application_version": f"""SELECT {ORDER_DB}, o_orderkey AS _pos, {URGENT} AS application_id FROM orders""",
     "nlp_test_case_step": f"""SELECT 'tenant_' || lower(l_linestatus) AS _database, {LINE_ID} AS id,
         l_orderkey AS test_case_id, l_suppkey AS tenant_tsid, l_partkey AS created_by_id, l_linenumber AS template_id,
         l_returnflag AS teststep_key, 'act ' || l_linenumber AS action, {_dates('l_orderkey')} FROM lineitem""",
     "execution": f"""SELECT o_orderkey AS id, o_orderkey AS execution_id, o_orderkey * 10 AS tsid,
         o_custkey AS tenant_tsid, o_custkey AS created_by_id, o_orderpriority AS execution_type_enum,
         {_dates('o_orderkey')} FROM orders""",
-    "execution_result": f"""SELECT l_orderkey AS execution_id, {LINE_POS} AS _pos, l_returnflag AS result_enum,
+    "execution_result": f"""SELECT CASE WHEN l_returnflag = 'A' THEN l_orderkey END AS execution_id, {LINE_POS} AS _pos, l_returnflag AS result_enum,
         {_ms('l_partkey')} AS start_time, {_ms('l_partkey')} + 250 AS end_time, l_linenumber AS duration,
-        l_linestatus AS triggered_type, l_suppkey AS executed_by, {_dates('l_suppkey')} FROM lineitem
-        WHERE l_returnflag = 'A'""",
+        l_linestatus AS triggered_type, l_suppkey AS executed_by, {_dates('l_suppkey')} FROM lineitem""",
     "test_case_result": f"""SELECT 'tenant_' || lower(l_linestatus) AS _database, {LINE_ID} AS id,
         l_orderkey AS execution_result_id, l_partkey AS test_case_id, l_suppkey AS tenant_tsid,
         l_returnflag AS result_enum, {_ms('l_partkey')} AS start_time, l_linenumber AS duration,
@@ -221,8 +220,8 @@ target(
            {_hit('s', 'sa', 'status_enum')} AS subscription_status, {_hit('s', 'sa', 'allowed_users')} AS allowed_users,
            {_hit('s', 'sa', 'no_of_projects')} AS max_projects, CAST(12 AS BIGINT) AS total_parallel_runs,
            {_time(_hit('s', 'sa', 'next_renewal_at'))} AS next_renewal_at
-    FROM tenants m LEFT JOIN {_first('subscriptions', 'tenant_id')} s ON m.tenant_id = s.tenant_id
-         LEFT JOIN {_first('billing_addresses', 'tenant_id')} b ON m.tenant_id = b.tenant_id
+    FROM tenants m LEFT JOIN {_first('subscriptions', 'tenant_id')} s ON m.tenant_id IS NOT DISTINCT FROM s.tenant_id
+         LEFT JOIN {_first('billing_addresses', 'tenant_id')} b ON m.tenant_id IS NOT DISTINCT FROM b.tenant_id
          CROSS JOIN {_first('subscriptions')} sa CROSS JOIN {_first('billing_addresses')} ba
     """,
 )
@@ -288,7 +287,7 @@ target(
            m.is_manual = 1 AS is_manual, {_null('is_ai_generated', 'is_data_driven', 'is_step_group', type='BOOLEAN')}
     FROM test_case m
          LEFT JOIN {_first('application_version', '_database', 'application_id')} a
-              ON m._database = a._database AND m.application_id = a.application_id
+              ON m._database = a._database AND m.application_id IS NOT DISTINCT FROM a.application_id
          LEFT JOIN {_first('application_version', '_database')} aa ON m._database = aa._database
          LEFT JOIN {_first('test_case_priorities', '_database')} p ON m._database = p._database
     """,
@@ -319,7 +318,7 @@ query(
            CAST({_hit('r', 'ra', 'duration')} AS BIGINT) AS duration_seconds,
            {_hit('r', 'ra', 'triggered_type')} AS triggered_by, {_hit('r', 'ra', 'triggered_type')} AS trigger_type,
            m.execution_type_enum AS environment_type, {CREATED}
-    FROM execution m LEFT JOIN {_first('execution_result', 'execution_id')} r ON m.execution_id = r.execution_id
+    FROM execution m LEFT JOIN {_first('execution_result', 'execution_id')} r ON m.execution_id IS NOT DISTINCT FROM r.execution_id
          CROSS JOIN {_first('execution_result')} ra CROSS JOIN {_first('application_version')} v
     """,
 )(_executions)
@@ -382,11 +381,12 @@ target(
            m.entity_type AS status, {_null('created_by_id', 'updated_by_id', type='BIGINT')}, {CREATED}, m.id AS suite_id
     FROM test_case_group m
          LEFT JOIN {_first('application_version', '_database', 'application_id')} a
-              ON m._database = a._database AND m.application_id = a.application_id
+              ON m._database = a._database AND m.application_id IS NOT DISTINCT FROM a.application_id
          LEFT JOIN {_first('application_version', '_database')} aa ON m._database = aa._database
     UNION ALL
     SELECT _database, {_null('a1', 'a2', type='BIGINT')}, {_null('a3', 'a4')}, application_id, NULL, NULL, NULL, NULL,
-           NULL, NULL, NULL FROM application_version WHERE _database NOT IN (SELECT _database FROM test_case_group)
+           NULL, NULL, NULL FROM application_version
+    WHERE _database NOT IN (SELECT _database FROM test_case_group) AND application_id IS NOT NULL -- empty rows go
     """,
 )
 target(
