@@ -7,6 +7,8 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from starloom.functions.window import utc
+
 # Limits of the epoch conversion, and the names that mark a column's role.
 EPOCH_MS_ABOVE = 10_000_000_000
 EPOCH_MS_MAX = 253_402_300_799_000
@@ -195,7 +197,7 @@ def json_to_variant(df: DataFrame) -> DataFrame:
 
 def stamp(df: DataFrame, at: datetime | None = None, name: str = "etl_timestamp") -> DataFrame:
     """The load time; a given time makes a run repeatable."""
-    return df.withColumn(name, F.current_timestamp() if at is None else F.lit(at).cast("timestamp"))
+    return df.withColumn(name, F.current_timestamp() if at is None else F.lit(utc(at)).cast("timestamp"))
 
 
 def fill_null_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

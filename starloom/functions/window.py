@@ -46,6 +46,11 @@ def resolve_change_column(source: DataFrame | Iterable[str], order: Sequence[str
     return next((name for name in order if name in names), None)
 
 
+def utc(moment: datetime) -> datetime:
+    """A time without zone is in UTC, whatever the zone of the machine."""
+    return moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+
+
 def _moment(text: str | datetime) -> datetime:
     if isinstance(text, datetime):
         return text
@@ -121,11 +126,11 @@ class IncrementalWindow:
 def _bound(moment: datetime, column: str, dtype: T.DataType) -> Column:
     """The bound as a literal of the column's own type, so that the filter reaches the scan."""
     if "epoch" in column.lower():
-        return F.lit(int(moment.replace(tzinfo=timezone.utc).timestamp() * 1000))
+        return F.lit(int(utc(moment).timestamp() * 1000))
     if isinstance(dtype, T.TimestampNTZType):
         return F.lit(moment.isoformat(sep=" ")).cast(T.TimestampNTZType())
     if isinstance(dtype, T.TimestampType):
-        return F.lit(moment.replace(tzinfo=timezone.utc)).cast(T.TimestampType())
+        return F.lit(utc(moment)).cast(T.TimestampType())
     return F.lit(moment.strftime(TEXT_FORMAT))
 
 

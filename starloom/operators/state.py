@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from starloom.functions.window import EFFECTIVE, EXTENDED, IncrementalWindow, apply_window, resolve_change_column
+from starloom.functions.window import EFFECTIVE, EXTENDED, IncrementalWindow, apply_window, resolve_change_column, utc
 from starloom.operators.sets import union_all, without
 
 JOB_EVENTS = (
     "job_id string, at timestamp, kind string, name string, status string, records bigint, details string"
 )
 # Kinds of job events: phase (extraction, transformation, loading), table and job.
+EPOCH = datetime(1970, 1, 1)
 WATERMARKS = "table string, value timestamp, run_id string, committed_at timestamp"
 
 
 def job_event(job_id, at, kind, name, status, records=None, details=None) -> tuple:
-    return (job_id, at, kind, name, status, records, details)
+    return (job_id, utc(at), kind, name, status, records, details)
 
 
 def append_events(spark: SparkSession, path: str, events: Iterable[tuple]) -> None:
@@ -109,7 +110,7 @@ def high_water_marks(tables: Mapping[str, DataFrame], order: Sequence[str] = EFF
 def commit_watermarks(marks: DataFrame, path: str, run_id: str, at: datetime) -> None:
     """Keep the marks of a run; to be called after its load. Tables without rows keep their old mark."""
     rows = marks.filter(F.col("value").isNotNull()).select(
-        "table", "value", F.lit(run_id).alias("run_id"), F.lit(at).cast("timestamp").alias("committed_at")
+        "table", "value", F.lit(run_id).alias("run_id"), F.lit(utc(at)).cast("timestamp").alias("committed_at")
     )
     rows.coalesce(1).write.mode("append").parquet(path)
 
@@ -118,7 +119,10 @@ def changed_since(
     tables: Mapping[str, DataFrame], history: DataFrame | None, order: Sequence[str] = EXTENDED
 ) -> dict[str, DataFrame]:
     """The rows of each table from its last mark on, the mark included; tables without a mark stay whole."""
-    marks = {r["table"]: r["value"] for r in current_watermarks(history).collect()} if history is not None else {}
+    marks: dict[str, datetime] = {}
+    if history is not None:
+        current = current_watermarks(history).select("table", F.unix_micros("value").alias("micros"))
+        marks = {r["table"]: EPOCH + timedelta(microseconds=r["micros"]) for r in current.collect()}
     return {
         name: apply_window(df, IncrementalWindow(start=marks[name]), order=order) if name in marks else df
         for name, df in tables.items()

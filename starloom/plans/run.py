@@ -29,7 +29,7 @@ from starloom.operators.sets import DATABASE
 from starloom.plans.build import build_all
 from starloom.plans.spec import LOAD_TIME, MappingSet, TargetMapping
 from starloom.plans.targets import TARGETS
-from starloom.sinks.store import StarStore
+from starloom.sinks.store import StarStore, clustered
 
 STRATEGIES = ("bulk", "continue_on_error", "fail_fast", "all_or_nothing")
 
@@ -73,16 +73,18 @@ def load_table(
     check_required: bool = True,
     per_database: bool = False,
     fill_defaults: bool = False,
+    cluster: bool = False,
 ) -> tuple[str, str, int, int, int, str | None]:
     """Load one target and report it; a target without rows is skipped and leaves no table behind.
 
     Rows and rejects are counted while they are written, so the target is computed once.
-    An upsert, and a load that keeps its rejects, goes through a staged dataset, whose
-    known size also lets Spark pick the join.
+    An upsert, and a load that keeps its rejects or clusters its rows, goes through a staged
+    dataset, whose known size also lets Spark pick the join.
 
     With ``per_database`` the table is partitioned by ``_database``, which becomes part of
     the key, so equal keys of different databases stay apart. ``fill_defaults`` gives columns
-    that ``df`` does not have their declared default instead of NULL.
+    that ``df`` does not have their declared default instead of NULL, and ``cluster`` writes
+    the rows in the declared layout.
     """
     mapping = mappings.get(table) if mappings else None
     if mapping and fill_defaults:
@@ -98,16 +100,18 @@ def load_table(
         seen, F.count("*").alias("parsed"), F.count_if(F.col(REJECTS).isNotNull()).alias("rejected")
     )
     staged = None
-    if mode == "upsert" or rejects_path:
+    layout = mapping.cluster_by if mapping and cluster else ()
+    if mode == "upsert" or rejects_path or layout:
         staged = store.staging(table)
         checked.write.parquet(staged)
         checked = store.spark.read.parquet(staged)
     if mode == "upsert":
         key = (*mapping.primary_key, *parts) if mapping else ()
         order = list(order_by) or [c for c in ("updated_at", *key) if c in schema.names]
-        store.upsert(table, accepted(checked), key, order)
+        store.upsert(table, accepted(checked), key, order, cluster_by=layout)
     else:
-        store.append(table, accepted(checked))
+        good = accepted(checked)
+        store.append(table, clustered(good, layout, tie=mapping.primary_key) if layout else good)
     counts = seen.get
     if rejects_path and counts["rejected"]:
         rejected(checked).write.mode("append").parquet(f"{rejects_path.rstrip('/')}/{table}")

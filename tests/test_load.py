@@ -229,6 +229,25 @@ def test_load_time_and_defaults(spark, store):
     assert sorted(r["is_new"] is None for r in rows) == [False, True] and all(r[LOAD_TIME] for r in rows)
 
 
+def test_clustered_load(spark, store):
+    rows = [(str(i), f"n{i % 7}", None, None) for i in range(60)]
+    assert load_table(store, "dim_item", items(spark, *rows), ITEMS, cluster=True)[1:5] == ("loaded", 60, 60, 0)
+    assert load_table(store, "dim_item", items(spark, *rows), ITEMS, mode="upsert", order_by=["name"], cluster=True)[2] == 60
+    assert store.read("dim_item").count() == 60
+
+
+def test_equal_keys_of_two_databases(spark, store):
+    """The union keeps both, the bare key lets one replace the other, the database in the key keeps both."""
+    frame = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], "_database string, item_id bigint, name string")
+    assert load_table(store, "dim_item", frame, ITEMS)[3] == 2 and store.read("dim_item").count() == 2
+    store.drop("dim_item")
+    load_table(store, "dim_item", frame, ITEMS, mode="upsert", order_by=["name"])
+    assert [r["name"] for r in store.read("dim_item").collect()] == ["y"]
+    store.drop("dim_item")
+    load_table(store, "dim_item", frame, ITEMS, mode="upsert", order_by=["name"], per_database=True)
+    assert store.read("dim_item").count() == 2
+
+
 def test_load_by_upsert(spark, store):
     load_table(store, "dim_item", items(spark, GOOD), ITEMS, mode="upsert", order_by=["created_at"])
     row = load_table(store, "dim_item", items(spark, ("1", "A", "0", 1700000000999), ("2", "b", "0", None)), ITEMS, mode="upsert", order_by=["created_at"])
