@@ -70,78 +70,83 @@ def broadcast_checked(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if size <= limit else df
 
 
-def settle(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """A join side ready to be planned well.
-
-    Where Spark's estimate lets it broadcast by itself, or broadcasts are switched off,
-    nothing is done. Else the side is computed once, stored, and broadcast if its
-    measured size allows.
-    """
-    return broadcast_checked(cut(df), limit) if undecided(df) else df
-
-
 def undecided(df: DataFrame) -> bool:
     """Whether Spark may broadcast, but cannot tell yet if ``df`` is small enough."""
     threshold = auto_broadcast_bytes(df.sparkSession)
     return 0 <= threshold < estimated_bytes(df)
 
 
-def _tagged(lookups: Mapping[str, Lookup], scope: Sequence[str], key: str | None) -> DataFrame:
-    """All lookups one below the other: scope, key and a (value, order) pair per lookup."""
-    parts = []
-    for name, lookup in lookups.items():
-        columns = [F.col(c) for c in scope]
-        if key is not None:
-            columns.append(F.col(key).alias("_key"))
-        part = lookup.related.select(
-            *columns, lookup.value().alias(f"_value_{name}"), lookup.order().alias(f"_order_{name}")
-        )
-        parts.append(part)
+def _ranked(lookup: Lookup, name: str, passing: Sequence[Column]) -> DataFrame:
+    """The related rows as (value, order) beside the passing columns."""
+    return lookup.related.select(
+        *passing, lookup.value().alias(f"_value_{name}"), lookup.order().alias(f"_order_{name}")
+    )
+
+
+def _stack(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _firsts(lookups: Mapping[str, Lookup]) -> list[Column]:
+def _firsts(names) -> list[Column]:
     # min_by skips rows whose order is NULL, that is the rows of the other lookups.
-    return [F.min_by(f"_value_{name}", f"_order_{name}").alias(f"_value_{name}") for name in lookups]
+    return [F.min_by(f"_value_{name}", f"_order_{name}").alias(f"_value_{name}") for name in names]
 
 
-def lookup_join(main: DataFrame, lookups: Mapping[str, Lookup], scope: Sequence[str] = ()) -> DataFrame:
+def lookup_join(
+    main: DataFrame,
+    lookups: Mapping[str, Lookup],
+    scope: Sequence[str] = (),
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """``main`` with one struct column ``_hit_<name>`` per lookup.
 
     All lookups on the same key share one join. ``scope`` names columns, such as the
     database, within which lookups stay.
     """
-    keyed: dict[str, dict[str, Lookup]] = {}
+    keyed: dict[tuple, dict[str, Lookup]] = {}
     for name, lookup in lookups.items():
         if lookup.key and lookup.key in main.columns and lookup.key in lookup.related.columns:
-            keyed.setdefault(lookup.key, {})[name] = lookup
+            dtype = lookup.related.schema[lookup.key].dataType
+            keyed.setdefault((lookup.key, dtype.simpleString()), {})[name] = lookup
+    falling = [name for name, lookup in lookups.items() if lookup.on_miss == "first"]
 
     out = main
-    for key, group in keyed.items():
-        reduced = _tagged(group, scope, key).groupBy(*scope, "_key").agg(*_firsts(group))
-        reduced = reduced.select(
-            *[F.col(c).alias(f"_scope_{c}") for c in scope],
-            "_key",
-            *[F.col(f"_value_{name}").alias(f"_match_{name}") for name in group],
-        )
-        reduced = settle(reduced)
+    # Related rows by lookup, for the first of all; once reduced and stored, from there.
+    ranked = {name: _ranked(lookups[name], name, [F.col(c) for c in scope]) for name in falling}
+    for number, ((key, _), group) in enumerate(keyed.items()):
+        by_key = [F.col(c) for c in scope] + [F.col(key).alias("_key")]
+        rows = _stack([_ranked(lookup, name, by_key) for name, lookup in group.items()])
+        orders = [F.min(f"_order_{name}").alias(f"_order_{name}") for name in group if name in falling]
+        reduced = rows.groupBy(*scope, "_key").agg(*_firsts(group), *orders)
+        names = {c: f"_scope_{number}_{c}" for c in scope}
+
+        def join_side(df: DataFrame) -> DataFrame:
+            matches = [F.col(f"_value_{name}").alias(f"_match_{name}") for name in group]
+            return df.select(*[F.col(c).alias(alias) for c, alias in names.items()], "_key", *matches)
+
+        side = join_side(reduced)
+        if undecided(side):
+            reduced = cut(reduced)
+            side = broadcast_checked(join_side(reduced), broadcast_bytes)
+            for name in group:
+                if name in falling:
+                    ranked[name] = reduced.select(*scope, f"_value_{name}", f"_order_{name}")
         condition = F.col(key).eqNullSafe(F.col("_key"))
-        for c in scope:
-            condition = condition & (F.col(c) == F.col(f"_scope_{c}"))
-        out = out.join(reduced, condition, "left").drop("_key", *[f"_scope_{c}" for c in scope])
+        for c, alias in names.items():
+            condition = condition & (F.col(c) == F.col(alias))
+        out = out.join(side, condition, "left").drop("_key", *names.values())
 
     matched = {name for group in keyed.values() for name in group}
-    falling = {name: lookup for name, lookup in lookups.items() if lookup.on_miss == "first"}
     fallback: dict[str, Column] = {}
     if falling and scope:
         # One row per scope value.
-        rows = settle(_tagged(falling, scope, None).groupBy(*scope).agg(*_firsts(falling)))
+        rows = _stack([ranked[name] for name in falling]).groupBy(*scope).agg(*_firsts(falling))
+        if undecided(rows):
+            rows = broadcast_checked(cut(rows), broadcast_bytes)
         out = out.join(rows, list(scope), "left")
         fallback = {name: F.col(f"_value_{name}") for name in falling}
     elif falling:
-        for name, lookup in falling.items():
-            first = lookup.related.select(lookup.value().alias("v"), lookup.order().alias("o"))
-            fallback[name] = first.agg(F.min_by("v", "o")).scalar()
+        fallback = {name: ranked[name].agg(*_firsts([name])).scalar() for name in falling}
 
     hits = []
     for name in lookups:

@@ -131,19 +131,46 @@ def test_first_and_last_per_key(spark):
     assert {tuple(r) for r in last_per_key(df, ["k"], ["n"]).collect()} == {(1, 3, None), (None, 2, "y")}
 
 
-@pytest.mark.parametrize("limit, join", [(32 * 1024 * 1024, "BroadcastHashJoin"), (10, "SortMergeJoin")])
-def test_large_sides_are_measured(spark, monkeypatch, limit, join):
-    """Past Spark's own threshold the reduced side is stored; its real size picks the join."""
-    import starloom.operators.lookup as module
-
-    monkeypatch.setattr(module.settle, "__defaults__", (limit,))
+@pytest.fixture()
+def no_small_sides(spark):
+    """Spark itself broadcasts next to nothing, so join sides are stored and measured."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
-    try:
-        left = spark.range(1000).withColumnRenamed("id", "k")
-        right = spark.range(900).select((F.col("id") % 300).alias("k"), F.col("id").alias("_pos"), F.col("id").alias("v"))
-        df = lookup_join(left, {"r": Lookup(right, {"v": "v"}, ["_pos"], key="k", on_miss="null")})
-        assert join in plan_of(df)
-        assert df.count() == 1000 and df.filter("_hit_r.v = k").count() == 300
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("limit, join", [(32 * 1024 * 1024, "BroadcastHashJoin"), (10, "SortMergeJoin")])
+def test_large_sides_are_measured(spark, no_small_sides, limit, join):
+    """The real size of the reduced side picks the join."""
+    left = spark.range(1000).withColumnRenamed("id", "k")
+    right = spark.range(900).select((F.col("id") % 300).alias("k"), F.col("id").alias("_pos"), F.col("id").alias("v"))
+    df = lookup_join(left, {"r": Lookup(right, {"v": "v"}, ["_pos"], key="k", on_miss="null")}, broadcast_bytes=limit)
+    assert join in plan_of(df)
+    assert df.count() == 1000 and df.filter("_hit_r.v = k").count() == 300
+
+
+@pytest.mark.parametrize("on_miss", ["first", "null"])
+@pytest.mark.parametrize("scoped", [True, False])
+def test_measured_sides_like_a_loop(spark, no_small_sides, scoped, on_miss):
+    test_like_a_loop(spark, on_miss, scoped, 3)
+
+
+def test_first_row_comes_from_the_stored_side(spark, no_small_sides, tmp_path):
+    """The related table is read once, for the reduction; the first row of all is found in its result."""
+    right = spark.range(50).select(F.col("id").alias("k"), F.col("id").alias("_pos"), F.col("id").alias("v"))
+    right.write.parquet(str(tmp_path / "r"))
+    left = spark.range(100).withColumnRenamed("id", "k")
+    lookup = Lookup(spark.read.parquet(str(tmp_path / "r")), {"v": "v"}, ["_pos"], key="k")
+    df = lookup_join(left, {"r": lookup})
+    assert "FileScan" not in plan_of(df)
+    assert df.filter("_hit_r.v = 0").count() == 51
+
+
+def test_keys_of_two_types(spark):
+    left = spark.createDataFrame([(1,), (2,)], "k bigint")
+    numbers = spark.createDataFrame([(1, 0, "n")], "k int, _pos int, v string")
+    texts = spark.createDataFrame([("2", 0, "t")], "k string, _pos int, v string")
+    lookups = {n: Lookup(df, {"v": "v"}, ["_pos"], key="k", on_miss="null") for n, df in (("a", numbers), ("b", texts))}
+    got = {r["k"]: (r["_hit_a"], r["_hit_b"]) for r in lookup_join(left, lookups).collect()}
+    assert got[1][0]["v"] == "n" and got[1][1] is None and got[2][0] is None and got[2][1]["v"] == "t"
