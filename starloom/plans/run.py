@@ -99,27 +99,30 @@ def load_table(
     checked = load_with_rejects(df, schema, required=required, lengths=mapping is not None).observe(
         seen, F.count("*").alias("parsed"), F.count_if(F.col(REJECTS).isNotNull()).alias("rejected")
     )
-    staged = None
     layout = mapping.cluster_by if mapping and cluster else ()
-    if mode == "upsert" or rejects_path or layout:
-        staged = store.staging(table)
-        checked.write.parquet(staged)
-        checked = store.spark.read.parquet(staged)
-    if mode == "upsert":
-        key = (*mapping.primary_key, *parts) if mapping else ()
-        order = list(order_by) or [c for c in ("updated_at", *key) if c in schema.names]
-        store.upsert(table, accepted(checked), key, order, cluster_by=layout)
-    else:
+    staged = store.staging(table) if mode == "upsert" or rejects_path or layout else None
+    counts = None
+    try:
+        if staged:
+            checked.write.parquet(staged)
+            checked = store.spark.read.parquet(staged)
         good = accepted(checked)
-        store.append(table, clustered(good, layout, tie=mapping.primary_key) if layout else good)
-    counts = seen.get
-    if rejects_path and counts["rejected"]:
-        rejected(checked).write.mode("append").parquet(f"{rejects_path.rstrip('/')}/{table}")
-    if staged:
-        store.remove(staged)
-    if not counts["parsed"]:
-        if created:
+        if mode == "upsert":
+            key = (*mapping.primary_key, *parts) if mapping else ()
+            order = list(order_by) or [c for c in ("updated_at", *key) if c in schema.names]
+            store.upsert(table, good, key, order, cluster_by=layout)
+        else:
+            store.append(table, clustered(good, layout, tie=mapping.primary_key) if layout else good)
+        counts = seen.get
+        if rejects_path and counts["rejected"]:
+            rejected(checked).write.mode("append").parquet(f"{rejects_path.rstrip('/')}/{table}")
+    finally:
+        if staged:
+            store.remove(staged)
+        # A table made for a load that failed or had no rows would look loaded to a recovery.
+        if created and not (counts and counts["parsed"]):
             store.drop(table)
+    if not counts["parsed"]:
         return (table, "skipped", 0, 0, 0, None)
     loaded = counts["parsed"] - counts["rejected"]
     return (table, "loaded", counts["parsed"], loaded, counts["rejected"], None)

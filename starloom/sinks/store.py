@@ -178,8 +178,11 @@ class StarStore:
 
     def append(self, table: str, df: DataFrame) -> None:
         """Add rows by column name; columns the table lacks are left out, absent ones read NULL."""
-        target = self.read(table)
-        self._by_name(df, target.schema).write.insertInto(f"{self.database}.{table.lower()}")
+        rows = self._by_name(df, self.read(table).schema)
+        parts = self.partition_columns(table)
+        if parts:
+            rows = rows.hint("rebalance", *[F.col(c) for c in parts])
+        rows.write.insertInto(f"{self.database}.{table.lower()}")
 
     @staticmethod
     def _by_name(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -297,6 +297,27 @@ def test_recover_loads_the_rest(spark, store):
     assert recover(store, targets, skip=["dim_c"]).success and store.tables() == ["dim_a", "dim_b"]
 
 
+def test_recover_takes_tables_whose_load_failed(spark, store):
+    failed = load_all(store, {"a": spark.range(2), "b": failing(spark)}, "continue_on_error")
+    assert failed.names("failed") == ["b"] and store.tables() == ["a"]
+    assert recover(store, {"a": spark.range(9), "b": spark.range(3)}).names("loaded") == ["b"]
+    assert store.read("a").count() == 2 and store.read("b").count() == 3
+
+
+def test_undeclared_table_with_json_and_nested_values(spark, store):
+    df = spark.createDataFrame([(1, '{"a":[1]}', (2,), 1_700_000_000_000), (2, "{", None, None)], "id int, x_json string, s struct<n:int>, seen_at bigint")
+    assert load_table(store, "extra", df)[1:5] == ("loaded", 2, 1, 1)
+    row = store.read("extra").selectExpr("id", "variant_get(x_json, '$.a[0]', 'int') AS a", "s", "year(seen_at) AS y").first()
+    assert tuple(row) == (1, 1, '{"n":2}', 2023)
+
+
+def test_append_to_a_partitioned_table(spark, store):
+    df = spark.range(100).select(F.col("id").alias("item_id"), F.col("id").cast("string").alias("name"), F.concat(F.lit("t"), F.col("id") % 3).alias("_database"))
+    assert load_table(store, "dim_item", df, ITEMS, per_database=True)[2] == 100
+    load_table(store, "dim_item", df, ITEMS, per_database=True)
+    assert store.read("dim_item").count() == 200 and len(store.read("dim_item").inputFiles()) <= 6
+
+
 def test_load_many(spark, store):
     results = load_many(store, {"one": {"a": spark.range(1)}, "two": {"b": failing(spark)}}, "continue_on_error")
     assert results["one"].success and not results["two"].success
