@@ -82,6 +82,11 @@ def rejected(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col(REJECTS).isNotNull())
 
 
+def reject_sample(checked: DataFrame, limit: int = 10) -> DataFrame:
+    """A few rejected rows to look at; all of them are in ``rejected``."""
+    return rejected(checked).limit(limit)
+
+
 def apply_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """The declared default in each column the source does not have at all."""
     absent = {name: F.lit(value) for name, value in defaults.items() if name not in df.columns}

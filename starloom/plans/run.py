@@ -26,7 +26,7 @@ from starloom.operators.state import (
     remaining_names,
 )
 from starloom.operators.sets import DATABASE
-from starloom.plans.build import build_all
+from starloom.plans.build import build_all, main_order
 from starloom.plans.spec import LOAD_TIME, MappingSet, TargetMapping
 from starloom.plans.targets import TARGETS
 from starloom.sinks.store import StarStore, clustered
@@ -194,6 +194,7 @@ def run(
     mappings: MappingSet = TARGETS,
     window: IncrementalWindow | None = None,
     incremental: bool = False,
+    whole_lookups: bool = False,
     strategy: str = "bulk",
     mode: str = "append",
     state_path: str | None = None,
@@ -204,8 +205,9 @@ def run(
 ) -> LoadResult:
     """Source tables to loaded targets.
 
-    ``window`` limits all tables; ``incremental`` starts each one at its last mark. The
-    marks are committed only after a successful load, so rows that change meanwhile are
+    ``window`` limits all tables; ``incremental`` starts each one at its last mark. With
+    ``whole_lookups`` tables that no target has as its main table are read whole, so that a
+    changed row also finds related rows that did not change. The marks are committed only after a successful load, so rows that change meanwhile are
     due again next time. Progress, marks and metrics are kept below ``state_path``.
     """
     job = job_id or uuid4().hex
@@ -221,10 +223,12 @@ def run(
     result = LoadResult(strategy)
     note(("job", "run", "in_progress"))
     try:
+        mains = {main_order(mapping)[0] for mapping in mappings}
+        limited = {name: df for name, df in needed.items() if name in mains or not whole_lookups}
         if incremental and state_path:
             known = spark.read.parquet(history) if _exists(spark, history) else None
-            needed = changed_since(needed, known)
-        needed = {name: apply_window(df, window, order=EXTENDED) for name, df in needed.items()}
+            limited = changed_since(limited, known)
+        needed.update({name: apply_window(df, window, order=EXTENDED) for name, df in limited.items()})
         marks = high_water_marks(needed, EXTENDED)
         note(("phase", phase, "done"))
         phase = "transformation"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,7 +50,9 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def auto_broadcast_bytes(spark: SparkSession) -> int:
     """The size up to which Spark broadcasts by itself; negative if it never does."""
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", text).groups()
+    return int(number) * 1024 ** "bkmgtp".index((unit or "b")[0])
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from starloom.operators.load import accepted, load_with_rejects
 from starloom.operators.project import drop_empty_rows, fan_out, project
 from starloom.operators.report import estimated_rows
 from starloom.operators.sets import within, without
-from starloom.session import estimated_bytes
+from starloom.session import auto_broadcast_bytes, estimated_bytes
 from starloom.plans.build import build_all, build_target, choose_main, fan_out_all, main_order, table_availability
 from starloom.plans.targets import TARGETS
 
@@ -134,3 +134,13 @@ def test_empty_rows(spark):
     assert drop_empty_rows(df).count() == 2
     flags = spark.createDataFrame([(None, False), (None, None)], "a string, b boolean")
     assert drop_empty_rows(flags).count() == 1
+
+
+@pytest.mark.parametrize("text, size", [("-1", -1), ("10485760b", 10485760), ("10MB", 10485760), ("2g", 2 << 30), ("77", 77)])
+def test_broadcast_threshold(spark, text, size):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+        assert auto_broadcast_bytes(spark) == size
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -12,6 +12,7 @@ from starloom.operators.load import (
     compare_schemas,
     infer_target_schema,
     load_with_rejects,
+    reject_sample,
     rejected,
     schema_diff,
     upsert,
@@ -60,6 +61,7 @@ def test_rejects_and_good_rows_make_the_input(spark):
         "item_id": 1, "name": "a", "is_new": True, "created_at": datetime(2023, 11, 14, 22, 13, 20, 123000), LOAD_TIME: None,
     }
     assert accepted(checked).count() + rejected(checked).count() == df.count()
+    assert reject_sample(checked).count() == 3 and reject_sample(checked, 2).count() == 2
     assert "Exchange" not in plan_of(checked)
 
 
@@ -361,6 +363,18 @@ def test_a_failed_load_keeps_the_mark_and_asks_for_replay(spark, store, tmp_path
     assert run_metrics(spark.read.parquet(f"{state}/run_metrics")).first()["failed_phase"] == "loading"
 
 
+@pytest.mark.parametrize("whole, found", [(True, {20}), (False, {None})])
+def test_lookups_in_a_window(spark, store, whole, found):
+    """The account did not change in the window: it is found only if lookups are read whole."""
+    old, new = 1704844799999, 1704844800000
+    tables = {
+        "users": spark.createDataFrame([(1, 1, new), (2, 2, old)], "id bigint, user_id bigint, updated_at_epoch bigint"),
+        "user_accounts": spark.createDataFrame([(20, 1, old, 0)], "id bigint, user_id bigint, updated_at_epoch bigint, _pos int"),
+    }
+    run(spark, tables, store, window=IncrementalWindow.resolve("2024-01-10", "new"), whole_lookups=whole)
+    assert {r["user_account_id"] for r in store.read("dim_users").collect()} == found
+
+
 def test_window_limits_a_run(spark, store):
     rows = spark.createDataFrame([(1, 1, 1704844800000), (2, 1, 1704844799999)], "id bigint, tenant_tsid bigint, updated_at_epoch bigint")
     assert run(spark, {"project": rows}, store, window=IncrementalWindow.resolve("2024-01-10", "new")).total_records == 1
