@@ -39,7 +39,8 @@ TABLE = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
     for b in range(256)
 )
-WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+# The same in a text as it was, capitals included.
+WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _LONGS = ArrayType(LongType())
 _SPANS = ArrayType(StructType([StructField("begin", IntegerType()), StructField("end", IntegerType())]))
 _FOUND = StructType(fields("n_words n_hit", item_ids=_LONGS, hit_from=_LONGS, hit_to=_LONGS, spans=_SPANS))

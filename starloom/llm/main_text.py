@@ -214,8 +214,11 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
 
 def trained(pages: DataFrame, sample: int = SAMPLE_PAGES) -> dict[str, float]:
     """Weights from the ``sample`` pages with the smallest hashes."""
-    rows = pages.where("html is not null").orderBy(F.xxhash64("page_id", "url"), "page_id").limit(sample)
-    return fit([r["html"] for r in rows.select("html").collect()])
+    # Hashes first: only the chosen pages' html leaves its task.
+    key = F.xxhash64("page_id", "url")
+    chosen = [r[0] for r in pages.where("html is not null").select(key.alias("key")).orderBy("key").limit(sample).collect()]
+    rows = pages.where(key.isin(chosen)).select("html").limit(2 * sample).collect() if chosen else []
+    return fit([r["html"] for r in rows if r["html"]])
 
 
 def main_texts(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:

@@ -252,14 +252,12 @@ def labelled(texts: list[str]) -> list[tuple[list[str], list[int]]]:
 
 def trained(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Field | None:
     """A field from ``sample`` documents that hold a digit or an ``@``."""
-    rows = (
-        docs.where("text rlike '[0-9@]' and octet_length(text) < 100000")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-        .limit(sample)
-        .select("text")
-        .collect()
-    )
-    return fit(labelled([r["text"] for r in rows]))
+    # Hashes first: only the chosen documents' texts leave their tasks.
+    key = F.xxhash64("doc_id", F.substring("text", 1, 100))
+    hinted = docs.where("text rlike '[0-9@]' and octet_length(text) < 100000")
+    chosen = [r[0] for r in hinted.select(key.alias("key")).orderBy("key").limit(sample).collect()]
+    rows = hinted.where(key.isin(chosen)).select("text").limit(2 * sample).collect() if chosen else []
+    return fit(labelled(sorted(r["text"] for r in rows)))
 
 
 def added_spans(texts: list[str], field: Field | None) -> list[list[tuple[int, int, int]]]:

@@ -39,8 +39,10 @@ from starloom.llm.common import fields, mix, sliced
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SEED = 7
-#: Words kept at hand in a task.
-WORDS = 60_000
+#: Words kept at hand in a task; when there are more, all but the ``CORE`` that came first, the common ones, go.
+WORDS, CORE = 90_000, 45_000
+#: Leading bits of a hash that find a piece.
+SLOTS = 20
 #: Bytes of text that are worked on together.
 TOGETHER = 1 << 20
 UNIT = re.compile(r"\n| *[^ \n]+| +")
@@ -75,6 +77,39 @@ class Vocabulary:
         hashes = np.array([self.hash_of(p) for p in pieces], np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.ids, self.logs = hashes[order], np.array(ids, np.int32)[order], logs[order]
+        # Slots by the leading bits of the mixed hash; a taken slot sends to the next one.
+        self.slots = np.full((1 << SLOTS) + 64, -1, np.int32)
+        self.probes = 1
+        for k, slot in enumerate(self._slot(self.hashes).tolist()):
+            at = slot
+            while self.slots[at] >= 0:
+                at += 1
+            self.slots[at] = k
+            self.probes = max(self.probes, at - slot + 1)
+
+    @staticmethod
+    def _slot(hashes: np.ndarray) -> np.ndarray:
+        return (mix(hashes) >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``hashes`` are pieces', and the number of each of these pieces."""
+        slot = self._slot(hashes)
+        got = self.slots[slot]
+        open_ = np.flatnonzero(got >= 0)
+        hits, numbers = [], []
+        for probe in range(self.probes):
+            if probe:
+                got = self.slots[slot[open_] + probe]
+                open_, got = open_[got >= 0], got[got >= 0]
+            else:
+                got = got[open_]
+            right = self.hashes[got] == hashes[open_]
+            hits.append(open_[right])
+            numbers.append(got[right])
+            open_ = open_[~right]
+            if not len(open_):
+                break
+        return np.concatenate(hits), np.concatenate(numbers)
 
     @staticmethod
     def hash_of(piece: str) -> int:
@@ -94,19 +129,16 @@ class Words:
 
     def __init__(self, v: Vocabulary) -> None:
         self.v = v
-        self.clear()
-
-    def clear(self) -> None:
-        width = self.v.longest
         self.index: dict[str, int] = {}
         self.begin = np.zeros(1, np.int64)
-        self.piece = np.zeros((0, width), np.int32)
-        self.chance = np.zeros((0, width), np.float32)
+        self.piece = np.zeros((1 << 20, v.longest), np.int32)
+        self.chance = np.zeros((1 << 20, v.longest), np.float32)
 
     def numbers(self, units: list[str]) -> np.ndarray:
         """The number of each word's lattice, made if it isn't there."""
         if len(self.index) > WORDS:
-            self.clear()
+            self.index = dict(list(self.index.items())[:CORE])
+            self.begin = self.begin[: CORE + 1]
         index, known = self.index, len(self.index)
         out = np.array([index.setdefault(u, len(index)) for u in units], np.int64)
         if len(index) > known:
@@ -131,10 +163,9 @@ class Words:
                 break
             hashed[at] += (points[at + size - 1].astype(np.uint64) + np.uint64(1)) * scale
             scale = np.uint64(int(scale) * _STEP % (1 << 64))
-            place = np.minimum(np.searchsorted(v.hashes, hashed[at]), len(v.hashes) - 1)
-            hit = v.hashes[place] == hashed[at]
-            logs[at[hit], size - 1] = v.logs[place[hit]]
-            piece[at[hit], size - 1] = v.ids[place[hit]]
+            hit, number = v.find(hashed[at])
+            logs[at[hit], size - 1] = v.logs[number]
+            piece[at[hit], size - 1] = v.ids[number]
         # A character without a piece is spelled: its negative code point stands for the bytes.
         bare = np.flatnonzero(np.isneginf(logs[:, 0]))
         count = 1 + (points[bare] > 0x7F) + (points[bare] > 0x7FF) + (points[bare] > 0xFFFF)
@@ -154,8 +185,16 @@ class Words:
             top = value.max(axis=1)
             total[at] = top + np.log(np.exp(value - top[:, None]).sum(axis=1))
             logs[at, :most] = value - total[at][:, None]
-        self.piece = np.concatenate((self.piece, piece))
-        self.chance = np.concatenate((self.chance, np.exp(logs).astype(np.float32)))
+        low = int(self.begin[-1])
+        if low + n > len(self.piece):
+            size = max(low + n, len(self.piece) * 3 // 2)
+            for name in ("piece", "chance"):
+                old = getattr(self, name)
+                grown = np.zeros((size, width), old.dtype)
+                grown[:low] = old[:low]
+                setattr(self, name, grown)
+        self.piece[low : low + n] = piece
+        self.chance[low : low + n] = np.exp(logs)
         self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(lengths)))
 
 
@@ -214,15 +253,13 @@ def top_k(w: Words, units: list[list[str]], keys: np.ndarray, k: int) -> list[tu
     found = []
     alive = np.ones(n, bool)
     branch = np.full(n, -1)  # first own piece of the path, within the text
-    for r in range(k + 1):
+    for r in range(k):
         # log probability before each piece of the path
         edges = np.searchsorted(path.text, np.arange(n + 1))
         sums = np.concatenate(([0.0], np.cumsum(path.log)))
         before = sums[:-1] - sums[edges[path.text]]
         whole = sums[edges[1:]] - sums[edges[:-1]]
-        found.append((path, alive.copy(), whole, bound.copy()))
-        if r == k:
-            break
+        found.append((path, alive.copy(), whole))
         index = np.arange(len(path.text)) - edges[path.text]
         taken = np.exp(path.log)
         own = index > branch[path.text]
@@ -239,8 +276,9 @@ def top_k(w: Words, units: list[list[str]], keys: np.ndarray, k: int) -> list[tu
             got = np.where(lead >= 0, node["value"][np.maximum(lead, 0)] if len(node["value"]) else -np.inf, -np.inf)
             better = got > best
             best[better], which[better], where[better] = got[better], q, lead[better]
-        alive = np.isfinite(best)
-        bound = best
+        bound, alive = best, np.isfinite(best)
+        if r == k - 1:
+            break
         parts, branch = [], np.full(n, np.iinfo(np.int64).max)
         for q, node in enumerate(rounds):
             mine = texts[alive & (which == q)]
@@ -250,11 +288,11 @@ def top_k(w: Words, units: list[list[str]], keys: np.ndarray, k: int) -> list[tu
         columns = [np.concatenate([getattr(p, f) for p in parts]) if parts else getattr(path, f)[:0] for f in ("text", "word", "place", "size", "log")]
         order = np.lexsort((columns[2], columns[1]))
         path = Path(*(c[order] for c in columns))
-    threshold = found[k][3]
     out = []
-    for path, have, whole, _ in found[:k]:
+    for path, have, whole in found:
         with np.errstate(over="ignore"):
-            score = np.where(np.isfinite(threshold), -np.expm1(-np.exp(np.minimum(whole - threshold, 700))), 1.0)
+            # The last bound is the (k+1)-th value.
+            score = np.where(np.isfinite(bound), -np.expm1(-np.exp(np.minimum(whole - bound, 700))), 1.0)
         out.append((path, have, whole, score))
     return out
 
