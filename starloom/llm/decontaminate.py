@@ -124,14 +124,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
     """The rows of ``docs`` with n_words, n_hit, item_ids and spans (code points of the hit runs of words)."""
     seen = None
     for rows in _shards(benchmark, limit):
-        seen = _scanned(docs if seen is None else cut(seen), rows, window)
+        seen = _scanned(docs if seen is None else cut(seen), rows, window, seen is not None)
     return seen
 
 
-def _scanned(docs: DataFrame, rows: list[tuple[int, str]], window: int) -> DataFrame:
-    """Adds the findings, or adds to them if ``docs`` has some."""
+def _scanned(docs: DataFrame, rows: list[tuple[int, str]], window: int, again: bool) -> DataFrame:
+    """Adds the findings, or adds to them if ``docs`` has those of another shard; they replace columns of their names."""
     kept = [f for f in docs.schema.fields if f.name not in _FOUND.fieldNames()]
-    again = len(kept) < len(docs.columns)
     found = patterns(rows, window)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

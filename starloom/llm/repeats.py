@@ -44,9 +44,9 @@ PLACES = WINDOW - GRAM + 1
 #: Anchors in a bucket, about.
 BUCKET = 120_000
 #: Bytes of text whose anchors are put together before they leave a task.
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 #: Window starts worked on at once.
-STEP = 2 << 20
+STEP = 1 << 20
 #: Documents from which the splitters are drawn, and bytes of each.
 SAMPLE, SAMPLE_BYTES = 2_000, 20_000
 
@@ -61,6 +61,14 @@ def leading(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def words_at(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; all are inside ``data``."""
+    out = np.zeros(len(places), np.uint64)
+    for k in range(8):
+        out = (out << np.uint64(8)) | data[places + k]
+    return out
+
+
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first window start, past-last start, anchor) of every run of windows of one anchor."""
     parts = []
@@ -149,6 +157,9 @@ class _Block:
     def rows(self, splitters: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
         """(bucket, kind, payload): anchors by bucket as kind 0, spans that are known to go as kind 1."""
         doc, begin, anchor, length, hashes, flat = (np.concatenate(x) for x in zip(*self.parts))
+        self.parts = []
+        if not len(doc):
+            return
         at = np.cumsum(length) - length
         # Equal runs: the first of the smallest document stands for those of larger ones.
         order = np.lexsort((begin, doc, hashes))
@@ -168,8 +179,7 @@ class _Block:
         stay = np.ones(len(doc), bool)
         stay[gone] = False
         stay = np.flatnonzero(stay)
-        words = leading(flat)
-        high, low = words[(at + anchor)[stay]], words[(at + anchor + 8)[stay]]
+        high, low = words_at(flat, (at + anchor)[stay]), words_at(flat, (at + anchor + 8)[stay])
         bucket = np.searchsorted(splitters, high, "right")
         order = np.lexsort((low, high))
         stay, bucket = stay[order], bucket[order]
@@ -196,8 +206,7 @@ def repeated(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     """(doc, begin, end) of windows in a bucket that a smaller document has too."""
     doc, begin, anchor, length, flat = (np.concatenate(x) for x in zip(*map(unpacked, payloads)))
     at = np.cumsum(length) - length
-    words = leading(flat)
-    order, new = multikey([words[at + anchor], words[at + anchor + 8]])
+    order, new = multikey([words_at(flat, at + anchor), words_at(flat, at + anchor + 8)])
     heads = np.flatnonzero(new)
     several = np.minimum.reduceat(doc[order], heads) < np.maximum.reduceat(doc[order], heads)
     pick = np.sort(order[several[np.cumsum(new) - 1]])
@@ -270,7 +279,7 @@ def spans(docs: DataFrame) -> DataFrame:
                     ["bucket", "kind", "payload"],
                 )
 
-        for part, data, offsets in sliced(batches):
+        for part, data, offsets in sliced(batches, limit=STEP):
             block.add(part.column("doc_id").to_numpy(), data, offsets)
             if block.size >= BLOCK:
                 yield from flushed()

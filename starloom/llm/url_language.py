@@ -111,7 +111,7 @@ def score(ratios: np.ndarray) -> Column:
 
 
 def best_cut(scored: DataFrame) -> float:
-    """The bin edge with the highest sum of both kinds' shares on their own side."""
+    """The cut with the highest sum of both kinds' shares on their own side."""
     bins = (
         scored.groupBy(F.floor(F.greatest(F.lit(-10.0), F.least(F.lit(10.0), "score")) / BIN).alias("bin"))
         .agg(F.count_if(F.col("verdict") == "allow").alias("yes"), F.count_if(F.col("verdict") == "block").alias("no"))
@@ -120,11 +120,14 @@ def best_cut(scored: DataFrame) -> float:
     )
     yes, no = sum(r["yes"] for r in bins), sum(r["no"] for r in bins)
     below_yes = below_no = 0
-    best, cut = -math.inf, 0.0
+    best, cut, last = -math.inf, 0.0, None
     for r in bins:
         right = (yes - below_yes) / max(yes, 1) + below_no / max(no, 1)
         if right > best:
-            best, cut = right, r["bin"] * BIN
+            # In the middle of the gap below.
+            edge = r["bin"] * BIN
+            best, cut = right, edge if last is None else (last + edge) / 2
+        last = (r["bin"] + 1) * BIN
         below_yes, below_no = below_yes + r["yes"], below_no + r["no"]
     return cut
 
