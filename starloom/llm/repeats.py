@@ -183,7 +183,7 @@ class _Block:
         bucket = np.searchsorted(splitters, high, "right")
         order = np.lexsort((low, high))
         stay, bucket = stay[order], bucket[order]
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=5)
         edges = np.searchsorted(bucket, np.arange(len(splitters) + 2))
         for k in np.flatnonzero(np.diff(edges)).tolist():
             pick = stay[edges[k] : edges[k + 1]]
@@ -262,11 +262,18 @@ def _splitters(docs: DataFrame) -> np.ndarray:
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, begin, end): bytes to be removed; spans may overlap."""
+    """(doc_id, span): bytes to be removed, begin and end in the halves of one number; spans may overlap."""
     docs = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), "text")
     splitters = _splitters(docs)
     packed_rows = StructType([*fields("bucket kind"), *fields(payload=BinaryType())])
-    found = StructType(fields("doc_id begin end"))
+    found = StructType(fields("doc_id span"))
+
+    def rows_of(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
+        both = (begin.astype(np.int64) << 32) | end.astype(np.int64)
+        for k in range(0, len(doc), 50_000):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[k : k + 50_000].astype(np.int64)), pa.array(both[k : k + 50_000])], found.fieldNames()
+            )
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block()
@@ -291,17 +298,11 @@ def spans(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for bucket, kind, payload in zip(*(c.to_pylist() for c in batch.columns)):
                 if kind:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in np.frombuffer(payload, np.int64).reshape(3, -1)], found.fieldNames()
-                    )
+                    yield from rows_of(*np.frombuffer(payload, np.int64).reshape(3, -1))
                 else:
                     buckets[bucket].append(payload)
         for bucket in sorted(buckets):
-            got = repeated(buckets.pop(bucket))
-            for k in range(0, len(got[0]), 50_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[k : k + 50_000].astype(np.int64)) for x in got], found.fieldNames()
-                )
+            yield from rows_of(*repeated(buckets.pop(bucket)))
 
     dealt = docs.mapInArrow(split, packed_rows).repartition(len(splitters) + 1, "bucket")
     return dealt.mapInArrow(compare, found)
@@ -327,8 +328,8 @@ def without_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
                 data, n = unzip.decompress(raw.as_py()), 0
                 size, kept = len(data), [data]
                 if packed.is_valid:
-                    ab = np.array([[x["begin"], x["end"]] for x in packed.as_py()], np.int64).reshape(-1, 2)
-                    _, begin, end = merged(np.zeros(len(ab), np.int64), ab[:, 0], ab[:, 1])
+                    both = np.array(packed.as_py(), np.int64)
+                    _, begin, end = merged(np.zeros(len(both), np.int64), both >> 32, both & 0xFFFFFFFF)
                     begin, end = begin[begin < size], np.minimum(end[begin < size], size)
                     n = len(begin)
                     edges = [0, *np.column_stack((begin, end)).ravel().tolist(), size]
@@ -340,6 +341,6 @@ def without_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
             kinds = [pa.int64()] * 4 + [pa.string()] * (len(out) - 4)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], out.fieldNames())
 
-    found = spans(docs).groupBy("doc_id").agg(F.collect_list(F.struct("begin", "end")).alias("found"))
+    found = spans(docs).groupBy("doc_id").agg(F.collect_list("span").alias("found"))
     rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(zipped, zipped_rows)
     return rows.join(found, "doc_id", "left").mapInArrow(cleaned, out)
