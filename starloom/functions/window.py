@@ -125,13 +125,15 @@ class IncrementalWindow:
 
 def _bound(moment: datetime, column: str, dtype: T.DataType) -> Column:
     """The bound as a literal of the column's own type, so that the filter reaches the scan."""
-    if "epoch" in column.lower():
+    if isinstance(dtype, T.NumericType) or "epoch" in column.lower():
+        # Numbers are epoch milliseconds, as they are for marks.
         return F.lit(int(utc(moment).timestamp() * 1000))
+    plain = utc(moment).astimezone(timezone.utc).replace(tzinfo=None)
     if isinstance(dtype, T.TimestampNTZType):
-        return F.lit(moment.isoformat(sep=" ")).cast(T.TimestampNTZType())
+        return F.lit(plain.isoformat(sep=" ")).cast(T.TimestampNTZType())
     if isinstance(dtype, T.TimestampType):
         return F.lit(utc(moment)).cast(T.TimestampType())
-    return F.lit(moment.strftime(TEXT_FORMAT))
+    return F.lit(plain.strftime(TEXT_FORMAT))
 
 
 def window_condition(df: DataFrame, window: IncrementalWindow, column: str) -> Column:

@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 from threading import Event
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -29,6 +30,7 @@ from starloom.operators.sets import DATABASE
 from starloom.plans.build import build_all, main_order
 from starloom.plans.spec import LOAD_TIME, MappingSet, TargetMapping
 from starloom.plans.targets import TARGETS
+from starloom.session import cut
 from starloom.sinks.store import StarStore, clustered
 
 STRATEGIES = ("bulk", "continue_on_error", "fail_fast", "all_or_nothing")
@@ -77,9 +79,10 @@ def load_table(
 ) -> tuple[str, str, int, int, int, str | None]:
     """Load one target and report it; a target without rows is skipped and leaves no table behind.
 
+    Rejected rows are kept below ``rejects_path``, by default ``_rejects`` in the store's root.
     Rows and rejects are counted while they are written, so the target is computed once.
-    An upsert, and a load that keeps its rejects or clusters its rows, goes through a staged
-    dataset, whose known size also lets Spark pick the join.
+    Every load goes through a staged dataset, from which rows and rejects are taken, and
+    whose known size lets Spark pick the join.
 
     With ``per_database`` the table is partitioned by ``_database``, which becomes part of
     the key, so equal keys of different databases stay apart. ``fill_defaults`` gives columns
@@ -100,12 +103,12 @@ def load_table(
         seen, F.count("*").alias("parsed"), F.count_if(F.col(REJECTS).isNotNull()).alias("rejected")
     )
     layout = mapping.cluster_by if mapping and cluster else ()
-    staged = store.staging(table) if mode == "upsert" or rejects_path or layout else None
+    rejects_path = rejects_path or f"{store.root}/_rejects"
+    staged = store.staging(table)
     counts = None
     try:
-        if staged:
-            checked.write.parquet(staged)
-            checked = store.spark.read.parquet(staged)
+        checked.write.parquet(staged)
+        checked = store.spark.read.parquet(staged)
         good = accepted(checked)
         if mode == "upsert":
             key = (*mapping.primary_key, *parts) if mapping else ()
@@ -114,11 +117,10 @@ def load_table(
         else:
             store.append(table, clustered(good, layout, tie=mapping.primary_key) if layout else good)
         counts = seen.get
-        if rejects_path and counts["rejected"]:
+        if counts["rejected"]:
             rejected(checked).write.mode("append").parquet(f"{rejects_path.rstrip('/')}/{table}")
     finally:
-        if staged:
-            store.remove(staged)
+        store.remove(staged)
         # A table made for a load that failed or had no rows would look loaded to a recovery.
         if created and not (counts and counts["parsed"]):
             store.drop(table)
@@ -157,10 +159,11 @@ def load_all(
             return None
         try:
             return load_table(store, table, targets[table], mappings, **options)
-        except (PySparkException, ValueError) as error:
+        except (PySparkException, Py4JJavaError, ValueError) as error:
+            # An unreadable file is a Java error; it fails its target like any other.
             if strategy == "fail_fast":
                 stopped.set()
-            return (table, "failed", None, 0, None, str(error).splitlines()[0][:500])
+            return (table, "failed", None, 0, None, str(error))
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         rows = list(pool.map(inheritable_thread_target(store.spark)(attempt), targets))
@@ -207,9 +210,15 @@ def run(
 
     ``window`` limits all tables; ``incremental`` starts each one at its last mark. With
     ``whole_lookups`` tables that no target has as its main table are read whole, so that a
-    changed row also finds related rows that did not change. The marks are committed only after a successful load, so rows that change meanwhile are
-    due again next time. Progress, marks and metrics are kept below ``state_path``.
+    changed row also finds related rows that did not change.
+
+    Marks are taken before anything is loaded, so rows that change meanwhile are due again.
+    They are committed after the load, never by runs with a window (it leaves a gap), and of
+    each source only if every target it feeds was loaded or had no rows. A mark is included in the next run, so incremental runs must upsert.
+    Progress, marks and metrics are kept below ``state_path``.
     """
+    if incremental and mode == "append":
+        raise ValueError("an incremental run reads the rows at its marks again; use mode='upsert'")
     job = job_id or uuid4().hex
     moment = at or _now()
     history = f"{state_path}/watermarks"
@@ -229,7 +238,10 @@ def run(
             known = spark.read.parquet(history) if _exists(spark, history) else None
             limited = changed_since(limited, known)
         needed.update({name: apply_window(df, window, order=EXTENDED) for name, df in limited.items()})
-        marks = high_water_marks(needed, EXTENDED)
+        marks = None
+        if state_path and not (window and window.active):
+            marks = high_water_marks(needed, EXTENDED)
+            marks = cut(marks) if marks is not None else None
         note(("phase", phase, "done"))
         phase = "transformation"
         targets = build_all(mappings, needed, etl_timestamp=at, **build_options)
@@ -237,8 +249,9 @@ def run(
         phase = "loading"
         result = load_all(store, targets, strategy, mappings, mode=mode, **(load_options or {}))
         note(*[("table", row[0], row[1], row[3], row[5]) for row in result.rows])
-        if state_path and result.success and marks is not None:
-            commit_watermarks(marks, history, job, moment)
+        if marks is not None and result.success:
+            whole = sources_loaded(mappings, targets, result)
+            commit_watermarks(marks.filter(F.col("table").isin(sorted(whole))), history, job, moment)
         note(
             ("phase", phase, "done" if result.success else "failed"),
             ("job", "run", "completed" if result.success else "failed"),
@@ -252,6 +265,13 @@ def run(
     return result
 
 
+def sources_loaded(mappings: MappingSet, targets: Iterable[str], result: LoadResult) -> set[str]:
+    """The source tables of which every one of ``targets`` that reads them was loaded or had no rows."""
+    done = {*result.names("loaded"), *result.names("skipped")}
+    open_ = {table for name in targets if name not in done for table in mappings.sources_of(name)}
+    return mappings.required_tables() - open_
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 

@@ -31,13 +31,15 @@ def build_session(app_name: str = "starloom", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set (tests)."""
+    """The cluster's shared folder; a temporary one only where none is set and all runs on one machine (tests)."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="starloom-")
     sc.setCheckpointDir(local)
     return local

@@ -124,10 +124,10 @@ def classify_tables(
             "category": choose(F.lit("skip"), F.lit("dynamic"), F.lit("semi_static"), F.lit("unknown")),
             "required": choose(F.lit(False), F.lit(True), F.lit(True), F.lit(None).cast("boolean")),
             "reason": choose(
-                F.lit("Not used in transformations"),
-                F.lit("Required by transformation mappings"),
-                F.lit("Required but rarely updated"),
-                F.lit("Not in mapping - use dynamic detection"),
+                F.lit("unused"),
+                F.lit("mapped"),
+                F.lit("mapped, changes rarely"),
+                F.lit("unmapped"),
             ),
         }
     )

@@ -29,8 +29,9 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
 
 def _parsed(documents: DataFrame, column: str) -> DataFrame:
+    """A document that is no JSON, or too large for one value, is an error, never empty."""
     passing = [FILE] if FILE in documents.columns else []
-    return documents.select(*passing, F.try_parse_json(column).alias("doc"))
+    return documents.select(*passing, F.parse_json(column).alias("doc"))
 
 
 def _rows(tables: DataFrame) -> DataFrame:

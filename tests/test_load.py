@@ -363,6 +363,40 @@ def test_a_failed_load_keeps_the_mark_and_asks_for_replay(spark, store, tmp_path
     assert run_metrics(spark.read.parquet(f"{state}/run_metrics")).first()["failed_phase"] == "loading"
 
 
+PROJECT = "id bigint, name string, tenant_tsid bigint, updated_at_epoch bigint"
+
+
+def test_no_mark_is_committed_for_a_failed_source_or_a_window(spark, store, tmp_path):
+    """Also under the strategy that counts a run with failures as a success."""
+    state = str(tmp_path / "state")
+    bad = spark.range(2).select("id", F.raise_error(F.lit("broken")).cast("string").alias("name"), F.lit(1).alias("tenant_tsid"), F.lit(1_700_000_000_000).alias("updated_at_epoch"))
+    assert run(spark, {"project": bad}, store, state_path=state, incremental=True, mode="upsert").success
+    good = {"project": spark.createDataFrame([(1, "a", 1, 1_700_000_000_000)], PROJECT)}
+    run(spark, good, store, state_path=state, window=IncrementalWindow.between("2023-11-01"), mode="upsert")
+    folder = tmp_path / "state" / "watermarks"
+    assert not folder.exists() or spark.read.parquet(str(folder)).isEmpty()
+    run(spark, good, store, state_path=state, incremental=True, mode="upsert")
+    assert current_watermarks(spark.read.parquet(str(folder))).count() == 1
+
+
+def test_incremental_runs_must_upsert(spark, store):
+    with pytest.raises(ValueError, match="upsert"):
+        run(spark, {}, store, incremental=True)
+
+
+def test_rejects_are_kept_by_default_and_errors_whole(spark, store, tmp_path):
+    df = spark.createDataFrame([(1, "x" * 3000), (2, "ok")], "project_id bigint, name string")
+    result = load_all(store, {"dim_projects": df})
+    rejects = result.rows[0][4]
+    assert rejects and spark.read.parquet(f"{store.root}/_rejects/dim_projects").count() == rejects
+    spark.range(3).write.parquet(str(tmp_path / "broken"))
+    broken = spark.read.parquet(str(tmp_path / "broken"))
+    for part in (tmp_path / "broken").glob("part-*"):
+        part.write_bytes(b"no parquet")
+    result = load_all(store, {"dim_x": broken, "dim_y": spark.range(2)}, "continue_on_error")
+    assert (result.names("failed"), result.names("loaded")) == (["dim_x"], ["dim_y"])
+
+
 @pytest.mark.parametrize("whole, found", [(True, {20}), (False, {None})])
 def test_lookups_in_a_window(spark, store, whole, found):
     """The account did not change in the window: it is found only if lookups are read whole."""

@@ -3,17 +3,17 @@ import json
 import os
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from conftest import plan_of
 from starloom.functions.window import IncrementalWindow
 from starloom.operators.report import table_counts
-from starloom.operators.sets import sample_limit
 from starloom.plans.build import build_all, build_target
 from starloom.plans.targets import TARGETS
 from starloom.sinks.datasets import read_datasets, write_extract, write_transformed
-from starloom.sources.envelope import document_tables, read_extract, read_single, read_transformed, table_rows
-from starloom.sources.scan import Source, has_changes, latest_dataset, latest_file, sampled, scan, scan_all, scan_layout, scan_layouts
+from starloom.sources.envelope import document_tables, explode_extract, read_documents, read_extract, read_single, read_transformed, table_rows
+from starloom.sources.scan import Source, has_changes, latest_dataset, latest_file, scan, scan_all, scan_layout, scan_layouts
 
 USERS = T.StructType().add("id", T.LongType()).add("name", T.StringType()).add("tags", T.StringType())
 EXTRACT = {
@@ -26,7 +26,6 @@ EXTRACT = {
 def test_multi_database_documents(spark, tmp_path):
     (tmp_path / "one.json").write_text(json.dumps(EXTRACT))
     (tmp_path / "two.json").write_text(json.dumps({"tenant_2": {"users": {"records": 1, "sample": [{"id": 9}]}}}))
-    (tmp_path / "broken.json").write_text("{")
     rows = read_extract(spark, str(tmp_path / "*.json"))
     users = table_rows(rows, "users", USERS)
     got = sorted((r["_database"], r["_pos"], r["id"], r["name"]) for r in users.collect())
@@ -155,11 +154,10 @@ def test_credentials_are_not_shown():
     assert "secret" not in repr(source) and source.options["numPartitions"] == "8"
 
 
-def test_sampling_of_large_tables(spark):
-    df = spark.range(1000)
-    assert sampled(df, ["id"], 10, estimated_rows=1_000_000, memory_mb=100).count() == 10
-    assert sampled(df, ["id"], 10, estimated_rows=1_000, memory_mb=100).count() == 1000
-    assert [r["id"] for r in sample_limit(df, ["id"], 3).collect()] == [0, 1, 2]
+def test_broken_documents_fail(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"db": {"t": {"sample": [{"a": 1}')
+    with pytest.raises(Exception, match="MALFORMED|parse|JSON"):
+        explode_extract(read_documents(spark, str(tmp_path / "x.json"))).count()
 
 
 def test_transformed_datasets(spark, tmp_path):
