@@ -187,19 +187,25 @@ class _Block:
         edges = np.searchsorted(bucket, np.arange(len(splitters) + 2))
         for k in np.flatnonzero(np.diff(edges)).tolist():
             pick = stay[edges[k] : edges[k + 1]]
-            head = (doc[pick].astype(np.int64), begin[pick].astype(np.int64), anchor[pick].astype(np.uint8), length[pick].astype(np.uint8))
-            raw = np.int64(len(pick)).tobytes() + b"".join(x.tobytes() for x in head) + gather(flat, at[pick], length[pick]).tobytes()
+            ids, number = np.unique(doc[pick], return_inverse=True)
+            # Halves apart, because the upper ones are mostly zero; a text has less than 2^32 bytes.
+            halves = [x for v in (number, begin[pick]) for x in ((v & 0xFFFF).astype(np.uint16), (v >> 16).astype(np.uint16))]
+            head = (np.array([len(pick), len(ids)], np.int64), ids.astype(np.int64), *halves)
+            head += (anchor[pick].astype(np.uint8), length[pick].astype(np.uint8))
+            raw = b"".join(x.tobytes() for x in head) + gather(flat, at[pick], length[pick]).tobytes()
             yield k, 0, press.compress(raw)
 
 
 def unpacked(payload: bytes) -> tuple[np.ndarray, ...]:
     raw = zstandard.ZstdDecompressor().decompress(payload)
-    n = int(np.frombuffer(raw, np.int64, 1)[0])
-    at, out = 8, []
-    for kind in (np.int64, np.int64, np.uint8, np.uint8):
+    n, m = np.frombuffer(raw, np.int64, 2).tolist()
+    ids = np.frombuffer(raw, np.int64, m, 16)
+    at, out = 16 + 8 * m, []
+    for kind in (np.uint16, np.uint16, np.uint16, np.uint16, np.uint8, np.uint8):
         out.append(np.frombuffer(raw, kind, n, at).astype(np.int64))
         at += n * np.dtype(kind).itemsize
-    return (*out, np.frombuffer(raw, np.uint8, offset=at))
+    number, begin = out[0] | (out[1] << 16), out[2] | (out[3] << 16)
+    return ids[number], begin, out[4], out[5], np.frombuffer(raw, np.uint8, offset=at)
 
 
 def repeated(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
