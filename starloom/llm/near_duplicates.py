@@ -8,12 +8,14 @@ of minima are candidates; two sets with a similarity of 0.8 share none of 52 ban
 a million cases, with 0.85 in 2 of a billion. Fewer rows would be cheaper, but documents that
 share a long passage and little else would meet in groups of thousands.
 
-Candidates aren't paired with each other. In every band's group, members are held against one
-centre: if the signatures agree enough (a similarity of 0.8 gives less than 0.6 in one of ten
-million cases), the full sets decide. Links make components, by large-star and small-star.
-Groups whose members are of several components go on: members of the small components are the
-next centres, until every pair of a group was compared or is known to be connected. So a group
-costs its size times the number of members that don't belong, not its square.
+Candidates aren't paired with each other. First, in every band's group, members are held
+against one centre, the least: if the signatures agree enough (a similarity of 0.8 agrees less
+in one of ten million cases), the full sets decide. Links make components, by large-star and
+small-star. Groups whose members are still of several components go on: the members outside the
+group's largest component are compared with all others, in cells of at most about ``BLOCK`` by
+``BLOCK`` signatures that are dealt over all tasks, and only pairs of different components that
+agree leave a cell. Of them the full sets decide, at first for the best of each document and
+component, then for those pairs that these links haven't connected.
 
 Texts of candidates alone are read again, compressed, for the full sets.
 
@@ -25,12 +27,13 @@ doc_id; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructType
 
@@ -39,14 +42,14 @@ from starloom.llm.components import components
 from starloom.session import cut
 
 BANDS, ROWS = 52, 7
-#: Minima of which a byte is kept to compare signatures.
-SKETCH = 128
+#: Bytes to compare signatures by, one of each minimum.
+SKETCH = BANDS * ROWS
 #: In hundredths.
 SIMILAR = 80
-#: Share of equal minima below which full sets aren't compared.
-AGREE = 0.6
-#: Centres that a group takes on in each further round.
-CENTRES = 8
+#: Standard deviations below the expected share of equal minima at which full sets aren't compared.
+DEVIATIONS = 5.2
+#: Signatures on either side of a cell, on average.
+BLOCK = 256
 #: Shingles that a task keeps at hand while it compares.
 HELD = 4_000_000
 
@@ -105,7 +108,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                 [
                     part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(low, pa.int64()),
                     pa.array(high, pa.int64()), pa.array([x.tobytes() for x in band_keys(signs)], pa.binary()),
-                    pa.array([x.tobytes() for x in signs[:, :SKETCH].astype(np.uint8)], pa.binary()),
+                    pa.array([x.tobytes() for x in signs.astype(np.uint8)], pa.binary()),
                 ],
                 schema.fieldNames(),
             )
@@ -142,16 +145,21 @@ def _zipped(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, schema)
 
 
+def least_equal(similar: int) -> int:
+    """Equal bytes of two sketches below which full sets aren't compared."""
+    share = similar / 100
+    return math.ceil(SKETCH * (share - DEVIATIONS * math.sqrt(share * (1 - share) / SKETCH)))
+
+
 def _agreeing(pairs: DataFrame, sketches: DataFrame, similar: int) -> DataFrame:
-    """Of ``pairs`` those whose sizes allow it and whose signatures agree enough; a byte of each minimum is compared."""
+    """Of ``pairs`` those whose sizes allow it and whose signatures agree enough."""
     schema = StructType(fields("u v"))
-    # Unequal minima share a byte once in 256.
-    least = AGREE + (1 - AGREE) / 256
+    least = least_equal(similar)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u, v = (joined(batch.column(c)).reshape(-1, SKETCH) for c in ("u_sketch", "v_sketch"))
-            keep = pa.array((u == v).mean(axis=1) >= least)
+            keep = pa.array((u == v).sum(axis=1) >= least)
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(keep)
 
     sized = _beside(pairs, sketches, "n_shingles", "sketch")
@@ -205,22 +213,87 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, similar: int) -> DataFra
     return _beside(pairs, texts, "zipped").mapInArrow(work, schema)
 
 
-def _centres(known: DataFrame, most: int) -> DataFrame:
-    """(band, centre, of): the least member of each of a group's ``most`` smallest components, the largest left out."""
-    least = F.min(F.struct("doc_id", "n_shingles"))
-    sizes = (
-        known.groupBy("band", "component")
-        .agg(F.count(F.lit(1)).alias("n"), least.alias("least"))
-        .select("*", F.col("least.doc_id").alias("centre"), F.col("least.n_shingles").alias("size"))
-    )
-    several = sizes.groupBy("band").agg(F.count(F.lit(1)).alias("components")).where("components > 1")
-    rank = F.row_number().over(Window.partitionBy("band").orderBy("n", "centre"))
-    return (
-        sizes.join(several, "band")
-        .withColumn("rank", rank)
-        .where((F.col("rank") <= most) & (F.col("rank") < F.col("components")))
-        .select("band", "centre", "size", F.col("component").alias("of"))
+def _cells(known: DataFrame) -> DataFrame:
+    """(cell, doc_id, component, centre): members of groups of several components, each met by every centre in one cell."""
+    sizes = known.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = F.max(F.struct("n", "component"))
+    grids = (
+        sizes.groupBy("band")
+        .agg(F.count(F.lit(1)).alias("components"), F.sum("n").alias("members"), largest.alias("largest"))
+        .where("components > 1")
+        .select(
+            "band",
+            F.col("largest.component").alias("home"),
+            F.ceil(F.col("members") / BLOCK).alias("n_rows"),
+            F.ceil((F.col("members") - F.col("largest.n")) / BLOCK).alias("n_columns"),
+        )
     )
+    dealt = known.join(grids, "band")
+    place = F.xxhash64("doc_id")
+    members = dealt.select(
+        "band", "doc_id", "component", F.lit(False).alias("centre"),
+        F.pmod(place, "n_rows").alias("row"), F.explode(F.sequence(F.lit(1), "n_columns")).alias("column"),
+    )
+    centres = dealt.where("component != home").select(
+        "band", "doc_id", "component", F.lit(True).alias("centre"),
+        F.explode(F.expr("sequence(0, n_rows - 1)")).alias("row"), (F.pmod(place, "n_columns") + 1).alias("column"),
+    )
+    # Should two cells share a hash, more pairs than needed are compared.
+    return members.unionByName(centres).select(F.xxhash64("band", "row", "column").alias("cell"), "doc_id", "component", "centre")
+
+
+def _met(cells: DataFrame, sketches: DataFrame, similar: int) -> DataFrame:
+    """(centre, other, component, equal): agreeing pairs of different components, the other's component, and the equal bytes."""
+    schema = StructType(fields("centre other component equal"))
+    least = least_equal(similar)
+
+    def agreeing(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        docs, parts, sizes = (cell.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles"))
+        signs = joined(cell.column("sketch").combine_chunks()).reshape(-1, SKETCH)
+        is_centre = cell.column("centre").to_numpy()
+        centres, others = np.flatnonzero(is_centre), np.flatnonzero(~is_centre)
+        step = max(1, SLICE // (SKETCH * max(1, len(others))))
+        for at in range(0, len(centres), step):
+            some = centres[at : at + step]
+            low, high = np.minimum.outer(sizes[some], sizes[others]), np.maximum.outer(sizes[some], sizes[others])
+            may = (parts[some][:, None] != parts[others]) & (100 * low >= similar * high)
+            u, v = np.nonzero(may)
+            equal = (signs[some[u]] == signs[others[v]]).sum(axis=1)
+            keep = equal >= least
+            u, v = some[u[keep]], others[v[keep]]
+            columns = (docs[u], docs[v], parts[v], equal[keep].astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema.fieldNames())
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            if rest is not None:
+                table = pa.concat_tables([rest, table])
+            keys = table.column("cell").to_numpy()
+            bounds = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist()]
+            for a, b in zip(bounds, bounds[1:]):
+                yield from agreeing(table.slice(a, b - a))
+            # The last cell may go on in the next batch.
+            rest = table.slice(bounds[-1])
+        if rest is not None:
+            yield from agreeing(rest)
+
+    signed = cells.join(sketches, "doc_id")
+    return signed.repartition("cell").sortWithinPartitions("cell").mapInArrow(work, schema)
+
+
+def _tied(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Components of ``links`` and of what ``labels`` has tied before."""
+    return components(links.unionByName(labels.select(F.col("id").alias("u"), F.col("component").alias("v"))))
+
+
+def _labelled(df: DataFrame, labels: DataFrame, doc: str, name: str) -> DataFrame:
+    """``df`` with the component of its column ``doc``, itself if nothing tied it."""
+    own = small(labels.select(F.col("id").alias(doc), F.col("component").alias(name)))
+    return df.join(own, doc, "left").withColumn(name, F.coalesce(name, doc))
 
 
 def connected(leaders: DataFrame, docs: DataFrame, n: int, similar: int) -> DataFrame:
@@ -231,35 +304,21 @@ def connected(leaders: DataFrame, docs: DataFrame, n: int, similar: int) -> Data
     candidates = cut(members.select("doc_id").distinct())
     sketches = cut(leaders.join(small(candidates), "doc_id", "left_semi").select("doc_id", "n_shingles", "sketch"))
     texts = cut(_zipped(docs.join(small(candidates), "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
-    # First round: the least of each group is the centre, and is done with.
-    others = members.where("doc_id != centre")
-    compared = cut(others.select(F.col("doc_id").alias("u"), F.col("centre").alias("v")).distinct())
-    labels = components(_linked(cut(_agreeing(compared, sketches, similar)), texts, n, similar))
-    active = others.select("band", "doc_id").join(sketches.select("doc_id", "n_shingles"), "doc_id")
-    most = CENTRES
-    while True:
-        known = cut(
-            active.join(small(labels.withColumnRenamed("id", "doc_id")), "doc_id", "left").withColumn(
-                "component", F.coalesce("component", "doc_id")
-            )
-        )
-        centres = cut(_centres(known, most))
-        if centres.isEmpty():
-            return labels
-        near = F.expr(f"100 * least(n_shingles, size) >= {similar} * greatest(n_shingles, size) and component != of")
-        pairs = cut(
-            known.join(centres, "band")
-            .where(near)
-            .select(F.greatest("doc_id", "centre").alias("u"), F.least("doc_id", "centre").alias("v"))
-            .distinct()
-            .join(compared, ["u", "v"], "left_anti")
-        )
-        linked = _linked(cut(_agreeing(pairs, sketches, similar)), texts, n, similar)
-        labels = components(linked.unionByName(labels.select(F.col("id").alias("u"), F.col("component").alias("v"))))
-        compared = compared.unionByName(pairs)
-        done = centres.select("band", F.col("centre").alias("doc_id"))
-        active = known.join(done, ["band", "doc_id"], "left_anti").select("band", "doc_id", "n_shingles")
-        most *= 4
+    # The least of each group is its first centre.
+    first = members.where("doc_id != centre").select(F.col("doc_id").alias("u"), F.col("centre").alias("v")).distinct()
+    compared = cut(_agreeing(first, sketches, similar))
+    labels = components(_linked(compared, texts, n, similar))
+    known = cut(_labelled(members.select("band", "doc_id"), labels, "doc_id", "component"))
+    met = _met(_cells(known), sketches, similar).distinct()
+    pair = [F.greatest("centre", "other").alias("u"), F.least("centre", "other").alias("v")]
+    pairs = cut(met.select(*pair, "*").join(compared, ["u", "v"], "left_anti"))
+    best = pairs.groupBy("centre", "component").agg(F.max(F.struct("equal", "other")).alias("best"))
+    best = cut(best.select("centre", F.col("best.other").alias("other")).select(*pair).distinct())
+    labels = _tied(_linked(best, texts, n, similar), labels)
+    rest = pairs.select("u", "v").distinct().join(best, ["u", "v"], "left_anti")
+    rest = _labelled(_labelled(rest, labels, "u", "u_component"), labels, "v", "v_component")
+    rest = cut(rest.where("u_component != v_component").select("u", "v"))
+    return _tied(_linked(rest, texts, n, similar), labels)
 
 
 def groups(docs: DataFrame, n: int = 4, similar: int = SIMILAR) -> DataFrame:
