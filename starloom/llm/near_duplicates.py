@@ -13,9 +13,10 @@ against one centre, the least: if the signatures agree enough (a similarity of 0
 in one of ten million cases), the full sets decide. Links make components, by large-star and
 small-star. Groups whose members are still of several components go on: the members outside the
 group's largest component are compared with all others, in cells of at most about ``BLOCK`` by
-``BLOCK`` signatures that are dealt over all tasks, and only pairs of different components that
-agree leave a cell. Of them the full sets decide, at first for the best of each document and
-component, then for those pairs that these links haven't connected.
+``BLOCK`` documents that are dealt over all tasks. In a cell, pairs of different components
+that agree are held against each other by their full sets, the best first, until a document
+is linked with a component; a pair is compared in the first band it shares alone, and only
+links leave a cell.
 
 Texts of candidates alone are read again, compressed, for the full sets.
 
@@ -173,40 +174,55 @@ def _beside(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
     return pairs.join(v, "v").join(u, "u")
 
 
+class _Sets:
+    """Full sets at hand in a task, as many as ``HELD`` allows."""
+
+    def __init__(self, n: int, similar: int) -> None:
+        self.n, self.similar = n, similar
+        self.unzip = zstandard.ZstdDecompressor()
+        self.held: dict[int, np.ndarray] = {}
+        self.size = 0
+
+    def make_room(self) -> None:
+        if self.size > HELD:
+            self.held.clear()
+            self.size = 0
+
+    def hold(self, docs: list[int], zipped: pa.Array) -> None:
+        """Sets of documents that aren't held yet, worked out together."""
+        new = {d: k for k, d in enumerate(docs) if d not in self.held}
+        texts, size = {}, 0
+        for d, k in new.items():
+            texts[d] = self.unzip.decompress(zipped[k].as_py())
+            size += len(texts[d])
+            if size > SLICE or d == next(reversed(new)):
+                ends = np.cumsum([0, *map(len, texts.values())])
+                sets = shingle_sets(np.frombuffer(b"".join(texts.values()), np.uint8), ends, self.n)
+                self.held.update(zip(texts, sets))
+                self.size += sum(map(len, sets))
+                texts, size = {}, 0
+
+    def link(self, u: int, v: int) -> bool:
+        a, b = self.held[u], self.held[v]
+        both = np.intersect1d(a, b, assume_unique=True).size
+        return 100 * both >= self.similar * (len(a) + len(b) - both)
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, n: int, similar: int) -> DataFrame:
     """Of ``pairs`` those that are similar enough on full sets."""
     schema = StructType(fields("u v"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unzip = zstandard.ZstdDecompressor()
-        held: dict[int, np.ndarray] = {}
-
-        def hold(docs: list[int], zipped: pa.Array) -> None:
-            """Sets of documents that aren't held yet, worked out together."""
-            new = {d: k for k, d in enumerate(docs) if d not in held}
-            texts, size = {}, 0
-            for d, k in new.items():
-                texts[d] = unzip.decompress(zipped[k].as_py())
-                size += len(texts[d])
-                if size > SLICE or d == next(reversed(new)):
-                    ends = np.cumsum([0, *map(len, texts.values())])
-                    held.update(zip(texts, shingle_sets(np.frombuffer(b"".join(texts.values()), np.uint8), ends, n)))
-                    texts, size = {}, 0
-
+        sets = _Sets(n, similar)
         for batch in batches:
             out = []
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
                 us, vs = part.column("u").to_pylist(), part.column("v").to_pylist()
-                if sum(map(len, held.values())) > HELD:
-                    held.clear()
-                hold(us, part.column("u_zipped"))
-                hold(vs, part.column("v_zipped"))
-                for k, (u, v) in enumerate(zip(us, vs)):
-                    a, b = held[u], held[v]
-                    both = np.intersect1d(a, b, assume_unique=True).size
-                    if 100 * both >= similar * (len(a) + len(b) - both):
-                        out.append(at + k)
+                sets.make_room()
+                sets.hold(us, part.column("u_zipped"))
+                sets.hold(vs, part.column("v_zipped"))
+                out += [at + k for k, (u, v) in enumerate(zip(us, vs)) if sets.link(u, v)]
             rows = pa.array(out, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("u").take(rows), batch.column("v").take(rows)], ["u", "v"])
 
@@ -214,7 +230,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, similar: int) -> DataFra
 
 
 def _cells(known: DataFrame) -> DataFrame:
-    """(cell, doc_id, component, centre): members of groups of several components, each met by every centre in one cell."""
+    """(cell, band, doc_id, component, centre): members of groups of several components, each met by every centre in one cell."""
     sizes = known.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = F.max(F.struct("n", "component"))
     grids = (
@@ -239,33 +255,49 @@ def _cells(known: DataFrame) -> DataFrame:
         F.explode(F.expr("sequence(0, n_rows - 1)")).alias("row"), (F.pmod(place, "n_columns") + 1).alias("column"),
     )
     # Should two cells share a hash, more pairs than needed are compared.
-    return members.unionByName(centres).select(F.xxhash64("band", "row", "column").alias("cell"), "doc_id", "component", "centre")
+    return members.unionByName(centres).select(F.xxhash64("band", "row", "column").alias("cell"), "band", "doc_id", "component", "centre")
 
 
-def _met(cells: DataFrame, sketches: DataFrame, similar: int) -> DataFrame:
-    """(centre, other, component, equal): agreeing pairs of different components, the other's component, and the equal bytes."""
-    schema = StructType(fields("centre other component equal"))
+def _met(cells: DataFrame, sketches: DataFrame, texts: DataFrame, n: int, similar: int) -> DataFrame:
+    """(u, v): links of full sets that tie each centre to every component it is similar to in a cell."""
+    schema = StructType(fields("u v"))
     least = least_equal(similar)
 
-    def agreeing(cell: pa.Table) -> Iterator[pa.RecordBatch]:
-        docs, parts, sizes = (cell.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles"))
+    def linked(cell: pa.Table, sets: _Sets) -> Iterator[pa.RecordBatch]:
+        docs, parts, sizes, band = (cell.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles", "band"))
         signs = joined(cell.column("sketch").combine_chunks()).reshape(-1, SKETCH)
+        bands = joined(cell.column("bands").combine_chunks()).view(np.int64).reshape(-1, BANDS)
+        zipped = cell.column("zipped").combine_chunks()
         is_centre = cell.column("centre").to_numpy()
         centres, others = np.flatnonzero(is_centre), np.flatnonzero(~is_centre)
         step = max(1, SLICE // (SKETCH * max(1, len(others))))
         for at in range(0, len(centres), step):
             some = centres[at : at + step]
             low, high = np.minimum.outer(sizes[some], sizes[others]), np.maximum.outer(sizes[some], sizes[others])
-            may = (parts[some][:, None] != parts[others]) & (100 * low >= similar * high)
-            u, v = np.nonzero(may)
-            equal = (signs[some[u]] == signs[others[v]]).sum(axis=1)
-            keep = equal >= least
-            u, v = some[u[keep]], others[v[keep]]
-            columns = (docs[u], docs[v], parts[v], equal[keep].astype(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema.fieldNames())
+            u, v = np.nonzero((parts[some][:, None] != parts[others]) & (100 * low >= similar * high))
+            u, v = some[u], others[v]
+            equal = (signs[u] == signs[v]).sum(axis=1)
+            u, v, equal = (x[equal >= least] for x in (u, v, equal))
+            # A pair of two centres is met from both sides, any other pair in each band it shares.
+            first = (bands[u] == bands[v]).argmax(axis=1)
+            now = bands[u, first] == band[u]
+            u, v, equal = u[now], v[now], equal[now]
+            if not len(u):
+                continue
+            sets.make_room()
+            used = np.unique(np.concatenate((u, v)))
+            sets.hold(docs[used].tolist(), zipped.take(pa.array(used)))
+            tied, out = set(), []
+            for k in np.argsort(-equal, kind="stable").tolist():
+                a, b = int(docs[u[k]]), int(docs[v[k]])
+                if (a, int(parts[v[k]])) not in tied and sets.link(a, b):
+                    tied.add((a, int(parts[v[k]])))
+                    out.append((max(a, b), min(a, b)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema.fieldNames())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        rest, sets = None, _Sets(n, similar)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -275,21 +307,16 @@ def _met(cells: DataFrame, sketches: DataFrame, similar: int) -> DataFrame:
             keys = table.column("cell").to_numpy()
             bounds = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist()]
             for a, b in zip(bounds, bounds[1:]):
-                yield from agreeing(table.slice(a, b - a))
+                yield from linked(table.slice(a, b - a), sets)
             # The last cell may go on in the next batch.
             rest = table.slice(bounds[-1])
         if rest is not None:
-            yield from agreeing(rest)
+            yield from linked(rest, sets)
 
-    signed = cells.join(sketches, "doc_id")
+    signed = cells.join(sketches, "doc_id").join(texts, "doc_id")
     return signed.repartition("cell").sortWithinPartitions("cell").mapInArrow(work, schema)
 
 
-def _tied(links: DataFrame, labels: DataFrame) -> DataFrame:
-    """Components of ``links`` and of what ``labels`` has tied before."""
-    return components(links.unionByName(labels.select(F.col("id").alias("u"), F.col("component").alias("v"))))
-
-
 def _labelled(df: DataFrame, labels: DataFrame, doc: str, name: str) -> DataFrame:
     """``df`` with the component of its column ``doc``, itself if nothing tied it."""
     own = small(labels.select(F.col("id").alias(doc), F.col("component").alias(name)))
@@ -302,23 +329,15 @@ def connected(leaders: DataFrame, docs: DataFrame, n: int, similar: int) -> Data
     crowded = bands.groupBy("band").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("b")).where("centre < b")
     members = cut(bands.join(crowded.select("band", "centre"), "band"))
     candidates = cut(members.select("doc_id").distinct())
-    sketches = cut(leaders.join(small(candidates), "doc_id", "left_semi").select("doc_id", "n_shingles", "sketch"))
+    signed = leaders.join(small(candidates), "doc_id", "left_semi")
+    sketches = cut(signed.select("doc_id", "n_shingles", "sketch", "bands"))
     texts = cut(_zipped(docs.join(small(candidates), "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
     # The least of each group is its first centre.
     first = members.where("doc_id != centre").select(F.col("doc_id").alias("u"), F.col("centre").alias("v")).distinct()
-    compared = cut(_agreeing(first, sketches, similar))
-    labels = components(_linked(compared, texts, n, similar))
+    labels = components(_linked(cut(_agreeing(first, sketches, similar)), texts, n, similar))
     known = cut(_labelled(members.select("band", "doc_id"), labels, "doc_id", "component"))
-    met = _met(_cells(known), sketches, similar).distinct()
-    pair = [F.greatest("centre", "other").alias("u"), F.least("centre", "other").alias("v")]
-    pairs = cut(met.select(*pair, "*").join(compared, ["u", "v"], "left_anti"))
-    best = pairs.groupBy("centre", "component").agg(F.max(F.struct("equal", "other")).alias("best"))
-    best = cut(best.select("centre", F.col("best.other").alias("other")).select(*pair).distinct())
-    labels = _tied(_linked(best, texts, n, similar), labels)
-    rest = pairs.select("u", "v").distinct().join(best, ["u", "v"], "left_anti")
-    rest = _labelled(_labelled(rest, labels, "u", "u_component"), labels, "v", "v_component")
-    rest = cut(rest.where("u_component != v_component").select("u", "v"))
-    return _tied(_linked(rest, texts, n, similar), labels)
+    links = _met(_cells(known), sketches, texts, n, similar).distinct()
+    return components(links.unionByName(labels.select(F.col("id").alias("u"), F.col("component").alias("v"))))
 
 
 def groups(docs: DataFrame, n: int = 4, similar: int = SIMILAR) -> DataFrame:
