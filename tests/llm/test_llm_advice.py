@@ -37,3 +37,44 @@ def test_one_text_does_not_reach_another():
     part = pa.RecordBatch.from_arrays([pa.array(["en"] * 4)], ["lang"])
     loss = language_model._losses(part, data, offsets, {"en": lookup})[0]
     assert loss[0] == loss[3] == 9 and loss[1] == 0 and math.isnan(loss[2])
+
+
+def test_held_out_counts_leave_the_own_fold_out(spark):
+    rows = [("0en", 1, 2), ("1en", 1, 3), ("1en", 2, 0), ("0en", 3, 4), ("0de", 1, 5), ("1de", 2, 0)]
+    got = {(r["lang"], r["gram"]): r["c"] for r in language_model.held_out(spark.createDataFrame(rows, "lang string, gram long, c long")).collect()}
+    assert (got["0en", 1], got["1en", 1], got["1en", 2], got["0en", 3], got["1en", 3]) == (3, 2, 0, 0, 4)
+    # All trusted text in one fold: nothing can be held out.
+    assert got["0de", 1] == got["1de", 1] == 5
+
+
+def test_worst_passage_against_plain_sums():
+    r = np.random.default_rng(1)
+    n = np.array([0, 3, 16, 40, 0, 17])
+    losses = r.random(n.sum())
+    loss, worst = language_model._by_text(losses, n)
+    for k, part in enumerate(np.split(losses, np.cumsum(n)[:-1])):
+        want = max((part[max(0, i - 15) : i + 1].sum() for i in range(len(part))), default=0)
+        assert math.isclose(loss[k], part.sum(), abs_tol=1e-12) and math.isclose(worst[k], want, abs_tol=1e-12)
+
+
+def test_both_paths_give_the_same_verdicts(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    one, two = ({r["doc_id"]: r for r in language_model.judge(docs, labels, table_rows=n).collect()} for n in (10**7, 0))
+    assert one.keys() == two.keys() and len(one) == docs.count()
+    for k, x in one.items():
+        y = two[k]
+        assert x["kept"] == y["kept"] and x["n_chars"] == y["n_chars"]
+        assert math.isclose(x["perplexity"], y["perplexity"], rel_tol=1e-5) and math.isclose(x["passage"], y["passage"], rel_tol=1e-5)
+    kept = {r["doc_id"] for r in language_model.accepted(docs, labels).collect()}
+    assert kept == {k for k, x in one.items() if x["kept"]} == {r["doc_id"] for r in language_model.accepted(docs, labels, table_rows=0).collect()}
+
+
+def test_labelled_bad_documents_are_rejected(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = language_model.judge(docs, labels).join(labels, "doc_id").select("quality", "toxic", "lang", "kept").collect()
+    share = lambda q, t, *langs: (lambda x: sum(x) / len(x))([not r["kept"] for r in rows if (r["quality"], r["toxic"]) == (q, t) and r["lang"] in (langs or "de en es fr".split())])
+    assert share(1, 0) <= 0.015 and share(0, 0) >= 0.9
+    # Only the English toxic texts hold insults that trusted text never has.
+    assert share(1, 1, "en") >= 0.95
