@@ -7,9 +7,12 @@ contiguous run with the highest sum. The weights are log odds from labelled page
 sample whose own mark-up (``article``, ``main``) labels its tokens; pages without such
 elements are cut by the weights alone.
 
-An exact check follows: where the run lies in an ``article`` or ``main`` element it is widened
-to that element, and blocks in elements that never hold main text (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, reader comments) are left out.
+An exact check follows: where the run touches ``article`` or ``main`` elements it is widened to
+all of these, and blocks in elements that never hold main text (menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles, reader comments) are left out. A class, id or
+role marks such an element by a whole word between blanks; ``html``, ``body``, ``main`` and
+``article`` are never marked, nor is a marked element or a form around an ``article`` or ``main``,
+unless it is itself inside an ``article`` (reader comments are articles in one).
 
 Defined results: null and empty html give an empty text; unclosed elements end with the page;
 broken tags are text or dropped like browsers do, never an error; character references are
@@ -53,7 +56,9 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = frozenset("nav header footer aside form head title button menu dialog".split())
 MAIN = frozenset(("article", "main"))
-#: Words in class, id or role that mark an element without main text.
+#: Elements that no class, id or role marks.
+UNMARKED = frozenset(("html", "body", *MAIN))
+#: Words of class, id or role, whole ones, that mark an element without main text.
 ROLES = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments complementary contentinfo "
     "cookie cookies footer header menu navbar nav navigation newsletter notice notices popup promo promoted related "
@@ -77,17 +82,20 @@ class Token:
 
 
 def names_of(attributes: str) -> set[str]:
-    return {
-        w for m in NAMED.finditer(attributes) for w in re.split(r"[^a-z0-9]+", "".join(filter(None, m.groups())).lower())
-    }
+    """The words between blanks of class, id and role."""
+    return {w for m in NAMED.finditer(attributes) for w in "".join(filter(None, m.groups())).lower().split()}
 
 
-def tokens(page: str | None) -> list[Token]:
-    """The words and tags of a page in order. ``block`` numbers the stretches of text without a block tag between."""
+def tokens(page: str | None, around: frozenset[int] = frozenset()) -> list[Token]:
+    """The words and tags of a page in order. ``block`` numbers the stretches of text without a block tag between.
+
+    ``around`` has the numbers of the marked elements that a first pass found around an article or main element.
+    """
     out: list[Token] = []
-    # (name, whether it never holds main text, number of the enclosing main element, key for its words)
-    stack: list[tuple[str, bool, int, str]] = [("", False, 0, "-")]
-    block = mains = links = 0
+    # (name, whether it never holds main text, number of the enclosing main element, key for its words, number if marked)
+    stack: list[tuple[str, bool, int, str, int]] = [("", False, 0, "-", 0)]
+    block = mains = links = marked = 0
+    found: set[int] = set()
     for m in TOKEN.finditer(page or ""):
         raw, end, name, attributes, end2, name2, attributes2, text = m.groups()
         if text is not None:
@@ -132,14 +140,27 @@ def tokens(page: str | None) -> list[Token]:
         # A paragraph ends where the next block begins; it never holds one.
         if stack[-1][0] == "p":
             stack.pop()
-        _, never, main, _ = stack[-1]
-        marks = names_of(attributes) if attributes else set()
-        never = never or name in NEVER or bool(marks & ROLES)
+        _, never, main, *_ = stack[-1]
+        marks = names_of(attributes) & ROLES if attributes and name not in UNMARKED else set()
+        number = 0
+        if marks and name not in NEVER or name == "form":
+            marked += 1
+            number = marked
+        if number in around:
+            marks, number = set(), 0
+        elif name in NEVER or marks:
+            never = True
+        if name in MAIN:
+            for outer in stack:
+                if outer[0] == "article":
+                    break
+                if outer[4]:
+                    found.add(outer[4])
         if name in MAIN and not main and not never:
             mains += 1
             main = mains
-        stack.append((name, never, main, ".".join([name, *sorted(marks & ROLES)])))
-    return out
+        stack.append((name, never, main, ".".join([name, *sorted(marks)]), number))
+    return tokens(page, frozenset(found)) if found else out
 
 
 def fit(pages: list[str]) -> dict[str, float]:
@@ -188,14 +209,10 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
     """The main text: blocks in page order, one line each."""
     found = tokens(page)
     a, b = best_run([weight(t, weights) for t in found])
-    mains = Counter()
-    for t in found[a:b]:
-        if t.main:
-            mains[t.main] += t.words
+    mains = {t.main for t in found[a:b] if t.main and t.words}
     if mains:
-        # The run's element, whole; the first of equals.
-        inside = max(mains, key=lambda k: (mains[k], -k))
-        chosen = [t for t in found if t.main == inside]
+        # The run's elements, whole.
+        chosen = [t for t in found if t.main in mains]
     else:
         chosen = found[a:b]
     lines: list[str] = []

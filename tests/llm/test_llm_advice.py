@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from starloom.llm import language_model
+from starloom.llm import language_model, main_text
 
 DOC = "doc_id long, text string, lang string"
 
@@ -78,3 +78,33 @@ def test_labelled_bad_documents_are_rejected(spark):
     assert share(1, 0) <= 0.015 and share(0, 0) >= 0.9
     # Only the English toxic texts hold insults that trusted text never has.
     assert share(1, 1, "en") >= 0.95
+
+
+TEXT = "<p>one two three four five</p><p>six seven</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body class='has-sidebar'><article>{TEXT}</article></body>",
+        f"<body class='sidebar'><article>{TEXT}</article></body>",
+        f"<html id='share'><body class='sticky-header'><main class='search'>{TEXT}</main></body></html>",
+        f"<div class='content with-sidebar'><article>{TEXT}</article></div>",
+        f"<article class='post related'>{TEXT}</article>",
+        f"<div class='sidebar'><div class='promo'><article>{TEXT}</article></div></div>",
+        f"<main><div class='related'><article>{TEXT}</article></div></main>",
+        f"<form><nav>menu</nav><article>{TEXT}</article></form>",
+        f"<div class='content with-sidebar'>{TEXT}</div>",
+    ],
+)
+def test_marks_do_not_lose_the_article(page):
+    assert main_text.extract(page, {}) == "one two three four five\nsix seven"
+
+
+def test_sibling_articles_stay_and_marked_blocks_go():
+    first, second = " ".join(f"first{k}" for k in range(60)), " ".join(f"second{k}" for k in range(60))
+    page = (
+        f"<article><p>{first}</p><div class='comments'><article>no</article></div><div class='x ad'>no</div></article>"
+        f"<div class='menu'>a</div><article><p>{second}</p></article><aside><article>no</article></aside>"
+    )
+    assert main_text.extract(page, {}) == f"{first}\n{second}"
