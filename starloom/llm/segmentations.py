@@ -132,7 +132,7 @@ class Words:
         self.index: dict[str, int] = {}
         self.begin = np.zeros(1, np.int64)
         self.piece = np.zeros((1 << 20, v.longest), np.int32)
-        self.chance = np.zeros((1 << 20, v.longest), np.float32)
+        self.chance = np.zeros((1 << 20, v.longest))
 
     def numbers(self, units: list[str]) -> np.ndarray:
         """The number of each word's lattice, made if it isn't there."""
@@ -218,7 +218,7 @@ def draw(w: Words, text: np.ndarray, word: np.ndarray, place: np.ndarray, end: n
         # Rounding can point past the last possible piece.
         bad = np.flatnonzero(chance[np.arange(len(size)), size] <= 0)
         size[bad] = chance[bad].argmax(axis=1)
-        parts.append((text, word, place.copy(), size, np.log(chance[np.arange(len(size)), size].astype(np.float64))))
+        parts.append((text, word, place.copy(), size, np.log(chance[np.arange(len(size)), size])))
         place = place + size + 1
         go = place < end
         text, word, place, end = text[go], word[go], place[go], end[go]
@@ -266,7 +266,11 @@ def top_k(w: Words, units: list[list[str]], keys: np.ndarray, k: int) -> list[tu
         u = uniform(keys[path.text], index.astype(np.uint64) + np.uint64((r + 1) << 44) + np.uint64(1 << 62))
         with np.errstate(divide="ignore"):
             rest = np.log(np.maximum(0.0, 1.0 - taken))
-        rest[taken > 1 - 1e-6] = -np.inf
+            # Next to 1 the difference says nothing: the sum of the other edges, none only if there is no other.
+            near = np.flatnonzero(taken > 1 - 1e-6)
+            others = w.chance[path.place[near]]
+            others[np.arange(len(near)), path.size[near]] = 0
+            rest[near] = np.log(others.sum(axis=1))
         value = np.where(own, below(before, rest, u, bound[path.text]), -np.inf)
         rounds.append({"path": path, "edges": edges, "before": before, "value": value, "used": (1 << path.size.astype(np.int64))})
         # The best node of every text over all paths so far.
@@ -314,7 +318,7 @@ def _reopened(w, node, mine, at, owner, occurrence, begin, end, keys, r, bound)
     """New paths of texts ``mine``: as ``node``'s path before ``at``, another piece there, then fresh ones."""
     path = node["path"]
     place, word = path.place[at], path.word[at]
-    chance = w.chance[place].astype(np.float64)
+    chance = w.chance[place]
     used = node["used"][at]
     open_ = np.where((used[:, None] >> np.arange(w.v.longest)) & 1, 0.0, chance)
     number = uniform(keys[mine], np.full(len(mine), r, np.uint64) + np.uint64(3 << 60)) * open_.sum(axis=1)
@@ -328,7 +332,7 @@ def _reopened(w, node, mine, at, owner, occurrence, begin, end, keys, r, bound)
     left = open_.sum(axis=1)
     u = uniform(keys[mine], np.full(len(mine), r, np.uint64) + np.uint64(5 << 60))
     with np.errstate(divide="ignore"):
-        node["value"][at] = np.where(left > 1e-6, below(node["before"][at], np.log(left), u, bound[mine]), -np.inf)
+        node["value"][at] = np.where(left > 0, below(node["before"][at], np.log(left), u, bound[mine]), -np.inf)
     # Before: the same pieces. After: the rest of the word, then all later words.
     chosen = np.full(len(node["edges"]) - 1, -1)
     chosen[mine] = at

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from starloom.llm import language_model, main_text
+from starloom.llm import language_model, main_text, segmentations
 
 DOC = "doc_id long, text string, lang string"
 
@@ -108,3 +108,11 @@ def test_sibling_articles_stay_and_marked_blocks_go():
         f"<div class='menu'>a</div><article><p>{second}</p></article><aside><article>no</article></aside>"
     )
     assert main_text.extract(page, {}) == f"{first}\n{second}"
+
+
+@pytest.mark.parametrize("text", ["in", "a", "qu", "на", "        "])
+def test_unlikely_segmentations_are_emitted(spark, text):
+    rows = segmentations.encode(spark.createDataFrame([(1, text, "en")], DOC)).collect()
+    assert len({tuple(r["ids"]) for r in rows}) == len(rows) == 2
+    assert all(0 < r["inclusion"] <= 1 and math.isfinite(r["log_prob"]) for r in rows)
+    assert {r["decoded"] for r in segmentations.decode(segmentations.encode(spark.createDataFrame([(1, text, "en")], DOC))).collect()} == {text}
