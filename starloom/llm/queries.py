@@ -17,6 +17,7 @@ from starloom.llm import (
     quality_rules,
     repeats,
     segmentations,
+    substrings,
     url_language,
 )
 
@@ -84,11 +85,16 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(table(spark, sf_dir, "documents"))
 
 
+def op13_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_main_text, op2_quality_rules, op3_url_language, op4_language_model, op5_segmentations,
         op6_near_duplicates, op7_repeats, op8_binpack, op9_decontaminate, op10_personal_data,
+        op13_substrings,
     )
 }
 
