@@ -14,6 +14,7 @@ from starloom.llm import (
     main_text,
     near_duplicates,
     personal_data,
+    prefix_trie,
     quality_rules,
     repeats,
     segmentations,
@@ -85,6 +86,11 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = prefix_trie.turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.nodes(prefix_trie.paths(prefix_trie.rebuilt(lists)))
+
+
 def op13_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(table(spark, sf_dir, "documents"))
 
@@ -94,7 +100,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_main_text, op2_quality_rules, op3_url_language, op4_language_model, op5_segmentations,
         op6_near_duplicates, op7_repeats, op8_binpack, op9_decontaminate, op10_personal_data,
-        op13_substrings,
+        op12_prefix_trie, op13_substrings,
     )
 }
 
@@ -208,4 +214,59 @@ ORACLES: dict[str, str] = {
             coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN hit_words ON hit_words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
     """,
+    "op12_prefix_trie": r"""
+        WITH t AS (
+            SELECT conv_id, role, text, strlen(text) AS n, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || text)
+            ) AS i
+            FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+            WHERE conv_id IS NOT NULL
+        ),
+        c AS (
+            SELECT conv_id, conv_id - conv_id % 5 AS base, xor(4294967295, list_reduce(
+                list_concat([4294967295::BIGINT], [ord(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')]),
+                lambda a, b: list_reduce(
+                    list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END
+                )
+            )) % 9 AS h
+            FROM (SELECT DISTINCT conv_id FROM t)
+        ),
+        rebuilt AS (
+            SELECT conv_id, role, text, n, row_number() OVER (PARTITION BY conv_id ORDER BY own, i) AS d
+            FROM (
+                SELECT c.conv_id, role, text, n, 0 AS own, i FROM c JOIN t ON t.conv_id = base AND i <= h
+                UNION ALL
+                SELECT c.conv_id, role, text, n, 1 AS own, i FROM c JOIN t ON t.conv_id = c.conv_id AND i > h
+            )
+        ),
+        steps AS (
+            SELECT conv_id, 0 AS d, '' AS k, 0 AS n FROM c
+            UNION ALL
+            SELECT conv_id, d, md5(string_agg(md5(strlen(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY d)), n
+            FROM rebuilt
+        ),
+        ends AS (SELECT conv_id, max(d) AS d FROM steps GROUP BY conv_id),
+        node AS (
+            SELECT d, k, min(s.conv_id) AS conv_id, count(*) AS n_convs, any_value(n) AS n,
+                sha256(coalesce(string_agg(s.conv_id::VARCHAR, ',' ORDER BY s.conv_id) FILTER (e.d IS NOT NULL), '')) AS ends_sha256
+            FROM steps s LEFT JOIN ends e USING (conv_id, d) GROUP BY d, k
+        ),
+        child AS (
+            SELECT a.d, a.k, p.k AS pk, m.conv_id AS parent
+            FROM node a JOIN steps p ON p.conv_id = a.conv_id AND p.d = a.d - 1 JOIN node m ON m.d = p.d AND m.k = p.k
+        ),
+        kids AS (SELECT d - 1 AS d, pk AS k, count(*) AS n_children FROM child GROUP BY ALL),
+        full_ AS (
+            SELECT node.*, coalesce(n_children, 0) AS n_children, parent
+            FROM node LEFT JOIN kids USING (d, k) LEFT JOIN child USING (d, k)
+        ),
+        sums AS (
+            SELECT a.d, a.k, sum((f.n_children = 0)::INT) AS n_leaves, sum((f.n_convs - 1) * f.n) AS saved
+            FROM full_ f JOIN steps a ON a.conv_id = f.conv_id AND a.d <= f.d GROUP BY a.d, a.k
+        )
+        SELECT conv_id, d::BIGINT AS depth, parent AS parent_conv_id, n_convs::BIGINT AS n_convs,
+            n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, ends_sha256
+        FROM full_ JOIN sums USING (d, k)
+    """,
 }
