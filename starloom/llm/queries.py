@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import (
+    alignment,
     binpack,
     decontaminate,
     language_model,
@@ -86,6 +87,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = prefix_trie.turns(table(spark, sf_dir, "conversations"))
     return prefix_trie.nodes(prefix_trie.paths(prefix_trie.rebuilt(lists)))
@@ -100,7 +105,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_main_text, op2_quality_rules, op3_url_language, op4_language_model, op5_segmentations,
         op6_near_duplicates, op7_repeats, op8_binpack, op9_decontaminate, op10_personal_data,
-        op12_prefix_trie, op13_substrings,
+        op11_alignment, op12_prefix_trie, op13_substrings,
     )
 }
 
