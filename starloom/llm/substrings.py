@@ -34,9 +34,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructType
+from pyspark.sql.types import BinaryType, BooleanType, StructType
 
 from starloom.llm.common import fields, mix, powers, sliced, span_hashes, words
 from starloom.session import cut
@@ -126,6 +126,16 @@ def first_of_equals(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     return order[at], counts, several
 
 
+def turned(key: str) -> Column:
+    """Another expression for a key. Spark splits a hot key of a join only if both sides are dealt for it; groups of the key itself would be joined as they lie."""
+    return F.bitwise_not(key).alias("turned")
+
+
+def regrouped(groups: DataFrame, key: str) -> DataFrame:
+    """Groups of the turned key, by the key."""
+    return groups.withColumn(key, F.bitwise_not("turned")).drop("turned")
+
+
 def batches_of(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
     for k in range(0, len(columns[0]), ROWS):
         yield pa.RecordBatch.from_arrays([pa.array(c[k : k + ROWS]) for c in columns], names)
@@ -180,10 +190,10 @@ def opened(batch: pa.RecordBatch, unzip: zstandard.ZstdDecompressor) -> Iterator
 def answers(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """(key, tag, spans) of texts with an anchor that occurs again; a span's lowest bits: repeated, to be extended, recurs."""
     runs = seeds(docs, window, gram)
-    often = runs.groupBy("anchor").agg(F.sum("n").alias("of_anchor")).where("of_anchor > 1")
+    often = regrouped(runs.groupBy(turned("anchor")).agg(F.sum("n").alias("of_anchor")).where("of_anchor > 1"), "anchor")
     # Another expression than the anchor, so that equal runs are brought together anew and a hot anchor is not.
     met = runs.join(often, "anchor").select("key", "place", "n", "of_anchor", "whole", F.expr("anchor ^ whole").alias("side"))
-    equal = met.groupBy("side", "whole").agg(F.sum("n").alias("of_run"), F.min("key").alias("lead"))
+    equal = regrouped(met.groupBy(turned("side"), "whole").agg(F.sum("n").alias("of_run"), F.min("key").alias("lead")), "side")
     rows = met.join(equal, ["side", "whole"]).select(
         "key",
         F.shiftright("place", _TAG).alias("tag"),
@@ -218,10 +228,11 @@ def extended(texts: DataFrame, told: DataFrame, window: int) -> DataFrame:
                 columns = [one, two, np.full(len(one), keys[row]), place, np.repeat(spans & 4 > 0, count)]
                 yield from batches_of(columns, schema.fieldNames())
 
-    windows = texts.join(asked, ["key", "tag"]).select("key", "tag", "zipped", "spans").mapInArrow(work, schema)
+    # All columns of the texts, as later, so that both joins read the same exchange.
+    windows = texts.join(asked, ["key", "tag"]).mapInArrow(work, schema)
     # An unequal run stands once in the whole corpus; leading ones, repeated as a whole, come once for every copy of their text.
-    again = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n"), F.max("leads").alias("leads")).where("n > 1 or leads")
-    found = windows.where("not leads").join(again.select("one", "two"), ["one", "two"]).select(
+    again = windows.groupBy(turned("one"), "two").agg(F.count(F.lit(1)).alias("n"), F.max("leads").alias("leads")).where("n > 1 or leads")
+    found = windows.where("not leads").join(regrouped(again, "one").select("one", "two"), ["one", "two"]).select(
         "key",
         F.shiftright("place", _TAG).alias("tag"),
         (F.shiftleft(F.col("place").bitwiseAND(F.lit((1 << _TAG) - 1)), 3) + 4).alias("span"),
@@ -252,8 +263,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, tex
     carried = held(docs)
     told = cut(answers(docs, window, gram))
     repeated = told.select("key", "tag", F.filter("spans", lambda s: s.bitwiseAND(F.lit(4)) != 0).alias("spans"))
-    both = repeated.unionByName(extended(carried, told, window)).groupBy("key", "tag")
-    spans = both.agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    both = repeated.unionByName(extended(carried, told, window)).groupBy(turned("key"), "tag")
+    spans = regrouped(both.agg(F.flatten(F.collect_list("spans")).alias("spans")), "key")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
@@ -273,5 +284,4 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, tex
             columns = [batch.column("doc_id"), batch.column("n_words"), pa.array(removed, pa.int64()), pa.array(hashes, pa.string())]
             yield pa.RecordBatch.from_arrays(columns + ([pa.array(left, pa.string())] if texts else []), out.fieldNames())
 
-    rows = carried.join(spans, ["key", "tag"], "left").select("doc_id", "n_words", "zipped", F.col("spans").cast(ArrayType(LongType())))
-    return rows.mapInArrow(work, out)
+    return carried.join(spans, ["key", "tag"], "left").mapInArrow(work, out)
