@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starloom.functions.clean import bytes_to_text, null_default, to_bool
-from starloom.plans.spec import MappingSet, TargetMapping, column_type
+from starloom.plans.spec import MappingSet, TargetMapping
 
 
 def clean_mapped(mapping: TargetMapping, target: str, column: Column, dtype: T.DataType) -> Column:
@@ -22,7 +22,7 @@ def clean_mapped(mapping: TargetMapping, target: str, column: Column, dtype: T.D
 
 
 def missing(mapping: TargetMapping, target: str) -> Column:
-    return F.lit(None).cast(column_type(mapping.name, target)).alias(target)
+    return F.lit(None).cast(mapping.type_of(target)).alias(target)
 
 
 def project(df: DataFrame, mapping: TargetMapping, table: str, passing: Sequence[str] = ()) -> DataFrame:

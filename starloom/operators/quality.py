@@ -1,4 +1,9 @@
-"""Checks over whole tables: NULL keys, required columns, duplicate keys, text lengths."""
+"""Checks over whole tables: NULL keys, required columns, duplicate keys, text lengths.
+
+An issue is a code and what it is about: ``null:column``, ``too_long:column``,
+``key_repeated:columns``, ``column_absent:column``; for mappings ``no_sources``, ``no_key``,
+``no_columns`` and ``columns_empty``, each with the target.
+"""
 
 from __future__ import annotations
 
@@ -37,7 +42,7 @@ def null_id_issues(df: DataFrame, table: str, *, scope: str = "all", order_by: S
 
 
 def _null_id_tests(df: DataFrame) -> dict[str, Column]:
-    return {f"NULL value in {name}": F.col(name).isNull() for name in df.columns if name.endswith("_id")}
+    return {f"null:{name}": F.col(name).isNull() for name in df.columns if name.endswith("_id")}
 
 
 def missing_columns(df: DataFrame, table: str, must_have: Mapping[str, Sequence[str]] = MUST_HAVE) -> list[str]:
@@ -46,7 +51,7 @@ def missing_columns(df: DataFrame, table: str, must_have: Mapping[str, Sequence[
 
 def missing_column_issues(df: DataFrame, table: str, must_have: Mapping[str, Sequence[str]] = MUST_HAVE) -> DataFrame:
     rows = df.agg(F.count("*").alias("rows"))
-    found = [f"Missing required field: {name}" for name in missing_columns(df, table, must_have)]
+    found = [f"column_absent:{name}" for name in missing_columns(df, table, must_have)]
     issues = F.explode(F.array(*[F.lit(text) for text in found]).cast("array<string>"))
     return rows.select(F.lit(table).alias("table"), issues.alias("issue"), "rows").filter(F.col("rows") > 0)
 
@@ -66,11 +71,11 @@ def _constraint_tests(df: DataFrame, mapping: TargetMapping, lengths: bool) -> d
     tests: dict[str, Column] = {}
     for name in dict.fromkeys((*mapping.primary_key, *mapping.required)):
         if name in df.columns:
-            tests[f"NULL value in {name}"] = F.col(name).isNull()
+            tests[f"null:{name}"] = F.col(name).isNull()
     for field in mapping.schema if lengths else ():
         limit = field.metadata.get("max_length", 0)
         if limit and field.name in df.columns and isinstance(df.schema[field.name].dataType, T.StringType):
-            tests[f"Text too long in {field.name}"] = F.length(field.name) > limit
+            tests[f"too_long:{field.name}"] = F.length(field.name) > limit
     return tests
 
 
@@ -80,7 +85,7 @@ def _issues(df: DataFrame, table: str, tests: Mapping[str, Column], key: Sequenc
     key = [name for name in key if name in df.columns]
     if key:
         total = duplicate_keys(df, key).agg(F.sum("rows").alias("rows"))
-        text = f"Duplicate key ({', '.join(key)})"
+        text = f"key_repeated:{','.join(key)}"
         parts.append(
             total.filter(F.col("rows") > 0).select(F.lit(table).alias("table"), F.lit(text).alias("issue"), "rows")
         )
@@ -112,10 +117,10 @@ def validate_mappings(spec: DataFrame) -> DataFrame:
     """(table, error) for a spec with columns table, source_tables, primary_key and column_mappings."""
     name = F.col("table")
     problems = F.array(
-        F.when(F.col("source_tables").isNull(), F.concat(F.lit("Missing source_tables for "), name)),
-        F.when(F.col("primary_key").isNull(), F.concat(F.lit("Missing primary_key for "), name)),
-        F.when(F.col("column_mappings").isNull(), F.concat(F.lit("Missing column_mappings for "), name)).when(
-            F.size("column_mappings") == 0, F.concat(F.lit("Empty column_mappings for "), name)
+        F.when(F.col("source_tables").isNull(), F.concat(F.lit("no_sources:"), name)),
+        F.when(F.col("primary_key").isNull(), F.concat(F.lit("no_key:"), name)),
+        F.when(F.col("column_mappings").isNull(), F.concat(F.lit("no_columns:"), name)).when(
+            F.size("column_mappings") == 0, F.concat(F.lit("columns_empty:"), name)
         ),
     )
     return spec.select(name, F.explode(F.array_compact(problems)).alias("error"))

@@ -1,8 +1,8 @@
-"""Target mappings: what each star-schema table is made of, and the naming rules behind it."""
+"""Target mappings: what each star-schema table is made of."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, types as T
@@ -11,63 +11,16 @@ from starloom.functions.clean import is_boolean_name, is_time_name
 
 LOAD_TIME = "etl_timestamp"
 
-# The source field of a target column where it is not the same name.
-FIELD_OF = {
-    "created_at": "created_date",
-    "updated_at": "updated_date",
-    "tenant_id": "tenant_tsid",
-    "user_id": "created_by_id",
-}
-KEY_FIELD = "id"
-UUID_FIELD = "tsid"
-
-# Whole numbers that no suffix tells.
-NUMBER_SUFFIXES = ("_id", "_tsid", "_count", "_issues")
-NUMBER_NAMES = (
-    "allowed_users",
-    "max_projects",
-    "total_parallel_runs",
-    "step_order",
-    "duration",
-    "consolidated_duration",
-    "duration_seconds",
-)
-# Targets whose ``*_uuid`` column is a number.
-NUMERIC_UUID_TARGETS = ("dim_projects", "dim_test_cases", "fct_executions", "dim_test_suites")
-
-# Declared text lengths by column; 0 means unlimited, other text has 255.
-TEXT_LENGTHS = {
-    0: "description content step_data expected_result error_message locator data_json "
-    "config_json url message page_url changes_json",
-    20: "billing_zip method",
-    50: "status account_status latest_status subscription_status billing_phone language creation_type "
-    "environment_type locator_type version api_type authentication_type body_type severity",
-    100: "first_name last_name smtp_type auth_module_type billing_country billing_state billing_city "
-    "plan_type lib_type category application_type type technology priority step_type triggered_by "
-    "trigger_type check_type activity_type event_type entity_type ip_address action result latest_result",
-    500: "class_package package_name",
-}
-DEFAULT_TEXT_LENGTH = 255
-_LENGTH_OF = {name: length for length, names in TEXT_LENGTHS.items() for name in names.split()}
-
-
-def column_type(target: str, column: str) -> T.DataType:
-    """Every whole number is 64 bits wide; names decide the rest."""
+_TYPES = {"bigint": T.LongType(), "boolean": T.BooleanType(), "string": T.StringType(), "timestamp": T.TimestampType()}
+
+
+def type_by_name(column: str) -> T.DataType:
+    """The type of a column that a mapping does not declare one for: names decide."""
     if is_time_name(column) or column == LOAD_TIME:
         return T.TimestampType()
     if is_boolean_name(column):
         return T.BooleanType()
-    if column.endswith(NUMBER_SUFFIXES) or column in NUMBER_NAMES:
-        return T.LongType()
-    if column.endswith("_uuid") and target in NUMERIC_UUID_TARGETS:
-        return T.LongType()
-    return T.StringType()
-
-
-def text_length(target: str, column: str) -> int:
-    if target == "dim_test_cases" and column == "name":
-        return 500
-    return _LENGTH_OF.get(column, DEFAULT_TEXT_LENGTH)
+    return T.LongType() if column.endswith("_id") else T.StringType()
 
 
 @dataclass(frozen=True)
@@ -75,7 +28,8 @@ class TargetMapping:
     """One target: its sources in order and, per target column, ``table.field`` or a function that makes a column.
 
     A field without a table is taken from the main table. The first key column decides
-    which source is the main table.
+    which source is the main table. ``types`` declares columns as bigint, boolean,
+    timestamp, string or ``varchar(n)``, a text of at most n characters.
     """
 
     name: str
@@ -89,6 +43,7 @@ class TargetMapping:
     cluster_by: tuple[str, ...] = ()
     bit_columns: tuple[str, ...] = ()
     null_defaults: Mapping[str, object] = field(default_factory=dict)
+    types: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def primary_key(self) -> tuple[str, ...]:
@@ -98,11 +53,21 @@ class TargetMapping:
     def schema(self) -> T.StructType:
         fields = []
         for name in self.columns:
-            dtype = column_type(self.name, name)
-            length = text_length(self.name, name) if isinstance(dtype, T.StringType) else 0
-            fields.append(T.StructField(name, dtype, True, {"max_length": length} if length else {}))
+            length = self.length_of(name)
+            fields.append(T.StructField(name, self.type_of(name), True, {"max_length": length} if length else {}))
         return T.StructType([*fields, T.StructField(LOAD_TIME, T.TimestampType(), True)])
 
+    def type_of(self, column: str) -> T.DataType:
+        declared = self.types.get(column)
+        if declared is None:
+            return type_by_name(column)
+        return T.StringType() if declared.startswith("varchar") else _TYPES[declared]
+
+    def length_of(self, column: str) -> int:
+        """The declared length of a text; 0 means unlimited."""
+        declared = self.types.get(column, "")
+        return int(declared[len("varchar(") : -1]) if declared.startswith("varchar(") else 0
+
     def field_of(self, column: str) -> tuple[str | None, str | Callable[[], Column]]:
         """(table, field) of a target column; table is None for the main table."""
         source = self.columns[column]
@@ -112,49 +77,34 @@ class TargetMapping:
         return None, source
 
 
-def star_table(
+def target(
     name: str,
     group: str,
-    key: str,
-    reads: Mapping[str, str],
+    sources: Sequence[str],
+    key: Sequence[str],
+    columns: Sequence[tuple[str, str, str]],
     *,
-    required: str = "",
-    zero: str = "",
-    false: str = "",
-    true: str = "",
-    cluster: str = "",
-    declared_key: str = "",
-    bits: str = "",
+    declared_key: Sequence[str] = (),
+    required: Sequence[str] = (),
+    defaults: Mapping[str, object] | None = None,
+    cluster_by: Sequence[str] = (),
+    bit_columns: Sequence[str] = (),
     null_defaults: Mapping[str, object] | None = None,
 ) -> TargetMapping:
-    """A mapping from words: ``column`` follows the naming rules, ``column=field`` does not.
-
-    The first table of ``reads`` is the main one and supplies the first key column.
-    """
-    keys = tuple(key.split())
-    columns: dict[str, str] = {}
-    for position, (table, words) in enumerate(reads.items()):
-        named = [word.partition("=")[::2] for word in words.split()]
-        if position == 0 and keys[0] not in dict(named):
-            named.insert(0, (keys[0], KEY_FIELD))
-        for column, given in named:
-            by_rule = UUID_FIELD if column.endswith("_uuid") else FIELD_OF.get(column, column)
-            columns[column] = f"{table}.{given or by_rule}"
-    defaults: dict[str, object] = {column: 0 for column in zero.split()}
-    defaults.update({column: False for column in false.split()})
-    defaults.update({column: True for column in true.split()})
+    """A mapping from rows of (column, ``table.field``, type)."""
     return TargetMapping(
         name=name,
         group=group,
-        sources=tuple(reads),
-        key=keys,
-        columns=columns,
-        declared_key=tuple(declared_key.split()),
-        required=tuple(required.split()),
-        defaults=defaults,
-        cluster_by=tuple(cluster.split()),
-        bit_columns=tuple(bits.split()),
+        sources=tuple(sources),
+        key=tuple(key),
+        columns={column: source for column, source, _ in columns},
+        declared_key=tuple(declared_key),
+        required=tuple(required),
+        defaults=defaults or {},
+        cluster_by=tuple(cluster_by),
+        bit_columns=tuple(bit_columns),
         null_defaults=null_defaults or {},
+        types={column: kind for column, _, kind in columns},
     )
 
 
@@ -209,7 +159,7 @@ class MappingSet:
                 owner, name = mapping.field_of(target)
                 if owner == table and not callable(name):
                     marks = {"bit": True} if target in mapping.bit_columns else {}
-                    fields.setdefault(name, T.StructField(name, column_type(mapping.name, target), True, marks))
+                    fields.setdefault(name, T.StructField(name, mapping.type_of(target), True, marks))
         for pair, key in (join_keys or {}).items():
             if table in pair:
                 fields.setdefault(key, T.StructField(key, T.LongType()))

@@ -138,10 +138,10 @@ def main_table_per_database(spark, sf):
     """
     WITH s AS (
         SELECT p_name || '#' || p_partkey AS t, p_type, p_size FROM part)
-    SELECT t AS "table", 'Missing source_tables for ' || t AS error FROM s WHERE p_type = 'ECONOMY'
-    UNION ALL SELECT t, 'Missing primary_key for ' || t FROM s WHERE p_size > 40
-    UNION ALL SELECT t, 'Missing column_mappings for ' || t FROM s WHERE p_type = 'PROMO'
-    UNION ALL SELECT t, 'Empty column_mappings for ' || t FROM s WHERE p_type = 'SMALL'
+    SELECT t AS "table", 'no_sources:' || t AS error FROM s WHERE p_type = 'ECONOMY'
+    UNION ALL SELECT t, 'no_key:' || t FROM s WHERE p_size > 40
+    UNION ALL SELECT t, 'no_columns:' || t FROM s WHERE p_type = 'PROMO'
+    UNION ALL SELECT t, 'columns_empty:' || t FROM s WHERE p_type = 'SMALL'
     """,
 )
 def mapping_validation(spark, sf):

@@ -171,9 +171,9 @@ def top_failed_query(spark, sf):
 @query(
     "null_id_issues",
     """
-    SELECT 'fct_orders' AS "table", 'NULL value in customer_id' AS issue, count(*) AS rows FROM orders
+    SELECT 'fct_orders' AS "table", 'null:customer_id' AS issue, count(*) AS rows FROM orders
     WHERE o_orderstatus = 'P' HAVING count(*) > 0
-    UNION ALL SELECT 'fct_orders', 'NULL value in priority_id', count(*) FROM orders
+    UNION ALL SELECT 'fct_orders', 'null:priority_id', count(*) FROM orders
     WHERE o_orderpriority = '5-LOW' HAVING count(*) > 0
     """,
 )
@@ -192,9 +192,9 @@ def _faulty_orders(orders):
 @query(
     "null_id_first_row",
     """
-    SELECT 'fct_orders' AS "table", 'NULL value in customer_id' AS issue, 1 AS rows
+    SELECT 'fct_orders' AS "table", 'null:customer_id' AS issue, 1 AS rows
     FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 1) WHERE o_orderstatus = 'P'
-    UNION ALL SELECT 'fct_orders', 'NULL value in priority_id', 1
+    UNION ALL SELECT 'fct_orders', 'null:priority_id', 1
     FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 1) WHERE o_orderpriority = '5-LOW'
     """,
 )
@@ -224,10 +224,10 @@ LINE = TargetMapping(
 @query(
     "constraint_issues",
     """
-    SELECT 'fct_line' AS "table", 'NULL value in part_id' AS issue, count(*) AS rows FROM lineitem
+    SELECT 'fct_line' AS "table", 'null:part_id' AS issue, count(*) AS rows FROM lineitem
     WHERE l_returnflag = 'N' HAVING count(*) > 0
     UNION ALL
-    SELECT 'fct_line', 'Duplicate key (order_id, line_id)', CAST(sum(n) AS BIGINT) FROM (
+    SELECT 'fct_line', 'key_repeated:order_id,line_id', CAST(sum(n) AS BIGINT) FROM (
         SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
     """,
 )
@@ -242,12 +242,12 @@ def constraint_issues_query(spark, sf):
 @query(
     "issue_report",
     """
-    SELECT 'fct_orders' AS "table", 'NULL value in customer_id' AS issue, count(*) AS rows FROM orders
+    SELECT 'fct_orders' AS "table", 'null:customer_id' AS issue, count(*) AS rows FROM orders
     WHERE o_orderstatus = 'P' HAVING count(*) > 0
-    UNION ALL SELECT 'fct_orders', 'NULL value in priority_id', count(*) FROM orders
+    UNION ALL SELECT 'fct_orders', 'null:priority_id', count(*) FROM orders
     WHERE o_orderpriority = '5-LOW' HAVING count(*) > 0
-    UNION ALL SELECT 'dim_features', 'Missing required field: feature_id', count(*) FROM part
-    UNION ALL SELECT 'fct_line', 'Duplicate key (order_id, line_id)', CAST(sum(n) AS BIGINT) FROM (
+    UNION ALL SELECT 'dim_features', 'column_absent:feature_id', count(*) FROM part
+    UNION ALL SELECT 'fct_line', 'key_repeated:order_id,line_id', CAST(sum(n) AS BIGINT) FROM (
         SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
     """,
 )

@@ -4,7 +4,7 @@ import pytest
 
 from fixtures import source_columns
 from starloom.operators.quality import mapping_spec, validate_mappings
-from starloom.plans.spec import LOAD_TIME, MappingSet, TargetMapping, text_length
+from starloom.plans.spec import LOAD_TIME, MappingSet, TargetMapping
 from starloom.plans.targets import JOIN_KEYS, SKIP_TABLES, TARGETS
 from starloom.sources.catalog import jdbc_options, keep_name, keywords, source_role, tables_to_extract
 
@@ -57,8 +57,15 @@ def test_mapped_fields(target, column, source):
 
 
 def test_lengths():
-    assert text_length("dim_test_cases", "name") == 500 and text_length("dim_users", "name") == 255
-    assert text_length("dim_tenants", "billing_zip") == 20 and text_length("fct_api_steps", "url") == 0
+    length = lambda target, column: TARGETS[target].length_of(column)
+    assert length("dim_test_cases", "name") == 500 and length("dim_users", "email") == 255
+    assert length("dim_tenants", "billing_zip") == 20 and length("fct_api_steps", "url") == 0
+
+
+def test_types_of_undeclared_columns():
+    mapping = TargetMapping("t", ("s",), ("a_id",), {c: f"s.{c}" for c in ("a_id", "is_on", "created_at", "note")})
+    assert [f.dataType.simpleString() for f in mapping.schema] == ["bigint", "boolean", "timestamp", "string", "timestamp"]
+    assert not any(f.metadata for f in mapping.schema)
 
 
 def test_lookup_by_name():
@@ -72,7 +79,7 @@ def test_validate(spark):
     assert validate_mappings(mapping_spec(spark, TARGETS)).isEmpty()
     broken = MappingSet([TargetMapping("t", (), (), {})])
     errors = {r["error"] for r in validate_mappings(mapping_spec(spark, broken)).collect()}
-    assert errors == {"Missing source_tables for t", "Missing primary_key for t", "Empty column_mappings for t"}
+    assert errors == {"no_sources:t", "no_key:t", "columns_empty:t"}
 
 
 def test_names_on_the_driver():
