@@ -27,6 +27,7 @@ ignored. Strings of special tokens inside texts are ordinary text.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 
@@ -44,9 +45,11 @@ PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text in a block.
 BLOCK = 8 << 20
 #: Bytes of text that are encoded together, and characters of a stretch of a long text.
-TOGETHER, STRETCH = 1 << 20, 1 << 16
+TOGETHER, STRETCH = 1 << 18, 1 << 16
 #: Where a long text may be cut.
 _PLACE = re.compile(r"(?<=[0-9A-Za-z]) (?=[0-9A-Za-z])")
+#: Fixed value: how a byte-level BPE parts a text before it merges.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NUMBERS = "n_a n_b n_groups n_links"
 
 
@@ -57,13 +60,20 @@ class Side:
         self.spelled = spelled
         self.size = np.array([len(x) for x in spelled], np.int64)
 
+    def spells(self, ids: np.ndarray, raw: bytes) -> bool:
+        """Whether the tokens' bytes, one after the other, are the text's."""
+        return int(self.size[ids].sum()) == len(raw) and b"".join(map(self.spelled.__getitem__, ids.tolist())) == raw
+
 
 class ByteSide(Side):
+    """A byte-level BPE. Where ids follow the order of the merges, as ranks do, they are encoded by rank, which is faster."""
+
     def __init__(self, model: bytes) -> None:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_buffer(model)
         self.model.encode_special_tokens = True
+        rules = json.loads(model)
         # Byte-level vocabularies write printable bytes as themselves, the others as the characters from 256 on.
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         byte_of = {chr(b): b for b in printable}
@@ -72,8 +82,22 @@ class ByteSide(Side):
         # Only added tokens, which texts never get, have characters that stand for no byte.
         spell = lambda name: bytes(byte_of.get(c, 0) for c in name)
         super().__init__([spell(names.get(k, "")) for k in range(max(names) + 1)])
-
-    def ids(self, texts: list[str]) -> list[list[int]]:
+        self.ranked = self._ranked(rules)
+
+    def _ranked(self, rules: dict):
+        import tiktoken
+
+        vocabulary, merges = rules["model"]["vocab"], rules["model"]["merges"]
+        pairs = ("".join(x if isinstance(x, list) else x.split(" ")) for x in merges)
+        first = len(vocabulary) - len(merges) - sum(x["id"] in vocabulary.values() for x in rules["added_tokens"])
+        if any(vocabulary[x] != first + k for k, x in enumerate(pairs)) or rules["pre_tokenizer"].get("use_regex") is not True:
+            return None
+        ranks = {self.spelled[k]: k for k in vocabulary.values() if k < first + len(merges)}
+        return tiktoken.Encoding("ranked", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, texts: list[str]) -> list:
+        if self.ranked:
+            return [self.ranked.encode_to_numpy(" " + t, disallowed_special=()) for t in texts]
         return [x.ids for x in self.model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
@@ -166,13 +190,11 @@ class Aligned:
     def __init__(self, a: Side, b: Side, texts: list[str]) -> None:
         raw = [(" " + t).encode() for t in texts]
         ids = [side.ids(texts) for side in (a, b)]
-        spell_a, spell_b = a.spelled.__getitem__, b.spelled.__getitem__
-        self.have = np.array(
-            [bool(t) and b"".join(map(spell_a, x)) == r == b"".join(map(spell_b, y)) for t, r, x, y in zip(texts, raw, *ids)], bool
-        )
-        ids = [[x if h else [] for x, h in zip(side, self.have.tolist())] for side in ids]
+        ids = [[np.asarray(x, np.uint32) for x in side] for side in ids]
+        self.have = np.array([bool(t) and a.spells(x, r) and b.spells(y, r) for t, r, x, y in zip(texts, raw, *ids)], bool)
+        ids = [[x if h else x[:0] for x, h in zip(side, self.have.tolist())] for side in ids]
         self.count_a, self.count_b = (np.array([len(x) for x in side], np.int64) for side in ids)
-        self.a, self.b = (np.fromiter((k for x in side for k in x), np.int64, n.sum()) for side, n in zip(ids, (self.count_a, self.count_b)))
+        self.a, self.b = (np.concatenate(side).astype(np.int64) for side in ids)
         size_a = a.size[self.a]
         ends_a, ends_b = np.cumsum(size_a), np.cumsum(b.size[self.b])
         high = np.cumsum(self.count_a)
