@@ -8,14 +8,18 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from starloom.functions.window import EFFECTIVE, EXTENDED, IncrementalWindow, apply_window, resolve_change_column, utc
-from starloom.operators.sets import union_all, without
+from starloom.operators.sets import DATABASE, union_all, without
 
 JOB_EVENTS = (
     "job_id string, at timestamp, kind string, name string, status string, records bigint, details string"
 )
 # Kinds of job events: phase (extraction, transformation, loading), table and job.
 EPOCH = datetime(1970, 1, 1)
-WATERMARKS = "table string, value timestamp, run_id string, committed_at timestamp"
+WATERMARKS = "table string, database string, value timestamp, run_id string, committed_at timestamp"
+# Scans that the databases of a table are dealt to by their marks, so that a late one does not open the files of all.
+MARK_GROUPS = 8
+# Rows of (database, mark) up to which a group's marks are broadcast.
+BROADCAST_MARKS = 100_000
 
 
 def job_event(job_id, at, kind, name, status, records=None, details=None) -> tuple:
@@ -107,29 +111,98 @@ def high_water_marks(tables: Mapping[str, DataFrame], order: Sequence[str] = EFF
     return union_all(parts) if parts else None
 
 
+def database_marks(tables: Mapping[str, DataFrame], order: Sequence[str] = EXTENDED) -> DataFrame | None:
+    """(table, database, records, value): rows and latest change of each database's table, in one pass per table.
+
+    The database is NULL for tables without one, and so is the value of tables without a change
+    column. Databases without rows are not there.
+    """
+    parts = []
+    for name, df in tables.items():
+        column = resolve_change_column(df, order)
+        scope = [DATABASE] if DATABASE in df.columns else []
+        latest = [F.max(column).alias(column)] if column else []
+        top = df.groupBy(*scope).agg(F.count("*").alias("records"), *latest)
+        database = F.col(DATABASE).cast("string") if scope else F.lit(None).cast("string")
+        value = change_moment(top, column) if column else F.lit(None).cast("timestamp")
+        parts.append(top.select(F.lit(name).alias("table"), database.alias("database"), "records", value.alias("value")))
+    return union_all(parts).filter("records > 0") if parts else None
+
+
 def commit_watermarks(marks: DataFrame, path: str, run_id: str, at: datetime) -> None:
-    """Keep the marks of a run; to be called after its load. Tables without rows keep their old mark."""
+    """Keep the marks of a run; to be called after its load. What had no rows keeps its old mark."""
+    database = F.col("database") if "database" in marks.columns else F.lit(None).cast("string")
     rows = marks.filter(F.col("value").isNotNull()).select(
-        "table", "value", F.lit(run_id).alias("run_id"), F.lit(utc(at)).cast("timestamp").alias("committed_at")
-    )
+        "table", database.alias("database"), "value", F.lit(run_id).alias("run_id"),
+        F.lit(utc(at)).cast("timestamp").alias("committed_at"),
+    )
     rows.coalesce(1).write.mode("append").parquet(path)
 
 
+def read_watermarks(spark: SparkSession, path: str) -> DataFrame:
+    """All marks that were ever committed; those kept before marks had a database have none."""
+    return spark.read.schema(WATERMARKS).parquet(path)
+
+
 def changed_since(
     tables: Mapping[str, DataFrame], history: DataFrame | None, order: Sequence[str] = EXTENDED
 ) -> dict[str, DataFrame]:
-    """The rows of each table from its last mark on, the mark included; tables without a mark stay whole."""
-    marks: dict[str, datetime] = {}
+    """The rows of each database's table from its own last mark on, the mark included.
+
+    Without a mark the history is whole: a table, or a database, that joins later or could not
+    be opened before loses nothing. A mark without a database holds for tables without one.
+    """
+    marks: dict[str, dict[str | None, datetime]] = {}
     if history is not None:
-        current = current_watermarks(history).select("table", F.unix_micros("value").alias("micros"))
-        marks = {r["table"]: EPOCH + timedelta(microseconds=r["micros"]) for r in current.collect()}
-    return {
-        name: apply_window(df, IncrementalWindow(start=marks[name]), order=order) if name in marks else df
-        for name, df in tables.items()
-    }
+        if "database" not in history.columns:
+            history = history.withColumn("database", F.lit(None).cast("string"))
+        current = current_watermarks(history).select("table", "database", F.unix_micros("value").alias("micros"))
+        # One row for each table and database.
+        for row in current.collect():
+            marks.setdefault(row["table"], {})[row["database"]] = EPOCH + timedelta(microseconds=row["micros"])
+    return {name: _since(df, marks.get(name, {}), order) for name, df in tables.items()}
+
+
+def _since(df: DataFrame, marks: Mapping[str | None, datetime], order: Sequence[str]) -> DataFrame:
+    column = resolve_change_column(df, order)
+    if DATABASE not in df.columns:
+        return apply_window(df, IncrementalWindow(start=marks[None]), column) if None in marks and column else df
+    known = sorted((value, name) for name, value in marks.items() if name is not None)
+    if not known or column is None:
+        return df
+    name = F.col(DATABASE).cast("string")
+    parts = [df.filter(name.isNull() | ~name.isin([database for _, database in known]))]
+    for group in _near(known):
+        # A scan with a literal bound reaches the partitions and the files of its databases.
+        part = df.filter(name.isin([database for _, database in group]))
+        part = apply_window(part, IncrementalWindow(start=group[0][0]), column)
+        if group[0][0] != group[-1][0]:
+            # The bound of the group is its least mark; each database's own one decides.
+            rows = [(database, utc(value)) for value, database in group]
+            own = df.sparkSession.createDataFrame(rows, "_marked string, _mark timestamp")
+            own = F.broadcast(own) if len(rows) <= BROADCAST_MARKS else own
+            late = (name == F.col("_marked")) & (change_moment(part, column) >= F.col("_mark"))
+            part = part.join(own, late, "left_semi")
+        parts.append(part)
+    return union_all(parts)
+
+
+def _near(known: Sequence[tuple[datetime, str]]) -> list[list[tuple[datetime, str]]]:
+    """Ascending marks in at most ``MARK_GROUPS`` groups, each within as short a time as that allows, a day at least."""
+    span = timedelta(days=1)
+    while True:
+        groups: list[list[tuple[datetime, str]]] = []
+        for mark in known:
+            if not groups or mark[0] - groups[-1][0][0] > span:
+                groups.append([])
+            groups[-1].append(mark)
+        if len(groups) <= MARK_GROUPS:
+            return groups
+        span *= 2
 
 
 def current_watermarks(history: DataFrame) -> DataFrame:
-    """The mark of each table as of its last commit."""
+    """The mark of each table, and database if there is one, as of its last commit."""
+    keys = [c for c in ("table", "database") if c in history.columns]
     last = F.max_by(F.struct("value", "run_id"), "committed_at").alias("last")
-    return history.groupBy("table").agg(last).select("table", "last.value", "last.run_id")
+    return history.groupBy(*keys).agg(last).select(*keys, "last.value", "last.run_id")

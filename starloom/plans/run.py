@@ -22,8 +22,9 @@ from starloom.operators.state import (
     append_events,
     changed_since,
     commit_watermarks,
-    high_water_marks,
+    database_marks,
     job_event,
+    read_watermarks,
     remaining_names,
 )
 from starloom.operators.sets import DATABASE
@@ -204,18 +205,24 @@ def run(
     job_id: str | None = None,
     at: datetime | None = None,
     load_options: Mapping[str, object] | None = None,
+    failures: Iterable[tuple] = (),
     **build_options,
 ) -> LoadResult:
     """Source tables to loaded targets.
 
-    ``window`` limits all tables; ``incremental`` starts each one at its last mark. With
-    ``whole_lookups`` tables that no target has as its main table are read whole, so that a
-    changed row also finds related rows that did not change.
-
-    Marks are taken before anything is loaded, so rows that change meanwhile are due again.
-    They are committed after the load, never by runs with a window (it leaves a gap), and of
-    each source only if every target it feeds was loaded or had no rows. A mark is included in the next run, so incremental runs must upsert.
-    Progress, marks and metrics are kept below ``state_path``.
+    ``window`` limits all tables; ``incremental`` starts each database's table at its last
+    mark, and reads a database without one in whole. With ``whole_lookups`` tables that no
+    target has as its main table are read whole, so that a changed row also finds related rows
+    that did not change.
+
+    One pass over the sources counts their rows by database and takes the marks, before anything
+    is loaded, so rows that change meanwhile are due again. Marks are committed after the load,
+    never by runs with a window (it leaves a gap), and of each source only if every target it
+    feeds was loaded or had no rows. ``failures`` are the sources that could not be opened, as
+    ``scan_all`` and ``scan_layouts`` report them: they go into the events and metrics, and no
+    table that is joined with one of them gets a mark in that database. A mark is included in the
+    next run, so incremental runs must upsert. Progress, marks and metrics are kept below
+    ``state_path``.
     """
     if incremental and mode == "append":
         raise ValueError("an incremental run reads the rows at its marks again; use mode='upsert'")
@@ -230,28 +237,38 @@ def run(
     needed = {name: df for name, df in tables.items() if name in mappings.required_tables()}
     phase = "extraction"
     result = LoadResult(strategy)
-    note(("job", "run", "in_progress"))
+    failures = list(failures)
+    extracted = 0
+    note(("job", "run", "in_progress"), *[("source", ".".join(f[:-1]), "failed", None, f[-1]) for f in failures])
     try:
         mains = {main_order(mapping)[0] for mapping in mappings}
         limited = {name: df for name, df in needed.items() if name in mains or not whole_lookups}
         if incremental and state_path:
-            known = spark.read.parquet(history) if _exists(spark, history) else None
+            known = read_watermarks(spark, history) if _exists(spark, history) else None
             limited = changed_since(limited, known)
         needed.update({name: apply_window(df, window, order=EXTENDED) for name, df in limited.items()})
-        marks = None
-        if state_path and not (window and window.active):
-            marks = high_water_marks(needed, EXTENDED)
-            marks = cut(marks) if marks is not None else None
-        note(("phase", phase, "done"))
+        marks = database_marks(needed)
+        if marks is not None:
+            marks = cut(marks)
+            # One row for each table and database, as many as the catalog has.
+            found = marks.select("table", "database", "records").collect()
+            extracted = sum(row["records"] for row in found)
+            held = {name: frozenset(r["database"] for r in found if r["table"] == name) for name in needed}
+            build_options.setdefault("available", held)
+        note(("phase", phase, "done", extracted))
         phase = "transformation"
         targets = build_all(mappings, needed, etl_timestamp=at, **build_options)
         note(("phase", phase, "done"))
         phase = "loading"
         result = load_all(store, targets, strategy, mappings, mode=mode, **(load_options or {}))
         note(*[("table", row[0], row[1], row[3], row[5]) for row in result.rows])
-        if marks is not None and result.success:
+        if marks is not None and state_path and result.success and not (window and window.active):
             whole = sources_loaded(mappings, targets, result)
-            commit_watermarks(marks.filter(F.col("table").isin(sorted(whole))), history, job, moment)
+            whole = marks.filter(F.col("table").isin(sorted(whole)))
+            for database, tables_ in joined_with(mappings, failures).items():
+                there = F.col("table").isin(sorted(tables_))
+                whole = whole.filter(~(there if database is None else there & F.col("database").eqNullSafe(database)))
+            commit_watermarks(whole, history, job, moment)
         note(
             ("phase", phase, "done" if result.success else "failed"),
             ("job", "run", "completed" if result.success else "failed"),
@@ -261,7 +278,7 @@ def run(
         raise
     finally:
         if state_path:
-            _append_metrics(spark, f"{state_path}/run_metrics", job, phase, result)
+            _append_metrics(spark, f"{state_path}/run_metrics", job, phase, result, extracted, len(failures))
     return result
 
 
@@ -272,6 +289,16 @@ def sources_loaded(mappings: MappingSet, targets: Iterable[str], result: LoadRes
     return mappings.required_tables() - open_
 
 
+def joined_with(mappings: MappingSet, failures: Iterable[tuple]) -> dict[str | None, set[str]]:
+    """By database, the tables whose rows would miss related rows of a source that could not be opened; None is all of them."""
+    out: dict[str | None, set[str]] = {}
+    for failure in failures:
+        database, table = (None, failure[0]) if len(failure) == 2 else failure[:2]
+        for mapping in mappings.fed_by(table):
+            out.setdefault(database, set()).update(mapping.sources)
+    return out
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -281,13 +308,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def _append_metrics(spark: SparkSession, path: str, job: str, reached: str, result: LoadResult) -> None:
+def _append_metrics(
+    spark: SparkSession, path: str, job: str, reached: str, result: LoadResult, extracted: int, unopened: int
+) -> None:
     """One row per phase that was reached, in the form ``run_metrics`` reads."""
     rows = []
     for phase in PHASES[: PHASES.index(reached) + 1]:
         ended = phase != reached or (phase == "loading" and bool(result.rows) and result.success)
-        records = {"transformation": sum(r[2] or 0 for r in result.rows), "loading": result.total_records}.get(phase, 0)
-        failed = len(result.names("failed")) if phase == "loading" else 0
+        parsed = sum(r[2] or 0 for r in result.rows)
+        records = {"extraction": extracted, "transformation": parsed, "loading": result.total_records}[phase]
+        failed = {"extraction": unopened, "transformation": 0, "loading": len(result.names("failed"))}[phase]
         rows.append((job, phase, ended, records, failed))
     schema = "run_id string, phase string, success boolean, records bigint, failed_tables bigint"
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)

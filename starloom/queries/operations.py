@@ -17,7 +17,7 @@ from starloom.operators.report import (
     transform_stats,
 )
 from starloom.operators.sets import DATABASE
-from starloom.operators.state import current_watermarks, job_state, job_summary, remaining_tables, replay_due
+from starloom.operators.state import changed_since, current_watermarks, database_marks, job_state, job_summary, remaining_tables, replay_due
 from starloom.plans.spec import MappingSet, TargetMapping
 from starloom.queries.registry import query, table
 
@@ -359,6 +359,33 @@ def current_watermarks_query(spark, sf):
     return current_watermarks(history)
 
 
+MARKED = """
+    SELECT 'tenant_' || lower(o_orderstatus) AS _database, o_orderkey, o_orderdate AS created_date FROM orders
+"""
+
+
+@query(
+    "marks_by_database",
+    f"""
+    WITH o AS ({MARKED}),
+    first AS (SELECT _database, max(created_date) AS mark FROM o
+              WHERE _database <> 'tenant_p' AND (_database = 'tenant_o' OR created_date < DATE '1998-06-01') GROUP BY 1)
+    SELECT _database, o_orderkey, created_date FROM o LEFT JOIN first USING (_database)
+    WHERE mark IS NULL OR created_date >= mark
+    """,
+)
+def marks_by_database(spark, sf):
+    """What is due in a second run: one database stands behind, one joins and is read whole."""
+    orders = table(spark, sf, "orders").select(
+        F.concat(F.lit("tenant_"), F.lower("o_orderstatus")).alias(DATABASE), "o_orderkey", F.col("o_orderdate").alias("created_date")
+    )
+    first = orders.filter("_database <> 'tenant_p' AND (_database = 'tenant_o' OR created_date < DATE '1998-06-01')")
+    marks = database_marks({"orders": first}).select(
+        "table", "database", "value", F.lit("first").alias("run_id"), F.current_timestamp().alias("committed_at")
+    )
+    return changed_since({"orders": orders}, marks)["orders"]
+
+
 @query(
     "run_outcome",
     """

@@ -1,8 +1,8 @@
-"""Interchange files: JSON documents that nest rows by database and table.
+"""Interchange documents: JSON that nests rows by database and table.
 
-A document is parsed by one task, so many documents are read side by side but a single
-one is not split. Data of any size belongs in the layout with one dataset per table that
-``write_extract`` makes; these readers take in what other tools leave behind.
+``read_extract``, ``read_single`` and ``read_transformed`` read files of any size in ranges, see
+``documents``. The ``explode`` functions take documents that are values of a column, each of which
+is parsed as one.
 """
 
 from __future__ import annotations
@@ -18,9 +18,14 @@ from starloom.operators.sets import DATABASE
 from starloom.plans.build import POSITION
 from starloom.plans.spec import MappingSet
 from starloom.plans.targets import JOIN_KEYS, TARGETS
+from starloom.sources.documents import FILE, METADATA, read_extract, read_single, read_transformed
 
-METADATA = "extraction_metadata"
-FILE = "_file"
+
+
+__all__ = [
+    "FILE", "METADATA", "document_tables", "explode_extract", "explode_single", "explode_transformed", "keep_rows",
+    "metadata_row", "read_documents", "read_extract", "read_single", "read_transformed", "table_rows",
+]
 
 
 def read_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -112,7 +117,7 @@ def document_tables(
 ) -> dict[str, DataFrame]:
     """Every source table of the mappings from exploded documents, ready to build targets from.
 
-    Documents are parsed again for each table, so more than a few belong in ``write_extract`` first.
+    For more than a few tables take rows out of ``keep_rows``, as documents are else read for each table.
     """
     return {
         table: table_rows(exploded, table, mappings.source_schema(table, join_keys))
@@ -120,16 +125,10 @@ def document_tables(
     }
 
 
-def read_extract(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return explode_extract(read_documents(spark, paths))
-
-
-def read_single(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return explode_single(read_documents(spark, paths))
-
-
-def read_transformed(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return explode_transformed(read_documents(spark, paths))
+def keep_rows(exploded: DataFrame, root: str) -> DataFrame:
+    """The rows as stored below ``root``, a folder for each table: documents are parsed once, however many tables are read."""
+    exploded.hint("rebalance", F.col("table")).write.partitionBy("table").parquet(root)
+    return exploded.sparkSession.read.schema(exploded.schema).parquet(root)
 
 
 def metadata_row(summary: DataFrame, window: IncrementalWindow, environment: str, at: datetime | None = None) -> DataFrame:

@@ -23,7 +23,7 @@ from starloom.plans.spec import LOAD_TIME, MappingSet, TargetMapping
 from starloom.plans.targets import TARGETS
 from starloom.sinks.store import Target, clustered, write_clustered
 from starloom.operators.report import run_metrics
-from starloom.operators.state import current_watermarks, forget_job, job_summary, read_events, replay_due
+from starloom.operators.state import changed_since, current_watermarks, database_marks, forget_job, job_summary, read_events, replay_due
 from starloom.functions.window import IncrementalWindow
 
 ITEM = TargetMapping(
@@ -468,3 +468,69 @@ def test_upsert_measures_a_large_batch(spark):
         assert got.count() == 1250 and got.filter("v = 1").count() == 500
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+# Marks by database
+
+
+USER = "_database string, id bigint, user_id bigint, first_name string, updated_at_epoch bigint, _pos int"
+DAY = 86_400_000
+JANUARY = 1_704_067_200_000
+
+
+def users(spark, *rows):
+    return {"users": spark.createDataFrame([(d, i, i, n, JANUARY + day * DAY, i) for d, i, n, day in rows], USER)}
+
+
+def loaded_users(store):
+    return {r["user_id"]: r["first_name"] for r in store.read("dim_users").collect()}
+
+
+def test_a_database_that_joins_later_loses_nothing(spark, store, tmp_path):
+    """Also one that could not be opened before, or that stands behind the others."""
+    state = str(tmp_path / "state")
+    go = lambda tables, **more: run(spark, tables, store, state_path=state, incremental=True, mode="upsert", load_options={"order_by": ["user_id"]}, **more)
+    go(users(spark, ("tenant_a", 1, "a", 20)), failures=[("tenant_b", "users", "AnalysisException")])
+    rows = [("tenant_a", 1, "late", 5), ("tenant_a", 2, "new", 21), ("tenant_b", 10, "b", 10), ("tenant_c", 20, "c", 1)]
+    assert go(users(spark, *rows)).total_records == 3
+    assert loaded_users(store) == {1: "a", 2: "new", 10: "b", 20: "c"}
+    # Each goes on from its own mark.
+    rows = [("tenant_a", 3, "early", 15), ("tenant_b", 11, "b2", 15), ("tenant_c", 21, "c2", 2), ("tenant_c", 20, "C", 0), (None, 30, "none", 0)]
+    assert go(users(spark, *rows)).total_records == 3
+    assert loaded_users(store) == {1: "a", 2: "new", 10: "b", 11: "b2", 20: "c", 21: "c2", 30: "none"}
+    marks = {(r["database"], r["value"].day) for r in current_watermarks(spark.read.parquet(f"{state}/watermarks")).collect()}
+    assert marks == {("tenant_a", 16), ("tenant_b", 16), ("tenant_c", 3), (None, 1)}
+
+
+def test_no_mark_for_tables_joined_with_a_source_that_failed(spark, store, tmp_path):
+    state = str(tmp_path / "state")
+    tables = users(spark, ("tenant_a", 1, "a", 20), ("tenant_b", 2, "b", 20))
+    run(spark, tables, store, state_path=state, incremental=True, mode="upsert", failures=[("tenant_b", "user_accounts", "AnalysisException")])
+    marks = current_watermarks(spark.read.parquet(f"{state}/watermarks")).collect()
+    assert [(r["table"], r["database"]) for r in marks] == [("users", "tenant_a")]
+    metrics = run_metrics(spark.read.parquet(f"{state}/run_metrics")).first()
+    assert (metrics["extraction_records"], metrics["failed_tables"], metrics["outcome"]) == (2, 1, "partial")
+    sources = read_events(spark, f"{state}/job_events").filter("kind = 'source'").collect()
+    assert [(r["name"], r["status"], r["details"]) for r in sources] == [("tenant_b.user_accounts", "failed", "AnalysisException")]
+
+
+def test_marks_kept_without_a_database_read_the_history_whole(spark, store, tmp_path):
+    state = str(tmp_path / "state")
+    old = spark.createDataFrame([("users", datetime(2024, 1, 20), "r", datetime(2024, 1, 21))], "table string, value timestamp, run_id string, committed_at timestamp")
+    old.write.parquet(f"{state}/watermarks")
+    got = run(spark, users(spark, ("tenant_a", 1, "a", 1)), store, state_path=state, incremental=True, mode="upsert", load_options={"order_by": ["user_id"]})
+    assert got.total_records == 1
+
+
+def test_marks_reach_partitions_and_files(spark, tmp_path):
+    path = str(tmp_path / "users")
+    rows = [(f"t{d}", i, JANUARY + (d * 10 + i % 10) * DAY) for d in range(30) for i in range(40)]
+    spark.createDataFrame(rows, "_database string, id bigint, updated_at_epoch bigint").write.partitionBy("_database").parquet(path)
+    df = spark.read.parquet(path)
+    history = database_marks({"users": df.filter("id < 35 AND _database != 't7'")}).selectExpr(
+        "table", "database", "value", "'r' AS run_id", "timestamp'2024-02-01' AS committed_at")
+    due = changed_since({"users": df}, history)["users"]
+    got = {(r["_database"], r["id"]) for r in due.collect()}
+    assert got == {(f"t{d}", i) for d in range(30) for i in range(40) if i % 10 == 9 or d == 7}
+    plan = plan_of(changed_since({"users": df}, history)["users"])
+    assert plan.count("FileScan") <= 9 and plan.count("GreaterThanOrEqual(updated_at_epoch") == plan.count("FileScan") - 1
