@@ -32,8 +32,11 @@ from starloom.plans.build import build_all, main_order
 from starloom.plans.spec import LOAD_TIME, MappingSet, TargetMapping
 from starloom.plans.targets import TARGETS
 from starloom.session import cut
-from starloom.sinks.store import StarStore, clustered
+from starloom.sinks import files
+from starloom.sinks.store import BUCKET, LOAD, StarStore, clustered
 
+#: Where a row stands among those that arrive with it.
+ARRIVAL = "_arrival"
 STRATEGIES = ("bulk", "continue_on_error", "fail_fast", "all_or_nothing")
 
 
@@ -77,18 +80,23 @@ def load_table(
     per_database: bool = False,
     fill_defaults: bool = False,
     cluster: bool = False,
+    buckets: int = 0,
+    keep_versions: int = 2,
 ) -> tuple[str, str, int, int, int, str | None]:
     """Load one target and report it; a target without rows is skipped and leaves no table behind.
 
     Rejected rows are kept below ``rejects_path``, by default ``_rejects`` in the store's root.
-    Rows and rejects are counted while they are written, so the target is computed once.
-    Every load goes through a staged dataset, from which rows and rejects are taken, and
-    whose known size lets Spark pick the join.
+    Rows and rejects are counted while they are written, so the target is computed once. An
+    append writes its rows once, accepted and rejected ones apart, and hands the files over;
+    an upsert stages them, as it reads them several times. Of rows of one key that ``order_by``
+    does not tell apart the one that arrives last stays. An upsert removes what only versions
+    before the last ``keep_versions`` need.
 
     With ``per_database`` the table is partitioned by ``_database``, which becomes part of
-    the key, so equal keys of different databases stay apart. ``fill_defaults`` gives columns
-    that ``df`` does not have their declared default instead of NULL, and ``cluster`` writes
-    the rows in the declared layout.
+    the key, so equal keys of different databases stay apart. With ``buckets`` a new table is
+    dealt by its key into so many folders, of which an upsert rewrites only those it touches.
+    ``fill_defaults`` gives columns that ``df`` does not have their declared default instead of
+    NULL, and ``cluster`` writes the rows in the declared layout.
     """
     mapping = mappings.get(table) if mappings else None
     if mapping and fill_defaults:
@@ -96,11 +104,14 @@ def load_table(
     if LOAD_TIME not in df.columns:
         df = stamp(df)
     parts = (DATABASE,) if per_database and DATABASE in df.columns else ()
-    created = store.ensure_for(table, df, mapping, parts)
+    created = store.ensure_for(table, df, mapping, parts, buckets=buckets)
     required = tuple(dict.fromkeys((*mapping.primary_key, *mapping.required))) if mapping and check_required else ()
-    schema = _declared(store.read(table).schema, mapping)
+    version = store.version(table)
+    schema = _declared(version.schema, mapping)
     seen = Observation(f"{table}-{uuid4().hex}")
-    checked = load_with_rejects(df, schema, required=required, lengths=mapping is not None).observe(
+    checked = load_with_rejects(df, schema, required=required, lengths=mapping is not None)
+    # Counted last of all: sorting into ranges runs what is before it twice.
+    counted = lambda rows: rows.observe(
         seen, F.count("*").alias("parsed"), F.count_if(F.col(REJECTS).isNotNull()).alias("rejected")
     )
     layout = mapping.cluster_by if mapping and cluster else ()
@@ -108,18 +119,28 @@ def load_table(
     staged = store.staging(table)
     counts = None
     try:
-        checked.write.parquet(staged)
-        checked = store.spark.read.parquet(staged)
-        good = accepted(checked)
         if mode == "upsert":
+            counted(checked.withColumn(ARRIVAL, F.monotonically_increasing_id())).write.parquet(staged)
+            rows = store.spark.read.parquet(staged)
             key = (*mapping.primary_key, *parts) if mapping else ()
             order = list(order_by) or [c for c in ("updated_at", *key) if c in schema.names]
-            store.upsert(table, good, key, order, cluster_by=layout)
+            store.upsert(table, accepted(rows), key, [*order, ARRIVAL], cluster_by=layout)
+            store.drop_old_versions(table, keep_versions)
         else:
-            store.append(table, clustered(good, layout, tie=mapping.primary_key) if layout else good)
+            load = uuid4().hex
+            rows = store.laid_out(version, checked, load)
+            dealt = [c for c in version.layout if c != LOAD]
+            if layout:
+                rows = clustered(rows, [*dealt, *layout], tie=mapping.primary_key)
+            elif dealt:
+                rows = rows.hint("rebalance", *[F.col(c) for c in dealt])
+            bad = F.col(REJECTS).isNotNull().alias("_rejected")
+            counted(rows).select("*", bad).write.partitionBy("_rejected", *version.layout).parquet(staged)
+            store.adopt(table, f"{staged}/_rejected=false", load)
         counts = seen.get
         if counts["rejected"]:
-            rejected(checked).write.mode("append").parquet(f"{rejects_path.rstrip('/')}/{table}")
+            rows = store.spark.read.parquet(staged if mode == "upsert" else f"{staged}/_rejected=true")
+            rejected(rows).drop(ARRIVAL, BUCKET, LOAD).write.mode("append").parquet(f"{rejects_path.rstrip('/')}/{table}")
     finally:
         store.remove(staged)
         # A table made for a load that failed or had no rows would look loaded to a recovery.
@@ -244,7 +265,7 @@ def run(
         mains = {main_order(mapping)[0] for mapping in mappings}
         limited = {name: df for name, df in needed.items() if name in mains or not whole_lookups}
         if incremental and state_path:
-            known = read_watermarks(spark, history) if _exists(spark, history) else None
+            known = read_watermarks(spark, history) if files.exists(spark, history) else None
             limited = changed_since(limited, known)
         needed.update({name: apply_window(df, window, order=EXTENDED) for name, df in limited.items()})
         marks = database_marks(needed)
@@ -303,11 +324,6 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def _append_metrics(
     spark: SparkSession, path: str, job: str, reached: str, result: LoadResult, extracted: int, unopened: int
 ) -> None:

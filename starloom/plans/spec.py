@@ -10,6 +10,8 @@ from pyspark.sql import Column, types as T
 from starloom.functions.clean import is_boolean_name, is_time_name
 
 LOAD_TIME = "etl_timestamp"
+# The most characters of a text that a mapping declares no type for.
+UNDECLARED_LENGTH = 255
 
 _TYPES = {"bigint": T.LongType(), "boolean": T.BooleanType(), "string": T.StringType(), "timestamp": T.TimestampType()}
 
@@ -65,7 +67,9 @@ class TargetMapping:
 
     def length_of(self, column: str) -> int:
         """The declared length of a text; 0 means unlimited."""
-        declared = self.types.get(column, "")
+        declared = self.types.get(column)
+        if declared is None:
+            return UNDECLARED_LENGTH if isinstance(type_by_name(column), T.StringType) else 0
         return int(declared[len("varchar(") : -1]) if declared.startswith("varchar(") else 0
 
     def field_of(self, column: str) -> tuple[str | None, str | Callable[[], Column]]:

@@ -65,7 +65,7 @@ def test_lengths():
 def test_types_of_undeclared_columns():
     mapping = TargetMapping("t", ("s",), ("a_id",), {c: f"s.{c}" for c in ("a_id", "is_on", "created_at", "note")})
     assert [f.dataType.simpleString() for f in mapping.schema] == ["bigint", "boolean", "timestamp", "string", "timestamp"]
-    assert not any(f.metadata for f in mapping.schema)
+    assert {f.name: f.metadata.get("max_length") for f in mapping.schema if f.metadata} == {"note": 255}
 
 
 def test_lookup_by_name():
