@@ -30,6 +30,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,10 +60,19 @@ class Side:
     def __init__(self, spelled: list[bytes]) -> None:
         self.spelled = spelled
         self.size = np.array([len(x) for x in spelled], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(spelled), np.uint8)
 
-    def spells(self, ids: np.ndarray, raw: bytes) -> bool:
-        """Whether the tokens' bytes, one after the other, are the text's."""
-        return int(self.size[ids].sum()) == len(raw) and b"".join(map(self.spelled.__getitem__, ids.tolist())) == raw
+    def spells(self, ids: list[np.ndarray], raw: list[bytes]) -> np.ndarray:
+        """For which texts the tokens' bytes, one after the other, are the text's."""
+        have = np.array([int(self.size[x].sum()) == len(r) for x, r in zip(ids, raw)], bool)
+        pick = np.flatnonzero(have).tolist()
+        if pick:
+            got, _ = spans(self.flat, *(c[np.concatenate([ids[k] for k in pick])] for c in (self.begin, self.size)))
+            unlike = np.flatnonzero(got != np.frombuffer(b"".join(raw[k] for k in pick), np.uint8))
+            ends = np.cumsum([len(raw[k]) for k in pick])
+            have[np.array(pick)[np.searchsorted(ends, unlike, "right")]] = False
+        return have
 
 
 class ByteSide(Side):
@@ -113,6 +123,13 @@ class PieceSide(Side):
         return self.model.encode(texts, num_threads=1)
 
 
+def spans(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all spans, one after the other, and where each ends."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat((begin - (ends - size)).astype(np.int32), size) + np.arange(total, dtype=np.int32)], ends
+
+
 _SIDES: dict[int, tuple[ByteSide, PieceSide]] = {}
 
 
@@ -144,18 +161,23 @@ def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count), owner
 
 
+def _among(values: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which values are in ``others``, by bisection."""
+    return others[np.minimum(np.searchsorted(others, values), len(others) - 1)] == values
+
+
 def near_middle(ends: np.ndarray, others: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """For each range of ``ends`` the place nearest to its middle whose value is among ``others`` too, or -1."""
-    out = np.full(len(low), -1)
-    todo, middle = np.arange(len(low)), (low + high - 1) // 2
-    inner, outer = 0, 1
+    middle = (low + high - 1) // 2
+    out = np.where(_among(ends[middle], others), middle, -1)
+    todo = np.flatnonzero((out < 0) & (high - low > 1))
+    inner, outer = 1, 3
     while len(todo):
         a, b, m = low[todo], high[todo], middle[todo]
         left, left_of = _ranges(np.maximum(a, m - outer + 1), np.maximum(a, np.minimum(b, m - inner + 1)))
-        right, right_of = _ranges(np.minimum(b, np.maximum(a, m + max(inner, 1))), np.minimum(b, m + outer))
+        right, right_of = _ranges(np.minimum(b, m + inner), np.minimum(b, m + outer))
         place, of = np.concatenate((left, right)), np.concatenate((left_of, right_of))
-        value = ends[place]
-        hit = np.flatnonzero(others[np.minimum(np.searchsorted(others, value), len(others) - 1)] == value)
+        hit = np.flatnonzero(_among(ends[place], others))
         place, of = place[hit], of[hit]
         order = np.lexsort((place, np.abs(place - m[of]), of))
         found, first = np.unique(of[order], return_index=True)
@@ -180,10 +202,19 @@ def shared_cuts(ends: np.ndarray, others: np.ndarray, low: np.ndarray, high: np.
         found = at >= 0
         low, high, at = low[found], high[found], at[found] + 1
         cuts[at - 1] = True
-        low, high = np.concatenate((low, at)), np.concatenate((at, high))
+        # Both halves next to each other, so that the intervals stay in order.
+        low, high = np.column_stack((low, at)).ravel(), np.column_stack((at, high)).ravel()
     return cuts
 
 
+@lru_cache(maxsize=4)
+def _decimals(most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the decimal text of each number up to ``most``, and room for a mark, begins, how long it is, and all of them."""
+    texts = [b"%d " % k for k in range(most + 1)]
+    size = np.array([len(t) for t in texts], np.int64)
+    return np.cumsum(size) - size, size, np.frombuffer(b"".join(texts), np.uint8)
+
+
 class Aligned:
     """Groups and links of some texts, one after the other; ``have`` says which texts have tokens."""
 
@@ -191,7 +222,7 @@ class Aligned:
         raw = [(" " + t).encode() for t in texts]
         ids = [side.ids(texts) for side in (a, b)]
         ids = [[np.asarray(x, np.uint32) for x in side] for side in ids]
-        self.have = np.array([bool(t) and a.spells(x, r) and b.spells(y, r) for t, r, x, y in zip(texts, raw, *ids)], bool)
+        self.have = np.array([bool(t) for t in texts], bool) & a.spells(ids[0], raw) & b.spells(ids[1], raw)
         ids = [[x if h else x[:0] for x, h in zip(side, self.have.tolist())] for side in ids]
         self.count_a, self.count_b = (np.array([len(x) for x in side], np.int64) for side in ids)
         self.a, self.b = (np.concatenate(side).astype(np.int64) for side in ids)
@@ -226,15 +257,9 @@ class Aligned:
         token[at_a], token[at_b] = self.a, self.b
         mark = np.full(len(token), ord(","), np.uint8)
         mark[at_a[self.group_a - 1]], mark[at_b[self.group_b - 1]] = ord("|"), ord(";")
-        digits = 1 + sum((token >= 10**k).astype(np.int64) for k in range(1, len(str(int(token.max())))))
-        ends = np.cumsum(digits + 1)
-        out = np.empty(int(ends[-1]), np.uint8)
+        begin, size, flat = _decimals(1 << int(token.max()).bit_length())
+        out, ends = spans(flat, begin[token], size[token])
         out[ends - 1] = mark
-        rest, have = token, np.arange(len(token))
-        for k in range(int(digits.max())):
-            out[ends[have] - 2 - k] = ord("0") + rest % 10
-            rest, more = rest // 10, digits[have] > k + 1
-            rest, have = rest[more], have[more]
         edges = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(self.count_a + self.count_b)))]
         flat = out.tobytes()
         return [flat[x : y - 1] if y > x else b"" for x, y in zip(edges[:-1].tolist(), edges[1:].tolist())]
