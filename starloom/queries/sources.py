@@ -8,6 +8,7 @@ from starloom.operators.sets import page, sample_limit, union_databases, within
 from starloom.queries.registry import query, table
 from starloom.sources.catalog import classify_tables, discover_databases, filter_by_keywords, select_tables, table_catalog
 from starloom.sources.envelope import explode_extract, explode_single, explode_transformed, table_rows
+from starloom.sources.splits import plan_frame
 
 DATABASES = """
     CASE c_mktsegment WHEN 'BUILDING' THEN 'Identity' WHEN 'MACHINERY' THEN 'MASTER'
@@ -154,6 +155,36 @@ def page_query(spark, sf):
     return page(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], 500, 2)
 
 
+@query(
+    "page_deep",
+    """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+    ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 200 OFFSET 50000
+    """,
+)
+def page_deep(spark, sf):
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return page(lines, lines.columns, 200, 250, shallow=1_000)
+
+
+@query(
+    "range_splits",
+    """
+    WITH s AS (SELECT min(l_partkey) AS low, max(l_partkey) + 1 AS high, count(*) AS total FROM lineitem),
+    w AS (SELECT low, high, total, greatest(1, CAST(ceil((high - low) / 200.0) AS BIGINT)) AS width FROM s),
+    b AS (SELECT (l_partkey - low) // width AS part, count(*) AS n FROM lineitem, w GROUP BY 1),
+    c AS (SELECT part, n, sum(n) OVER (ORDER BY part) - n AS before FROM b)
+    SELECT CAST(min(low + part * width) AS BIGINT) AS low, CAST(max(least(high, low + (part + 1) * width)) AS BIGINT) AS high,
+           CAST(sum(n) AS BIGINT) AS rows
+    FROM c, w GROUP BY before * 8 // total
+    """,
+)
+def range_splits(spark, sf):
+    """The ranges by which eight connections would read the lines: about equal numbers of rows."""
+    found = plan_frame(table(spark, sf, "lineitem"), "l_partkey", 8, ranges=200)
+    return spark.createDataFrame([(x.low, x.high, x.rows) for x in found], "low bigint, high bigint, rows bigint")
+
+
 ORDER_ROW = T.StructType(
     [
         T.StructField("o_orderkey", T.LongType()),

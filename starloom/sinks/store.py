@@ -13,6 +13,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from starloom.operators.load import compare_schemas, conform, infer_target_schema, upsert
+from starloom.operators.ranges import interleaved
 from starloom.plans.spec import LOAD_TIME, TargetMapping
 from starloom.sinks import files
 
@@ -23,19 +24,30 @@ TRIES = 10
 _HERE = Lock()
 
 
-def write_clustered(df: DataFrame, columns: Sequence[str], path: str, *, tie: Sequence[str] = (), mode="overwrite") -> None:
+def write_clustered(
+    df: DataFrame, columns: Sequence[str], path: str, *, tie: Sequence[str] = (), mode="overwrite", together: bool = False
+) -> None:
     """Parquet in range partitions of the cluster columns, sorted within, so that min/max prune files.
 
     ``tie`` columns, such as the key, split a value that holds a large part of the rows.
     """
-    clustered(df, columns, tie=tie).write.mode(mode).parquet(path)
+    clustered(df, columns, tie=tie, together=together).write.mode(mode).parquet(path)
 
 
-def clustered(df: DataFrame, columns: Sequence[str], *, tie: Sequence[str] = ()) -> DataFrame:
+def clustered(df: DataFrame, columns: Sequence[str], *, tie: Sequence[str] = (), together: bool = False) -> DataFrame:
+    """Rows in ranges of the columns, the first one decides; with ``together`` all columns count alike.
+
+    Then the order is that of the columns' ranges with their bits interleaved, so that a filter
+    on any one of them leaves files out, where the other order does so for the first one only.
+    """
     order = [c for c in dict.fromkeys((*columns, *tie)) if c in df.columns]
     if not order:
         return df
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    near = [c for c in columns if c in df.columns]
+    if not together or len(near) < 2:
+        return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = df.withColumn("_near", interleaved(df, near))
+    return rows.repartitionByRange("_near", *order).sortWithinPartitions("_near", *order).drop("_near")
 
 
 @dataclass(frozen=True)
@@ -473,9 +485,16 @@ class StarStore:
             change = _only(now, replace(now, location=location, batches={**now.batches, **batches}))
         self._change(table, change, now)
 
-    def recluster(self, table: str, columns: Sequence[str], *, tie: Sequence[str] = ()) -> None:
+    def recluster(self, table: str, columns: Sequence[str], *, tie: Sequence[str] = (), together: bool = False) -> None:
         """Rewrite the table in the layout of ``clustered``, as a new version."""
-        self.overwrite(table, self.read(table), cluster_by=columns, tie=tie)
+        rows = self.read(table)
+        if together and not self.version(table).in_folders:
+            now = self.version(table)
+            made = replace(now, location=self._new_location(table))
+            clustered(rows, columns, tie=tie, together=True).write.mode("append").parquet(made.location)
+            self._change(table, _only(now, made), now)
+            return
+        self.overwrite(table, rows, cluster_by=columns, tie=tie)
 
     def overwrite(self, table: str, df: DataFrame, *, cluster_by: Sequence[str] = (), tie: Sequence[str] = ()) -> None:
         """All rows anew; partitions and buckets stay."""

@@ -12,6 +12,7 @@ from starloom.functions.window import EFFECTIVE, IncrementalWindow, apply_window
 from starloom.operators.sets import DATABASE, union_all
 from starloom.plans.build import POSITION
 from starloom.sources.catalog import jdbc_options, keyword_condition, tables_to_extract
+from starloom.sources.splits import plan_query
 
 
 @dataclass(frozen=True)
@@ -22,20 +23,27 @@ class Source:
     path: str = ""
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
+    split_by: str = ""
+    splits: int = 16
 
     @classmethod
-    def jdbc(cls, urls: Mapping[str, str], database: str, **options: str) -> Source:
-        return cls(database, format="jdbc", options={**jdbc_options(urls, database), **options})
+    def jdbc(cls, urls: Mapping[str, str], database: str, *, split_by: str = "", splits: int = 16, **options: str) -> Source:
+        return cls(database, format="jdbc", options={**jdbc_options(urls, database), **options}, split_by=split_by, splits=splits)
 
     def __repr__(self) -> str:  # options hold credentials
         return f"Source({self.database!r}, {self.format!r})"
 
     def read(self, spark: SparkSession, table: str, order_by: Sequence[str] = ()) -> DataFrame:
-        """The whole table; a JDBC table is read in ranges of a numeric column if one is given."""
+        """The whole table; a JDBC table is read by several connections if ``split_by`` names a whole-number key."""
         reader = spark.read.format(self.format).options(**self.options)
         if self.format == "jdbc":
-            # Fetched in steps, and in ranges side by side if the options name a partition column.
-            df = reader.option("dbtable", table).load()
+            # Fetched in steps, and in ranges side by side if there is a key or the options name a partition column.
+            if self.split_by:
+                parts = plan_query(lambda sql: reader.option("query", sql).load(), table, self.split_by, self.splits)
+                options = {k: v for k, v in self.options.items() if k != "url"}
+                df = spark.read.jdbc(self.options["url"], table, predicates=parts, properties=options)
+            else:
+                df = reader.option("dbtable", table).load()
             return with_position(df, order_by, in_files=False)
         return with_position(reader.load(f"{self.path.rstrip('/')}/{table}"), order_by)
 

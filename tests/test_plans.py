@@ -11,7 +11,7 @@ from starloom.queries import QUERIES
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroupsInPandas")
 # One row per table or database flows through a single partition here, or a limit is the feature.
-GLOBAL_SORT = {"catalog_listing", "sample_limit", "page", "top_failed"}
+GLOBAL_SORT = {"catalog_listing", "sample_limit", "page", "page_deep", "top_failed"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
