@@ -335,7 +335,9 @@ class StarStore:
         schema = T.StructType([*fields[:tail], *added, *fields[tail:]])
         if mismatched:
             made = replace(now, schema=schema, location=self._new_location(table))
-            rows = conform(self._rows(now, now.folders), T.StructType([*fields[:tail], *fields[tail:]]))
+            rows = conform(self._rows(now, now.folders), T.StructType(fields))
+            # What older files would read: the default.
+            rows = rows.withColumns({f.name: F.lit(False) for f in added if f.metadata})
             folders = self._write(made, self._by_name(rows, schema), made.location)
             self._change(table, _only(now, replace(made, folders=folders)), now)
         else:
