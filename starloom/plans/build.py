@@ -62,8 +62,9 @@ def build_target(
     """The target from its source tables, or None if no source has rows.
 
     Frames with a ``_database`` column are joined within each database, and each database
-    takes the first of its filled sources as main table. ``position`` names the columns
-    that order related rows.
+    takes the first of its filled sources as main table. A related frame without one belongs to
+    all databases, and a main one without is joined with the rows of all. ``position`` names
+    the columns that order related rows.
     """
     present = {name: tables[name] for name in mapping.sources if name in tables}
     held = available if available is not None else table_availability(present)
@@ -72,13 +73,20 @@ def build_target(
     served: set = set()
     for table in main_order(mapping):
         databases = held.get(table, frozenset()) - served
-        if table not in present or not databases:
+        if served:
+            # What belongs to all databases is no further one of them.
+            databases -= {None}
+        if table not in present or not databases or None in served:
             continue
         main = present[table]
         if scope and databases != held[table]:
             main = main.filter(F.col(DATABASE).isin(*databases))
         # A table with no rows in these databases has nothing to look up.
-        related = {name: df for name, df in present.items() if name != table and held.get(name, frozenset()) & databases}
+        common = None in databases
+        related = {
+            name: df for name, df in present.items()
+            if name != table and (rows := held.get(name, frozenset())) and (common or None in rows or rows & databases)
+        }
         served |= databases
         if _reads_any(mapping, table, main, related):
             branches.append(_join_sources(mapping, table, main, related, scope, on_miss, join_keys, position))
@@ -115,7 +123,11 @@ def _join_sources(mapping, table, main, related, scope, on_miss, join_keys, posi
         owner: Lookup(related[owner], fields, position, join_keys.get(frozenset((table, owner))), on_miss)
         for owner, fields in wanted.items()
     }
-    joined = lookup_join(main, lookups, scope) if lookups else main
+    scope = tuple(c for c in scope if c in main.columns)
+    scoped = {owner: x for owner, x in lookups.items() if scope and DATABASE in x.related.columns}
+    shared = {owner: x for owner, x in lookups.items() if owner not in scoped}
+    joined = lookup_join(main, scoped, scope) if scoped else main
+    joined = lookup_join(joined, shared) if shared else joined
 
     columns: list[Column] = []
     for target in mapping.columns:

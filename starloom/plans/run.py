@@ -24,8 +24,11 @@ from starloom.operators.state import (
     commit_watermarks,
     database_marks,
     job_event,
+    job_state,
+    read_events,
     read_watermarks,
     remaining_names,
+    replay_due,
 )
 from starloom.operators.sets import DATABASE
 from starloom.plans.build import build_all, main_order
@@ -33,7 +36,9 @@ from starloom.plans.spec import LOAD_TIME, MappingSet, TargetMapping
 from starloom.plans.targets import TARGETS
 from starloom.session import cut
 from starloom.sinks import files
+from starloom.sinks.datasets import write_extract
 from starloom.sinks.store import BUCKET, LOAD, StarStore, clustered
+from starloom.sources.documents import METADATA
 
 #: Where a row stands among those that arrive with it.
 ARRIVAL = "_arrival"
@@ -227,6 +232,8 @@ def run(
     at: datetime | None = None,
     load_options: Mapping[str, object] | None = None,
     failures: Iterable[tuple] = (),
+    extract_path: str | None = None,
+    resume: bool = False,
     **build_options,
 ) -> LoadResult:
     """Source tables to loaded targets.
@@ -244,6 +251,10 @@ def run(
     table that is joined with one of them gets a mark in that database. A mark is included in the
     next run, so incremental runs must upsert. Progress, marks and metrics are kept below
     ``state_path``.
+
+    With ``extract_path`` the rows that are due are stored there first, in a folder of the job, and
+    targets are built from these; ``replay`` goes on from there after a failure. ``resume`` leaves
+    out the targets that the events of this ``job_id`` tell were loaded before.
     """
     if incremental and mode == "append":
         raise ValueError("an incremental run reads the rows at its marks again; use mode='upsert'")
@@ -268,6 +279,8 @@ def run(
             known = read_watermarks(spark, history) if files.exists(spark, history) else None
             limited = changed_since(limited, known)
         needed.update({name: apply_window(df, window, order=EXTENDED) for name, df in limited.items()})
+        if extract_path:
+            needed = keep_extract(spark, needed, f"{extract_path.rstrip('/')}/{job}")
         marks = database_marks(needed)
         if marks is not None:
             marks = cut(marks)
@@ -279,6 +292,9 @@ def run(
         note(("phase", phase, "done", extracted))
         phase = "transformation"
         targets = build_all(mappings, needed, etl_timestamp=at, **build_options)
+        if resume and state_path:
+            done = _loaded_before(spark, f"{state_path}/job_events", job)
+            targets = {name: df for name, df in targets.items() if name not in done}
         note(("phase", phase, "done"))
         phase = "loading"
         result = load_all(store, targets, strategy, mappings, mode=mode, **(load_options or {}))
@@ -303,6 +319,40 @@ def run(
     return result
 
 
+def keep_extract(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """The tables as stored below ``root``, a dataset each, partitioned by database if they have one."""
+    scoped = {name: df for name, df in tables.items() if DATABASE in df.columns}
+    write_extract(spark, scoped, root)
+    for name, df in tables.items():
+        if name not in scoped:
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+    return stored_extract(spark, root, {name: df.schema for name, df in tables.items()})
+
+
+def stored_extract(spark: SparkSession, root: str, schemas: Mapping[str, T.StructType]) -> dict[str, DataFrame]:
+    frames = {name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in schemas.items()}
+    return {name: df.select(*schemas[name].names) for name, df in frames.items()}
+
+
+def replay(spark: SparkSession, store: StarStore, state_path: str, extract_path: str, **options) -> dict[str, LoadResult]:
+    """Run each failed job again whose extract is stored, without the targets it had loaded; by job."""
+    out = {}
+    # One row for each failed job.
+    for row in replay_due(read_events(spark, f"{state_path}/job_events")).select("job_id").sort("job_id").collect():
+        root = f"{extract_path.rstrip('/')}/{row['job_id']}"
+        names = [path.rstrip("/").rsplit("/", 1)[-1] for path in files.matching(spark, f"{root}/*")]
+        tables = {name: spark.read.parquet(f"{root}/{name}") for name in names if name != METADATA}
+        tables = {n: df.withColumn(DATABASE, F.col(DATABASE).cast("string")) if DATABASE in df.columns else df for n, df in tables.items()}
+        out[row["job_id"]] = run(spark, tables, store, state_path=state_path, job_id=row["job_id"], resume=True, **options)
+    return out
+
+
+def _loaded_before(spark: SparkSession, path: str, job: str) -> set[str]:
+    """The targets that were loaded, or had no rows, as the job's events tell; as many as there are targets."""
+    state = job_state(read_events(spark, path).filter(F.col("job_id") == job))
+    return {row["name"] for row in state.filter("kind = 'table' AND status IN ('loaded', 'skipped')").select("name").collect()}
+
+
 def sources_loaded(mappings: MappingSet, targets: Iterable[str], result: LoadResult) -> set[str]:
     """The source tables of which every one of ``targets`` that reads them was loaded or had no rows."""
     done = {*result.names("loaded"), *result.names("skipped")}

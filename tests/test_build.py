@@ -144,3 +144,14 @@ def test_broadcast_threshold(spark, text, size):
         assert auto_broadcast_bytes(spark) == size
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_mixed_inputs(spark):
+    """A related table without a database belongs to all; a main one without is joined with the rows of all."""
+    users = spark.createDataFrame([("a", 1, 1, 0), ("b", 2, 2, 0)], "_database string, id bigint, user_id bigint, _pos int")
+    accounts = spark.createDataFrame([(2, 20, 0), (1, 10, 1)], "user_id bigint, id bigint, _pos int")
+    prefs = spark.createDataFrame([("a", 1, True, 0), ("b", 2, False, 0)], "_database string, user_id bigint, is_2fa_enabled boolean, _pos int")
+    got = build_target(TARGETS["dim_users"], {"users": users, "user_accounts": accounts, "user_preferences": prefs}).collect()
+    assert {(r["_database"], r["user_id"], r["user_account_id"], r["is_2fa_enabled"]) for r in got} == {("a", 1, 10, True), ("b", 2, 20, False)}
+    got = build_target(TARGETS["dim_users"], {"users": users.drop("_database"), "user_accounts": accounts, "user_preferences": prefs}).collect()
+    assert {(r["user_id"], r["user_account_id"], r["is_2fa_enabled"]) for r in got} == {(1, 10, True), (2, 20, False)}

@@ -18,7 +18,7 @@ from starloom.operators.load import (
     upsert,
 )
 from starloom.plans.build import build_all
-from starloom.plans.run import load_all, load_many, load_table, recover, run, run_from
+from starloom.plans.run import load_all, load_many, load_table, recover, replay, run, run_from
 from starloom.plans.spec import LOAD_TIME, MappingSet, TargetMapping
 from starloom.plans.targets import TARGETS
 from starloom.sinks.store import Target, clustered, write_clustered
@@ -534,3 +534,34 @@ def test_marks_reach_partitions_and_files(spark, tmp_path):
     assert got == {(f"t{d}", i) for d in range(30) for i in range(40) if i % 10 == 9 or d == 7}
     plan = plan_of(changed_since({"users": df}, history)["users"])
     assert plan.count("FileScan") <= 9 and plan.count("GreaterThanOrEqual(updated_at_epoch") == plan.count("FileScan") - 1
+
+
+# Replay
+
+
+def test_a_failed_run_goes_on_from_its_extract(spark, store, tmp_path):
+    state, extracts = str(tmp_path / "state"), str(tmp_path / "extracts")
+    project = "_database string, id bigint, name string, tenant_tsid bigint, updated_at_epoch bigint"
+    tables = {
+        "project": spark.createDataFrame([("t", 1, "p", 5, JANUARY)], project),
+        "agents": spark.createDataFrame([(1, "a", 5, JANUARY)], "id bigint, unique_id string, tenant_tsid bigint, updated_at_epoch bigint"),
+    }
+    real = store.upsert
+
+    def failing_store(table, *args, **more):
+        if table == "dim_agents":
+            raise ValueError("no agents today")
+        return real(table, *args, **more)
+
+    store.upsert = failing_store
+    options = {"incremental": True, "mode": "upsert", "strategy": "all_or_nothing"}
+    first = run(spark, tables, store, state_path=state, job_id="j", extract_path=extracts, **options)
+    assert first.names("loaded") == ["dim_projects"] and first.names("failed") == ["dim_agents"]
+    assert not (tmp_path / "state" / "watermarks").exists()
+    store.upsert = real
+    again = replay(spark, store, state, extracts, mode="upsert", strategy="all_or_nothing")
+    assert list(again) == ["j"] and again["j"].names("loaded") == ["dim_agents"]
+    assert store.read("dim_agents").first()["name"] == "a" and store.read("dim_projects").count() == 1
+    marks = {(r["table"], r["database"]) for r in current_watermarks(spark.read.parquet(f"{state}/watermarks")).collect()}
+    assert marks == {("project", "t"), ("agents", None)}
+    assert replay(spark, store, state, extracts) == {}
