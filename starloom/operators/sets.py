@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -15,8 +14,15 @@ SHALLOW, RANGES = 100_000, 64
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
-    """All rows of all frames, duplicates kept; a column some frame lacks reads NULL there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """All rows of all frames, duplicates kept; a column some frame lacks reads NULL there.
+
+    Neighbours are put together, then these, so the plan of many frames is wide and not deep.
+    """
+    parts = list(frames)
+    while len(parts) > 1:
+        pairs = [parts[k : k + 2] for k in range(0, len(parts), 2)]
+        parts = [p[0].unionByName(p[1], allowMissingColumns=True) if len(p) > 1 else p[0] for p in pairs]
+    return parts[0]
 
 
 def union_databases(frames: Mapping[str, DataFrame]) -> DataFrame:

@@ -18,7 +18,7 @@ from starloom.session import cut, shared_dir
 from starloom.sinks import files
 from starloom.sinks.datasets import write_extract, write_transformed, read_datasets
 from starloom.sinks.store import StarStore
-from starloom.sources.scan import scan_layout
+from starloom.sources.scan import latest_dataset, scan_layout
 from starloom.streaming.incremental import read_landing, stream_upsert
 
 ORDER = TargetMapping(
@@ -247,6 +247,19 @@ def transformed_datasets(spark, sf):
         files.remove(spark, root)
 
 
+@query("newest_dataset", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'")
+def newest_dataset(spark, sf):
+    """Of two extracts the one that was written last."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    root = f"{shared_dir(spark)}/datasets-{uuid4().hex}"
+    try:
+        for name, status in (("z-first", "F"), ("a-second", "P")):
+            orders.filter(F.col("o_orderstatus") == status).drop("o_orderstatus").write.parquet(f"{root}/{name}")
+        return cut(spark.read.parquet(latest_dataset(spark, root)))
+    finally:
+        files.remove(spark, root)
+
+
 @query("stream_load", "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY 1")
 def stream_load(spark, sf):
     """The events as a stream, upserted by user; a second run has nothing to do."""

@@ -11,6 +11,9 @@ from starloom.operators.report import extract_summary, table_counts
 from starloom.operators.sets import DATABASE
 from starloom.sources.envelope import METADATA, metadata_row
 
+#: The folder of an extract's counts; the underscore keeps it apart from tables.
+COUNTS = "_counts"
+
 
 def write_extract(
     spark: SparkSession,
@@ -19,19 +22,29 @@ def write_extract(
     window: IncrementalWindow | None = None,
     environment: str = "unknown",
 ) -> DataFrame:
-    """Each table partitioned by database, plus the metadata; the (database, table, records) written."""
+    """Each table partitioned by database, plus the metadata; the (database, table, records) written.
+
+    The counts are kept beside the tables, so nothing has to be counted again.
+    """
     for name, df in tables.items():
         # Small databases share a task and large ones are split, so files have a fair size.
         df.hint("rebalance", F.col(DATABASE)).write.mode("overwrite").partitionBy(DATABASE).parquet(f"{root}/{name}")
     written = {name: spark.read.parquet(f"{root}/{name}").withColumn(DATABASE, F.col(DATABASE).cast("string"))
                for name, df in tables.items()}
-    counts = table_counts(written) if written else None
-    if counts is not None:
-        summary = metadata_row(extract_summary(counts), window or IncrementalWindow(), environment)
-        summary.coalesce(1).write.mode("overwrite").json(f"{root}/{METADATA}")
+    if not written:
+        return None
+    table_counts(written).coalesce(1).write.mode("overwrite").parquet(f"{root}/{COUNTS}")
+    counts = read_counts(spark, root)
+    summary = metadata_row(extract_summary(counts), window or IncrementalWindow(), environment)
+    summary.coalesce(1).write.mode("overwrite").json(f"{root}/{METADATA}")
     return counts
 
 
+def read_counts(spark: SparkSession, root: str) -> DataFrame:
+    """(_database, table, records) as an extract keeps them."""
+    return spark.read.schema(f"{DATABASE} string, table string, records bigint").parquet(f"{root}/{COUNTS}")
+
+
 def write_transformed(targets: Mapping[str, DataFrame], root: str, *, format: str = "parquet", gzip: bool = False) -> None:
     """Each target as its own dataset, Parquet or JSON lines, optionally with gzip."""
     for name, df in targets.items():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starloom.functions.window import EFFECTIVE, IncrementalWindow, apply_window, resolve_change_column, window_condition
 from starloom.operators.sets import DATABASE, union_all
 from starloom.plans.build import POSITION
-from starloom.sources.catalog import jdbc_options, keyword_condition, tables_to_extract
+from starloom.sinks.files import matching
+from starloom.sources.catalog import jdbc_options, keep_name, keyword_condition, tables_to_extract
 from starloom.sources.splits import plan_query
 
 
@@ -141,6 +143,21 @@ def scan_layouts(
     return frames, failures
 
 
+def layout_databases(spark: SparkSession, root: str, tables: Iterable[str], include=None, exclude=None) -> dict[str, frozenset]:
+    """Which databases a layout has files of, table by table, from the list of its folders alone.
+
+    It is what ``build_all`` takes as ``available``, so that planning reads no rows.
+    """
+    out = {}
+    for table in tables:
+        folders = matching(spark, f"{root.rstrip('/')}/{table}/{DATABASE}=*")
+        names = [unquote(path.rstrip("/").rsplit("=", 1)[1]) for path in folders]
+        out[table] = frozenset(
+            None if name == "__HIVE_DEFAULT_PARTITION__" else name for name in names if keep_name(name, include, exclude)
+        )
+    return out
+
+
 def latest_file(spark: SparkSession, pattern: str) -> str | None:
     """The most recently changed file that fits a pattern; contents are not read."""
     files = spark.read.format("binaryFile").load(pattern).select("path", "modificationTime")

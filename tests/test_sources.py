@@ -11,9 +11,9 @@ from starloom.functions.window import IncrementalWindow
 from starloom.operators.report import table_counts
 from starloom.plans.build import build_all, build_target
 from starloom.plans.targets import TARGETS
-from starloom.sinks.datasets import read_datasets, write_extract, write_transformed
+from starloom.sinks.datasets import read_counts, read_datasets, write_extract, write_transformed
 from starloom.sources.envelope import document_tables, explode_extract, read_documents, read_extract, read_single, read_transformed, table_rows
-from starloom.sources.scan import Source, has_changes, latest_dataset, latest_file, scan, scan_all, scan_layout, scan_layouts
+from starloom.sources.scan import Source, has_changes, latest_dataset, latest_file, layout_databases, scan, scan_all, scan_layout, scan_layouts
 
 USERS = T.StructType().add("id", T.LongType()).add("name", T.StringType()).add("tags", T.StringType())
 EXTRACT = {
@@ -122,6 +122,28 @@ def test_extract_layout(spark, tmp_path):
     assert plan_of(df.select("id")).split("ReadSchema: ")[1].startswith("struct<id:bigint,updated_at_epoch:bigint>")
 
 
+def test_planning_reads_no_rows(spark, tmp_path):
+    """Which databases hold which tables is in the list of the folders; counts are kept with the extract."""
+    from fixtures import source_tables
+
+    root = str(tmp_path)
+    tables = {n: df for n, df in source_tables(spark, rows=3).items() if n in ("users", "user_accounts", "user_preferences", "project")}
+    write_extract(spark, tables, root)
+    frames, _ = scan_layouts(spark, root, tables, include="tenant_a,identity")
+    held = layout_databases(spark, root, tables, include="tenant_a,identity")
+    assert held["project"] == {"tenant_a"} and held["users"] == {"identity"}
+    want = {n: df.count() for n, df in build_all(TARGETS, frames).items()}
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        built = build_all(TARGETS, frames, available=held)
+        counts = read_counts(spark, root)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert {n: df.count() for n, df in built.items()} == want and set(want) == {"dim_users", "dim_projects"}
+    assert {(r["_database"], r["table"]): r["records"] for r in counts.collect()}["tenant_b", "project"] == 3
+
+
 def test_layouts_that_are_there(spark, tmp_path):
     write_extract(spark, frames(spark), str(tmp_path))
     tables, missing = scan_layouts(spark, str(tmp_path), ["project", "agents", "users", "SPRING_SESSION"], exclude="staging")
