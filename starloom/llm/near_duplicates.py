@@ -21,7 +21,8 @@ links leave a cell.
 Texts of candidates alone are read again, compressed, for the full sets.
 
 Defined results: null and empty texts have an empty set and are linked with nothing; rows that
-share a doc_id are one document if their sets are equal, and linked by the id if not; a null
+share a doc_id are one document if their sets are equal, and ``groups`` links their classes by
+the id if not, while ``deduplicated`` judges texts and keeps one row of each; a null
 doc_id is a document of its own, with itself as component (null); ties go to the smaller
 doc_id; an empty table gives no rows; extra columns are ignored.
 """
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructType
 
@@ -95,6 +96,18 @@ def band_keys(signs: np.ndarray) -> np.ndarray:
     return keys
 
 
+def set_hashes(sets: list[np.ndarray]) -> list[pa.Array]:
+    """The size of each set, and two halves of a hash of the whole of it."""
+    low = [int(mix(s).sum(dtype=np.uint64).astype(np.int64)) for s in sets]
+    high = [int(mix(s + np.uint64(0x632BE59BD9B4E019)).sum(dtype=np.uint64).astype(np.int64)) for s in sets]
+    return [pa.array(x, pa.int64()) for x in ([len(s) for s in sets], low, high)]
+
+
+def class_of() -> Column:
+    """The number of a class of equal sets."""
+    return F.xxhash64("low", "high", "n_shingles")
+
+
 def signatures(docs: DataFrame, n: int) -> DataFrame:
     """Per row: doc_id, n_shingles, two halves of a hash of the whole set, the bands and a sketch of the minima."""
     schema = StructType([*fields("doc_id n_shingles low high"), *fields(bands=BinaryType(), sketch=BinaryType())])
@@ -102,13 +115,10 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in sliced(batches):
             sets = shingle_sets(data, offsets, n)
-            low = [int(mix(s).sum(dtype=np.uint64).astype(np.int64)) for s in sets]
-            high = [int(mix(s + np.uint64(0x632BE59BD9B4E019)).sum(dtype=np.uint64).astype(np.int64)) for s in sets]
             signs = np.array([minima(s) for s in sets]).reshape(-1, BANDS * ROWS)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(low, pa.int64()),
-                    pa.array(high, pa.int64()), pa.array([x.tobytes() for x in band_keys(signs)], pa.binary()),
+                    part.column("doc_id"), *set_hashes(sets), pa.array([x.tobytes() for x in band_keys(signs)], pa.binary()),
                     pa.array([x.tobytes() for x in signs.astype(np.uint8)], pa.binary()),
                 ],
                 schema.fieldNames(),
@@ -132,18 +142,18 @@ def banded(leaders: DataFrame) -> DataFrame:
     return leaders.select("doc_id", "bands").mapInArrow(work, schema)
 
 
-def _zipped(docs: DataFrame) -> DataFrame:
-    """(doc_id, zipped): texts as they travel to be compared."""
-    schema = StructType([*fields("doc_id"), *fields(zipped=BinaryType())])
+def _zipped(docs: DataFrame, n: int) -> DataFrame:
+    """(doc_id, zipped): texts as they travel to be compared, by the number of their class."""
+    schema = StructType([*fields("n_shingles low high"), *fields(zipped=BinaryType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
-        for part, data, offsets in sliced(batches):
+        for _, data, offsets in sliced(batches):
             raw = data.tobytes()
             texts = [press.compress(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "zipped"])
+            yield pa.RecordBatch.from_arrays([*set_hashes(shingle_sets(data, offsets, n)), pa.array(texts, pa.binary())], schema.fieldNames())
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, schema)
+    return docs.select("text").mapInArrow(work, schema).select(class_of().alias("doc_id"), "zipped")
 
 
 def least_equal(similar: int) -> int:
@@ -324,14 +334,19 @@ def _labelled(df: DataFrame, labels: DataFrame, doc: str, name: str) -> DataFram
 
 
 def connected(leaders: DataFrame, docs: DataFrame, n: int, similar: int) -> DataFrame:
-    """(id, component): the class leaders that verified links tie to a smaller one."""
+    """(id, component): the classes, by number, that verified links tie to one of a smaller number.
+
+    ``leaders`` has a row for each class: its number as doc_id, its least document, bands and sketch.
+    """
     bands = banded(leaders)
     crowded = bands.groupBy("band").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("b")).where("centre < b")
     members = cut(bands.join(crowded.select("band", "centre"), "band"))
     candidates = cut(members.select("doc_id").distinct())
     signed = leaders.join(small(candidates), "doc_id", "left_semi")
     sketches = cut(signed.select("doc_id", "n_shingles", "sketch", "bands"))
-    texts = cut(_zipped(docs.join(small(candidates), "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
+    # A class's text is that of its least document; a document with several texts has one of each of its classes.
+    own = cut(signed.select(F.col("least").alias("doc_id")).distinct())
+    texts = cut(_zipped(docs.join(small(own), "doc_id", "left_semi"), n).join(small(candidates), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     # The least of each group is its first centre.
     first = members.where("doc_id != centre").select(F.col("doc_id").alias("u"), F.col("centre").alias("v")).distinct()
     labels = components(_linked(cut(_agreeing(first, sketches, similar)), texts, n, similar))
@@ -340,30 +355,85 @@ def connected(leaders: DataFrame, docs: DataFrame, n: int, similar: int) -> Data
     return components(links.unionByName(labels.select(F.col("id").alias("u"), F.col("component").alias("v"))))
 
 
+class _Classes:
+    """Documents by the class of their set, and the links between classes."""
+
+    def __init__(self, docs: DataFrame, n: int, similar: int) -> None:
+        alone = F.expr("n_shingles = 0 or doc_id is null")
+        self.signed = cut(signatures(docs, n).withColumn("class", class_of()))
+        #: Rows with a set and an id, and the others.
+        self.rows = self.signed.where(~alone).select("doc_id", "n_shingles", "class")
+        self.rest = self.signed.where(alone).select("doc_id", "n_shingles")
+        # Copies are one row for each task before they meet, so that no class is hot, whatever it holds. The
+        # turned number lets the joins with this table split the rows of a class.
+        own = self.signed.where(~alone).groupBy(F.bitwise_not("class").alias("turned"))
+        own = own.agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")))
+        self.leaders = cut(own.select(F.bitwise_not("turned").alias("doc_id"), "least", "n_shingles", "bands", "sketch"))
+        self.labels = connected(self.leaders, docs, n, similar)
+
+    def by_id(self) -> DataFrame:
+        """(u, v): classes that have a document in common, because its id stands beside several texts."""
+        of = self.rows.select("doc_id", "class").distinct()
+        least = of.groupBy("doc_id").agg(F.min("class").alias("v"), F.max("class").alias("w")).where("v < w").select("doc_id", "v")
+        return cut(of.join(small(least), "doc_id").where("class != v").select(F.col("class").alias("u"), "v"))
+
+    def components(self, labels: DataFrame) -> DataFrame:
+        """(class, component, class_id, component_id): of all classes, their least document and the least of their component."""
+        tied = labels.select(F.col("id").alias("doc_id"), "component")
+        tied = tied.unionByName(labels.select(F.col("component").alias("doc_id"), "component").distinct())
+        least = self.leaders.select("doc_id", "least")
+        inside = cut(least.join(small(tied), "doc_id"))
+        named = inside.groupBy("component").agg(F.min("least").alias("component_id"))
+        named = inside.join(small(cut(named)), "component").select("doc_id", "component", "component_id")
+        out = least.join(small(cut(named)), "doc_id", "left")
+        return out.select(
+            F.col("doc_id").alias("class"), F.coalesce("component", "doc_id").alias("component"),
+            F.col("least").alias("class_id"), F.coalesce("component_id", "least").alias("component_id"),
+        )
+
+
 def groups(docs: DataFrame, n: int = 4, similar: int = SIMILAR) -> DataFrame:
     """Per row: doc_id, n_shingles, class_id (smallest doc_id with an equal set), component_id, kept."""
-    signed = cut(signatures(docs, n))
-    alone = F.expr("n_shingles = 0 or doc_id is null")
-    keys = ["low", "high", "n_shingles"]
-    classes = signed.where(~alone).groupBy(*keys).agg(F.min("doc_id").alias("class_id"))
-    # A doc_id with several sets ties their classes together.
-    classed = cut(
-        signed.where(~alone).join(classes, keys).select("doc_id", "n_shingles", "class_id", "bands", "sketch")
-    )
-    leaders = classed.where("doc_id = class_id").select("doc_id", "n_shingles", "bands", "sketch").dropDuplicates(["doc_id"])
-    labels = connected(leaders, docs, n, similar).withColumnRenamed("id", "class_id")
-    linked = (
-        classed.join(small(labels), "class_id", "left")
-        .withColumn("component_id", F.coalesce("component", "class_id"))
-        .select("doc_id", "n_shingles", "class_id", "component_id")
-    )
-    rest = signed.where(alone).select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id")
-    )
+    classes = _Classes(docs, n, similar)
+    labels, by_id = classes.labels, classes.by_id()
+    if not by_id.isEmpty():
+        labels = components(labels.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(by_id))
+    linked = classes.rows.join(classes.components(labels), "class").select("doc_id", "n_shingles", "class_id", "component_id")
+    rest = classes.rest.select("doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(rest).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def deduplicated(docs: DataFrame, n: int = 5, similar: int = SIMILAR) -> DataFrame:
-    """The rows of ``docs`` but those whose component has a smaller doc_id; documents without words stay."""
-    dropped = cut(groups(docs, n, similar).where("not kept").select("doc_id").distinct())
-    return docs.join(small(dropped), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each component of equal and similar texts, that of its smallest doc_id; rows without words or id stay.
+
+    Texts that only have a doc_id in common are no copies of each other, and both stay.
+    """
+    classes = _Classes(docs, n, similar)
+    named = cut(classes.rows.join(classes.components(classes.labels), "class").select("doc_id", "class", "component", "class_id", "component_id"))
+    keep = (F.col("doc_id") == F.col("component_id")) & (F.col("doc_id") == F.col("class_id"))
+    # Ids of several rows: which of them stays is a matter of the row, not of the id.
+    several = cut(classes.signed.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))
+    dropped = cut(named.where(~keep).select("doc_id").distinct())
+    once = docs.join(small(dropped), "doc_id", "left_anti").select(*docs.columns)
+    if several.isEmpty():
+        return once
+    once = once.join(small(several), "doc_id", "left_anti").select(*docs.columns)
+    # The least class of those that lead a component, and of its rows one.
+    wanted = named.join(small(several), "doc_id", "left_semi").where(keep).groupBy("component")
+    wanted = wanted.agg(F.min("class").alias("__class"), F.first("component_id").alias("__least"))
+    wanted = small(cut(wanted.select("__class", "__least")))
+    rows = _classed(docs.join(small(several), "doc_id", "left_semi").select(*docs.columns), n)
+    leading = rows.join(wanted, "__class").where("doc_id = __least").dropDuplicates(["__class"])
+    return once.unionByName(leading.select(*docs.columns)).unionByName(rows.where("__class is null").select(*docs.columns))
+
+
+def _classed(docs: DataFrame, n: int) -> DataFrame:
+    """``docs`` with the class of each row's text, null without words."""
+    schema = StructType([*docs.schema.fields, *fields("__n __low __high")])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offsets in sliced(batches):
+            yield pa.RecordBatch.from_arrays([*part.columns, *set_hashes(shingle_sets(data, offsets, n))], schema.fieldNames())
+
+    number = F.when(F.col("__n") > 0, F.xxhash64("__low", "__high", "__n"))
+    return docs.mapInArrow(work, schema).select(*docs.columns, number.alias("__class"))

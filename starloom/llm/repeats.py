@@ -263,7 +263,9 @@ def _splitters(docs: DataFrame) -> np.ndarray:
         data = np.frombuffer((text or "").encode(), np.uint8)
         _, _, anchor = anchors(data, np.array([0, len(data)]))
         seen.append(leading(data)[anchor])
-    values = np.sort(np.concatenate(seen))
+    values = np.sort(np.concatenate(seen)) if seen else np.zeros(0, np.uint64)
+    if not len(values):
+        return np.zeros(0, np.uint64)  # texts too short for a window
     return np.unique(values[(np.arange(1, buckets + 1) * len(values)) // (buckets + 1)])
 
 
