@@ -119,3 +119,13 @@ def test_the_cut_is_the_nearest_to_the_middle():
         at = alignment.near_middle(ends, np.array(others), np.array([0]), np.array([39]))[0]
         inner = [x - 1 for x in others if x < 40]
         assert at == (min(inner, key=lambda x: (abs(x - 19), x)) if inner else -1)
+
+
+def test_ids_by_rank_are_the_tokenizers(encoders):
+    with open(alignment.BYTE_BPE, "rb") as file:
+        side = alignment.ByteSide(file.read())
+    assert side.ranked
+    points = [chr(c) for c in range(0, 0x110000, 23) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}1 {c}{c} b  {c} x{c}'s" for c in points] + ["it's we'll I'D 1234567890 ...!? \r\n\t  end "]
+    want = [x.ids for x in encoders[0].encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in side.ids(texts)] == want
