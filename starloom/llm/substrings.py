@@ -36,7 +36,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, BooleanType, StructType
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StructField, StructType
 
 from starloom.llm.common import fields, mix, powers, sliced, span_hashes, words
 from starloom.session import cut
@@ -45,8 +45,8 @@ WINDOW = 35
 GRAM = 8
 #: Windows worked on at once.
 STEP = 1 << 20
-#: Rows in an Arrow batch that leaves a task.
-ROWS = 50_000
+#: Rows in an Arrow batch that leaves a task, and bytes of text that are worked on together.
+ROWS, TOGETHER = 50_000, 1 << 20
 
 _OTHER = np.uint64(0xA0761D6478BD642F)
 _COUNT = np.uint64(0xD6E8FEB86659FD93)
@@ -146,7 +146,7 @@ def seeds(docs: DataFrame, window: int, gram: int) -> DataFrame:
     schema = StructType(fields("key place anchor whole n"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, offsets in sliced(batches):
+        for _, data, offsets in sliced(batches, limit=TOGETHER):
             starts, ends, first = words(data, offsets)
             hashes = span_hashes(data, starts, ends)
             begin, count, anchor, whole = runs_of(hashes, first, window, gram)
@@ -165,11 +165,13 @@ def seeds(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 def held(docs: DataFrame) -> DataFrame:
     """(doc_id, key, tag, n_words, zipped): texts as they travel, their words parted by one space."""
-    schema = StructType([*fields("doc_id key tag n_words"), *fields(zipped=BinaryType())])
+    # Keys that can't be null need no filter before an inner join, so it reads the same exchange as an outer one.
+    keys = [StructField(name, LongType(), False) for name in ("key", "tag")]
+    schema = StructType([*fields("doc_id"), *keys, *fields("n_words"), *fields(zipped=BinaryType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=5)
-        for part, data, offsets in sliced(batches):
+        for part, data, offsets in sliced(batches, limit=TOGETHER):
             starts, ends, first = words(data, offsets)
             key, tag = texts_of(span_hashes(data, starts, ends), first)
             raw = data.tobytes()
