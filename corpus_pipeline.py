@@ -5,6 +5,13 @@
 3. documents with a passage of a benchmark go,
 4. personal data is replaced by its kind,
 5. the texts are encoded, with distinct sampled segmentations.
+
+Defined results: null and empty texts pass all stages as they are, each row for itself, and have
+one empty segmentation; rows that repeat, with their id or without, and texts that are equal or
+nearly so, leave one row, that of the smallest doc_id; texts that only share a doc_id both stay;
+rows without doc_id stay. Without labels no document is rejected, without benchmark items none is
+contaminated, an empty table of documents gives no rows. Extra columns of documents are kept
+up to the last stage.
 """
 
 from __future__ import annotations
@@ -16,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom.llm import decontaminate, language_model, near_duplicates, personal_data, segmentations
 from starloom.llm.queries import table
 from starloom.session import shared_dir
+from starloom.sinks import files
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +59,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; what each returns is kept in the shared folder."""
-    folder = f"{shared_dir(spark)}/pipeline-{uuid4().hex}"
+    """All stages over the documents; what each returns is in the shared folder until the next one is written."""
+    folder, before = f"{shared_dir(spark)}/pipeline-{uuid4().hex}", None
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            files.remove(spark, f"{folder}/{before}")
+        before = name
     return docs
