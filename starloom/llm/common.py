@@ -6,7 +6,9 @@ offsets, in slices of bounded size, so that no batch decides how much memory is
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -132,11 +134,42 @@ def sums_by(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.diff(total[offsets])
 
 
+def spans_of(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all spans, one after the other, and where each ends."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat((begin - (ends - size)).astype(np.int32), size) + np.arange(total, dtype=np.int32)], ends
+
+
+def same_texts(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
+    """Which texts are equal on both sides; the ends are offsets that begin with 0."""
+    same = np.diff(a_ends) == np.diff(b_ends)
+    if same.all():
+        same[np.searchsorted(a_ends[1:], np.flatnonzero(a != b), "right")] = False
+    else:
+        for k in np.flatnonzero(same).tolist():
+            same[k] = np.array_equal(a[a_ends[k] : a_ends[k + 1]], b[b_ends[k] : b_ends[k + 1]])
+    return same
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it was counted to have at most ``rows`` rows, else as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` that gives its memory back at its end: a process serves many tasks and keeps what it once had."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform.startswith("linux") else None
+        if trim:
+            trim(0)
+
+    return tidied
+
+
 def fields(longs: str = "", strings: str = "", **more: DataType) -> list[StructField]:
     """Fields by name: 64-bit numbers, strings, then any others."""
     named = [(n, LongType()) for n in longs.split()] + [(n, StringType()) for n in strings.split()]

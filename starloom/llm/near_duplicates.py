@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructType
 
-from starloom.llm.common import LOWER, SLICE, fields, joined, mix, sliced, small, span_hashes, window_hashes, words
+from starloom.llm.common import LOWER, SLICE, fields, joined, mix, sliced, small, span_hashes, tidy, window_hashes, words
 from starloom.llm.components import components
 from starloom.session import cut
 
@@ -124,7 +124,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                 schema.fieldNames(),
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(work), schema)
 
 
 def banded(leaders: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ def banded(leaders: DataFrame) -> DataFrame:
                 docs = part.column("doc_id").take(pa.array(np.repeat(np.arange(part.num_rows), BANDS)))
                 yield pa.RecordBatch.from_arrays([pa.array(keys), docs], ["band", "doc_id"])
 
-    return leaders.select("doc_id", "bands").mapInArrow(work, schema)
+    return leaders.select("doc_id", "bands").mapInArrow(tidy(work), schema)
 
 
 def _zipped(docs: DataFrame, n: int) -> DataFrame:
@@ -153,7 +153,7 @@ def _zipped(docs: DataFrame, n: int) -> DataFrame:
             texts = [press.compress(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays([*set_hashes(shingle_sets(data, offsets, n)), pa.array(texts, pa.binary())], schema.fieldNames())
 
-    return docs.select("text").mapInArrow(work, schema).select(class_of().alias("doc_id"), "zipped")
+    return docs.select("text").mapInArrow(tidy(work), schema).select(class_of().alias("doc_id"), "zipped")
 
 
 def least_equal(similar: int) -> int:
@@ -175,7 +175,7 @@ def _agreeing(pairs: DataFrame, sketches: DataFrame, similar: int) -> DataFrame:
 
     sized = _beside(pairs, sketches, "n_shingles", "sketch")
     near = f"100 * least(u_n_shingles, v_n_shingles) >= {similar} * greatest(u_n_shingles, v_n_shingles)"
-    return sized.where(near).select("u", "v", "u_sketch", "v_sketch").mapInArrow(work, schema)
+    return sized.where(near).select("u", "v", "u_sketch", "v_sketch").mapInArrow(tidy(work), schema)
 
 
 def _beside(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
@@ -236,7 +236,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, similar: int) -> DataFra
             rows = pa.array(out, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("u").take(rows), batch.column("v").take(rows)], ["u", "v"])
 
-    return _beside(pairs, texts, "zipped").mapInArrow(work, schema)
+    return _beside(pairs, texts, "zipped").mapInArrow(tidy(work), schema)
 
 
 def _cells(known: DataFrame) -> DataFrame:
@@ -324,7 +324,7 @@ def _met(cells: DataFrame, sketches: DataFrame, texts: DataFrame, n: int, simila
             yield from linked(rest, sets)
 
     signed = cells.join(sketches, "doc_id").join(texts, "doc_id")
-    return signed.repartition("cell").sortWithinPartitions("cell").mapInArrow(work, schema)
+    return signed.repartition("cell").sortWithinPartitions("cell").mapInArrow(tidy(work), schema)
 
 
 def _labelled(df: DataFrame, labels: DataFrame, doc: str, name: str) -> DataFrame:
@@ -436,4 +436,4 @@ def _classed(docs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*part.columns, *set_hashes(shingle_sets(data, offsets, n))], schema.fieldNames())
 
     number = F.when(F.col("__n") > 0, F.xxhash64("__low", "__high", "__n"))
-    return docs.mapInArrow(work, schema).select(*docs.columns, number.alias("__class"))
+    return docs.mapInArrow(tidy(work), schema).select(*docs.columns, number.alias("__class"))

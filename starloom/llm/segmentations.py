@@ -16,7 +16,9 @@ depends on nothing else.
 The vocabulary is read from a model file by path. Scores of byte-pair models are ranks, so a
 piece of rank r has a weight of 1 / (r + 10). A character without a piece is spelled in bytes.
 
-Decoding joins pieces and is exact for every segmentation. Defined results: null and empty
+Decoding joins pieces and is exact for every segmentation; encoding checks that for each of them.
+A word of any length is worked on: its last characters with the others in arrays, the rest of it
+place by place. Defined results: null and empty
 texts have one empty segmentation with probability 1; texts with fewer than k segmentations
 give as many as there are; repeated rows give equal results; null doc_id counts as -1; texts
 of any length are encoded whole; an empty table gives no rows; extra columns are ignored.
@@ -24,29 +26,35 @@ of any length are encoded whole; an empty table gives no rows; extra columns are
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StructType
 
-from starloom.llm.common import fields, mix, sliced
+from starloom.llm.common import fields, mix, same_texts, sliced, spans_of, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SEED = 7
-#: Words kept at hand in a task; when there are more, all but the ``CORE`` that came first, the common ones, go.
-WORDS, CORE = 90_000, 45_000
+#: Words kept at hand in a task, and their characters; when there are more, all but the ``CORE`` that came first, the common ones, go.
+WORDS, CORE, PLACES = 80_000, 40_000, 600_000
+#: Characters of a word, or pieces, that are worked on in arrays, all words together; the rest of longer ones goes step by step.
+LONG = 96
 #: Leading bits of a hash that find a piece.
 SLOTS = 20
 #: Bytes of text that are worked on together.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 UNIT = re.compile(r"\n| *[^ \n]+| +")
 _STEP = 0x9E3779B97F4A7C15
+#: The mark that pieces have for a blank, and what stands for the mark itself in a text.
+_MARK, _OWN_MARK = 0x2581, 0x110001
 
 
 def uniform(keys: np.ndarray, counters: np.ndarray) -> np.ndarray:
@@ -56,12 +64,10 @@ def uniform(keys: np.ndarray, counters: np.ndarray) -> np.ndarray:
 
 
 class Vocabulary:
-    """Pieces by the hash of their characters, with log weights."""
+    """Pieces by the hash of their characters, with log weights. It travels to the tasks as arrays, the model file does not."""
 
     def __init__(self, path: str) -> None:
-        import sentencepiece
-
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.path = path
         m = self.model
         ids = [
             i for i in range(m.get_piece_size())
@@ -72,6 +78,13 @@ class Vocabulary:
         logs = np.log(weight / weight.sum())
         self.longest = max(map(len, pieces))
         self.bytes = [m.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        self.spelled = [
+            bytes([int(p[3:5], 16)]) if m.is_byte(i) else b"" if m.is_control(i) else p.replace("▁", " ").encode()
+            for i, p in enumerate(map(m.id_to_piece, range(m.get_piece_size())))
+        ]
+        self.flat = np.frombuffer(b"".join(self.spelled), np.uint8)
+        self.width = np.array([len(x) for x in self.spelled], np.int64)
+        self.at = np.cumsum(self.width) - self.width
         # Spelling costs as much per byte as the rarest piece.
         self.spell = float(logs.min())
         hashes = np.array([self.hash_of(p) for p in pieces], np.uint64)
@@ -91,6 +104,18 @@ class Vocabulary:
     def _slot(hashes: np.ndarray) -> np.ndarray:
         return (mix(hashes) >> np.uint64(64 - SLOTS)).astype(np.int64)
 
+    @property
+    def model(self):
+        """The model itself, from its file."""
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_file=self.path)
+
+    def decoded(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes that the ids of texts spell, and their offsets."""
+        out, edges = spans_of(self.flat, self.at[ids], self.width[ids])
+        return out, np.concatenate(([0], edges))[ends]
+
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of ``hashes`` are pieces', and the number of each of these pieces."""
         slot = self._slot(hashes)
@@ -125,111 +150,214 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Words:
-    """Lattices of words: per place and length the piece, its log weight given the place, and cumulated probabilities."""
+    """Lattices of words: per place its edges, shortest first, with piece, log chance given the place, and cumulated chances."""
 
     def __init__(self, v: Vocabulary) -> None:
         self.v = v
-        self.index: dict[str, int] = {}
-        self.begin = np.zeros(1, np.int64)
-        self.piece = np.zeros((1 << 20, v.longest), np.int32)
-        self.chance = np.zeros((1 << 20, v.longest))
+        self.index = _Numbers()
+        #: The first place of each word, and the first edge of each place.
+        self.begin, self.first = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        # With room for more edges behind those that are there.
+        self.size, self.piece = np.zeros(1 << 16, np.int8), np.zeros(1 << 16, np.int32)
+        self.log, self.cum = np.zeros(1 << 16), np.zeros(1 << 16)
 
     def numbers(self, units: list[str]) -> np.ndarray:
         """The number of each word's lattice, made if it isn't there."""
-        if len(self.index) > WORDS:
-            self.index = dict(list(self.index.items())[:CORE])
-            self.begin = self.begin[: CORE + 1]
-        index, known = self.index, len(self.index)
-        out = np.array([index.setdefault(u, len(index)) for u in units], np.int64)
-        if len(index) > known:
-            self._add(list(index)[known:])
+        if len(self.index) > WORDS or len(self.begin) and self.begin[-1] > PLACES:
+            self._forget()
+        known = len(self.index)
+        out = np.array(list(map(self.index.__getitem__, units)), np.int64)
+        if len(self.index) > known:
+            self._add(list(islice(self.index, known, None)))
         return out
 
+    def _forget(self) -> None:
+        """Keep the words that came first, the common ones."""
+        keep = min(CORE, int(np.searchsorted(self.begin, PLACES // 2, "right")) - 1)
+        self.index = _Numbers(islice(self.index.items(), keep))
+        self.begin = self.begin[: keep + 1]
+        self.first = self.first[: self.begin[-1] + 1]
+
+    def _keep(self, **edges: np.ndarray) -> None:
+        """Add edges behind the others."""
+        used = int(self.first[-1])
+        for name, new in edges.items():
+            old = getattr(self, name)
+            if used + len(new) > len(old):
+                grown = np.zeros(max(used + len(new), len(old) * 3 // 2), old.dtype)
+                grown[:used] = old[:used]
+                setattr(self, name, old := grown)
+            old[used : used + len(new)] = new
+
     def _add(self, words: list[str]) -> None:
-        v, width = self.v, self.v.longest
-        text = "".join(words).replace(" ", "▁")
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        v = self.v
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+        # A blank is the mark that pieces have for it; the mark itself, in a text, is spelled in bytes.
+        points[points == _MARK] = _OWN_MARK
+        points[points == 0x20] = _MARK
         lengths = np.array([len(w) for w in words])
-        ends = np.repeat(np.cumsum(lengths), lengths)
         n = len(points)
-        left = ends - np.arange(n)
-        logs = np.full((n, width), -np.inf)
-        piece = np.zeros((n, width), np.int32)
-        hashed = np.zeros(n, np.uint64)
-        scale = np.uint64(1)
-        for size in range(1, width + 1):
-            at = np.flatnonzero(left >= size)
+        left = np.repeat(np.cumsum(lengths), lengths) - np.arange(n)
+        place, size, piece, log = [], [], [], []
+        hashed, scale = np.zeros(n, np.uint64), np.uint64(1)
+        at = np.arange(n)
+        for length in range(1, v.longest + 1):
+            at = at[left[at] >= length]
             if not len(at):
                 break
-            hashed[at] += (points[at + size - 1].astype(np.uint64) + np.uint64(1)) * scale
+            hashed[at] += (points[at + length - 1].astype(np.uint64) + np.uint64(1)) * scale
             scale = np.uint64(int(scale) * _STEP % (1 << 64))
             hit, number = v.find(hashed[at])
-            logs[at[hit], size - 1] = v.logs[number]
-            piece[at[hit], size - 1] = v.ids[number]
-        # A character without a piece is spelled: its negative code point stands for the bytes.
-        bare = np.flatnonzero(np.isneginf(logs[:, 0]))
-        count = 1 + (points[bare] > 0x7F) + (points[bare] > 0x7FF) + (points[bare] > 0xFFFF)
-        logs[bare, 0] = v.spell * count
-        piece[bare, 0] = -points[bare].astype(np.int32) - 1
-        # Sums over all ways to the end, place by place from the back.
-        total = np.zeros(n + width)
-        order = np.argsort(left, kind="stable")
-        edges = np.searchsorted(left[order], np.arange(1, left.max() + 2))
-        for r in range(len(edges) - 1):
-            at = order[edges[r] : edges[r + 1]]
-            most = min(r + 1, width)
-            reach = np.zeros((len(at), most)) if r == 0 else np.where(
-                np.arange(1, most + 1) == r + 1, 0.0, total[at[:, None] + np.arange(1, most + 1)]
-            )
-            value = logs[at, :most] + reach
-            top = value.max(axis=1)
-            total[at] = top + np.log(np.exp(value - top[:, None]).sum(axis=1))
-            logs[at, :most] = value - total[at][:, None]
-        low = int(self.begin[-1])
-        if low + n > len(self.piece):
-            size = max(low + n, len(self.piece) * 3 // 2)
-            for name in ("piece", "chance"):
-                old = getattr(self, name)
-                grown = np.zeros((size, width), old.dtype)
-                grown[:low] = old[:low]
-                setattr(self, name, grown)
-        self.piece[low : low + n] = piece
-        self.chance[low : low + n] = np.exp(logs)
+            if length == 1:
+                # A character without a piece is spelled: its negative code point stands for the bytes.
+                bare = np.ones(n, bool)
+                bare[hit] = False
+                bare = np.flatnonzero(bare)
+                code = np.where(points[bare] == _OWN_MARK, _MARK, points[bare])
+                place.append(bare)
+                piece.append(-code.astype(np.int32) - 1)
+                log.append(v.spell * (1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)))
+                size.append(np.ones(len(bare), np.int8))
+            place.append(at[hit])
+            piece.append(v.ids[number])
+            log.append(v.logs[number])
+            size.append(np.full(len(hit), length, np.int8))
+        place, size, piece, log = (np.concatenate(x) for x in (place, size, piece, log))
+        # Edges came by size; places ascend within each.
+        order = np.argsort(place, kind="stable")
+        place, size, piece, log = place[order], size[order], piece[order], log[order]
+        first = np.searchsorted(place, np.arange(n + 1))
+        total = _totals(left, first, place, size, log)
+        over = np.where(size == left[place], 0.0, total[np.minimum(place + size, n - 1)])
+        log += over - total[place]
+        chance = np.cumsum(np.exp(log))
+        chance -= np.concatenate(([0.0], chance))[first[place]]
+        # The last edge is what is left, whatever rounding says.
+        chance[first[1:] - 1] = 1.0
         self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(lengths)))
+        self._keep(size=size, piece=piece, log=log, cum=chance)
+        self.first = np.concatenate((self.first, self.first[-1] + first[1:]))
+
+    def pick(self, place: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """The edge of each place that a number in (0, 1) falls to."""
+        edge = self.first[place]
+        todo = np.flatnonzero(self.cum[edge] < number)
+        while len(todo):
+            edge[todo] += 1
+            todo = todo[self.cum[edge[todo]] < number[todo]]
+        return edge
+
+    def edges(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All edges of some places, one place after the other, and where each place's begin and the last's end."""
+        count = self.first[place + 1] - self.first[place]
+        ends = np.concatenate(([0], np.cumsum(count)))
+        return np.repeat(self.first[place] - ends[:-1], count) + np.arange(ends[-1]), ends
+
+
+class _Numbers(dict):
+    """Words by number, in the order they come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = out = len(self)
+        return out
+
+
+def _totals(left: np.ndarray, first: np.ndarray, place: np.ndarray, size: np.ndarray, log: np.ndarray) -> np.ndarray:
+    """Per place the log sum over all ways to the end of its word, from the back."""
+    n = len(left)
+    total = np.zeros(n)
+    short = np.flatnonzero(left <= LONG)
+    order = short[np.argsort(left[short], kind="stable")]
+    bounds = np.searchsorted(left[order], np.arange(1, LONG + 2))
+    count = np.diff(first)
+    for r in range(1, LONG + 1):
+        at = order[bounds[r - 1] : bounds[r]]
+        if not len(at):
+            continue
+        ends = np.cumsum(count[at])
+        begin = ends - count[at]
+        edge = np.repeat(first[at] - begin, count[at]) + np.arange(ends[-1])
+        length = size[edge]
+        value = log[edge] + np.where(length == r, 0.0, total[np.minimum(place[edge] + length, n - 1)])
+        top = np.maximum.reduceat(value, begin)
+        total[at] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, count[at])), begin))
+    # What a long word has before its last places: a step for each place, without arrays.
+    long = np.flatnonzero(left > LONG)[::-1]
+    if len(long):
+        sums, exp, ln = total.tolist(), math.exp, math.log
+        for k in long.tolist():
+            a, b = first[k], first[k + 1]
+            value = [x + sums[k + y] for x, y in zip(log[a:b].tolist(), size[a:b].tolist())]
+            top = max(value)
+            sums[k] = top + ln(sum(exp(x - top) for x in value))
+        total = np.array(sums)
+    return total
 
 
 class Path:
-    """One segmentation per text, texts one after the other: where each piece begins (word, place), which it is, and log chances."""
+    """One segmentation per text, texts one after the other: where each piece begins (word, place), its edge, and log chances."""
+
+    FIELDS = ("text", "word", "place", "edge", "log")
 
-    def __init__(self, text, word, place, size, log) -> None:
-        self.text, self.word, self.place, self.size, self.log = text, word, place, size, log
+    def __init__(self, text, word, place, edge, log) -> None:
+        self.text, self.word, self.place, self.edge, self.log = text, word, place, edge, log
 
 
 def draw(w: Words, text: np.ndarray, word: np.ndarray, place: np.ndarray, end: np.ndarray, keys: np.ndarray, salt: int) -> Path:
-    """A fresh segmentation of every stretch (text, word number in the batch, place, end of the word)."""
-    parts = []
+    """A fresh segmentation of every stretch (text, word number in the batch, place, end of the word).
+
+    ``keys`` are the words' own, so that a text's result does not depend on the texts beside it.
+    """
     at = np.flatnonzero(place < end)
-    text, word, place, end = text[at], word[at], place[at].copy(), end[at]
-    step = 0
-    while len(place):
-        number = uniform(keys[text], word.astype(np.uint64) * np.uint64(1 << 20) + np.uint64(step + (salt << 52)))
-        chance = w.chance[place]
-        size = np.minimum((np.cumsum(chance, axis=1) < number[:, None]).sum(axis=1), w.v.longest - 1)
-        # Rounding can point past the last possible piece.
-        bad = np.flatnonzero(chance[np.arange(len(size)), size] <= 0)
-        size[bad] = chance[bad].argmax(axis=1)
-        parts.append((text, word, place.copy(), size, np.log(chance[np.arange(len(size)), size])))
-        place = place + size + 1
-        go = place < end
-        text, word, place, end = text[go], word[go], place[go], end[go]
+    text, word, place, end = text[at], word[at], place[at], end[at]
+    own = keys[word]
+    count = np.zeros(len(at), np.int64)
+    parts, rest = [], []
+    row, now, step = np.arange(len(at)), place, 0
+    while len(row):
+        if step >= LONG:
+            rest = [(k, *_drawn_on(w, int(p), int(end[k]), own[k], step, salt)) for k, p in zip(row.tolist(), now.tolist())]
+            for k, places, _ in rest:
+                count[k] += len(places)
+            break
+        edge = w.pick(now, uniform(own[row], np.full(len(row), step + (salt << 56), np.uint64)))
+        parts.append((row, now, edge))
+        count[row] += 1
+        now = now + w.size[edge]
+        go = now < end[row]
+        row, now = row[go], now[go]
         step += 1
-    if not parts:
-        zero = np.zeros(0, np.int64)
-        return Path(zero, zero, zero, zero, np.zeros(0))
-    columns = [np.concatenate(x) for x in zip(*parts)]
-    # Places grow within a word's occurrence and words within the batch.
-    order = np.lexsort((columns[2], columns[1]))
-    return Path(*(c[order] for c in columns))
+    # A word's pieces follow each other: the n-th piece of each came in the n-th step.
+    begin = np.cumsum(count) - count
+    out_place, out_edge = np.empty(count.sum(), np.int64), np.empty(count.sum(), np.int64)
+    for step, (row, now, edge) in enumerate(parts):
+        out_place[begin[row] + step] = now
+        out_edge[begin[row] + step] = edge
+    for k, places, edges in rest:
+        low = begin[k] + LONG
+        out_place[low : low + len(places)], out_edge[low : low + len(places)] = places, edges
+    return Path(np.repeat(text, count), np.repeat(word, count), out_place, out_edge, w.log[out_edge])
+
+
+def _drawn_on(w: Words, place: int, end: int, key: np.uint64, step: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and edges of the rest of one long word, piece by piece without arrays."""
+    edges, places = [], []
+    low = int(w.first[place])
+    cum, size = w.cum[low : int(w.first[end])].tolist(), w.size[low : int(w.first[end])].tolist()
+    first = (w.first[place : end + 1] - low).tolist()
+    begin, at, have = place, place, []
+    while at < end:
+        if not have:
+            numbers = np.arange(step, step + 10_000, dtype=np.uint64) + np.uint64(salt << 56)
+            have = uniform(np.full(len(numbers), key), numbers)[::-1].tolist()
+            step += 10_000
+        number, edge = have.pop(), first[at - begin]
+        while cum[edge] < number:
+            edge += 1
+        edges.append(low + edge)
+        places.append(at)
+        at += size[edge]
+    return np.array(places, np.int64), np.array(edges, np.int64)
 
 
 def below(first: np.ndarray, log_mass: np.ndarray, u: np.ndarray, bound: np.ndarray) -> np.ndarray:
@@ -246,9 +374,12 @@ def top_k(w: Words, units: list[list[str]], keys: np.ndarray, k: int) -> list[tu
     owner = np.repeat(np.arange(n), counts)
     begin, end = w.begin[numbers], w.begin[numbers + 1]
     occurrence = np.arange(len(numbers))
+    # Random numbers of a word come from its text's key and its place in the text.
+    nth = occurrence - np.repeat(np.cumsum(counts) - counts, counts)
+    own_keys = mix(keys[owner] + nth.astype(np.uint64) * np.uint64(_STEP))
     texts = np.arange(n)
     bound = -np.log(-np.log(uniform(keys, np.full(n, 1))))
-    path = draw(w, owner, occurrence, begin, end, keys, 0)
+    path = draw(w, owner, occurrence, begin, end, own_keys, 0)
     rounds: list[dict] = []
     found = []
     alive = np.ones(n, bool)
@@ -268,11 +399,12 @@ def top_k(w: Words, units: list[list[str]], keys: np.ndarray, k: int) -> list[tu
             rest = np.log(np.maximum(0.0, 1.0 - taken))
             # Next to 1 the difference says nothing: the sum of the other edges, none only if there is no other.
             near = np.flatnonzero(taken > 1 - 1e-6)
-            others = w.chance[path.place[near]]
-            others[np.arange(len(near)), path.size[near]] = 0
-            rest[near] = np.log(others.sum(axis=1))
+            if len(near):
+                edge, ends = w.edges(path.place[near])
+                others = np.where(edge == np.repeat(path.edge[near], np.diff(ends)), 0.0, np.exp(w.log[edge]))
+                rest[near] = np.log(np.add.reduceat(others, ends[:-1]))
         value = np.where(own, below(before, rest, u, bound[path.text]), -np.inf)
-        rounds.append({"path": path, "edges": edges, "before": before, "value": value, "used": (1 << path.size.astype(np.int64))})
+        rounds.append({"path": path, "edges": edges, "before": before, "value": value, "used": (1 << w.size[path.edge].astype(np.int64))})
         # The best node of every text over all paths so far.
         best, which, where = np.full(n, -np.inf), np.zeros(n, np.int64), np.zeros(n, np.int64)
         for q, node in enumerate(rounds):
@@ -287,10 +419,11 @@ def top_k(w: Words, units: list[list[str]], keys: np.ndarray, k: int) -> list[tu
         for q, node in enumerate(rounds):
             mine = texts[alive & (which == q)]
             if len(mine):
-                parts.append(_reopened(w, node, mine, where[mine], owner, occurrence, begin, end, keys, r + 1, bound))
+                parts.append(_reopened(w, node, mine, where[mine], owner, occurrence, begin, end, keys, own_keys, r + 1, bound))
                 branch[mine] = where[mine] - node["edges"][mine]
-        columns = [np.concatenate([getattr(p, f) for p in parts]) if parts else getattr(path, f)[:0] for f in ("text", "word", "place", "size", "log")]
-        order = np.lexsort((columns[2], columns[1]))
+        columns = [np.concatenate([getattr(p, f) for p in parts]) if parts else getattr(path, f)[:0] for f in Path.FIELDS]
+        # Within a word the pieces of all parts are in order already: what was kept, the new one, fresh ones.
+        order = np.argsort(columns[1], kind="stable")
         path = Path(*(c[order] for c in columns))
     out = []
     for path, have, whole in found:
@@ -314,22 +447,30 @@ def _first_largest(value: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return out
 
 
-def _reopened(w, node, mine, at, owner, occurrence, begin, end, keys, r, bound) -> Path:
+def _reopened(w, node, mine, at, owner, occurrence, begin, end, keys, own_keys, r, bound) -> Path:
     """New paths of texts ``mine``: as ``node``'s path before ``at``, another piece there, then fresh ones."""
     path = node["path"]
     place, word = path.place[at], path.word[at]
-    chance = w.chance[place]
-    used = node["used"][at]
-    open_ = np.where((used[:, None] >> np.arange(w.v.longest)) & 1, 0.0, chance)
-    number = uniform(keys[mine], np.full(len(mine), r, np.uint64) + np.uint64(3 << 60)) * open_.sum(axis=1)
-    size = np.minimum((np.cumsum(open_, axis=1) < number[:, None]).sum(axis=1), w.v.longest - 1)
-    bad = np.flatnonzero(open_[np.arange(len(size)), size] <= 0)
-    size[bad] = open_[bad].argmax(axis=1)
-    new = Path(mine, word, place, size, np.log(chance[np.arange(len(size)), size]))
+    # Edges that are still open, place by place.
+    edge, ends = w.edges(place)
+    of = np.repeat(np.arange(len(mine)), np.diff(ends))
+    open_ = np.where((node["used"][at][of] >> w.size[edge].astype(np.int64)) & 1, 0.0, np.exp(w.log[edge]))
+    sums = np.cumsum(open_)
+    base = np.concatenate(([0.0], sums))[ends[:-1]]
+    number = uniform(keys[mine], np.full(len(mine), r, np.uint64) + np.uint64(3 << 60)) * (sums[ends[1:] - 1] - base)
+    past = np.add.reduceat((sums - base[of] < number[of]).astype(np.int64), ends[:-1])
+    took = np.minimum(ends[:-1] + past, ends[1:] - 1)
+    # Rounding can point to an edge that is not open: the likeliest one instead.
+    bad = np.flatnonzero(open_[took] <= 0)
+    for k in bad.tolist():
+        took[k] = ends[k] + int(open_[ends[k] : ends[k + 1]].argmax())
+    chosen_edge = edge[took]
+    new = Path(mine, word, place, chosen_edge, w.log[chosen_edge])
     # What is left of the opened node: without this piece too, below the new bound.
-    node["used"][at] |= 1 << size.astype(np.int64)
-    open_[np.arange(len(size)), size] = 0
-    left = open_.sum(axis=1)
+    size = w.size[chosen_edge].astype(np.int64)
+    node["used"][at] |= 1 << size
+    open_[took] = 0
+    left = np.add.reduceat(open_, ends[:-1])
     u = uniform(keys[mine], np.full(len(mine), r, np.uint64) + np.uint64(5 << 60))
     with np.errstate(divide="ignore"):
         node["value"][at] = np.where(left > 0, below(node["before"][at], np.log(left), u, bound[mine]), -np.inf)
@@ -344,18 +485,18 @@ def _reopened(w, node, mine, at, owner, occurrence, begin, end, keys, r, bound)
         w,
         np.concatenate((mine, owner[later])),
         np.concatenate((word, occurrence[later])),
-        np.concatenate((place + size + 1, begin[later])),
+        np.concatenate((place + size, begin[later])),
         np.concatenate((end[word], end[later])),
-        keys,
+        own_keys,
         r,
     )
-    kept = Path(path.text[same], path.word[same], path.place[same], path.size[same], path.log[same])
-    return Path(*(np.concatenate([getattr(p, f) for p in (kept, new, fresh)]) for f in ("text", "word", "place", "size", "log")))
+    kept = Path(*(getattr(path, f)[same] for f in Path.FIELDS))
+    return Path(*(np.concatenate([getattr(p, f) for p in (kept, new, fresh)]) for f in Path.FIELDS))
 
 
 def piece_ids(w: Words, path: Path, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts' pieces one after the other, bytes spelled out, and offsets by text."""
-    ids = w.piece[path.place, path.size]
+    ids = w.piece[path.edge]
     if (ids >= 0).all():
         return ids, np.searchsorted(path.text, np.arange(n + 1))
     out, text = [], []
@@ -373,44 +514,50 @@ def piece_ids(w: Words, path: Path, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode(docs: DataFrame, k: int = SAMPLES, model: str = MODEL, keep: bool = True) -> DataFrame:
-    """Per row and segmentation: doc_id, sample, n_pieces, log_prob, inclusion, and the piece ids."""
+    """Per row and segmentation: doc_id, sample, n_pieces, log_prob, inclusion, whether the pieces decode to the text, and their ids."""
     out = StructType([
-        *fields("doc_id sample n_pieces"), *fields(log_prob=DoubleType(), inclusion=DoubleType()),
+        *fields("doc_id sample n_pieces"), *fields(log_prob=DoubleType(), inclusion=DoubleType(), exact=BooleanType()),
         *(fields(ids=ArrayType(IntegerType())) if keep else []),
     ])
 
+    v = vocabulary(model)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = Words(vocabulary(model))
-        for part, _, offsets in sliced(batches, limit=TOGETHER):
+        w = Words(v)
+        for part, data, offsets in sliced(batches, limit=TOGETHER):
             texts = part.column("text").to_pylist()
+            # A text as its pieces spell it: behind a blank, unless it is empty.
+            given = np.insert(data, offsets[:-1][np.diff(offsets) > 0], 0x20)
+            given_ends = offsets + np.concatenate(([0], np.cumsum(np.diff(offsets) > 0)))
             docs_ = part.column("doc_id").fill_null(-1).to_numpy()
             units = [UNIT.findall(" " + t) if t else [] for t in texts]
             keys = mix(docs_.astype(np.int64).view(np.uint64) + np.uint64(SEED))
             for number, (path, have, whole, score) in enumerate(top_k(w, units, keys, k)):
                 ids, ends = piece_ids(w, path, len(texts))
                 pick = np.flatnonzero(have)
+                exact = same_texts(*w.v.decoded(ids, ends), given, given_ends) if have.all() else np.array([
+                    np.array_equal(w.v.decoded(ids[ends[k] : ends[k + 1]], np.array([0]))[0], given[given_ends[k] : given_ends[k + 1]])
+                    for k in range(len(texts))
+                ])
                 columns = [
                     part.column("doc_id").take(pa.array(pick)), pa.array(np.full(len(pick), number)),
-                    pa.array(np.diff(ends)[pick].astype(np.int64)), pa.array(whole[pick]), pa.array(score[pick]),
+                    pa.array(np.diff(ends)[pick].astype(np.int64)), pa.array(whole[pick]), pa.array(score[pick]), pa.array(exact[pick]),
                 ]
                 if keep:
                     # Texts without this segmentation have no pieces in it.
                     columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate((ends[pick], ends[-1:])).astype(np.int32)), pa.array(ids, pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, out.fieldNames())
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, out)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(work), out)
 
 
 def decode(rows: DataFrame, model: str = MODEL) -> DataFrame:
     """``rows`` (with ids) and the text that the pieces spell."""
     schema = StructType([*rows.schema.fields, *fields(strings="decoded")])
 
+    spelled = vocabulary(model).spelled
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = vocabulary(model).model
-        spelled = [
-            bytes([int(p[3:5], 16)]) if m.is_byte(i) else b"" if m.is_control(i) else p.replace("▁", " ").encode()
-            for i, p in enumerate(map(m.id_to_piece, range(m.get_piece_size())))
-        ]
         for batch in batches:
             texts = [
                 b"".join(map(spelled.__getitem__, ids or ())).decode("utf-8", "replace")[1:]
