@@ -7,10 +7,11 @@ contiguous run with the highest sum. The weights are log odds from labelled page
 sample whose own mark-up (``article``, ``main``) labels its tokens; pages without such
 elements are cut by the weights alone.
 
-An exact check follows: where the run touches ``article`` or ``main`` elements it is widened to
-all of these, and blocks in elements that never hold main text (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, reader comments) are left out. A class, id or
-role marks such an element by a whole word between blanks; ``html``, ``body``, ``main`` and
+The run sets the bounds of the text, blocks that it touches being taken whole. An exact check
+mends it: where it touches ``article`` or ``main`` elements, what is outside of these goes, other
+blocks of these come in if their words score positive by themselves, and out go blocks in elements that never hold main text (menus, headers, footers, sidebars, notices,
+adverts, forms, scripts, styles, reader comments). A class, id or role marks such an element by a
+whole word between blanks, inside a main element also by a part of a compound word; ``html``, ``body``, ``main`` and
 ``article`` are never marked, nor is a marked element or a form around an ``article`` or ``main``,
 unless it is itself inside an ``article`` (reader comments are articles in one).
 
@@ -64,6 +65,11 @@ ROLES = frozenset(
     "cookie cookies footer header menu navbar nav navigation newsletter notice notices popup promo promoted related "
     "search share sharing sidebar social sponsor sponsored subscribe toolbar".split()
 )
+#: Of these, what also marks as a part of a compound word (``ad-slot``, ``cookie_notice``), unless that begins with a
+#: word that denies it or tells of something else on the page (``no-ads``, ``has-sidebar``).
+PARTS = ROLES - {"header", "menu", "search"}
+DENIES = frozenset("has hide is no non not show with without".split())
+COMPOUND = re.compile("[-_]+")
 #: An end tag of the first closes an open one of the second, and so does a start tag.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -86,6 +92,17 @@ def names_of(attributes: str) -> set[str]:
     return {w for m in NAMED.finditer(attributes) for w in "".join(filter(None, m.groups())).lower().split()}
 
 
+def marks_of(attributes: str, inside: bool) -> set[str]:
+    """The marks that class, id and role give; inside a main element also as a part of a compound word."""
+    names = names_of(attributes)
+    marks = names & ROLES
+    if inside:
+        for parts in map(COMPOUND.split, names):
+            if len(parts) > 1 and parts[0] not in DENIES:
+                marks |= PARTS.intersection(parts)
+    return marks
+
+
 def tokens(page: str | None, around: frozenset[int] = frozenset()) -> list[Token]:
     """The words and tags of a page in order. ``block`` numbers the stretches of text without a block tag between.
 
@@ -98,6 +115,9 @@ def tokens(page: str | None, around: frozenset[int] = frozenset()) -> list[Token
     found: set[int] = set()
     for m in TOKEN.finditer(page or ""):
         raw, end, name, attributes, end2, name2, attributes2, text = m.groups()
+        if m[0] == "<":
+            # Before anything but a letter, "!", "?" or "/" it is text.
+            text = "<"
         if text is not None:
             decoded = html.unescape(text)
             n = len(decoded.split())
@@ -141,7 +161,7 @@ def tokens(page: str | None, around: frozenset[int] = frozenset()) -> list[Token
         if stack[-1][0] == "p":
             stack.pop()
         _, never, main, *_ = stack[-1]
-        marks = names_of(attributes) & ROLES if attributes and name not in UNMARKED else set()
+        marks = marks_of(attributes, bool(main)) if attributes and name not in UNMARKED else set()
         number = 0
         if marks and name not in NEVER or name == "form":
             marked += 1
@@ -206,15 +226,24 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 
 def extract(page: str | None, weights: dict[str, float]) -> str:
-    """The main text: blocks in page order, one line each."""
+    """The main text: blocks in page order, one line each.
+
+    The run sets the bounds, to whole blocks. ``article`` and ``main`` elements that it touches trim
+    it, and what else they hold is added where its words score positive by themselves.
+    """
     found = tokens(page)
-    a, b = best_run([weight(t, weights) for t in found])
-    mains = {t.main for t in found[a:b] if t.main and t.words}
+    scores = [weight(t, weights) for t in found]
+    a, b = best_run(scores)
+    run = found[a:b]
+    mains = {t.main for t in run if t.main and t.words}
+    blocks = {t.block for t in run if t.words}
     if mains:
-        # The run's elements, whole.
-        chosen = [t for t in found if t.main in mains]
-    else:
-        chosen = found[a:b]
+        own: Counter[int] = Counter()
+        for t, score in zip(found, scores):
+            if t.words and t.main in mains and not t.never:
+                own[t.block] += score
+        blocks |= {block for block, score in own.items() if score > 0}
+    chosen = [t for t in found if t.block in blocks and (not mains or t.main in mains)]
     lines: list[str] = []
     parts: list[str] = []
     block = None
