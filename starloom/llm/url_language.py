@@ -52,10 +52,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """The longest rule that fits, as text, and its verdict; null if none fits."""
     name = verdict = None
     for suffix, prefix, kind in sorted(rules, key=lambda r: -len(r[0] + r[1])):
-        # A rule for all paths holds for an empty path too.
-        fits = ((host == suffix) | host.endswith("." + suffix)) & (
-            F.lit(True) if prefix == "/" else path.startswith(prefix)
-        )
+        fits = ((host == suffix) | host.endswith("." + suffix)) & path.startswith(prefix)
         name = F.when(fits, suffix + prefix) if name is None else name.when(fits, suffix + prefix)
         verdict = F.when(fits, kind) if verdict is None else verdict.when(fits, kind)
     return name, verdict

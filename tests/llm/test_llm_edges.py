@@ -87,7 +87,8 @@ def test_urls(spark):
     rows = [
         (1, "http://A.example.NET/en/x?y", "example.net/en/", "allow"), (2, "http://example.net/de/", "net/", "block"),
         (3, "https://b.example.com/de/1#x", "example.com/de/", "block"), (4, "http://x.org/fr/", "org/fr/", "allow"),
-        (5, "http://notexample.com/de/", None, None), (6, "no scheme", None, None), (7, "http://net", "net/", "block"),
+        (5, "http://notexample.com/de/", None, None), (6, "no scheme", None, None), (7, "http://net/", "net/", "block"),
+        (8, "http://net", None, None), (9, "http://x.net?q=/", None, None), (10, "http://x.net#/en/", None, None),
     ]
     pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
     got = {r["page_id"]: r for r in url_language.judge(pages).collect()}
