@@ -140,7 +140,8 @@ def load_table(
             elif dealt:
                 rows = rows.hint("rebalance", *[F.col(c) for c in dealt])
             bad = F.col(REJECTS).isNotNull().alias("_rejected")
-            counted(rows).select("*", bad).write.partitionBy("_rejected", *version.layout).parquet(staged)
+            with files.open_files(rows.sparkSession):
+                counted(rows).select("*", bad).write.partitionBy("_rejected", *version.layout).parquet(staged)
             store.adopt(table, f"{staged}/_rejected=false", load)
         counts = seen.get
         if counts["rejected"]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starloom.functions.window import IncrementalWindow
 from starloom.operators.report import extract_summary, table_counts
 from starloom.operators.sets import DATABASE
+from starloom.sinks import files
 from starloom.sources.envelope import METADATA, metadata_row
 
 #: The folder of an extract's counts; the underscore keeps it apart from tables.
@@ -28,7 +29,8 @@ def write_extract(
     """
     for name, df in tables.items():
         # Small databases share a task and large ones are split, so files have a fair size.
-        df.hint("rebalance", F.col(DATABASE)).write.mode("overwrite").partitionBy(DATABASE).parquet(f"{root}/{name}")
+        with files.open_files(df.sparkSession):
+            df.hint("rebalance", F.col(DATABASE)).write.mode("overwrite").partitionBy(DATABASE).parquet(f"{root}/{name}")
     written = {name: spark.read.parquet(f"{root}/{name}").withColumn(DATABASE, F.col(DATABASE).cast("string"))
                for name, df in tables.items()}
     if not written:

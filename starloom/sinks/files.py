@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from threading import Lock
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+#: Files that a task keeps open at a time; one with rows for more folders sorts the rest of them.
+WRITERS = 8
+_HERE = Lock()
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+_writing: dict[str, int] = {}
+
 
 def _at(spark: SparkSession, path: str):
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -72,3 +81,30 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
             return False
         raise
     return True
+
+
+@contextmanager
+def open_files(spark: SparkSession) -> Iterator[None]:
+    """Writes into folders within this put rows out as they come, in place of sorting each task's rows by folder first.
+
+    Such a sort holds all rows of the task, and a task is sized by what is shuffled: a million narrow
+    rows with few values take 3 MB there and 100 MB in a sort.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _HERE:
+        # Set by the first of several threads, taken back by the last; a setting of the user's stays.
+        if _writing.get(session) or int(spark.conf.get(_WRITERS, "0")) <= 0:
+            _writing[session] = _writing.get(session, 0) + 1
+            spark.conf.set(_WRITERS, str(WRITERS))
+            mine = True
+        else:
+            mine = False
+    try:
+        yield
+    finally:
+        if mine:
+            with _HERE:
+                _writing[session] -= 1
+                if not _writing[session]:
+                    del _writing[session]
+                    spark.conf.unset(_WRITERS)

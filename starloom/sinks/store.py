@@ -386,7 +386,8 @@ class StarStore:
         # A folder of its own for the job, as jobs that write below one folder disturb each other.
         draft = f"{location}/_draft-{load}"
         try:
-            rows.write.partitionBy(*version.layout).parquet(draft)
+            with files.open_files(rows.sparkSession):
+                rows.write.partitionBy(*version.layout).parquet(draft)
             return self._take(version, draft, location, load)
         finally:
             files.remove(self.spark, draft)
@@ -511,7 +512,8 @@ class StarStore:
             rows = rows.repartitionByRange(*dealt, *order).sortWithinPartitions(*dealt, *order) if order else rows.hint(
                 "rebalance", *[F.col(c) for c in dealt]
             )
-            rows.write.mode("append").partitionBy(*made.layout).parquet(made.location)
+            with files.open_files(rows.sparkSession):
+                rows.write.mode("append").partitionBy(*made.layout).parquet(made.location)
             made = replace(made, folders=self._folders(made, made.location, load))
         else:
             made = replace(now, location=self._new_location(table))

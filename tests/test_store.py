@@ -12,6 +12,7 @@ from pyspark.sql import functions as F, types as T
 
 from starloom.plans.run import load_table, recover
 from starloom.sinks import files
+from starloom.sinks.datasets import write_extract
 from starloom.sinks.store import StarStore
 from starloom.streaming.incremental import read_landing, stream_upsert
 
@@ -256,3 +257,25 @@ def test_a_name_is_taken_once(spark, tmp_path):
     files.make_folder(spark, str(tmp_path / "a"))
     assert files.create_text(spark, path, "é1") and not files.create_text(spark, path, "2")
     assert files.read_text(spark, path) == "é1" and files.matching(spark, str(tmp_path / "a" / "*")) == [f"file:{path}"]
+
+
+def test_rows_are_not_sorted_by_folder_before_they_are_written(spark, store, tmp_path):
+    """The plans of partitioned writes have no sort, which held all rows of a task; the setting is taken back."""
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    rows = spark.range(2000).selectExpr("id", "concat('db', id % 20) AS _database")
+    status = spark._jsparkSession.sharedState().statusStore()
+    seen = status.executionsCount()
+    load_table(store, "t", rows, None, per_database=True)
+    store.append("t", rows)
+    store.overwrite("t", rows)
+    write_extract(spark, {"t": rows}, str(tmp_path / "extract"))
+    plans = [status.executionsList().apply(k).physicalPlanDescription() for k in range(seen, status.executionsCount())]
+    writes = [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p and "_database" in p]
+    assert len(writes) >= 4 and not any("Sort (" in p or "Sort [" in p for p in writes)
+    assert spark.conf.get(setting) == before
+    # More folders than open files: the rest is sorted, and nothing is lost.
+    want = sorted((r[0], r[1]) for r in rows.collect())
+    assert sorted((r["id"], r["_database"]) for r in store.read("t").collect()) == want
+    got = spark.read.parquet(str(tmp_path / "extract" / "t")).select("id", "_database")
+    assert sorted((r[0], r[1]) for r in got.collect()) == want
