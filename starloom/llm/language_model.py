@@ -1,22 +1,23 @@
 """Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text, cut by quantiles per language.
 
-The model is over characters: each is one of 64 classes (lower-case letters by themselves, also
-the accented ones, capitals, digits, white space, marks by kind), and a 4-gram is a number
-below 2^24. Words would be the usual units, but their trigrams are almost all different, and
-moving their counts costs several times the input; character 4-grams are counted within each
+The model is over 5-grams of characters: each is one of 512 classes (Latin lower-case letters by
+themselves, the accented ones too, capitals, digits, white space, marks by kind, and the letters of
+all other scripts by code point modulo 448, so that letters of one alphabet keep apart), and a 5-gram
+is a number below 2^45. Words would be the usual units, but their trigrams are almost all different,
+and moving their counts costs several times the input; character 5-grams are counted within each
 task before anything moves.
 
-1. Every task counts the 4-grams of all its documents by language and fold (a hash of the text),
+1. Every task counts the 5-grams of all its documents by language and fold (a hash of the text),
    and how often they are in trusted ones (labelled good and not toxic). The counts are added
-   up, sharded by 4-gram. A fold's model is of the trusted text of all other folds, so no
+   up, sharded by 5-gram. A fold's model is of the trusted text of all other folds, so no
    document is scored by a model that has seen it or an exact copy of it.
-2. Joins on 4-gram, context and shortened 4-gram, order by order, give every 4-gram of the
+2. Joins on 5-gram, context and shortened 5-gram, order by order, give every 5-gram of the
    corpus its interpolated log probability; discounts are from counts of counts per language.
 3. A document has a perplexity over all its characters and one of its worst passage, the
    ``PASSAGE`` consecutive characters that are least likely: a few inserted words hardly show
-   in the former. If there are at most ``TABLE`` rows in the table of step 2 (counted; it can't
-   exceed 2^24 per language and fold), tasks look 4-grams up in a copy; beyond that, the
-   documents' 4-grams are joined with the table and come back to their text.
+   in the former. If there are at most ``TABLE`` rows in the table of step 2 (counted),
+   tasks look 5-grams up in a copy; beyond that, the
+   documents' 5-grams are joined with the table and come back to their text.
 4. The cuts of a language are quantiles of its trusted documents' perplexities, all held out;
    a document is rejected if its own or its worst passage's is higher.
 
@@ -37,16 +38,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from starloom.llm.common import fields, sliced, small, sums_by
+from starloom.llm.common import SLICE, fields, sliced, small, sums_by, tidy
 from starloom.session import cut
 
-ORDER = 4
-BITS = 6
+ORDER = 5
+BITS = 9
 CLASSES = 1 << BITS
+#: Classes of Latin letters, digits, white space and marks; the others are of letters of other scripts.
+LATIN = 64
+#: Bytes of text that are worked on together; a character takes 8 bytes in each array.
+TOGETHER = SLICE // 2
+#: Names of models (by language and fold) that a task counts for together.
+NAMES = 200_000
 #: Rows (16 bytes each) up to which every task gets a copy of the model.
 TABLE = 4_000_000
 QUANTILE = 0.998
@@ -60,8 +67,8 @@ _ACCENTED = "àáâãäåæçèéêëìíîïñòóôõöøùúûüýÿßœ"
 
 
 def _classes() -> np.ndarray:
-    """Class by code point below 0x180: 0 is the start of a text, 1 any other letter or sign."""
-    out = np.full(0x180, 1, np.uint32)
+    """Class by code point below 0x180: 0 is the start of a text, 1 any other sign."""
+    out = np.full(0x180, 1, np.uint16)
     for group, chars in enumerate(["\t\n\v\f\r", " ", "0123456789", ".", ",", "!?", ";:", "\"'()[]-", "|", "#*$%&<>=+/\\^_`{}~@"]):
         for c in chars:
             out[ord(c)] = 2 + group
@@ -76,27 +83,36 @@ def _classes() -> np.ndarray:
 
 
 CLASS = _classes()
-#: By byte; those above ASCII are looked up by code point if they lead two bytes, and are 1 otherwise.
-CLASS8 = np.where(np.arange(256) < 128, CLASS[:256], 1).astype(np.uint8)
+
+
+def _read(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """The classes of the characters of ``size`` bytes that begin at ``at``."""
+    points = data[at].astype(np.int64) & (0x7F >> size)
+    for k in range(1, size):
+        points = points << 6 | data[np.minimum(at + k, len(data) - 1)] & 0x3F
+    sign = (points >= 0x2000) & (points < 0x2C00) | (points >= 0x1F000) & (points < 0x20000)
+    other = np.where(sign, 1, LATIN + points % (CLASSES - LATIN))
+    return np.where(points < 0x180, CLASS[np.minimum(points, 0x17F)], other)
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The 4-gram that ends at every character, and the number of characters before each text."""
-    # Every lead byte is a character: ASCII by its own class, two-byte ones by their code point, longer ones 1.
-    classes = CLASS8[data]
-    two = np.flatnonzero((data >= 0xC3) & (data < 0xC6))
-    two = two[two + 1 < len(data)]
-    classes[two] = CLASS[((data[two].astype(np.int64) & 0x1F) << 6) | (data[two + 1] & 0x3F)]
+    """The 5-gram that ends at every character, and the number of characters before each text."""
+    # Every lead byte is a character.
+    classes = CLASS[data]
+    for size, low, high in ((2, 0xC0, 0xE0), (3, 0xE0, 0xF0), (4, 0xF0, 0x100)):
+        at = np.flatnonzero((data >= low) & (data < high))
+        if len(at):
+            classes[at] = _read(data, at, size)
     lead = (data & 0xC0) != 0x80
     first = np.concatenate(([0], np.cumsum(sums_by(lead, offsets))))
-    classes = classes[lead].astype(np.uint32)
+    classes = classes[lead].astype(np.uint64)
     out = classes.copy()
     for back in range(1, ORDER):
-        out[back:] |= classes[:-back] << np.uint32(BITS * back)
+        out[back:] |= classes[:-back] << np.uint64(BITS * back)
     for k in range(ORDER - 1):
         # The k-th character of a text has k before it.
         at = first[:-1] + k
-        out[at[at < first[1:]]] &= np.uint32((1 << BITS * (k + 1)) - 1)
+        out[at[at < first[1:]]] &= np.uint64((1 << BITS * (k + 1)) - 1)
     return out, first
 
 
@@ -126,19 +142,25 @@ class _Counts:
 
 
 def corpus_counts(docs: DataFrame) -> DataFrame:
-    """(lang, gram, c) for all 4-grams of ``docs`` (lang, trusted, text); c counts those in trusted documents."""
+    """(lang, gram, c) for all 5-grams of ``docs`` (lang, trusted, text); c counts those in trusted documents."""
     schema = StructType([*fields(strings="lang"), *fields("gram c")])
     width = np.uint64(BITS * ORDER + 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs: dict[str, int] = {}
         counts = _Counts()
-        for part, data, offsets in sliced(batches):
+        for part, data, offsets in sliced(batches, limit=TOGETHER):
+            if len(langs) > NAMES:
+                yield from told(langs, counts)
+                langs, counts = {}, _Counts()
             codes, first = grams(data, offsets)
             own = np.array([langs.setdefault(x, len(langs)) for x in part.column("lang").to_pylist()], np.uint64)
             trust = np.array(part.column("trusted").to_pylist(), np.uint64)
             high = (own << width) | trust
-            counts.add((codes.astype(np.uint64) << np.uint64(1)) | np.repeat(high, np.diff(first)))
+            counts.add((codes << np.uint64(1)) | np.repeat(high, np.diff(first)))
+        yield from told(langs, counts)
+
+    def told(langs: dict[str, int], counts: _Counts) -> Iterator[pa.RecordBatch]:
         keys, n = counts.merged()
         n = np.where(keys & np.uint64(1), n, 0)
         names = np.array([*langs, ""], object)
@@ -153,7 +175,7 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
                 ["lang", "gram", "c"],
             )
 
-    return docs.select("lang", "trusted", "text").mapInArrow(work, schema).groupBy("lang", "gram").agg(F.sum("c").alias("c"))
+    return docs.select("lang", "trusted", "text").mapInArrow(tidy(work), schema).groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
 
 def fold_key(lang: Column, text: Column) -> Column:
@@ -180,15 +202,15 @@ def held_out(counts: DataFrame) -> DataFrame:
     return wide.select(F.inline(F.array(*each))).where("seen or c > 0").select("lang", "gram", "c")
 
 
-def model(counts: DataFrame) -> DataFrame:
-    """(lang, gram, logp) for every 4-gram of ``counts``; languages without trusted text have none."""
-    level = {ORDER: counts.select("lang", "gram", "c")}
-    for k in range(ORDER - 1, 0, -1):
+def model(counts: DataFrame, order: int = 4, bits: int = 6) -> DataFrame:
+    """(lang, gram, logp) for every gram of ``counts``, of ``order`` classes of ``bits`` each; languages without trusted text have none."""
+    level = {order: counts.select("lang", "gram", "c")}
+    for k in range(order - 1, 0, -1):
         # Below the highest order a gram counts the different grams that end in it; 0 if only untrusted text has them.
-        tail = F.col("gram").bitwiseAND(F.lit((1 << BITS * k) - 1)).alias("gram")
+        tail = F.col("gram").bitwiseAND(F.lit((1 << bits * k) - 1)).alias("gram")
         level[k] = level[k + 1].groupBy("lang", tail).agg(F.count_if(F.col("c") > 0).alias("c"))
     lower = None
-    for k in range(1, ORDER + 1):
+    for k in range(1, order + 1):
         of = [F.count_if(F.col("c") == n).cast("double").alias(f"n{n}") for n in (1, 2, 3, 4)]
         steps = level[k].where("c > 0").groupBy("lang").agg(*of)
         # Without counts to estimate it from, or with such that leave nothing or more than all, a discount is the
@@ -199,21 +221,21 @@ def model(counts: DataFrame) -> DataFrame:
                 f"d{n}",
                 F.expr(f"if(n{n} > 0 and n{n + 1} > 0, {n} - {n + 1} * {y} * n{n + 1} / n{n}, {usual}D)"),
             ).withColumn(f"d{n}", F.expr(f"if(d{n} > 0 and d{n} <= {n}, d{n}, {usual}D)"))
-        context = F.shiftright("gram", BITS).alias("context")
-        contexts = level[k].where("c > 0").groupBy("lang", context).agg(
-            F.sum("c").alias("total"),
-            F.count_if(F.col("c") == 1).alias("m1"),
-            F.count_if(F.col("c") == 2).alias("m2"),
-            F.count_if(F.col("c") > 2).alias("m3"),
-        )
+        # All grams of a context, of which there are at most as many as classes, meet once.
+        near = Window.partitionBy("lang", F.shiftright("gram", bits))
         rows = (
             level[k]
-            .select("*", context, F.col("gram").bitwiseAND(F.lit((1 << BITS * (k - 1)) - 1)).alias("tail"))
-            .join(contexts, ["lang", "context"], "left")
+            .select(
+                "*", F.col("gram").bitwiseAND(F.lit((1 << bits * (k - 1)) - 1)).alias("tail"),
+                F.sum(F.when(F.col("c") > 0, F.col("c"))).over(near).alias("total"),
+                F.count_if(F.col("c") == 1).over(near).alias("m1"),
+                F.count_if(F.col("c") == 2).over(near).alias("m2"),
+                F.count_if(F.col("c") > 2).over(near).alias("m3"),
+            )
             .join(steps.select("lang", "d1", "d2", "d3"), "lang")
         )
         if lower is None:
-            rows = rows.withColumn("below", F.lit(1.0 / CLASSES))
+            rows = rows.withColumn("below", F.lit(1.0 / (1 << bits)))
         else:
             rows = rows.join(lower.withColumnsRenamed({"gram": "tail", "p": "below"}), ["lang", "tail"])
         p = F.expr(
@@ -225,34 +247,34 @@ def model(counts: DataFrame) -> DataFrame:
 
 
 class Lookup:
-    """The log probabilities of one language: by context a bit set of the characters it has, and where they begin."""
+    """The log probabilities of one language's grams, in their order."""
 
     def __init__(self, gram: np.ndarray, logp: np.ndarray) -> None:
-        order = np.argsort(gram)
-        gram, self.logp = gram[order].astype(np.int64), logp[order]
-        size = 1 << BITS * (ORDER - 1)
-        self.has = np.zeros(size, np.uint64)
-        np.bitwise_or.at(self.has, gram >> BITS, np.uint64(1) << (gram & (CLASSES - 1)).astype(np.uint64))
-        self.begin = np.searchsorted(gram, np.arange(size) << BITS).astype(np.int32)
+        if (gram[1:] < gram[:-1]).any():
+            order = np.argsort(gram)
+            gram, logp = gram[order], logp[order]
+        self.gram, self.logp = gram, logp
 
     def __call__(self, codes: np.ndarray) -> np.ndarray:
-        context, bit = codes >> np.uint32(BITS), np.uint64(1) << (codes & np.uint32(CLASSES - 1)).astype(np.uint64)
-        has = self.has[context]
-        place = self.begin[context] + np.bitwise_count(has & (bit - np.uint64(1)))
-        found = self.logp[np.minimum(place, len(self.logp) - 1)]
+        place = np.minimum(np.searchsorted(self.gram, codes), len(self.gram) - 1)
         # A gram that the corpus hasn't: as likely as any character.
-        return np.where(has & bit, found, np.float32(-np.log(CLASSES)))
+        return np.where(self.gram[place] == codes, self.logp[place], np.float32(-np.log(CLASSES)))
 
 
 def _arrays(table: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     names = sorted(r["lang"] for r in table.select("lang").distinct().collect())  # a row per language and fold
     if not names:
         return {}
-    # Twelve bytes a row reach the driver, no strings.
+    # Sixteen bytes a row reach the driver, no strings.
     number = F.array_position(F.array(*map(F.lit, names)), F.col("lang")).cast("int").alias("number")
-    rows = table.select(number, F.col("gram").cast("int").alias("gram"), F.col("logp").cast("float").alias("logp")).toArrow()
+    rows = table.select(number, "gram", F.col("logp").cast("float").alias("logp")).toArrow()
     number, gram, logp = (rows.column(c).to_numpy() for c in ("number", "gram", "logp"))
-    return {k: (gram[number == i].astype(np.uint32), logp[number == i]) for i, k in enumerate(names, 1)}
+    order = np.lexsort((gram, number))
+    ends = np.searchsorted(number[order], np.arange(1, len(names) + 2))
+    return {
+        k: (gram[order[a:b]].astype(np.uint64), logp[order[a:b]])
+        for k, a, b in zip(names, ends.tolist(), ends[1:].tolist())
+    }
 
 
 def _by_text(losses: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -286,7 +308,7 @@ def _losses(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, lookups
 
 
 def _losses_by_join(docs: DataFrame, table: DataFrame) -> DataFrame:
-    """``docs`` (key, lang, text) to (key, loss, worst, n): their 4-grams joined with the table, then back to the text."""
+    """``docs`` (key, lang, text) to (key, loss, worst, n): their 5-grams joined with the table, then back to the text."""
     schema = StructType([*fields(strings="key lang"), *fields("gram")])
 
     def different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,12 +321,12 @@ def _losses_by_join(docs: DataFrame, table: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("key").take(row), part.column("lang").take(row), gram], ["key", "lang", "gram"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in sliced(batches):
+        for part, data, offsets in sliced(batches, limit=TOGETHER):
             codes, first = grams(data, offsets)
             have, logs = part.column("grams"), np.zeros(len(codes))
             for k in range(part.num_rows):
                 mine, known = slice(first[k], first[k + 1]), have[k].values
-                gram, logp = known.field("gram").to_numpy(), known.field("logp").to_numpy()
+                gram, logp = known.field("gram").to_numpy().astype(np.uint64), known.field("logp").to_numpy()
                 order = np.argsort(gram)
                 gram, logp = gram[order], logp[order]
                 at = np.minimum(np.searchsorted(gram, codes[mine]), len(gram) - 1)
@@ -315,10 +337,10 @@ def _losses_by_join(docs: DataFrame, table: DataFrame) -> DataFrame:
             )
 
     out = StructType([*fields(strings="key"), *fields(loss=DoubleType(), worst=DoubleType()), *fields("n")])
-    row = F.struct(F.col("gram").cast("int").alias("gram"), F.col("logp").cast("float").alias("logp"))
+    row = F.struct("gram", F.col("logp").cast("float").alias("logp"))
     known = docs.select("key", "lang", "text").mapInArrow(different, schema).join(table, ["lang", "gram"])
     known = known.groupBy("key").agg(F.collect_list(row).alias("grams"))
-    return docs.select("key", "text").join(known, "key").select("key", "text", "grams").mapInArrow(work, out)
+    return docs.select("key", "text").join(known, "key").select("key", "text", "grams").mapInArrow(tidy(work), out)
 
 
 def lang_key() -> Column:
@@ -366,7 +388,7 @@ def _scored(docs: DataFrame, labels: DataFrame, quantile: float, table_rows: int
     named = fold_key(lang_key(), F.col("text")).alias("model")
     flagged = docs.select("doc_id", named, "text").withColumnRenamed("model", "lang").join(good, "doc_id", "left")
     counts = cut(corpus_counts(flagged.withColumn("trusted", F.coalesce("trusted", F.lit(False)))))
-    table = cut(model(cut(held_out(counts))))
+    table = cut(model(cut(held_out(counts)), ORDER, BITS))
     lookups = None
     if table.limit(table_rows + 1).count() <= table_rows:
         lookups = docs.sparkSession.sparkContext.broadcast(_arrays(table))
@@ -397,7 +419,7 @@ def _with_losses(docs: DataFrame, lookups) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened = {k: Lookup(*v) for k, v in lookups.value.items()}
-        for part, data, offsets in sliced(batches):
+        for part, data, offsets in sliced(batches, limit=TOGETHER):
             view = pa.RecordBatch.from_arrays([part.column("model")], ["lang"])
             loss, worst, n = _losses(view, data, offsets, opened)
             yield pa.RecordBatch.from_arrays(
@@ -408,7 +430,7 @@ def _with_losses(docs: DataFrame, lookups) -> DataFrame:
                 schema.fieldNames(),
             )
 
-    return docs.mapInArrow(work, schema)
+    return docs.mapInArrow(tidy(work), schema)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, table_rows: int = TABLE) -> DataFrame:
@@ -424,7 +446,7 @@ def accepted(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, tab
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened = {k: Lookup(*v) for k, v in lookups.value.items()}
-        for part, data, offsets in sliced(batches):
+        for part, data, offsets in sliced(batches, limit=TOGETHER):
             loss, worst, n = _losses(part, data, offsets, opened)
             at = [limits.get(x, (0.0, np.inf, np.inf)) for x in part.column("key_lang").to_pylist()]
             mean, most, passage = np.array(at).reshape(-1, 3).T
@@ -432,4 +454,4 @@ def accepted(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, tab
                 bad = (n > 0) & ((np.exp((loss + PRIOR * mean) / (n + PRIOR)) > most) | (np.exp(worst / PASSAGE) > passage))
             yield pa.RecordBatch.from_arrays([part.column("row")], ["row"]).filter(pa.array(~bad))
 
-    return packed.mapInArrow(work, schema).select("row.*")
+    return packed.mapInArrow(tidy(work), schema).select("row.*")
