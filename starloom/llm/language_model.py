@@ -9,10 +9,11 @@ task before anything moves.
 
 1. Every task counts the 5-grams of all its documents by language and fold (a hash of the text),
    and how often they are in trusted ones (labelled good and not toxic). The counts are added
-   up, sharded by 5-gram. A fold's model is of the trusted text of all other folds, so no
-   document is scored by a model that has seen it or an exact copy of it.
+   up, sharded by 5-gram, those of all folds in one row. A fold's model is of the trusted text of
+   all other folds, so no document is scored by a model that has seen it or an exact copy of it.
 2. Joins on 5-gram, context and shortened 5-gram, order by order, give every 5-gram of the
    corpus its interpolated log probability; discounts are from counts of counts per language.
+   What an order leaves for the next is kept as files until the documents are scored.
 3. A document has a perplexity over all its characters and one of its worst passage, the
    ``PASSAGE`` consecutive characters that are least likely: a few inserted words hardly show
    in the former. If there are at most ``TABLE`` rows in the table of step 2 (counted),
@@ -34,7 +35,8 @@ not trusted; an empty table gives no rows; columns of any name are carried along
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,7 @@ from pyspark.sql.types import DoubleType, StructType
 
 from starloom.llm.common import SLICE, fields, sliced, small, sums_by, tidy
 from starloom.session import cut
+from starloom.sinks.files import shelf
 
 ORDER = 5
 BITS = 9
@@ -142,7 +145,7 @@ class _Counts:
 
 
 def corpus_counts(docs: DataFrame) -> DataFrame:
-    """(lang, gram, c) for all 5-grams of ``docs`` (lang, trusted, text); c counts those in trusted documents."""
+    """(lang, gram, c) for all 5-grams of ``docs`` (lang, trusted, text), by task; c counts those in trusted documents."""
     schema = StructType([*fields(strings="lang"), *fields("gram c")])
     width = np.uint64(BITS * ORDER + 1)
 
@@ -175,7 +178,7 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
                 ["lang", "gram", "c"],
             )
 
-    return docs.select("lang", "trusted", "text").mapInArrow(tidy(work), schema).groupBy("lang", "gram").agg(F.sum("c").alias("c"))
+    return docs.select("lang", "trusted", "text").mapInArrow(tidy(work), schema)
 
 
 def fold_key(lang: Column, text: Column) -> Column:
@@ -183,66 +186,69 @@ def fold_key(lang: Column, text: Column) -> Column:
     return F.concat(F.pmod(F.xxhash64(text), F.lit(FOLDS)).cast("string"), lang)
 
 
-def held_out(counts: DataFrame) -> DataFrame:
-    """``counts`` by fold and language to the same names, with what all the other folds' trusted documents have."""
+def held_out(counts: DataFrame, keep: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
+    """``counts`` by fold and language, in any number of rows, to the same names, with what all the other folds' trusted documents have."""
     own = counts.select(F.substr("lang", F.lit(2)).alias("name"), F.substring("lang", 1, 1).cast("int").alias("fold"), "gram", "c")
     folds = [F.sum(F.when(F.col("fold") == k, F.col("c"))).alias(f"own{k}") for k in range(FOLDS)]
-    total = own.groupBy("name", "fold").agg(F.sum("c").alias("c")).groupBy("name")
-    alone = total.agg((F.max("c") == F.sum("c")).alias("alone"))
+    # Tasks put the folds of a gram into one row before anything moves.
+    wide = keep(own.groupBy("name", "gram").agg(*folds))
+    sums = [F.coalesce(F.sum(f"own{k}"), F.lit(0)) for k in range(FOLDS)]
+    alone = cut(wide.groupBy("name").agg((F.greatest(*sums) == sum(sums)).alias("alone")))
+    total = sum(F.coalesce(f"own{k}", F.lit(0)) for k in range(FOLDS))
     # A fold has a gram if its own documents or the others' trusted ones do.
     each = [
         F.struct(
             F.concat(F.lit(str(k)), "name").alias("lang"), "gram",
-            (F.col("total") - F.when(F.col("alone"), F.lit(0)).otherwise(F.coalesce(f"own{k}", F.lit(0)))).alias("c"),
+            (total - F.when(F.col("alone"), F.lit(0)).otherwise(F.coalesce(f"own{k}", F.lit(0)))).alias("c"),
             F.col(f"own{k}").isNotNull().alias("seen"),
         )
         for k in range(FOLDS)
     ]
-    wide = own.groupBy("name", "gram").agg(F.sum("c").alias("total"), *folds).join(small(alone), "name")
-    return wide.select(F.inline(F.array(*each))).where("seen or c > 0").select("lang", "gram", "c")
+    return wide.join(small(alone), "name").select(F.inline(F.array(*each))).where("seen or c > 0").select("lang", "gram", "c")
 
 
-def model(counts: DataFrame, order: int = 4, bits: int = 6) -> DataFrame:
+def model(counts: DataFrame, order: int = 4, bits: int = 6, keep: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
     """(lang, gram, logp) for every gram of ``counts``, of ``order`` classes of ``bits`` each; languages without trusted text have none."""
     level = {order: counts.select("lang", "gram", "c")}
     for k in range(order - 1, 0, -1):
         # Below the highest order a gram counts the different grams that end in it; 0 if only untrusted text has them.
         tail = F.col("gram").bitwiseAND(F.lit((1 << bits * k) - 1)).alias("gram")
-        level[k] = level[k + 1].groupBy("lang", tail).agg(F.count_if(F.col("c") > 0).alias("c"))
+        level[k] = keep(level[k + 1].groupBy("lang", tail).agg(F.count_if(F.col("c") > 0).alias("c")))
+    of = [F.count_if(F.col("c") == n).cast("double").alias(f"n{n}") for n in (1, 2, 3, 4)]
+    every = reduce(DataFrame.unionByName, (rows.withColumn("k", F.lit(k)) for k, rows in level.items()))
+    steps = every.where("c > 0").groupBy("k", "lang").agg(*of)
+    # Without counts to estimate it from, or with such that leave nothing or more than all, a discount is the
+    # usual half, one or one and a half: every context keeps some mass, so every probability is positive.
+    y = "n1 / (n1 + 2 * n2)"
+    for n, usual in ((1, 0.5), (2, 1.0), (3, 1.5)):
+        steps = steps.withColumn(
+            f"d{n}",
+            F.expr(f"if(n{n} > 0 and n{n + 1} > 0, {n} - {n + 1} * {y} * n{n + 1} / n{n}, {usual}D)"),
+        ).withColumn(f"d{n}", F.expr(f"if(d{n} > 0 and d{n} <= {n}, d{n}, {usual}D)"))
+    # Unless it is broadcast, all grams move once more for it.
+    steps = small(cut(steps.select("k", "lang", "d1", "d2", "d3")))
     lower = None
     for k in range(1, order + 1):
-        of = [F.count_if(F.col("c") == n).cast("double").alias(f"n{n}") for n in (1, 2, 3, 4)]
-        steps = level[k].where("c > 0").groupBy("lang").agg(*of)
-        # Without counts to estimate it from, or with such that leave nothing or more than all, a discount is the
-        # usual half, one or one and a half: every context keeps some mass, so every probability is positive.
-        y = "n1 / (n1 + 2 * n2)"
-        for n, usual in ((1, 0.5), (2, 1.0), (3, 1.5)):
-            steps = steps.withColumn(
-                f"d{n}",
-                F.expr(f"if(n{n} > 0 and n{n + 1} > 0, {n} - {n + 1} * {y} * n{n + 1} / n{n}, {usual}D)"),
-            ).withColumn(f"d{n}", F.expr(f"if(d{n} > 0 and d{n} <= {n}, d{n}, {usual}D)"))
         # All grams of a context, of which there are at most as many as classes, meet once.
         near = Window.partitionBy("lang", F.shiftright("gram", bits))
-        rows = (
-            level[k]
-            .select(
-                "*", F.col("gram").bitwiseAND(F.lit((1 << bits * (k - 1)) - 1)).alias("tail"),
-                F.sum(F.when(F.col("c") > 0, F.col("c"))).over(near).alias("total"),
-                F.count_if(F.col("c") == 1).over(near).alias("m1"),
-                F.count_if(F.col("c") == 2).over(near).alias("m2"),
-                F.count_if(F.col("c") > 2).over(near).alias("m3"),
-            )
-            .join(steps.select("lang", "d1", "d2", "d3"), "lang")
-        )
+        rows = level[k].select(
+            "lang", "gram", "c",
+            F.sum(F.when(F.col("c") > 0, F.col("c"))).over(near).alias("total"),
+            F.count_if(F.col("c") == 1).over(near).alias("m1"),
+            F.count_if(F.col("c") == 2).over(near).alias("m2"),
+            F.count_if(F.col("c") > 2).over(near).alias("m3"),
+        )
         if lower is None:
             rows = rows.withColumn("below", F.lit(1.0 / (1 << bits)))
         else:
-            rows = rows.join(lower.withColumnsRenamed({"gram": "tail", "p": "below"}), ["lang", "tail"])
+            below = keep(lower).select(F.col("lang").alias("of"), F.col("gram").alias("tail"), F.col("p").alias("below"))
+            shorter = F.col("gram").bitwiseAND(F.lit((1 << bits * (k - 1)) - 1))
+            rows = rows.join(below, (F.col("lang") == F.col("of")) & (shorter == F.col("tail")))
         p = F.expr(
             "if(total is null, below, greatest(0D, c - case when c = 0 then 0"
             " when c = 1 then d1 when c = 2 then d2 else d3 end) / total + (d1 * m1 + d2 * m2 + d3 * m3) / total * below)"
         )
-        lower = rows.select("lang", "gram", p.alias("p"))
+        lower = rows.join(steps.where(F.col("k") == k).drop("k"), "lang").select("lang", "gram", p.alias("p"))
     return lower.select("lang", "gram", F.log("p").alias("logp"))
 
 
@@ -267,7 +273,7 @@ def _arrays(table: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
         return {}
     # Sixteen bytes a row reach the driver, no strings.
     number = F.array_position(F.array(*map(F.lit, names)), F.col("lang")).cast("int").alias("number")
-    rows = table.select(number, "gram", F.col("logp").cast("float").alias("logp")).toArrow()
+    rows = table.select(number, "gram", "logp").toArrow()
     number, gram, logp = (rows.column(c).to_numpy() for c in ("number", "gram", "logp"))
     order = np.lexsort((gram, number))
     ends = np.searchsorted(number[order], np.arange(1, len(names) + 2))
@@ -337,7 +343,7 @@ def _losses_by_join(docs: DataFrame, table: DataFrame) -> DataFrame:
             )
 
     out = StructType([*fields(strings="key"), *fields(loss=DoubleType(), worst=DoubleType()), *fields("n")])
-    row = F.struct("gram", F.col("logp").cast("float").alias("logp"))
+    row = F.struct("gram", "logp")
     known = docs.select("key", "lang", "text").mapInArrow(different, schema).join(table, ["lang", "gram"])
     known = known.groupBy("key").agg(F.collect_list(row).alias("grams"))
     return docs.select("key", "text").join(known, "key").select("key", "text", "grams").mapInArrow(tidy(work), out)
@@ -387,18 +393,19 @@ def _scored(docs: DataFrame, labels: DataFrame, quantile: float, table_rows: int
     good = small(good)
     named = fold_key(lang_key(), F.col("text")).alias("model")
     flagged = docs.select("doc_id", named, "text").withColumnRenamed("model", "lang").join(good, "doc_id", "left")
-    counts = cut(corpus_counts(flagged.withColumn("trusted", F.coalesce("trusted", F.lit(False)))))
-    table = cut(model(cut(held_out(counts)), ORDER, BITS))
+    counts = corpus_counts(flagged.withColumn("trusted", F.coalesce("trusted", F.lit(False))))
     lookups = None
-    if table.limit(table_rows + 1).count() <= table_rows:
-        lookups = docs.sparkSession.sparkContext.broadcast(_arrays(table))
-        scored = _with_losses(docs.select("doc_id", "lang", lang_key().alias("key_lang"), named, "text"), lookups)
-    else:
-        keyed = docs.select("doc_id", "lang", lang_key().alias("key_lang"), named, "text", _row_key().alias("key"))
-        losses = _losses_by_join(keyed.select("key", F.col("model").alias("lang"), "text").dropDuplicates(["key"]), table)
-        scored = keyed.drop("text").join(losses, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-        scored = scored.select("doc_id", "lang", "key_lang", "key", "loss", "worst", "n")
-    scored = cut(scored)
+    with shelf(docs.sparkSession) as keep:
+        table = keep(model(held_out(counts, keep), ORDER, BITS, keep).withColumn("logp", F.col("logp").cast("float")))
+        if table.limit(table_rows + 1).count() <= table_rows:
+            lookups = docs.sparkSession.sparkContext.broadcast(_arrays(table))
+            scored = _with_losses(docs.select("doc_id", "lang", lang_key().alias("key_lang"), named, "text"), lookups)
+        else:
+            keyed = docs.select("doc_id", "lang", lang_key().alias("key_lang"), named, "text", _row_key().alias("key"))
+            losses = _losses_by_join(keyed.select("key", F.col("model").alias("lang"), "text").dropDuplicates(["key"]), table)
+            scored = keyed.drop("text").join(losses, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+            scored = scored.select("doc_id", "lang", "key_lang", "key", "loss", "worst", "n")
+        scored = cut(scored)
     trusted = scored.join(good, "doc_id").where("loss is not null and n > 0")
     means = trusted.groupBy("key_lang").agg((F.sum("loss") / F.sum("n")).alias("mean"))
     cuts = (

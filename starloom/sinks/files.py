@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from threading import Lock
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from starloom.session import shared_dir
 
 #: Files that a task keeps open at a time; one with rows for more folders sorts the rest of them.
 WRITERS = 8
@@ -83,6 +85,26 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+@contextmanager
+def shelf(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A function that computes a result once and keeps it in the shared folder until this ends.
+
+    A checkpoint would keep it until the driver happens to collect its garbage, in several times the bytes
+    and in as many parts as it was shuffled into.
+    """
+    folder = f"{shared_dir(spark)}/kept-{uuid4().hex}"
+
+    def keep(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        remove(spark, folder)
+
+
 @contextmanager
 def open_files(spark: SparkSession) -> Iterator[None]:
     """Writes into folders within this put rows out as they come, in place of sorting each task's rows by folder first.
