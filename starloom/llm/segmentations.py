@@ -30,7 +30,7 @@ import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import compress, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +43,15 @@ from starloom.llm.common import fields, mix, same_texts, sliced, spans_of, tidy
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SEED = 7
-#: Words kept at hand in a task, and their characters; when there are more, all but the ``CORE`` that came first, the common ones, go.
-WORDS, CORE, PLACES = 80_000, 40_000, 600_000
+#: Words kept at hand in a task, and their characters; when there are more, all but a core go, which has so many at most.
+WORDS, PLACES = 80_000, 600_000
+CORE, CORE_PLACES = 50_000, 400_000
 #: Characters of a word, or pieces, that are worked on in arrays, all words together; the rest of longer ones goes step by step.
 LONG = 96
 #: Leading bits of a hash that find a piece.
 SLOTS = 20
+#: Lengths of beginnings by which places are left out that no longer piece can begin at, and leading bits of their hashes.
+BEGINNINGS, BEGINNING_SLOTS = (2, 3, 5), 18
 #: Bytes of text that are worked on together.
 TOGETHER = 1 << 18
 UNIT = re.compile(r"\n| *[^ \n]+| +")
@@ -99,10 +102,15 @@ class Vocabulary:
                 at += 1
             self.slots[at] = k
             self.probes = max(self.probes, at - slot + 1)
+        # The longest piece of each beginning; beginnings that share a slot have the longest of all.
+        self.reach = np.zeros(1 << BEGINNING_SLOTS, np.int8)
+        for length in BEGINNINGS:
+            longer = [p for p in pieces if len(p) > length]
+            np.maximum.at(self.reach, self._slot(np.array([self.hash_of(p[:length]) for p in longer], np.uint64), BEGINNING_SLOTS), np.array(list(map(len, longer)), np.int8))
 
     @staticmethod
-    def _slot(hashes: np.ndarray) -> np.ndarray:
-        return (mix(hashes) >> np.uint64(64 - SLOTS)).astype(np.int64)
+    def _slot(hashes: np.ndarray, bits: int = SLOTS) -> np.ndarray:
+        return (mix(hashes) >> np.uint64(64 - bits)).astype(np.int64)
 
     @property
     def model(self):
@@ -157,6 +165,9 @@ class Words:
         self.index = _Numbers()
         #: The first place of each word, and the first edge of each place.
         self.begin, self.first = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        #: How often each word came.
+        self.came = np.zeros(0, np.int64)
+        self.forgets = self.core = 0
         # With room for more edges behind those that are there.
         self.size, self.piece = np.zeros(1 << 16, np.int8), np.zeros(1 << 16, np.int32)
         self.log, self.cum = np.zeros(1 << 16), np.zeros(1 << 16)
@@ -169,14 +180,35 @@ class Words:
         out = np.array(list(map(self.index.__getitem__, units)), np.int64)
         if len(self.index) > known:
             self._add(list(islice(self.index, known, None)))
+        came = np.bincount(out, minlength=len(self.index))
+        came[:known] += self.came
+        self.came = came
         return out
 
     def _forget(self) -> None:
-        """Keep the words that came first, the common ones."""
-        keep = min(CORE, int(np.searchsorted(self.begin, PLACES // 2, "right")) - 1)
-        self.index = _Numbers(islice(self.index.items(), keep))
-        self.begin = self.begin[: keep + 1]
-        self.first = self.first[: self.begin[-1] + 1]
+        """Keep the core, chosen the first, second, fourth time and so on: the words that came most often, in the order they are in."""
+        self.forgets += 1
+        if self.forgets & (self.forgets - 1):
+            self.index = _Numbers(islice(self.index.items(), self.core))
+            self.begin = self.begin[: self.core + 1]
+            self.first = self.first[: self.begin[-1] + 1]
+            self.came = self.came[: self.core]
+            return
+        often = np.argsort(-self.came, kind="stable")[:CORE]
+        often = often[np.cumsum(np.diff(self.begin)[often]) <= CORE_PLACES]
+        stays = np.zeros(len(self.came), bool)
+        stays[often] = True
+        places = np.repeat(stays, np.diff(self.begin))
+        counts = np.diff(self.first)
+        edges = np.flatnonzero(np.repeat(places, counts))
+        for name in ("size", "piece", "log", "cum"):
+            old = getattr(self, name)
+            old[: len(edges)] = old[edges]
+        self.index = _Numbers(zip(compress(self.index, stays.tolist()), count()))
+        self.begin = np.concatenate(([0], np.cumsum(np.diff(self.begin)[stays])))
+        self.first = np.concatenate(([0], np.cumsum(counts[places])))
+        self.came = self.came[stays]
+        self.core = len(self.came)
 
     def _keep(self, **edges: np.ndarray) -> None:
         """Add edges behind the others."""
@@ -198,11 +230,11 @@ class Words:
         lengths = np.array([len(w) for w in words])
         n = len(points)
         left = np.repeat(np.cumsum(lengths), lengths) - np.arange(n)
-        place, size, piece, log = [], [], [], []
+        place, size, piece, log, nth = [], [], [], [], []
         hashed, scale = np.zeros(n, np.uint64), np.uint64(1)
-        at = np.arange(n)
+        at, room, edges = np.arange(n), left.copy(), np.zeros(n, np.int64)
         for length in range(1, v.longest + 1):
-            at = at[left[at] >= length]
+            at = at[room[at] >= length]
             if not len(at):
                 break
             hashed[at] += (points[at + length - 1].astype(np.uint64) + np.uint64(1)) * scale
@@ -218,18 +250,26 @@ class Words:
                 piece.append(-code.astype(np.int32) - 1)
                 log.append(v.spell * (1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)))
                 size.append(np.ones(len(bare), np.int8))
+                nth.append(edges[bare])
+                edges[bare] = 1
             place.append(at[hit])
+            nth.append(edges[at[hit]])
+            edges[at[hit]] += 1
+            if length in BEGINNINGS:
+                room[at] = np.minimum(room[at], v.reach[v._slot(hashed[at], BEGINNING_SLOTS)])
             piece.append(v.ids[number])
             log.append(v.logs[number])
             size.append(np.full(len(hit), length, np.int8))
-        place, size, piece, log = (np.concatenate(x) for x in (place, size, piece, log))
-        # Edges came by size; places ascend within each.
-        order = np.argsort(place, kind="stable")
-        place, size, piece, log = place[order], size[order], piece[order], log[order]
-        first = np.searchsorted(place, np.arange(n + 1))
-        total = _totals(left, first, place, size, log)
-        over = np.where(size == left[place], 0.0, total[np.minimum(place + size, n - 1)])
-        log += over - total[place]
+        # Edges came by size: each goes behind the shorter ones of its place.
+        first = np.concatenate(([0], np.cumsum(edges)))
+        goes = first[np.concatenate(place)] + np.concatenate(nth)
+        place = np.repeat(np.arange(n), edges)
+        size, piece, log = (_put(np.concatenate(x), goes) for x in (size, piece, log))
+        # Where each edge leads to; behind all places is the end of every word.
+        to = place + size
+        to[size == left[place]] = n
+        total = _totals(left, first, to, log)
+        log += total[to] - total[place]
         chance = np.cumsum(np.exp(log))
         chance -= np.concatenate(([0.0], chance))[first[place]]
         # The last edge is what is left, whatever rounding says.
@@ -254,6 +294,13 @@ class Words:
         return np.repeat(self.first[place] - ends[:-1], count) + np.arange(ends[-1]), ends
 
 
+def _put(values: np.ndarray, goes: np.ndarray) -> np.ndarray:
+    """``values``, each at its place."""
+    out = np.empty_like(values)
+    out[goes] = values
+    return out
+
+
 class _Numbers(dict):
     """Words by number, in the order they come."""
 
@@ -262,32 +309,32 @@ class _Numbers(dict):
         return out
 
 
-def _totals(left: np.ndarray, first: np.ndarray, place: np.ndarray, size: np.ndarray, log: np.ndarray) -> np.ndarray:
-    """Per place the log sum over all ways to the end of its word, from the back."""
-    n = len(left)
-    total = np.zeros(n)
+def _totals(left: np.ndarray, first: np.ndarray, to: np.ndarray, log: np.ndarray) -> np.ndarray:
+    """Per place the log sum over all ways to the end of its word, from the back, and 0 for the end itself."""
+    total = np.zeros(len(left) + 1)
     short = np.flatnonzero(left <= LONG)
-    order = short[np.argsort(left[short], kind="stable")]
+    # Edges in the order of their places, those next to the end first.
+    order = short[np.argsort(left[short].astype(np.int8), kind="stable")]
     bounds = np.searchsorted(left[order], np.arange(1, LONG + 2))
-    count = np.diff(first)
-    for r in range(1, LONG + 1):
-        at = order[bounds[r - 1] : bounds[r]]
-        if not len(at):
+    count = np.diff(first)[order]
+    ends = np.concatenate(([0], np.cumsum(count)))
+    edge = np.repeat(first[order] - ends[:-1], count) + np.arange(ends[-1])
+    leads, logs = to[edge], log[edge]
+    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        if low == high:
             continue
-        ends = np.cumsum(count[at])
-        begin = ends - count[at]
-        edge = np.repeat(first[at] - begin, count[at]) + np.arange(ends[-1])
-        length = size[edge]
-        value = log[edge] + np.where(length == r, 0.0, total[np.minimum(place[edge] + length, n - 1)])
+        a, b = ends[low], ends[high]
+        begin = ends[low:high] - a
+        value = logs[a:b] + total[leads[a:b]]
         top = np.maximum.reduceat(value, begin)
-        total[at] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, count[at])), begin))
+        total[order[low:high]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, count[low:high])), begin))
     # What a long word has before its last places: a step for each place, without arrays.
     long = np.flatnonzero(left > LONG)[::-1]
     if len(long):
         sums, exp, ln = total.tolist(), math.exp, math.log
         for k in long.tolist():
             a, b = first[k], first[k + 1]
-            value = [x + sums[k + y] for x, y in zip(log[a:b].tolist(), size[a:b].tolist())]
+            value = [x + sums[y] for x, y in zip(log[a:b].tolist(), to[a:b].tolist())]
             top = max(value)
             sums[k] = top + ln(sum(exp(x - top) for x in value))
         total = np.array(sums)
@@ -392,19 +439,22 @@ def top_k(w: Words, units: list[list[str]], keys: np.ndarray, k: int) -> list[tu
         whole = sums[edges[1:]] - sums[edges[:-1]]
         found.append((path, alive.copy(), whole))
         index = np.arange(len(path.text)) - edges[path.text]
-        taken = np.exp(path.log)
-        own = index > branch[path.text]
-        u = uniform(keys[path.text], index.astype(np.uint64) + np.uint64((r + 1) << 44) + np.uint64(1 << 62))
+        own = np.flatnonzero(index > branch[path.text])
+        text, at = path.text[own], path.edge[own]
+        taken = np.exp(path.log[own])
+        u = uniform(keys[text], index[own].astype(np.uint64) + np.uint64((r + 1) << 44) + np.uint64(1 << 62))
         with np.errstate(divide="ignore"):
             rest = np.log(np.maximum(0.0, 1.0 - taken))
             # Next to 1 the difference says nothing: the sum of the other edges, none only if there is no other.
             near = np.flatnonzero(taken > 1 - 1e-6)
             if len(near):
-                edge, ends = w.edges(path.place[near])
-                others = np.where(edge == np.repeat(path.edge[near], np.diff(ends)), 0.0, np.exp(w.log[edge]))
+                edge, ends = w.edges(path.place[own[near]])
+                others = np.where(edge == np.repeat(at[near], np.diff(ends)), 0.0, np.exp(w.log[edge]))
                 rest[near] = np.log(np.add.reduceat(others, ends[:-1]))
-        value = np.where(own, below(before, rest, u, bound[path.text]), -np.inf)
-        rounds.append({"path": path, "edges": edges, "before": before, "value": value, "used": (1 << w.size[path.edge].astype(np.int64))})
+        value = np.full(len(index), -np.inf)
+        value[own] = below(before[own], rest, u, bound[text])
+        # Of a node that is opened the sizes of the pieces that it no longer has, apart from its path's own.
+        rounds.append({"path": path, "edges": edges, "before": before, "value": value, "used": np.zeros(len(index), np.int64)})
         # The best node of every text over all paths so far.
         best, which, where = np.full(n, -np.inf), np.zeros(n, np.int64), np.zeros(n, np.int64)
         for q, node in enumerate(rounds):
@@ -451,10 +501,11 @@ def _reopened(w, node, mine, at, owner, occurrence, begin, end, keys, own_keys,
     """New paths of texts ``mine``: as ``node``'s path before ``at``, another piece there, then fresh ones."""
     path = node["path"]
     place, word = path.place[at], path.word[at]
+    used = node["used"][at] | (1 << w.size[path.edge[at]].astype(np.int64))
     # Edges that are still open, place by place.
     edge, ends = w.edges(place)
     of = np.repeat(np.arange(len(mine)), np.diff(ends))
-    open_ = np.where((node["used"][at][of] >> w.size[edge].astype(np.int64)) & 1, 0.0, np.exp(w.log[edge]))
+    open_ = np.where((used[of] >> w.size[edge].astype(np.int64)) & 1, 0.0, np.exp(w.log[edge]))
     sums = np.cumsum(open_)
     base = np.concatenate(([0.0], sums))[ends[:-1]]
     number = uniform(keys[mine], np.full(len(mine), r, np.uint64) + np.uint64(3 << 60)) * (sums[ends[1:] - 1] - base)
@@ -468,7 +519,7 @@ def _reopened(w, node, mine, at, owner, occurrence, begin, end, keys, own_keys,
     new = Path(mine, word, place, chosen_edge, w.log[chosen_edge])
     # What is left of the opened node: without this piece too, below the new bound.
     size = w.size[chosen_edge].astype(np.int64)
-    node["used"][at] |= 1 << size
+    node["used"][at] = used | (1 << size)
     open_[took] = 0
     left = np.add.reduceat(open_, ends[:-1])
     u = uniform(keys[mine], np.full(len(mine), r, np.uint64) + np.uint64(5 << 60))
