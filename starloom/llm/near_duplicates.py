@@ -42,6 +42,7 @@ from pyspark.sql.types import BinaryType, StructType
 from starloom.llm.common import LOWER, SLICE, fields, joined, mix, sliced, small, span_hashes, tidy, window_hashes, words
 from starloom.llm.components import components
 from starloom.session import cut
+from starloom.sinks.files import shuffles_dropped
 
 BANDS, ROWS = 52, 7
 #: Bytes to compare signatures by, one of each minimum.
@@ -394,11 +395,13 @@ class _Classes:
 
 def groups(docs: DataFrame, n: int = 4, similar: int = SIMILAR) -> DataFrame:
     """Per row: doc_id, n_shingles, class_id (smallest doc_id with an equal set), component_id, kept."""
-    classes = _Classes(docs, n, similar)
-    labels, by_id = classes.labels, classes.by_id()
-    if not by_id.isEmpty():
-        labels = components(labels.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(by_id))
-    linked = classes.rows.join(classes.components(labels), "class").select("doc_id", "n_shingles", "class_id", "component_id")
+    with shuffles_dropped(docs.sparkSession):
+        classes = _Classes(docs, n, similar)
+        labels, by_id = classes.labels, classes.by_id()
+        if not by_id.isEmpty():
+            labels = components(labels.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(by_id))
+        named = classes.components(labels)
+    linked = classes.rows.join(named, "class").select("doc_id", "n_shingles", "class_id", "component_id")
     rest = classes.rest.select("doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(rest).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
@@ -408,12 +411,13 @@ def deduplicated(docs: DataFrame, n: int = 5, similar: int = SIMILAR) -> DataFra
 
     Texts that only have a doc_id in common are no copies of each other, and both stay.
     """
-    classes = _Classes(docs, n, similar)
-    named = cut(classes.rows.join(classes.components(classes.labels), "class").select("doc_id", "class", "component", "class_id", "component_id"))
     keep = (F.col("doc_id") == F.col("component_id")) & (F.col("doc_id") == F.col("class_id"))
-    # Ids of several rows: which of them stays is a matter of the row, not of the id.
-    several = cut(classes.signed.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))
-    dropped = cut(named.where(~keep).select("doc_id").distinct())
+    with shuffles_dropped(docs.sparkSession):
+        classes = _Classes(docs, n, similar)
+        named = cut(classes.rows.join(classes.components(classes.labels), "class").select("doc_id", "class", "component", "class_id", "component_id"))
+        # Ids of several rows: which of them stays is a matter of the row, not of the id.
+        several = cut(classes.signed.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))
+        dropped = cut(named.where(~keep).select("doc_id").distinct())
     once = docs.join(small(dropped), "doc_id", "left_anti").select(*docs.columns)
     if several.isEmpty():
         return once

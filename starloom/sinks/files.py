@@ -16,6 +16,7 @@ from starloom.session import shared_dir
 WRITERS = 8
 _HERE = Lock()
 _WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+_DROPPED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _writing: dict[str, int] = {}
 
 
@@ -105,6 +106,17 @@ def shelf(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
         remove(spark, folder)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What queries within this shuffle goes when each has ended, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(_DROPPED)
+    spark.conf.set(_DROPPED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_DROPPED, before)
+
+
 @contextmanager
 def open_files(spark: SparkSession) -> Iterator[None]:
     """Writes into folders within this put rows out as they come, in place of sorting each task's rows by folder first.
