@@ -314,7 +314,7 @@ def _totals(left: np.ndarray, first: np.ndarray, to: np.ndarray, log: np.ndarray
     total = np.zeros(len(left) + 1)
     short = np.flatnonzero(left <= LONG)
     # Edges in the order of their places, those next to the end first.
-    order = short[np.argsort(left[short].astype(np.int8), kind="stable")]
+    order = short[np.argsort(left[short].astype(np.int16), kind="stable")]
     bounds = np.searchsorted(left[order], np.arange(1, LONG + 2))
     count = np.diff(first)[order]
     ends = np.concatenate(([0], np.cumsum(count)))
