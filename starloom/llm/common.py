@@ -23,9 +23,14 @@ SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
 #: Bytes of text that one slice holds, unless a single text is longer.
 SLICE = 4 << 20
+#: Bytes whose hashes are worked out together; they take 8 bytes each in every array.
+BLOCK = 1 << 18
+#: Bytes of rows that Spark sends to a task's Python at once; both sides keep a batch of them in memory.
+BATCH = 4 << 20
 #: Rows of 8 to 16 bytes up to which a measured side is broadcast.
 BROADCAST_ROWS = 1_000_000
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[int, np.ndarray] = {}
 
@@ -86,7 +91,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     have = _POWERS.get(inverse)
     if have is None or len(have) < n:
         step = pow(_BASE, -1, 1 << 64) if inverse else _BASE
-        have = np.full(max(n, SLICE // 4), step, np.uint64)
+        have = np.full(max(n, 2 * BLOCK), step, np.uint64)
         have[0] = 1
         _POWERS[inverse] = have = np.multiply.accumulate(have)
     return have[:n]
@@ -105,7 +110,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     at = 0
     while at < len(starts):
         low = int(starts[at])
-        to = max(at + 1, int(np.searchsorted(starts, low + SLICE)))
+        to = max(at + 1, int(np.searchsorted(starts, low + BLOCK)))
         high = int(ends[at:to].max())
         sums = np.zeros(high - low + 1, np.uint64)
         np.cumsum((data[low:high].astype(np.uint64) + np.uint64(1)) * powers(high - low), out=sums[1:])
@@ -170,6 +175,18 @@ def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -
     return tidied
 
 
+def mapped(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
+    """``df`` through ``work``, tidied, in batches of about ``BATCH`` bytes.
+
+    Counted by rows alone, a batch of texts has any size, and the executor holds it outside its heap, up to
+    twice as large. A result is planned when it is read, so the setting stays in the session; a user's own is left.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_BYTES, None) is None:
+        conf.set(_BATCH_BYTES, str(BATCH))
+    return df.mapInArrow(tidy(work), schema)
+
+
 def fields(longs: str = "", strings: str = "", **more: DataType) -> list[StructField]:
     """Fields by name: 64-bit numbers, strings, then any others."""
     named = [(n, LongType()) for n in longs.split()] + [(n, StringType()) for n in strings.split()]

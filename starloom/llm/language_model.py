@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from starloom.llm.common import SLICE, fields, sliced, small, sums_by, tidy
+from starloom.llm.common import SLICE, fields, mapped, sliced, small, sums_by
 from starloom.session import cut
 from starloom.sinks.files import shelf
 
@@ -178,7 +178,7 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
                 ["lang", "gram", "c"],
             )
 
-    return docs.select("lang", "trusted", "text").mapInArrow(tidy(work), schema)
+    return mapped(docs.select("lang", "trusted", "text"), work, schema)
 
 
 def fold_key(lang: Column, text: Column) -> Column:
@@ -344,9 +344,9 @@ def _losses_by_join(docs: DataFrame, table: DataFrame) -> DataFrame:
 
     out = StructType([*fields(strings="key"), *fields(loss=DoubleType(), worst=DoubleType()), *fields("n")])
     row = F.struct("gram", "logp")
-    known = docs.select("key", "lang", "text").mapInArrow(different, schema).join(table, ["lang", "gram"])
+    known = mapped(docs.select("key", "lang", "text"), different, schema).join(table, ["lang", "gram"])
     known = known.groupBy("key").agg(F.collect_list(row).alias("grams"))
-    return docs.select("key", "text").join(known, "key").select("key", "text", "grams").mapInArrow(tidy(work), out)
+    return mapped(docs.select("key", "text").join(known, "key").select("key", "text", "grams"), work, out)
 
 
 def lang_key() -> Column:
@@ -437,7 +437,7 @@ def _with_losses(docs: DataFrame, lookups) -> DataFrame:
                 schema.fieldNames(),
             )
 
-    return docs.mapInArrow(tidy(work), schema)
+    return mapped(docs, work, schema)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, table_rows: int = TABLE) -> DataFrame:
@@ -461,4 +461,4 @@ def accepted(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, tab
                 bad = (n > 0) & ((np.exp((loss + PRIOR * mean) / (n + PRIOR)) > most) | (np.exp(worst / PASSAGE) > passage))
             yield pa.RecordBatch.from_arrays([part.column("row")], ["row"]).filter(pa.array(~bad))
 
-    return packed.mapInArrow(tidy(work), schema).select("row.*")
+    return mapped(packed, work, schema).select("row.*")

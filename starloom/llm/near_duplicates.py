@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructType
 
-from starloom.llm.common import LOWER, SLICE, fields, joined, mix, sliced, small, span_hashes, tidy, window_hashes, words
+from starloom.llm.common import LOWER, SLICE, fields, joined, mapped, mix, sliced, small, span_hashes, window_hashes, words
 from starloom.llm.components import components
 from starloom.session import cut
 from starloom.sinks.files import shuffles_dropped
@@ -53,6 +53,8 @@ SIMILAR = 80
 DEVIATIONS = 5.2
 #: Signatures on either side of a cell, on average.
 BLOCK = 256
+#: Bytes of text that are worked on together; texts of short words take many times as much while they become sets.
+TOGETHER = SLICE // 4
 #: Shingles that a task keeps at hand while it compares.
 HELD = 4_000_000
 
@@ -114,7 +116,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
     schema = StructType([*fields("doc_id n_shingles low high"), *fields(bands=BinaryType(), sketch=BinaryType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in sliced(batches):
+        for part, data, offsets in sliced(batches, limit=TOGETHER):
             sets = shingle_sets(data, offsets, n)
             signs = np.array([minima(s) for s in sets]).reshape(-1, BANDS * ROWS)
             yield pa.RecordBatch.from_arrays(
@@ -125,7 +127,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                 schema.fieldNames(),
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(work), schema)
+    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), work, schema)
 
 
 def banded(leaders: DataFrame) -> DataFrame:
@@ -140,7 +142,7 @@ def banded(leaders: DataFrame) -> DataFrame:
                 docs = part.column("doc_id").take(pa.array(np.repeat(np.arange(part.num_rows), BANDS)))
                 yield pa.RecordBatch.from_arrays([pa.array(keys), docs], ["band", "doc_id"])
 
-    return leaders.select("doc_id", "bands").mapInArrow(tidy(work), schema)
+    return mapped(leaders.select("doc_id", "bands"), work, schema)
 
 
 def _zipped(docs: DataFrame, n: int) -> DataFrame:
@@ -149,12 +151,12 @@ def _zipped(docs: DataFrame, n: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
-        for _, data, offsets in sliced(batches):
+        for _, data, offsets in sliced(batches, limit=TOGETHER):
             raw = data.tobytes()
             texts = [press.compress(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays([*set_hashes(shingle_sets(data, offsets, n)), pa.array(texts, pa.binary())], schema.fieldNames())
 
-    return docs.select("text").mapInArrow(tidy(work), schema).select(class_of().alias("doc_id"), "zipped")
+    return mapped(docs.select("text"), work, schema).select(class_of().alias("doc_id"), "zipped")
 
 
 def least_equal(similar: int) -> int:
@@ -176,7 +178,7 @@ def _agreeing(pairs: DataFrame, sketches: DataFrame, similar: int) -> DataFrame:
 
     sized = _beside(pairs, sketches, "n_shingles", "sketch")
     near = f"100 * least(u_n_shingles, v_n_shingles) >= {similar} * greatest(u_n_shingles, v_n_shingles)"
-    return sized.where(near).select("u", "v", "u_sketch", "v_sketch").mapInArrow(tidy(work), schema)
+    return mapped(sized.where(near).select("u", "v", "u_sketch", "v_sketch"), work, schema)
 
 
 def _beside(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
@@ -237,7 +239,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, similar: int) -> DataFra
             rows = pa.array(out, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("u").take(rows), batch.column("v").take(rows)], ["u", "v"])
 
-    return _beside(pairs, texts, "zipped").mapInArrow(tidy(work), schema)
+    return mapped(_beside(pairs, texts, "zipped"), work, schema)
 
 
 def _cells(known: DataFrame) -> DataFrame:
@@ -325,7 +327,7 @@ def _met(cells: DataFrame, sketches: DataFrame, texts: DataFrame, n: int, simila
             yield from linked(rest, sets)
 
     signed = cells.join(sketches, "doc_id").join(texts, "doc_id")
-    return signed.repartition("cell").sortWithinPartitions("cell").mapInArrow(tidy(work), schema)
+    return mapped(signed.repartition("cell").sortWithinPartitions("cell"), work, schema)
 
 
 def _labelled(df: DataFrame, labels: DataFrame, doc: str, name: str) -> DataFrame:
@@ -436,8 +438,8 @@ def _classed(docs: DataFrame, n: int) -> DataFrame:
     schema = StructType([*docs.schema.fields, *fields("__n __low __high")])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in sliced(batches):
+        for part, data, offsets in sliced(batches, limit=TOGETHER):
             yield pa.RecordBatch.from_arrays([*part.columns, *set_hashes(shingle_sets(data, offsets, n))], schema.fieldNames())
 
     number = F.when(F.col("__n") > 0, F.xxhash64("__low", "__high", "__n"))
-    return docs.mapInArrow(tidy(work), schema).select(*docs.columns, number.alias("__class"))
+    return mapped(docs, work, schema).select(*docs.columns, number.alias("__class"))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StructType
 
-from starloom.llm.common import fields, mix, same_texts, sliced, spans_of, tidy
+from starloom.llm.common import fields, mapped, mix, same_texts, sliced, spans_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
@@ -599,7 +599,7 @@ def encode(docs: DataFrame, k: int = SAMPLES, model: str = MODEL, keep: bool = T
                     columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate((ends[pick], ends[-1:])).astype(np.int32)), pa.array(ids, pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, out.fieldNames())
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(work), out)
+    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), work, out)
 
 
 def decode(rows: DataFrame, model: str = MODEL) -> DataFrame:
